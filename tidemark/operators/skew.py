@@ -1,0 +1,75 @@
+"""Joins that stay balanced when one key holds a large part of a table."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from math import ceil
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A key with more rows than this is dealt to several tasks.
+ROWS_PER_SLICE = 2_000_000
+# Size of the frequent-items sketch; bounds what reaches the driver.
+TOP_KEYS = 256
+TRACKED_KEYS = 10_000
+
+
+def hot_keys(df: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE) -> dict[object, int]:
+    """Keys with more than ``rows_per_slice`` rows, and into how many slices each is to be cut.
+
+    One pass over the key column with a frequent-items sketch; at most ``TOP_KEYS`` entries come back.  The counts are
+    estimates, which is enough: they steer only how rows are spread over tasks, never which rows there are.
+    """
+    top = df.agg(F.expr(f"approx_top_k({key}, {TOP_KEYS}, {TRACKED_KEYS})").alias("top"))
+    big = top.select(F.filter("top", lambda item: item["count"] > rows_per_slice).alias("top")).first()["top"]
+    return {item["item"]: ceil(item["count"] / rows_per_slice) for item in big or [] if item["item"] is not None}
+
+
+def slices_of(key: Column, hot: Mapping[object, int]) -> Column:
+    """Number of slices the key of this row is cut into."""
+    table = F.create_map(*[F.lit(part) for pair in hot.items() for part in pair])
+    return F.coalesce(F.element_at(table, key), F.lit(1))
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    how: str = "inner",
+    *,
+    left_hot: Mapping[object, int] | None = None,
+    right_hot: Mapping[object, int] | None = None,
+    left_spread: Sequence[str] | None = None,
+    right_spread: Sequence[str] | None = None,
+) -> DataFrame:
+    """Equi-join (``inner`` or ``left``) on one column, with the hot keys of either side cut into slices.
+
+    The rows of a hot key are dealt to slices by a hash of their ``spread`` columns (all columns by default) and the
+    other side's rows of that key are repeated once per slice, so every pair still meets exactly once.  Without hot
+    keys this is the plain join.  Pass hot keys from ``hot_keys``; a side that is unique by key needs none.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join type {how}")
+    if not left_hot and not right_hot:
+        return left.join(right, on, how)
+
+    def dealt(df: DataFrame, hot: Mapping[object, int] | None, spread: Sequence[str] | None, name: str) -> DataFrame:
+        if not hot:
+            return df.withColumn(name, F.lit(0))
+        digest = F.xxhash64(*(spread or df.columns))
+        return df.withColumn(name, F.pmod(digest, slices_of(F.col(on), hot)).cast("int"))
+
+    def repeated(df: DataFrame, hot: Mapping[object, int] | None, name: str) -> DataFrame:
+        if not hot:
+            return df.withColumn(name, F.lit(0))
+        return df.withColumn(name, F.explode(F.sequence(F.lit(0), slices_of(F.col(on), hot) - 1)))
+
+    lhs = repeated(dealt(left, left_hot, left_spread, "_l"), right_hot, "_r")
+    rhs = repeated(dealt(right, right_hot, right_spread, "_r"), left_hot, "_l").withColumn("_hit", F.lit(True))
+    joined = lhs.join(rhs, [on, "_l", "_r"], how)
+    if how == "left" and right_hot:
+        # A hot key of the right side has partners for certain; a repeated left row that missed them in one slice only
+        # met them in another.
+        joined = joined.filter(F.col("_hit") | (slices_of(F.col(on), right_hot) == 1))
+    return joined.drop("_l", "_r", "_hit")

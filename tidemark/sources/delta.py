@@ -1,0 +1,29 @@
+"""The same upsert on a Delta table, for clusters that have Delta on the class path (not exercised by our tests)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.schemas import LINEAGE, TableSpec
+from tidemark.sources.tables import table_exists
+
+
+def merge_into_delta(spark: SparkSession, path: str, spec: TableSpec, changes: DataFrame) -> None:
+    """One atomic MERGE of ``changes`` (typed columns, lineage and ``_deleted``) into the Delta table at ``path``."""
+    from delta.tables import DeltaTable
+
+    columns = spec.silver_schema.names
+    if not table_exists(spark, path, fmt="delta"):
+        changes.filter("NOT _deleted").select(*columns).write.format("delta").save(path)
+        return
+    newer = f"s.{LINEAGE[1]} > t.{LINEAGE[1]} OR s.{LINEAGE[0]} <> t.{LINEAGE[0]}"
+    values = {name: f"s.{name}" for name in columns}
+    (
+        DeltaTable.forPath(spark, path)
+        .alias("t")
+        .merge(changes.alias("s"), f"t.{spec.key} = s.{spec.key}")
+        .whenMatchedDelete(f"s._deleted AND ({newer})")
+        .whenMatchedUpdate(newer, values)
+        .whenNotMatchedInsert("NOT s._deleted", values)
+        .execute()
+    )
