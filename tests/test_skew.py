@@ -1,0 +1,57 @@
+import pytest
+
+from tidemark.operators import hot_keys, salted_join
+
+
+def rows(df):
+    return sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=str)
+
+
+@pytest.fixture
+def sides(spark):
+    left = spark.createDataFrame(
+        [(7, f"l{n}") for n in range(30)] + [(8, "l30"), (9, "l31"), (None, "l32")], "k bigint, a string"
+    )
+    right = spark.createDataFrame(
+        [(7, "r0"), (8, "r1"), (8, "r2"), (6, "r3"), (None, "r4")] + [(5, f"s{n}") for n in range(20)],
+        "k bigint, b string",
+    )
+    return left, right
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize(
+    ("left_hot", "right_hot"),
+    [({7: 4}, None), (None, {8: 3}), ({7: 4, 8: 2}, {8: 3, 7: 5}), (None, {5: 6}), ({7: 3}, {7: 2}), ({}, {})],
+)
+def test_salted_join_equals_join(sides, how, left_hot, right_hot):
+    left, right = sides
+    plain = left.join(right, "k", how)
+    assert rows(salted_join(left, right, "k", how, left_hot=left_hot, right_hot=right_hot)) == rows(plain)
+
+
+def test_salted_left_join_of_hot_right_side(spark, sides):
+    left, right = sides
+    # The hot side on the right, with left rows that have and have not a partner.
+    plain = right.join(left, "k", "left")
+    assert rows(salted_join(right, left, "k", "left", right_hot={7: 5, 9: 2}, right_spread=["a"])) == rows(plain)
+
+
+def test_a_hot_key_is_dealt_to_many_slices(spark, sides):
+    left, right = sides
+    joined = salted_join(left.drop("a").withColumn("a", left.a), right, "k", left_hot={7: 4}, left_spread=["a"])
+    assert "_l" not in joined.columns
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "xxhash64(a" in plan
+
+
+def test_hot_keys(spark, sides):
+    left, _ = sides
+    assert hot_keys(left, "k", rows_per_slice=10) == {7: 3}
+    assert hot_keys(left, "k") == {}
+    assert hot_keys(left.limit(0), "k") == {}
+
+
+def test_other_joins_are_refused(sides):
+    with pytest.raises(ValueError, match="unsupported"):
+        salted_join(*sides, "k", "full")

@@ -1,6 +1,7 @@
 from tidemark.operators.changes import (
     change_history,
     decode_columns,
+    latest_changes,
     latest_per_key,
     merge_changes,
     merge_metrics,
@@ -18,6 +19,7 @@ __all__ = [
     "decode_columns",
     "high_water",
     "hot_keys",
+    "latest_changes",
     "latest_per_key",
     "merge_changes",
     "merge_metrics",

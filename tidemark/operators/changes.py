@@ -19,39 +19,46 @@ ORDER = ("offset", "partition")
 HISTORY_SLICE = 2_000_000
 
 
-def parse_envelope(bronze: DataFrame, spec: TableSpec) -> DataFrame:
+def parse_envelope(bronze: DataFrame, spec: TableSpec, before: Sequence[str] | None = None) -> DataFrame:
     """Raw change messages -> ``row_key, op, before, after, partition, offset, timestamp``.
 
-    Each message is parsed once.  ``before`` and ``after`` hold wire text.  The key comes from ``after`` and, for a
-    delete, which has none, from ``before``.  Messages without a usable key (tombstones, malformed text) are left out.
+    ``before`` and ``after`` hold wire text; name the columns of ``before`` that are needed to leave the rest unread.
+    The key comes from ``after`` and, for a delete, which has none, from ``before``.  Messages without a usable key
+    (tombstones, malformed text) are left out.
     """
-    row = spec.wire_schema
-    envelope = T.StructType(
+    after = spec.wire_schema
+    wanted = after.names if before is None else {spec.key, *before}
+    payload = T.StructType(
         [
-            T.StructField(
-                "payload",
-                T.StructType(
-                    [T.StructField("before", row), T.StructField("after", row), T.StructField("op", T.StringType())]
-                ),
-            )
+            T.StructField("before", T.StructType([f for f in after.fields if f.name in wanted])),
+            T.StructField("after", after),
+            T.StructField("op", T.StringType()),
         ]
     )
-    parsed = bronze.select(
-        F.from_json("value", envelope)["payload"].alias("payload"), "partition", "offset", "timestamp"
+    message = F.from_json("value", T.StructType([T.StructField("payload", payload)]))
+    # Unpacked by a generator: the filter on the key would otherwise be pushed below the projection together with a
+    # second copy of the parser.
+    parsed = bronze.select(F.inline(F.array(message["payload"])), "partition", "offset", "timestamp")
+    key = F.coalesce(F.col("after")[spec.key], F.col("before")[spec.key]).try_cast("bigint")
+    return parsed.select(key.alias(KEY), "op", "before", "after", "partition", "offset", "timestamp").filter(
+        F.col(KEY).isNotNull()
     )
-    key = F.coalesce(F.col("payload.after")[spec.key], F.col("payload.before")[spec.key]).try_cast("bigint")
-    return parsed.select(
-        key.alias(KEY), "payload.op", "payload.before", "payload.after", "partition", "offset", "timestamp"
-    ).filter(F.col(KEY).isNotNull())
 
 
 def latest_per_key(changes: DataFrame, key: str = KEY, order: Sequence[str] = ORDER) -> DataFrame:
     """The last row of each key in the given order.
 
-    ``max_by`` is combined before the shuffle, so a key with very many versions sends one row per map task.
+    Spark applies the limit of one row per key before the shuffle as well, so a key with very many versions sends one
+    row per map task.
     """
-    rest = [c for c in changes.columns if c != key]
-    return changes.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("last")).select(key, "last.*")
+    newest = Window.partitionBy(key).orderBy(*[F.desc(c) for c in order])
+    return changes.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") == 1).drop("_rank")
+
+
+def latest_changes(bronze: DataFrame, spec: TableSpec) -> DataFrame:
+    """The last change of each key in a raw table, reduced to what applying it needs."""
+    changes = parse_envelope(bronze, spec, before=())
+    return latest_per_key(changes.select(KEY, "op", "after", "partition", "offset"))
 
 
 def decode_columns(df: DataFrame, fields: Sequence[Field], image: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
@@ -145,7 +152,7 @@ def change_history(
     fit one task (``hot``; found by a sketch when not given) are cut into slices of ``slice_offsets`` offsets: versions
     are chained within a slice, and the last one of a slice takes its end from the first change of the key's next slice.
     """
-    changes = parse_envelope(bronze, spec)
+    changes = parse_envelope(bronze, spec, before=()).drop("before")
     if hot is None:
         hot = hot_keys(changes, KEY)
     in_order = [F.col(c) for c in ORDER]
@@ -184,7 +191,7 @@ def change_history(
 
 def decode_failures(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     """Per typed column, how many after-images hold text that does not decode: ``table_name, column_name, failures``."""
-    images = parse_envelope(bronze, spec).filter(F.col("after").isNotNull())
+    images = parse_envelope(bronze, spec, before=()).filter(F.col("after").isNotNull())
     checked = [f for f in spec.fields if f.kind != "string"]
     counts = images.agg(
         *[

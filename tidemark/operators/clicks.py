@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.changes import decode_columns
-from tidemark.schemas import CLICK_FIELDS, CLICK_SILVER_SCHEMA, LINEAGE
+from tidemark.schemas import CLICK_FIELDS, LINEAGE
 
 # Up to this many topic partitions progress becomes a filter the Parquet scan can use; beyond, a join.
 PUSHDOWN_PARTITIONS = 256
@@ -46,21 +46,19 @@ def new_rows(bronze: DataFrame, progress: DataFrame, pushdown_partitions: int =
 def parse_clicks(bronze: DataFrame) -> DataFrame:
     """Raw event messages -> typed columns with lineage."""
     wire = T.StructType([T.StructField(f.name, T.StringType()) for f in CLICK_FIELDS])
-    parsed = bronze.select(F.from_json("value", wire).alias("event"), "partition", "offset")
+    parsed = bronze.select(F.inline(F.array(F.from_json("value", wire))), "partition", "offset")
     return decode_columns(
         parsed,
         CLICK_FIELDS,
-        "event",
         keep=(F.col("partition").alias(LINEAGE[0]), F.col("offset").alias(LINEAGE[1])),
     )
 
 
 def first_per_event(clicks: DataFrame) -> DataFrame:
-    """One row per ``event_id``: the first delivered.  Combined before the shuffle, so many copies cost little."""
+    """One row per ``event_id``: the first delivered.  Applied before the shuffle too, so many copies cost little."""
     partition, offset = LINEAGE
-    rest = [c for c in CLICK_SILVER_SCHEMA.names if c != "event_id"]
-    first = F.min_by(F.struct(*rest), F.struct(offset, partition)).alias("first")
-    return clicks.groupBy("event_id").agg(first).select("event_id", "first.*").select(*CLICK_SILVER_SCHEMA.names)
+    earliest = Window.partitionBy("event_id").orderBy(offset, partition)
+    return clicks.withColumn("_rank", F.row_number().over(earliest)).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def refine_clickstream(bronze: DataFrame, silver: DataFrame | None = None) -> DataFrame:

@@ -186,7 +186,7 @@ def sessions(fact_clickstream: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS
 def delivery_time(orders_bronze: DataFrame, users: DataFrame) -> DataFrame:
     """Average hours from order to first 'delivered' change, by the user's city; needs the change log."""
     fields = {f.name: f for f in ORDERS.fields}
-    image = parse_envelope(orders_bronze, ORDERS).filter(F.col("after.status") == "delivered")
+    image = parse_envelope(orders_bronze, ORDERS, before=()).filter(F.col("after.status") == "delivered")
     delivered = image.select(
         "row_key",
         decode_field(fields["user_id"], F.col("after.user_id")).alias("user_id"),
@@ -222,7 +222,7 @@ def cancellation_stages(orders_bronze: DataFrame) -> DataFrame:
     A change carries the row before and after it, so the stage is read off the change itself: no ordering of an order's
     versions and no shuffle but that of the final counts.
     """
-    changes = parse_envelope(orders_bronze, ORDERS)
+    changes = parse_envelope(orders_bronze, ORDERS, before=("status",))
     left = changes.filter(
         (F.col("after.status") == "cancelled") & F.col("before.status").isNotNull() & (F.col("before.status") != "cancelled")
     )

@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.changes import latest_per_key, merge_changes, merge_metrics, parse_envelope, typed_changes
+from tidemark.operators.changes import latest_changes, merge_changes, merge_metrics, typed_changes
 from tidemark.schemas import TableSpec
 from tidemark.sources.snapshots import SnapshotTable
 
@@ -21,7 +21,7 @@ def apply_batch(
     """
     if token is not None and target.committed(token):
         return None
-    changes = typed_changes(latest_per_key(parse_envelope(bronze, spec)), spec)
+    changes = typed_changes(latest_changes(bronze, spec), spec)
     # Used by several joins below; recomputed from the raw rows should an executor be lost.
     changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
     try:

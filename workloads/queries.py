@@ -212,7 +212,7 @@ def cdc_envelope(spark, sf_dir):
 
 
 def _latest(spark, sf_dir):
-    return op.latest_per_key(op.parse_envelope(stores.bronze_of(spark, sf_dir, "orders"), ORDERS))
+    return op.latest_changes(stores.bronze_of(spark, sf_dir, "orders"), ORDERS)
 
 
 @query
@@ -250,7 +250,7 @@ def cdc_merge_metrics(spark, sf_dir):
     target = silver_table(spark, work_path(spark, "silver"), ORDERS, BUCKETS)
     lines = []
     for number, part in enumerate(_rounds(spark, sf_dir), start=1):
-        upserts, deletes = op.split_changes(op.latest_per_key(op.parse_envelope(part, ORDERS)), ORDERS)
+        upserts, deletes = op.split_changes(op.latest_changes(part, ORDERS), ORDERS)
         metrics = op.merge_metrics(target.read(), upserts, deletes, ORDERS.key)
         lines.append(metrics.select(F.lit(number).alias("arrival"), "*"))
         apply_batch(part, ORDERS, target)
