@@ -47,7 +47,8 @@ def salted_join(
 
     The rows of a hot key are dealt to slices by a hash of their ``spread`` columns (all columns by default) and the
     other side's rows of that key are repeated once per slice, so every pair still meets exactly once.  Without hot
-    keys this is the plain join.  Pass hot keys from ``hot_keys``; a side that is unique by key needs none.
+    keys this is the plain join.  ``left_hot`` and ``right_hot`` are what ``hot_keys`` finds in that very side (a left
+    join relies on hot keys of the right side being there); a side that is unique by key needs none.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how}")

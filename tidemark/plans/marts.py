@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import date_key, day_of_week
-from tidemark.operators.skew import hot_keys, salted_join
+from tidemark.operators.skew import ROWS_PER_SLICE, hot_keys, salted_join
 from tidemark.plans.staging import STAGING
 
 # The days the date dimension covers by default.
@@ -48,19 +48,16 @@ def fact_orders(
     orders: DataFrame,
     payments: DataFrame,
     *,
-    hot_orders: Mapping[object, int] | None = None,
-    hot_payments: Mapping[object, int] | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """One row per product of an order, with the order's payment if there is one.
 
     An order with several payments yields its lines once per payment.  Orders meet payments first: both are about one
-    row per order, and the lines, the largest input, are shuffled once.  Orders that hold a large part of the lines or
-    payments (found by a sketch when not given) are spread over several tasks.
+    row per order, and the lines, the largest input, are shuffled once.  Orders that hold more than ``rows_per_slice``
+    lines or payments are spread over several tasks.
     """
-    if hot_orders is None:
-        hot_orders = hot_keys(order_items, "order_id")
-    if hot_payments is None:
-        hot_payments = hot_keys(payments, "order_id")
+    hot_orders = hot_keys(order_items, "order_id", rows_per_slice)
+    hot_payments = hot_keys(payments, "order_id", rows_per_slice)
     paid = payments.select("order_id", "payment_id", "payment_method", F.col("status").alias("payment_status"), "paid_at")
     headers = salted_join(
         orders.select("order_id", "user_id", "order_date", F.col("status").alias("order_status")),

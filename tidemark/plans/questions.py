@@ -6,15 +6,14 @@ single hot product, user or order costs no more than any other.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.decode import decode_field
 from tidemark.operators.changes import parse_envelope
-from tidemark.operators.skew import hot_keys, salted_join
+from tidemark.operators.skew import ROWS_PER_SLICE, hot_keys, salted_join
 from tidemark.schemas import ORDERS
 
 # The stages of the conversion funnel in order; the last comes from payments.
@@ -98,31 +97,22 @@ def funnel_users(fact_clickstream: DataFrame, fact_orders: DataFrame) -> DataFra
 
 
 def funnel_times(
-    fact_clickstream: DataFrame,
-    fact_orders: DataFrame,
-    *,
-    hot_clickers: Mapping[object, int] | None = None,
-    hot_buyers: Mapping[object, int] | None = None,
+    fact_clickstream: DataFrame, fact_orders: DataFrame, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """Per user, when each stage was first reached after the stage before it (NULL: never).
 
-    Each step joins the users that are still in the running, one row per user, to the events of the next stage only.
+    Each step joins the users, one row each, to the events of the next stage only.  Users with more than
+    ``rows_per_slice`` such events are spread over several tasks.
     """
-    if hot_clickers is None:
-        hot_clickers = hot_keys(fact_clickstream, "user_id")
-    if hot_buyers is None:
-        hot_buyers = hot_keys(fact_orders, "user_id")
     clicks = fact_clickstream.select("user_id", "event_type", F.col("event_timestamp").alias("at"), "event_id")
     reached = (
         clicks.filter(F.col("event_type") == CLICK_STAGES[0]).groupBy("user_id").agg(F.min("at").alias(CLICK_STAGES[0]))
     )
     paid = _paid(fact_orders).select("user_id", F.col("paid_at").alias("at"), F.col("order_item_id").alias("event_id"))
     for number, stage in enumerate(STAGES[1:], start=1):
-        if stage == "payment":
-            events, hot = paid, hot_buyers
-        else:
-            events, hot = clicks.filter(F.col("event_type") == stage).drop("event_type"), hot_clickers
+        events = paid if stage == "payment" else clicks.filter(F.col("event_type") == stage).drop("event_type")
         done = STAGES[:number]
+        hot = hot_keys(events, "user_id", rows_per_slice)
         met = salted_join(reached, events, "user_id", "left", right_hot=hot, right_spread=["event_id"])
         reached = met.groupBy("user_id").agg(
             *[F.min(s).alias(s) for s in done],
@@ -131,9 +121,11 @@ def funnel_times(
     return reached
 
 
-def funnel_ordered(fact_clickstream: DataFrame, fact_orders: DataFrame, **hot: Mapping[object, int]) -> DataFrame:
+def funnel_ordered(
+    fact_clickstream: DataFrame, fact_orders: DataFrame, rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
     """Users that reached each stage after having reached the one before it."""
-    times = funnel_times(fact_clickstream, fact_orders, **hot)
+    times = funnel_times(fact_clickstream, fact_orders, rows_per_slice)
     return _stage_rows(times.agg(*[F.count(s).alias(s) for s in STAGES]), STAGES)
 
 
