@@ -99,11 +99,10 @@ def _newer(change: str, stored: str) -> Column:
     )
 
 
-def _met(current: DataFrame, upserts: DataFrame, deletes: DataFrame, key: str) -> DataFrame:
-    """Stored keys that a change meets: ``key, _deleted, _applies``.
+def met_keys(current: DataFrame, upserts: DataFrame, deletes: DataFrame, key: str) -> DataFrame:
+    """Stored keys that a change meets: ``key, _deleted, _applies``; at most one row per change.
 
-    Reads three columns of the stored table.  The join is written with the changes as the side that may be broadcast;
-    Spark does so when their measured size allows it.
+    Reads three columns of the stored table and may broadcast the changes, if Spark finds them small enough.
     """
     partition, offset = LINEAGE
     keys = upserts.select(key, partition, offset, F.lit(False).alias("_deleted")).unionByName(
@@ -115,12 +114,15 @@ def _met(current: DataFrame, upserts: DataFrame, deletes: DataFrame, key: str) -
     )
 
 
-def merge_changes(current: DataFrame, upserts: DataFrame, deletes: DataFrame, key: str) -> DataFrame:
+def merge_changes(
+    current: DataFrame, upserts: DataFrame, deletes: DataFrame, key: str, met: DataFrame | None = None
+) -> DataFrame:
     """The state after applying one set of changes, with at most one change per key.
 
-    A change older than the stored row is ignored, so that replaying messages is harmless.
+    A change older than the stored row is ignored, so that replaying messages is harmless.  Pass ``met_keys`` if they
+    are at hand.
     """
-    met = _met(current, upserts, deletes, key)
+    met = met_keys(current, upserts, deletes, key) if met is None else met
     gone = met.filter("_applies").select(key)
     stale = met.filter(~F.col("_applies")).select(key)
     kept = current.join(gone, key, "left_anti")
@@ -128,9 +130,12 @@ def merge_changes(current: DataFrame, upserts: DataFrame, deletes: DataFrame, ke
     return kept.unionByName(fresh)
 
 
-def merge_metrics(current: DataFrame, upserts: DataFrame, deletes: DataFrame, key: str) -> DataFrame:
+def merge_metrics(
+    current: DataFrame, upserts: DataFrame, deletes: DataFrame, key: str, met: DataFrame | None = None
+) -> DataFrame:
     """One row ``inserted, updated, deleted``: what ``merge_changes`` does to the stored rows."""
-    matched = _met(current, upserts, deletes, key).select(
+    met = met_keys(current, upserts, deletes, key) if met is None else met
+    matched = met.select(
         F.lit(0).alias("offered"), (~F.col("_deleted")).cast("int").alias("matched"), "_deleted", "_applies"
     )
     offered = upserts.select(
@@ -143,6 +148,16 @@ def merge_metrics(current: DataFrame, upserts: DataFrame, deletes: DataFrame, ke
     )
 
 
+def _row_keys(bronze: DataFrame, spec: TableSpec) -> DataFrame:
+    """The row key of each message, from the short message key if the topic has one, else from the message itself."""
+    if bronze.filter(F.col("key").isNotNull()).isEmpty():
+        return parse_envelope(bronze, spec, before=()).select(KEY)
+    key = F.coalesce(
+        F.get_json_object("key", f"$.payload.{spec.key}"), F.get_json_object("key", f"$.{spec.key}"), F.col("key")
+    )
+    return bronze.select(key.try_cast("bigint").alias(KEY))
+
+
 def change_history(
     bronze: DataFrame, spec: TableSpec, hot: Mapping[object, int] | None = None, slice_offsets: int = HISTORY_SLICE
 ) -> DataFrame:
@@ -154,7 +169,7 @@ def change_history(
     """
     changes = parse_envelope(bronze, spec, before=()).drop("before")
     if hot is None:
-        hot = hot_keys(changes, KEY)
+        hot = hot_keys(_row_keys(bronze, spec), KEY)
     in_order = [F.col(c) for c in ORDER]
     if not hot:
         chained = changes.withColumn("valid_to", F.lead("timestamp").over(Window.partitionBy(KEY).orderBy(*in_order)))

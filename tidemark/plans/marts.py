@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import date_key, day_of_week
 from tidemark.operators.skew import ROWS_PER_SLICE, hot_keys, salted_join
 from tidemark.plans.staging import STAGING
+from tidemark.session import side_by_side
 
 # The days the date dimension covers by default.
 FIRST_DAY = date(2024, 1, 1)
@@ -128,9 +129,10 @@ def build_marts(
 
 def write_marts(spark: SparkSession, marts: Mapping[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Store the marts and return them as read back; staging stays a view."""
-    stored = {}
-    for name, df in marts.items():
-        path = f"{folder.rstrip('/')}/{name}"
-        df.write.format(fmt).mode("overwrite").save(path)
-        stored[name] = spark.read.format(fmt).load(path)
-    return stored
+    paths = {name: f"{folder.rstrip('/')}/{name}" for name in marts}
+
+    def store(name: str) -> Callable[[], None]:
+        return lambda: marts[name].write.format(fmt).mode("overwrite").save(paths[name])
+
+    side_by_side({name: store(name) for name in marts})
+    return {name: spark.read.format(fmt).schema(marts[name].schema).load(path) for name, path in paths.items()}

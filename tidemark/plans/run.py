@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date
 
@@ -12,6 +12,7 @@ from tidemark.operators.checks import CHECKS, run_suite
 from tidemark.operators.clicks import refine_clickstream
 from tidemark.plans.marts import FIRST_DAY, LAST_DAY, build_marts, build_staging, write_marts
 from tidemark.schemas import BRONZE_SCHEMA, CDC_TABLES, CLICK_SILVER_SCHEMA, CLICK_TOPIC, TableSpec
+from tidemark.session import side_by_side
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.sources.tables import read_table, table_exists
 from tidemark.streaming.apply import refresh_table
@@ -41,14 +42,19 @@ def silver_table(spark: SparkSession, folder: str, spec: TableSpec, buckets: int
 def refresh_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], folder: str, buckets: int = 64) -> dict[str, dict[str, int]]:
     """Bring every current-state table and the event table up to date; returns what changed."""
     clicks_path = f"{folder.rstrip('/')}/clickstream"
-    silver = None
-    if table_exists(spark, clicks_path, schema=CLICK_SILVER_SCHEMA):
-        silver = read_table(spark, clicks_path, schema=CLICK_SILVER_SCHEMA)
-    refine_clickstream(bronze[CLICK_TOPIC], silver).write.mode("append").parquet(clicks_path)
-    return {
-        spec.name: refresh_table(bronze[spec.topic], spec, silver_table(spark, folder, spec, buckets))
-        for spec in CDC_TABLES.values()
-    }
+
+    def clicks() -> dict[str, int]:
+        silver = None
+        if table_exists(spark, clicks_path, schema=CLICK_SILVER_SCHEMA):
+            silver = read_table(spark, clicks_path, schema=CLICK_SILVER_SCHEMA)
+        refine_clickstream(bronze[CLICK_TOPIC], silver).write.mode("append").parquet(clicks_path)
+        return {}
+
+    def table(spec: TableSpec) -> Callable[[], dict[str, int]]:
+        return lambda: refresh_table(bronze[spec.topic], spec, silver_table(spark, folder, spec, buckets))
+
+    changes = side_by_side({"clickstream": clicks, **{name: table(spec) for name, spec in CDC_TABLES.items()}})
+    return {name: changes[name] for name in CDC_TABLES}
 
 
 def read_silver(spark: SparkSession, folder: str, buckets: int = 64) -> dict[str, DataFrame]:

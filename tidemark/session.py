@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+Result = TypeVar("Result")
+
 # Runtime settings every job of this library expects; all of them may be set on a live session.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -52,3 +58,11 @@ def work_path(spark: SparkSession, label: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder shared by the whole cluster")
         base = tempfile.mkdtemp(prefix="tidemark-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def side_by_side(tasks: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
+    """Run independent Spark actions at the same time, so that one's last tasks do not leave the cluster idle."""
+    keeps_session = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(tasks)))) as pool:
+        started = {name: pool.submit(keeps_session(task)) for name, task in tasks.items()}
+        return {name: future.result() for name, future in started.items()}

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
+from tidemark.session import side_by_side
+
 
 def export_table(df: DataFrame, path: str, files: int | None = None) -> int:
     """Write ``df`` to ``path`` as Parquet, replacing what is there; returns the rows written.
@@ -21,4 +23,8 @@ def export_table(df: DataFrame, path: str, files: int | None = None) -> int:
 
 def export_tables(tables: Mapping[str, DataFrame], folder: str, files: int | None = None) -> dict[str, int]:
     """Export each table to its own folder below ``folder``."""
-    return {name: export_table(df, f"{folder.rstrip('/')}/{name}", files) for name, df in tables.items()}
+
+    def export(name: str) -> Callable[[], int]:
+        return lambda: export_table(tables[name], f"{folder.rstrip('/')}/{name}", files)
+
+    return side_by_side({name: export(name) for name in tables})

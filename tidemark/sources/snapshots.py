@@ -8,7 +8,9 @@ overwritten while it is being read.
 
 from __future__ import annotations
 
+import json
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,16 @@ from tidemark.sources.tables import table_exists
 
 _BUCKET = "_bucket"
 _POINTER_SCHEMA = "bucket int, version long, token string"
+_POINTER_FIELDS = "bucket:int,version:bigint,token:string"
+
+
+@dataclass(frozen=True)
+class Pointer:
+    """A commit: its number, the token it was made under, and the version that holds each bucket."""
+
+    version: int
+    token: str | None
+    buckets: dict[int, int]
 
 
 class SnapshotTable:
@@ -41,30 +53,27 @@ class SnapshotTable:
     def exists(self) -> bool:
         return table_exists(self.spark, self._pointers(), schema=_POINTER_SCHEMA)
 
-    def _pointer(self) -> tuple[int, str | None, dict[int, int]]:
-        """Latest version, the token it was committed under, and version by bucket (one row per bucket at most)."""
+    def pointer(self) -> Pointer:
+        """The latest commit; an empty one of version -1 before the first."""
         if not self.exists():
-            return -1, None, {}
+            return Pointer(-1, None, {})
         files = self.spark.read.schema(_POINTER_SCHEMA).parquet(self._pointers()).inputFiles()
         version = max(int(re.search(r"/v=(\d+)/", name)[1]) for name in files)
+        # One row per bucket at most.
         rows = self.spark.read.schema(_POINTER_SCHEMA).parquet(f"{self._pointers()}/v={version}").collect()
-        return version, rows[0]["token"], {r["bucket"]: r["version"] for r in rows if r["bucket"] >= 0}
+        return Pointer(version, rows[0]["token"], {r["bucket"]: r["version"] for r in rows if r["bucket"] >= 0})
 
     def version(self) -> int:
         """Number of the latest commit, -1 before the first."""
-        return self._pointer()[0]
-
-    def committed(self, token: str) -> bool:
-        """Whether the latest commit was made under ``token`` (a replayed micro-batch)."""
-        return self._pointer()[1] == token
+        return self.pointer().version
 
     # -- reading ---------------------------------------------------------------------------------------------------
     def bucket_of(self, key: Column) -> Column:
         return F.pmod(F.hash(key), F.lit(self.buckets))
 
-    def read(self, only: list[int] | None = None) -> DataFrame:
-        """The current rows, of the given buckets or of all."""
-        _, _, held = self._pointer()
+    def read(self, only: list[int] | None = None, pointer: Pointer | None = None) -> DataFrame:
+        """The rows of the current (or the given) version, of some buckets or of all."""
+        held = (pointer or self.pointer()).buckets
         wanted = held if only is None else {b: held[b] for b in only if b in held}
         if not wanted:
             return self.spark.createDataFrame([], self.schema)
@@ -77,23 +86,32 @@ class SnapshotTable:
         return sorted(r[_BUCKET] for r in rows)
 
     # -- writing ---------------------------------------------------------------------------------------------------
-    def commit(self, rows: DataFrame, touched: list[int] | None = None, token: str | None = None) -> int:
-        """Replace the touched buckets (all, if not given) by ``rows`` and make that the current version."""
-        latest, _, held = self._pointer()
-        version = latest + 1
+    def commit(
+        self,
+        rows: DataFrame,
+        touched: list[int] | None = None,
+        token: str | None = None,
+        pointer: Pointer | None = None,
+    ) -> int:
+        """Replace the touched buckets (all, if not given) by ``rows`` and make that the current version.
+
+        Without any rows a table that does not exist yet is not created either.
+
+        A table has one writer; ``pointer`` is the version ``rows`` were made from, if already known.
+        """
+        latest = pointer or self.pointer()
+        version = latest.version + 1
         folder = f"{self.root}/data/v={version}"
         bucketed = rows.select(*self.schema.names, self.bucket_of(F.col(self.key)).alias(_BUCKET))
         bucketed.write.partitionBy(_BUCKET).mode("overwrite").parquet(folder)
         files = self.spark.read.schema(self.schema).parquet(folder).inputFiles()
         written = {int(re.search(rf"/{_BUCKET}=(\d+)/", name)[1]) for name in files}
+        if not written and latest.version < 0:
+            return latest.version
         replaced = set(range(self.buckets)) if touched is None else set(touched)
-        pointer = {b: v for b, v in held.items() if b not in replaced}
-        pointer.update({b: version for b in written})
-        lines = [(-1, version, token)] + [(b, v, token) for b, v in sorted(pointer.items())]
-        (
-            self.spark.createDataFrame(lines, _POINTER_SCHEMA)
-            .coalesce(1)
-            .write.mode("overwrite")
-            .parquet(f"{self._pointers()}/v={version}")
-        )
+        held = {b: v for b, v in latest.buckets.items() if b not in replaced}
+        held.update({b: version for b in written})
+        lines = [{"bucket": b, "version": v, "token": token} for b, v in [(-1, version), *sorted(held.items())]]
+        rows_of = F.inline(F.from_json(F.lit(json.dumps(lines)), f"array<struct<{_POINTER_FIELDS}>>"))
+        self.spark.range(0, 1, 1, 1).select(rows_of).write.mode("overwrite").parquet(f"{self._pointers()}/v={version}")
         return version

@@ -6,44 +6,60 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.changes import latest_changes, merge_changes, merge_metrics, typed_changes
-from tidemark.schemas import TableSpec
+from tidemark.operators.changes import latest_changes, merge_changes, merge_metrics, met_keys, typed_changes
+from tidemark.operators.clicks import high_water, new_rows
+from tidemark.schemas import LINEAGE, TableSpec
 from tidemark.sources.snapshots import SnapshotTable
 
+NOTHING = {"inserted": 0, "updated": 0, "deleted": 0}
+
 
 def apply_batch(
     bronze: DataFrame, spec: TableSpec, target: SnapshotTable, token: str | None = None, measure: bool = False
 ) -> dict[str, int] | None:
     """Apply a set of raw changes to ``target`` as one commit.
 
-    Only the latest change per key is kept, and only the buckets those keys fall into are read and rewritten, so the
-    cost follows the changes and not the table.  Returns ``inserted, updated, deleted`` if asked to measure.
+    Only the latest change per key is kept, and only the buckets those keys fall into are read and rewritten.  Returns
+    ``inserted, updated, deleted`` if asked to measure.
     """
-    if token is not None and target.committed(token):
+    pointer = target.pointer()
+    if token is not None and pointer.token == token:
         return None
     changes = typed_changes(latest_changes(bronze, spec), spec)
-    # Used by several joins below; recomputed from the raw rows should an executor be lost.
+    if pointer.version < 0:
+        # Nothing to merge with: one pass from raw messages to stored rows.
+        target.commit(changes.filter("NOT _deleted"), None, token, pointer)
+        return {**NOTHING, "inserted": target.read().count()} if measure else None
+    # The changes and the stored keys they meet, at most as many, are used several times; both are recomputed from the
+    # raw rows should an executor be lost.
     changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
+    upserts = changes.filter("NOT _deleted").drop("_deleted")
+    deletes = changes.filter("_deleted").select(spec.key, *LINEAGE)
+    met = None
     try:
         buckets = target.touched(changes)
         if not buckets:
-            return {"inserted": 0, "updated": 0, "deleted": 0} if measure else None
-        upserts = changes.filter("NOT _deleted").drop("_deleted")
-        deletes = changes.filter("_deleted").select(spec.key, "_bronze_partition", "_bronze_offset")
-        if not target.exists():
-            metrics = {"inserted": upserts.count(), "updated": 0, "deleted": 0} if measure else None
-            target.commit(upserts, buckets, token)
-            return metrics
-        current = target.read(buckets)
-        metrics = merge_metrics(current, upserts, deletes, spec.key).first().asDict() if measure else None
-        target.commit(merge_changes(current, upserts, deletes, spec.key), buckets, token)
+            return dict(NOTHING) if measure else None
+        current = target.read(buckets, pointer)
+        met = met_keys(current, upserts, deletes, spec.key).persist(StorageLevel.MEMORY_AND_DISK)
+        metrics = merge_metrics(current, upserts, deletes, spec.key, met).first().asDict() if measure else None
+        target.commit(merge_changes(current, upserts, deletes, spec.key, met), buckets, token, pointer)
         return metrics
     finally:
         changes.unpersist()
+        if met is not None:
+            met.unpersist()
 
 
 def refresh_table(bronze: DataFrame, spec: TableSpec, target: SnapshotTable) -> dict[str, int]:
-    """Batch form: apply a whole raw table.  Changes the target already holds are recognised by their offset."""
+    """Batch form: apply what the raw table holds beyond the offsets already in ``target``.
+
+    A raw table grows in offset order within a topic partition and a commit takes all of it, so whatever lies below the
+    highest stored offset of its partition has been applied.  (A delete leaves no offset behind; reading one again is
+    harmless.)
+    """
+    if target.exists():
+        bronze = new_rows(bronze, high_water(target.read()))
     return apply_batch(bronze, spec, target, measure=True)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,12 +20,14 @@ def refine_clickstream_stream(spark: SparkSession, bronze: DataFrame, silver_pat
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        fresh = first_per_event(parse_clicks(batch))
+        # Used twice below; recomputed from the raw rows should an executor be lost.
+        fresh = once = first_per_event(parse_clicks(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         if table_exists(spark, silver_path, schema=CLICK_SILVER_SCHEMA):
             silver = read_table(spark, silver_path, schema=CLICK_SILVER_SCHEMA)
             seen = silver.select("event_id").join(fresh.select("event_id"), "event_id", "left_semi")
             fresh = fresh.join(seen, "event_id", "left_anti")
         fresh.write.mode("append").parquet(silver_path)
+        once.unpersist()
 
     return (
         bronze.writeStream.foreachBatch(append)

@@ -16,7 +16,7 @@ from tidemark.functions import decimal_from_base64, iso_timestamp, micro_timesta
 from tidemark.operators.changes import decode_failures
 from tidemark.operators.checks import CHECKS
 from tidemark.plans import questions as q
-from tidemark.plans.marts import build_marts, build_staging
+from tidemark.plans.marts import build_marts, build_staging, write_marts
 from tidemark.plans.run import run_lakehouse, silver_table
 from tidemark.schemas import BRONZE_SCHEMA, CDC_TABLES, CLICK_SILVER_SCHEMA, CLICK_TOPIC, ORDERS, TOPICS
 from tidemark.session import configure, work_path
@@ -434,7 +434,8 @@ def dq_accepted_values(spark, sf_dir):
 def dq_suite(spark, sf_dir):
     """All 38 checks over damaged tables, with the default date dimension."""
     staging = build_staging(damaged_silver(spark, sf_dir))
-    return op.run_suite({**staging, **build_marts(spark, staging)}, CHECKS)
+    marts = write_marts(spark, build_marts(spark, staging), work_path(spark, "marts"))
+    return op.run_suite({**staging, **marts}, CHECKS)
 
 
 @query
