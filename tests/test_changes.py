@@ -206,6 +206,7 @@ def test_only_touched_buckets_are_rewritten(spark, folder):
     bucket = target.touched(spark.createDataFrame([(7,)], "id bigint"))
     assert len(bucket) == 1
     assert {f for f in before - after} == {f for f in before if f"_bucket={bucket[0]}/" in f}
+    assert target.superseded() == sorted(before - after)
     assert prices(target.read())[7] == Decimal("7.77")
     assert target.read().count() == 40
 

@@ -18,6 +18,9 @@ FIRST_DAY = date(2024, 1, 1)
 LAST_DAY = date(2026, 12, 31)
 
 
+MARTS = ("dim_users", "dim_products", "dim_date", "fact_orders", "fact_clickstream")
+
+
 def dim_users(users: DataFrame) -> DataFrame:
     return users.select("user_id", "name", "email", "city", "registered_at")
 

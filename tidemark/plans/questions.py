@@ -186,9 +186,10 @@ def delivery_time(orders_bronze: DataFrame, users: DataFrame) -> DataFrame:
             F.unix_micros("timestamp") - F.unix_micros(decode_field(fields["order_date"], F.col("after.order_date")))
         ).alias("micros"),
     )
+    # Fixed-width aggregates, so that Spark hashes instead of sorting.
     first = delivered.groupBy("row_key").agg(
-        F.min(F.struct("micros", "user_id")).alias("first")
-    ).select("first.*")
+        F.min("micros").alias("micros"), F.min_by("user_id", "micros").alias("user_id")
+    )
     per_user = first.groupBy("user_id").agg(
         F.count("micros").alias("orders"), F.sum(F.col("micros").cast("decimal(38,0)")).alias("micros")
     )

@@ -21,6 +21,13 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Lets AQE split a hot join partition even where an aggregate on the same key follows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Merges a busy user's events into sessions before they are shuffled.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Streaming state on local disk, with its changelog in the checkpoint, instead of on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

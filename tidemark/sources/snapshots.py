@@ -80,6 +80,11 @@ class SnapshotTable:
         paths = [f"{self.root}/data/v={v}/{_BUCKET}={b}" for b, v in sorted(wanted.items())]
         return self.spark.read.schema(self.schema).parquet(*paths)
 
+    def superseded(self) -> list[str]:
+        """Files that the current version no longer uses, for a clean-up job to remove once no reader needs them."""
+        every = self.spark.read.schema(self.schema).parquet(f"{self.root}/data").inputFiles()
+        return sorted(set(every) - set(self.read().inputFiles()))
+
     def touched(self, keys: DataFrame) -> list[int]:
         """Buckets that hold the given keys; never more than ``buckets`` numbers."""
         rows = keys.select(self.bucket_of(F.col(self.key)).alias(_BUCKET)).distinct().collect()

@@ -55,8 +55,7 @@ def stage_counts(clicks: DataFrame, lateness: str = "1 hour", width: str = "1 da
 def visit_sessions(clicks: DataFrame, lateness: str = "1 hour", gap: str = "30 minutes") -> DataFrame:
     """Visits per user; a visit is emitted once the watermark has passed its end.
 
-    With ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` a busy user's events are merged into
-    sessions before they are shuffled.
+    ``session.configure`` has Spark merge events into sessions before they are shuffled, so a busy user sends few rows.
     """
     return (
         clicks.withWatermark("timestamp", lateness)
