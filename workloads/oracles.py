@@ -418,7 +418,7 @@ SELECT id AS order_id, status, CAST(0 AS BIGINT) AS payments FROM d_orders WHERE
     + _TOP
     + """
 SELECT product_id, CAST(m AS VARCHAR) AS "month", quantity,
-       quantity - lag(quantity) OVER (PARTITION BY product_id ORDER BY m) AS change
+       CAST(quantity - lag(quantity) OVER (PARTITION BY product_id ORDER BY m) AS DOUBLE) AS change
 FROM (SELECT product_id, CAST(date_trunc('month', order_date) AS DATE) AS m, CAST(sum(quantity) AS BIGINT) AS quantity
       FROM f_orders WHERE product_id IN (SELECT product_id FROM best) GROUP BY 1, 2)""",
     "bq3_funnel_users": STAR
