@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -104,6 +103,14 @@ def _row_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame
     return counts.select(F.inline(lines)).select(*REPORT_COLUMNS)
 
 
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union by halves: Spark looks at every plan again that it is put into, so a long chain would take quadratic time."""
+    if len(parts) == 1:
+        return parts[0]
+    middle = len(parts) // 2
+    return _union(parts[:middle]).union(_union(parts[middle:]))
+
+
 def run_suite(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """Run all checks: one line each with its number of violations.
 
@@ -124,7 +131,7 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataF
         else:
             by_table.setdefault(check.table, []).append(check)
     parts += [_row_checks(tables[table], table, group) for table, group in by_table.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return _union(parts)
 
 
 def _unique_keys(*pairs: tuple[str, str]) -> list[Check]:
