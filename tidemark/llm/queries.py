@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.decontaminate import build_index, contamination
 from tidemark.llm.tokens import token_digest, write_tokens
 from tidemark.session import work_path
 
@@ -31,3 +32,10 @@ def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path, vocabulary())
     return token_digest(spark, path)
+
+
+@query
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "positional-index")
+    build_index(table(spark, sf_dir, "documents"), path)
+    return contamination(spark, path, table(spark, sf_dir, "benchmark"))
