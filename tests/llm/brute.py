@@ -30,3 +30,14 @@ def decontaminate(docs, items, size=13):
         sha = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         out.append((doc, len(w), len(hit), len(found), sha, bool(hit) and 20 * len(hit) >= len(w)))
     return out
+
+
+def licence_places(docs, base):
+    out = []
+    for doc, text in docs:
+        w = ALNUM.findall(lower(text))
+        found = [(k, label) for p, label in base.items() for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]
+        at = [k for k, _ in found]
+        labels = ",".join(sorted({x for _, x in found}))
+        out.append((doc, len(w), len(found), min(at, default=None), max(at, default=None), labels))
+    return out

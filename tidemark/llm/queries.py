@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.decontaminate import build_index, contamination
+from tidemark.llm.licences import licence_digest
 from tidemark.llm.tokens import token_digest, write_tokens
 from tidemark.session import work_path
 
@@ -39,3 +40,8 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "positional-index")
     build_index(table(spark, sf_dir, "documents"), path)
     return contamination(spark, path, table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_digest(table(spark, sf_dir, "documents"))
