@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.decontaminate import build_index, contamination
 from tidemark.llm.licences import licence_digest
+from tidemark.llm.mixing import measure, mix
 from tidemark.llm.tokens import token_digest, write_tokens
 from tidemark.session import work_path
 
@@ -45,3 +46,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "sizes")
+    measure(table(spark, sf_dir, "documents")).write.parquet(path)
+    return mix(spark.read.parquet(path)).select("doc_id", "size", "source_size", "target", "taken", "copies")
