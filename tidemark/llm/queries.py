@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import build_index, contamination
+from tidemark.llm import fixity
 from tidemark.llm.licences import licence_digest
 from tidemark.llm.mixing import measure, mix
 from tidemark.llm.tokens import token_digest, write_tokens
@@ -53,3 +55,60 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "sizes")
     measure(table(spark, sf_dir, "documents")).write.parquet(path)
     return mix(spark.read.parquet(path)).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def op8_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits a replica of the archive of all pages in which records were harmed by rule, and reports every record.
+
+    In the replica, records of pages with page_id % 1000 = 17 have their first byte changed, and those with 29 are lost.
+    """
+    path = work_path(spark, "warc")
+    fixity.write_archive(table(spark, sf_dir, "pages"), f"{path}/records")
+    archive = fixity.read_archive(spark, f"{path}/records")
+    rest = F.coalesce(F.col("page_id") % 1000, F.lit(0))
+    harmed = F.when(rest == 17, F.overlay("record", F.lit("w").cast("binary"), 1)).otherwise(F.col("record"))
+    archive.filter(rest != 29).withColumn("record", harmed).write.option("compression", "zstd").parquet(f"{path}/replica")
+    trees = []
+    for name, rows in (("own", archive), ("other", spark.read.parquet(f"{path}/replica"))):
+        at = f"{path}/{name}"
+        fixity.write_fixity(rows, f"{at}/fixity")
+        trees.append((f"{at}/fixity", f"{at}/tree", fixity.write_tree(spark, f"{at}/fixity", f"{at}/tree")))
+    found = fixity.audit(spark, *trees)
+    records = fixity.with_offsets(spark.read.parquet(trees[0][0]))
+    leaves = spark.read.parquet(f"{trees[0][1]}/level=0").select(
+        F.col("node").alias("range_no"), F.col("sha256").alias("range_sha256")
+    )
+    range_no = F.floor(F.col("position") / fixity.FAN_OUT)
+    return (
+        records.join(found, "position", "left")
+        .withColumn("range_no", range_no)
+        .join(leaves, "range_no", "left")
+        .select(
+            "position", "page_id", "offset", "length", "sha256", "range_no", "range_sha256",
+            F.coalesce("status", F.lit("intact")).alias("status"),
+        )
+    )
+
+
+ORACLES["op8_warc_fixity"] = """
+WITH text AS (
+  SELECT page_id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+    || 'WARC-Record-ID: <urn:page:' || coalesce(page_id, 0) || '>' || chr(13) || chr(10)
+    || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
+    || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+    || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+  FROM pages),
+hashed AS (SELECT page_id, CAST(strlen(record) AS BIGINT) AS length, sha256(record) AS sha256 FROM text),
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS position,
+    CAST(coalesce(sum(length) OVER (ORDER BY page_id NULLS FIRST, sha256 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      AS BIGINT) AS "offset"
+  FROM hashed WINDOW w AS (ORDER BY page_id NULLS FIRST, sha256)),
+ranges AS (
+  SELECT position // 64 AS range_no, sha256(string_agg(sha256, '' ORDER BY position)) AS range_sha256
+  FROM placed GROUP BY position // 64)
+SELECT position, page_id, "offset", length, sha256, range_no, range_sha256,
+  CASE page_id % 1000 WHEN 17 THEN 'changed' WHEN 29 THEN 'missing' ELSE 'intact' END AS status
+FROM placed JOIN ranges ON range_no = position // 64
+"""
