@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import build_index, contamination
-from tidemark.llm import fixity
+from tidemark.llm import fixity, topk
 from tidemark.llm.licences import licence_digest
 from tidemark.llm.mixing import measure, mix
 from tidemark.llm.tokens import token_digest, write_tokens
@@ -112,3 +112,27 @@ SELECT position, page_id, "offset", length, sha256, range_no, range_sha256,
   CASE page_id % 1000 WHEN 17 THEN 'changed' WHEN 29 THEN 'missing' ELSE 'intact' END AS status
 FROM placed JOIN ranges ON range_no = position // 64
 """
+
+
+@query
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "impact-index")
+    topk.write_vectors(table(spark, sf_dir, "embeddings"), f"{path}/vectors")
+    vectors = spark.read.parquet(f"{path}/vectors")
+    topk.write_index(vectors, f"{path}/blocks")
+    found = topk.search(spark, f"{path}/blocks", vectors.filter("vec_id % 20 = 0"), 20)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+ORACLES["op3_top_k"] = """
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.row <> b.row WHERE a.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
