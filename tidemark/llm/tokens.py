@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.simple8b import pack, unpack
-from tidemark.llm.words import pieces, spread, text_bytes
+from tidemark.llm.words import pieces, text_bytes
 
 END_ID = 2
 #: Ids to a segment; a segment always holds whole documents.
@@ -193,73 +193,51 @@ def _encoder(vocabulary: Broadcast) -> Encoder:
     return _workers[key]
 
 
-def token_ids(docs: DataFrame, vocabulary: str, end_id: int | None = END_ID) -> DataFrame:
-    """``doc_id``, ``n_tokens`` and ``ids`` (little-endian, 2 or 4 bytes each, deflated by zstd) of every document.
+def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None = END_ID) -> None:
+    """Write the ids of all rows of ``docs`` in ascending doc_id order (nulls first; equal ids by a hash of their text).
 
     ``vocabulary``: a tokenizers file on the driver; its content (one file, a few MB) is sent to the executors. Null is an
-    empty text; every document ends with ``end_id``. Rows are kept one for one; no other column is read.
+    empty text; every document ends with ``end_id``. Rows are kept one for one; no other column is read. Texts are shuffled
+    once, into ranges of doc_id, and encoded where they arrive: the range bounds are sampled from the table itself.
     """
     with open(vocabulary, encoding="utf-8") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec("zstd", 1)
-        for batch in pieces(batches):
-            ids, counts = _encoder(content).encode(batch.column("text"))
-            starts = np.cumsum(counts) - counts
-            tail = [] if end_id is None else [end_id]
-            out = []
-            for a, n in zip(starts.tolist(), counts.tolist()):
-                own = np.append(ids[a : a + n], tail).astype(np.uint32)
-                own = own.astype("<u2") if len(own) and own.max() < 1 << 16 else own.astype("<u4")
-                out.append(bytes([own.itemsize]) + codec.compress(own.tobytes(), asbytes=True))
-            yield pa.record_batch(
-                {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(counts + len(tail)), "ids": pa.array(out, pa.binary())}
-            )
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids binary"
-    )
-
-
-def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None = END_ID) -> None:
-    """Write the ids of all documents in ascending doc_id order (nulls first; equal ids by their token ids)."""
-    coded = token_ids(docs, vocabulary, end_id).withColumn("tie", F.xxhash64("ids"))
-    ranged = coded.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("tie", F.xxhash64("text"))
+    ranged = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    tail = np.array([] if end_id is None else [end_id], np.uint32)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        codec = pa.Codec("zstd", 1)
-        docs_, counts, parts, held, before, number = [], [], [], 0, 0, 0
+        ids_held, docs_held, counts_held, held, before, number = [], [], [], 0, 0, 0
 
         def close() -> pa.RecordBatch:
             row = {
                 "shard": pa.array([shard], pa.int32()),
                 "segment": pa.array([number], pa.int64()),
                 "shard_start": pa.array([before], pa.int64()),
-                "doc_ids": pa.array([docs_], pa.list_(pa.int64())),
-                "doc_tokens": pa.array([counts], pa.list_(pa.int64())),
-                "payload": pa.array([pack(np.concatenate(parts))], pa.binary()),
+                "doc_ids": pa.array([docs_held], pa.list_(pa.int64())),
+                "doc_tokens": pa.array([np.concatenate(counts_held)], pa.list_(pa.int64())),
+                "payload": pa.array([pack(np.concatenate(ids_held))], pa.binary()),
             }
             return pa.record_batch(row)
 
-        for batch in batches:
-            for doc, n, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "ids"))):
-                width = ids[0]
-                raw = codec.decompress(ids[1:], n * width, asbytes=True) if n else b""
-                docs_.append(doc)
-                counts.append(n)
-                parts.append(np.frombuffer(raw, f"<u{width}"))
-                held += n
-                if held >= SEGMENT_IDS:
-                    yield close()
-                    before, number = before + held, number + 1
-                    docs_, counts, parts, held = [], [], [], 0
-        if docs_:
+        for batch in pieces(batches):
+            ids, counts = _encoder(content).encode(batch.column("text"))
+            if len(tail):
+                ids = np.insert(ids, np.repeat(np.cumsum(counts), len(tail)), np.tile(tail, len(counts)))
+            ids_held.append(ids)
+            docs_held += batch.column("doc_id").to_pylist()
+            counts_held.append(counts + len(tail))
+            held += len(ids)
+            if held >= SEGMENT_IDS:
+                yield close()
+                before, number = before + held, number + 1
+                ids_held, docs_held, counts_held, held = [], [], [], 0
+        if docs_held:
             yield close()
 
     schema = "shard int, segment long, shard_start long, doc_ids array<long>, doc_tokens array<long>, payload binary"
-    ranged.select("doc_id", "n_tokens", "ids").mapInArrow(segments, schema).write.option("compression", "zstd").parquet(path)
+    ranged.select("doc_id", "text").mapInArrow(segments, schema).write.option("compression", "zstd").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
