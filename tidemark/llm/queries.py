@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import build_index, contamination
-from tidemark.llm import fixity, quality, topk
+from tidemark.llm import fixity, quality, topk, toxicity
 from tidemark.llm.licences import licence_digest
 from tidemark.llm.mixing import measure, mix
 from tidemark.llm.tokens import token_digest, write_tokens
@@ -142,3 +142,9 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
