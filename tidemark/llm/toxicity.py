@@ -1,6 +1,7 @@
 """Toxicity of texts: gradient-boosted trees over dense features, calibrated by isotonic regression.
 
-Features are densities of lexicon words (a fixed list, and words that labelled rows show to be typical of toxic texts), how
+Features are densities of lexicon words (a fixed list, and words and word beginnings that labelled rows show to be
+typical of toxic texts), how
 many stand close to the second person, rates of capitals and punctuation, and rates of obfuscated writing. They are worked out
 for whole Arrow batches; trees and calibration are Spark ML's, and so is scoring. The labelled sample is split in three: the
 lexicon is learned on one part, the trees on another, the calibration on the third.
@@ -25,8 +26,11 @@ from tidemark.llm.words import ALNUM, Words, cut, lower_ascii, pieces, text_byte
 
 #: Labelled rows the model is fitted on at most.
 ROWS = 20_000
-#: Words the learned lexicon holds at most (the most typical ones), and the share of toxic texts each must be found in.
-LEXICON_SIZE, LEAST_SHARE = 200, 0.05
+#: Terms the learned lexicon holds at most (the most typical ones), the share of toxic texts each must be found in, and by how
+#: much (natural logarithm) it must be more frequent in them.
+LEXICON_SIZE, LEAST_SHARE, LEAST_ODDS = 200, 0.03, 2.0
+#: Lengths of word beginnings that can be in the learned lexicon, so that inflected words are found.
+BEGINNINGS = (4, 5, 6, 7, 8)
 TREES, DEPTH = 20, 4
 HELD_OUT = (3, 1)
 THRESHOLD = 0.7
@@ -67,14 +71,17 @@ _CAPITALS, _LETTERS = _table("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), np.array([chr(b).isa
 _SHOUTS, _QUESTIONS, _STOPS, _SIGNS = _table("!"), _table("?"), _table(".,;:!?-'\""), _table("#$%&*@^~_+=|")
 _PLAIN = np.array([ord(DISGUISE.get(chr(b), chr(b))) for b in range(256)], np.uint8)
 _DISGUISE = _table("".join(DISGUISE))
-_PLAIN_WORD = ALNUM | _DISGUISE
 
 
-def _members(words: Words, *lexicons: pa.Array) -> list[np.ndarray]:
-    """For each lexicon, whether each word is in it; every different word is looked up once."""
+def _members(words: Words, lexicons: list[list[str]], starred: bool = True) -> list[np.ndarray]:
+    """For each lexicon, whether each word, or a beginning of it with a star, is in it; every different word is looked up once."""
     coded = words.values().dictionary_encode()
-    index = coded.indices.to_numpy()
-    found = [pc.is_in(coded.dictionary, value_set=lexicon).to_numpy(zero_copy_only=False) for lexicon in lexicons]
+    index, names = coded.indices.to_numpy(), coded.dictionary.cast(pa.large_string())
+    sets = [pa.array(x, pa.large_string()) for x in lexicons]
+    found = [np.zeros(len(names), bool) for _ in lexicons]
+    for term, fits in _terms(names) if starred else [(names, np.ones(len(names), bool))]:
+        for i, entries in enumerate(sets):
+            found[i] |= pc.is_in(term, value_set=entries).to_numpy(zero_copy_only=False) & fits
     return [f[index] for f in found]
 
 
@@ -89,12 +96,8 @@ def features(batch: pa.RecordBatch, learned: list[str]) -> np.ndarray:
     size = np.diff(offsets).astype(np.float64)
     low = lower_ascii(data)
     words = cut(low, offsets, ALNUM)
-    insults, typical, person = _members(
-        words,
-        pa.array([w.encode() for w in INSULTS], pa.large_binary()),
-        pa.array([w.encode() for w in learned], pa.large_binary()),
-        pa.array([w.encode() for w in SECOND_PERSON], pa.large_binary()),
-    )
+    (typical,) = _members(words, [learned])
+    insults, person = _members(words, [INSULTS, SECOND_PERSON], starred=False)
     doc, any_ = words.doc, insults | typical
     some = np.maximum(words.counts, 1).astype(np.float64)
 
@@ -113,15 +116,14 @@ def features(batch: pa.RecordBatch, learned: list[str]) -> np.ndarray:
         near[to[keep]] = True
 
     # Written plainly again, words with signs or digits among their letters may turn out to be in the lexicon.
-    plain = cut(_PLAIN[low], offsets, np.isin(np.arange(256), np.flatnonzero(ALNUM)))
+    plain = cut(_PLAIN[low], offsets, ALNUM)
     odd = np.append(0, np.cumsum(_DISGUISE[low]))
     odd = odd[plain.ends] > odd[plain.starts]
     rows = np.flatnonzero(odd)
     disguised = np.zeros(n)
     if len(rows):
         few = Words(plain.data, plain.starts[rows], plain.ends[rows], np.zeros(1, np.int64))
-        lexicon = pa.array([w.encode() for w in [*INSULTS, *learned]], pa.large_binary())
-        disguised = np.bincount(plain.doc[rows][_members(few, lexicon)[0]], minlength=n).astype(np.float64)
+        disguised = np.bincount(plain.doc[rows][_members(few, [INSULTS + learned])[0]], minlength=n).astype(np.float64)
 
     run = np.zeros(len(low), bool)  # a letter three times in a row
     if len(low) > 2:
@@ -165,19 +167,63 @@ def with_features(rows: DataFrame, learned: list[str]) -> DataFrame:
     return rows.mapInArrow(run, schema).withColumn("features", array_to_vector("features"))
 
 
+def _term_counts(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Words and word beginnings of a batch with their places and texts, all and toxic."""
+    data, offsets = text_bytes(batch.column("text"))
+    words = cut(lower_ascii(data), offsets, ALNUM)
+    toxic = batch.column("label").to_numpy() == 1
+    coded = words.values().dictionary_encode()
+    index, doc = coded.indices.to_numpy(), words.doc
+    parts = []
+    for term, fits in _terms(coded.dictionary.cast(pa.large_string())):
+        few = term.dictionary_encode()
+        code, names = few.indices.to_numpy()[index], few.dictionary
+        use = fits[index]
+        key, n = np.unique(code[use] * len(toxic) + doc[use], return_counts=True)
+        of, bad = key // len(toxic), toxic[key % len(toxic)]
+        m = len(names)
+        counts = [np.bincount(of, n, m), np.bincount(of, n * bad, m), np.bincount(of[bad], minlength=m)]
+        seen = counts[0] > 0
+        parts.append([names.filter(pa.array(seen)), *(c[seen].astype(np.int64) for c in counts)])
+    return pa.record_batch(
+        {
+            "term": pa.concat_arrays([p[0] for p in parts]).cast(pa.string()),
+            **{c: pa.array(np.concatenate([p[i] for p in parts])) for i, c in ((1, "n"), (2, "p"), (3, "texts"))},
+        }
+    )
+
+
+def _terms(words: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """For each word itself, then its beginning of each of ``BEGINNINGS`` lengths with a star: the term, and if it is one."""
+    length = pc.utf8_length(words).to_numpy()
+    star, empty = (pa.scalar(x, pa.large_string()) for x in ("*", ""))
+    yield words, length >= min(BEGINNINGS)
+    for size in BEGINNINGS:
+        yield pc.binary_join_element_wise(pc.utf8_slice_codeunits(words, 0, size), star, empty), length > size
+
+
 def learn_lexicon(rows: DataFrame) -> list[str]:
-    """Words of at least 3 letters that are far more frequent in toxic rows (``text``, ``label``), most typical first."""
-    plain = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}]{3,})"), 1)
-    # Each text's different words; at most LEXICON_SIZE words come back.
-    words = rows.select("label", F.explode(F.array_distinct(plain)).alias("word"))
-    totals = rows.agg(F.sum("label"), F.count("*")).first()
-    toxic, clean = totals[0] or 0, totals[1] - (totals[0] or 0)
-    if not toxic or not clean:
+    """Words, and beginnings of words (with a star), far more frequent in toxic rows (``text``, ``label``), most typical first.
+
+    At most ``LEXICON_SIZE`` of them, each found in ``LEAST_SHARE`` of the toxic texts at least. Counted in one scan, with one
+    row per term and Arrow batch to shuffle; none if all labels are alike.
+    """
+    terms = rows.select("text", "label").mapInArrow(
+        lambda batches: map(_term_counts, pieces(batches)), "term string, n long, p long, texts long"
+    )
+    terms = terms.groupBy("term").agg(F.sum("n").alias("n"), F.sum("p").alias("p"), F.sum("texts").alias("texts")).persist()
+    words = terms.filter(~F.col("term").endswith("*")).agg(F.sum("p"), F.sum("n")).first()
+    labels = rows.agg(F.sum("label"), F.count("*")).first()
+    toxic, all_words, bad_words = labels[0] or 0, words[1] or 0, words[0] or 0
+    if not toxic or toxic == labels[1]:
+        terms.unpersist()
         return []
-    counts = words.groupBy("word").agg(F.sum("label").alias("p"), F.count("*").alias("n"))
-    odds = F.log((F.col("p") + 0.5) / (toxic + 1)) - F.log((F.col("n") - F.col("p") + 0.5) / (clean + 1))
-    typical = counts.filter((F.col("p") >= max(3, LEAST_SHARE * toxic)) & (odds > 2))
-    return [r.word for r in typical.orderBy((odds * F.sqrt("p")).desc(), "word").limit(LEXICON_SIZE).select("word").collect()]
+    clean = F.col("n") - F.col("p")
+    odds = F.log((F.col("p") + 0.5) / (bad_words + 1)) - F.log((clean + 0.5) / (all_words - bad_words + 1))
+    typical = terms.filter((F.col("texts") >= max(3, LEAST_SHARE * toxic)) & (odds > LEAST_ODDS))
+    found = typical.orderBy((odds * F.sqrt("texts")).desc(), "term").limit(LEXICON_SIZE).select("term").collect()
+    terms.unpersist()
+    return [r.term for r in found]
 
 
 @dataclass
