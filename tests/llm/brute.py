@@ -41,3 +41,39 @@ def licence_places(docs, base):
         labels = ",".join(sorted({x for _, x in found}))
         out.append((doc, len(w), len(found), min(at, default=None), max(at, default=None), labels))
     return out
+
+
+def near_duplicates(docs, part=85, whole=100, size=3):
+    sets, owners = {}, {}
+    for doc, text in docs:
+        w = NON_SPACE.findall(lower(text))
+        s = frozenset(tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))) if w else frozenset()
+        sets.setdefault(doc, []).append(s)
+        if doc is not None:
+            for x in s:
+                owners.setdefault(x, set()).add(doc)
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for doc in sets:
+        near = set()
+        for s in sets[doc]:
+            for x in s:
+                near |= owners.get(x, set()) if doc is not None else set()
+        for other in near - {doc}:
+            for s in sets[doc]:
+                for t in sets[other]:
+                    common = len(s & t)
+                    if s and whole * common >= part * (len(s) + len(t) - common):
+                        a, b = find(doc), find(other)
+                        root[max(a, b)] = min(a, b)
+    out = []
+    for doc, own in sets.items():
+        for s in own:
+            comp = find(doc) if doc is not None else None
+            out.append((doc, len(s), comp, doc is None or comp == doc))
+    return out

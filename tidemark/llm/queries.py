@@ -9,6 +9,7 @@ from tidemark.llm.decontaminate import build_index, contamination
 from tidemark.llm import fixity, quality, topk, toxicity
 from tidemark.llm.licences import licence_digest
 from tidemark.llm.mixing import measure, mix
+from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.tokens import token_digest, write_tokens
 from tidemark.session import work_path
 
@@ -148,3 +149,8 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
