@@ -77,3 +77,22 @@ def near_duplicates(docs, part=85, whole=100, size=3):
             comp = find(doc) if doc is not None else None
             out.append((doc, len(s), comp, doc is None or comp == doc))
     return out
+
+
+def repeated_substrings(docs, length=200):
+    seen = {}
+    texts = [(doc, (text or "").encode()) for doc, text in docs]
+    for _, t in texts:
+        for k in range(len(t) - length + 1):
+            s = hash(t[k : k + length])
+            seen[s] = seen.get(s, 0) + 1
+    out = []
+    for doc, t in texts:
+        gone = bytearray(len(t))
+        for k in range(len(t) - length + 1):
+            if seen[hash(t[k : k + length])] > 1:
+                gone[k : k + length] = b"\1" * length
+        kept = bytes(b for b, g in zip(t, gone) if not g)
+        runs = len(re.findall(rb"\x01+", bytes(gone)))
+        out.append((doc, len(t), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return out

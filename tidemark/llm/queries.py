@@ -10,6 +10,7 @@ from tidemark.llm import fixity, quality, topk, toxicity
 from tidemark.llm.licences import licence_digest
 from tidemark.llm.mixing import measure, mix
 from tidemark.llm.neardup import near_duplicates
+from tidemark.llm.substrings import remove_repeats
 from tidemark.llm.tokens import token_digest, write_tokens
 from tidemark.session import work_path
 
@@ -154,3 +155,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
