@@ -20,7 +20,9 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.filters import unlisted
 from tidemark.llm.words import ALNUM, Words, cut, lower_ascii, pieces, text_bytes
+from tidemark.session import work_path
 
 WINDOW = 13
 #: Words of benchmark items that one pass over the index searches for; more items take more passes.
@@ -264,3 +266,16 @@ def contamination(spark: SparkSession, path: str, items: DataFrame, window: int
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def remove_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not contaminated; ids may be null or repeated.
+
+    Documents are told apart by a hash of their text. Only rows that may have to go are shuffled.
+    """
+    path = work_path(docs.sparkSession, "decontaminate")
+    build_index(docs.select(F.xxhash64("text").alias("doc_id"), "text"), f"{path}/index")
+    hit = contamination(docs.sparkSession, f"{path}/index", items, window, share).filter("contaminated")
+    hit.select(F.col("doc_id").alias("text_key")).distinct().write.parquet(f"{path}/hit")
+    rows = docs.withColumn("text_key", F.xxhash64("text"))
+    return unlisted(rows, "text_key", docs.sparkSession.read.parquet(f"{path}/hit")).drop("text_key")

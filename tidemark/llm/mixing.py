@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import NON_SPACE, cut, pieces, text_bytes
+from tidemark.session import work_path
 
 WEIGHTS = (3.0, 1.0, 2.0)
 #: Ranges of keys per source.
@@ -137,3 +138,17 @@ def mix(sizes: DataFrame, seed: int = 7, weights: Sequence[float] = WEIGHTS, sha
     return inside.unionByName(at_border).select(
         "doc_id", "source", "size", "tie", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
     )
+
+
+def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
+    """The rows of ``docs``, with all their columns, each as often as the mix takes it."""
+    path = work_path(docs.sparkSession, "mix")
+    measure(docs).write.parquet(f"{path}/sizes")
+    taken = mix(docs.sparkSession.read.parquet(f"{path}/sizes"), seed)
+    # Rows alike in id and text are told apart by a number, so that each has its own count.
+    alike = Window.partitionBy("doc_key", "tie").orderBy(F.lit(1))
+    counts = taken.select(F.coalesce("doc_id", F.lit(-1)).alias("doc_key"), "tie", "copies")
+    counts = counts.withColumn("nth", F.row_number().over(Window.partitionBy("doc_key", "tie").orderBy("copies")))
+    rows = docs.withColumn("doc_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))).withColumn("tie", F.xxhash64("text"))
+    rows = rows.withColumn("nth", F.row_number().over(alike)).join(counts.filter("copies > 0"), ["doc_key", "tie", "nth"])
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)

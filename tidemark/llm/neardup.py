@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.filters import unlisted
 from tidemark.llm.words import NON_SPACE, cut, lower_ascii, mix, pieces, text_bytes
 from tidemark.session import work_path
 
@@ -366,3 +367,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def _repeats(sketches: DataFrame) -> bool:
     """Whether a document is there several times with the same id and text."""
     return bool(sketches.groupBy("doc_id", "f1", "f2").agg(F.count("*").alias("n")).filter("n > 1").take(1))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay: one of each group of near-duplicates.
+
+    Of several rows with the same id the least one stays. Only rows that may have to go are shuffled.
+    """
+    path = work_path(docs.sparkSession, "near-duplicates-kept")
+    near_duplicates(docs).filter("NOT kept").select(F.xxhash64("doc_id").alias("drop_key")).write.parquet(path)
+    gone = docs.sparkSession.read.parquet(path)
+    rows = docs.withColumn("drop_key", F.xxhash64(F.col("doc_id").cast("long")))
+    kept = unlisted(rows, "drop_key", gone).drop("drop_key")
+    ids = docs.select(F.col("doc_id").cast("long").alias("again")).filter("again IS NOT NULL")
+    again = ids.groupBy("again").agg(F.count("*").alias("n")).filter("n > 1").select("again")
+    if not again.take(1):
+        return kept
+    id_ = F.col("doc_id").cast("long")
+    several = kept.join(again, id_ == F.col("again"), "left_semi")
+    least = several.groupBy(id_.alias("k")).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return kept.join(again, id_ == F.col("again"), "left_anti").unionByName(least)

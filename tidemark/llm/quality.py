@@ -259,3 +259,18 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def keep(docs: DataFrame, machine: Machine) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score reaches ``THRESHOLD``. One scan, no shuffle."""
+    chars = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(0).cast("long")
+    width, at = len(docs.columns), docs.columns.index("text")
+    numbered = docs.toDF(*(f"c{i}" for i in range(width)))
+    rows = docs.select(*docs.columns, chars.alias("chars")).toDF(*numbered.columns, "chars")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, f"c{at}"):
+            seen = pa.record_batch({"text": batch.column(at), "n_chars": batch.column(width)})
+            yield batch.filter(pa.array(machine.score(features(seen)) >= THRESHOLD)).select(range(width))
+
+    return rows.mapInArrow(run, numbered.schema).toDF(*docs.columns)

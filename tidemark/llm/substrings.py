@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.anchors import Hasher, anchors
+from tidemark.llm.filters import filtered, key_filter, may_hold
 from tidemark.llm.suffixes import permuted_common_prefixes, suffix_array
 from tidemark.llm.words import pieces, text_bytes
 from tidemark.session import work_path
@@ -38,8 +39,6 @@ GRAM = 100
 REACH = LENGTH - GRAM
 #: Bytes of contexts to a shard, and different contexts of one anchor up to which its contexts go to a shard.
 SHARD_BYTES, MANY = 1 << 20, 1500
-#: Bits of a filter: 8 MB, whatever the data's size. With more keys it lets more through and stays right.
-FILTER_BITS = 1 << 26
 _SPANS = "array<struct<from:int,to:int>>"
 
 
@@ -51,21 +50,6 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return rows.withColumn("t1", F.xxhash64("text")).withColumn("t2", F.xxhash64(F.lit(1), "text"))
 
 
-def _bits(keys: DataFrame, column: str) -> Broadcast:
-    """A filter of ``FILTER_BITS`` bits over a column of 64-bit keys: what is broadcast has this size, however many keys."""
-    bit = F.pmod(F.col(column), F.lit(FILTER_BITS))
-    words = keys.select(F.shiftright(bit, 5).cast("int").alias("word"), F.expr(f"shiftleft(1L, int(pmod({column}, 32)))").alias("bit"))
-    found = words.groupBy("word").agg(F.bit_or("bit").cast("long").alias("bits")).toArrow()
-    table = np.zeros(FILTER_BITS // 32, np.uint32)
-    table[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
-    return keys.sparkSession.sparkContext.broadcast(table)
-
-
-def _passes(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    bit = np.mod(keys, FILTER_BITS)
-    return (table[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
-
-
 def _anchored(batch: pa.RecordBatch):
     data, offsets = text_bytes(batch.column("text"))
     hasher = Hasher(data)
@@ -90,7 +74,7 @@ def _occurrences(rows: DataFrame, known: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             _, offsets, hasher, found = _anchored(batch)
-            keep = _passes(known.value, found.gram.view(np.int64))
+            keep = may_hold(known.value, found.gram.view(np.int64))
             at, doc, h = found.at[keep], found.doc[keep], found.gram[keep].view(np.int64)
             low, high = np.maximum(at - REACH, offsets[doc]), np.minimum(at + LENGTH, offsets[doc + 1])
             c = hasher(low, high) ^ ((at - low).astype(np.uint64) << np.uint64(8))
@@ -112,18 +96,6 @@ def _occurrences(rows: DataFrame, known: Broadcast) -> DataFrame:
     return rows.select("id", "text", "t1", "t2").mapInArrow(run, schema)
 
 
-def _filtered(rows: DataFrame, known: Broadcast, hit: bool = True) -> DataFrame:
-    """Rows whose text may (or, without ``hit``, cannot) be among those of the filter."""
-    names = rows.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            mask = _passes(known.value, batch.column("t1").to_numpy())
-            yield pa.record_batch({c: batch.column(c) for c in names}).filter(pa.array(mask == hit))
-
-    return rows.mapInArrow(run, rows.schema)
-
-
 def _runs(flags: np.ndarray) -> np.ndarray:
     """First and last place of each run of true flags."""
     edges = np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0]))))
@@ -239,7 +211,7 @@ def _contexts(picked: DataFrame, rows: DataFrame) -> DataFrame:
             out = [raw[a:b] for a, b in zip((at - left).tolist(), (at + right).tolist())]
             yield pa.record_batch({c: flat.column(c) for c in ("h", "c", "n", "left")} | {"context": pa.array(out, pa.binary())})
 
-    texts = _filtered(rows.select("id", "text", "t1", "t2"), _bits(picked, "t1"))
+    texts = filtered(rows.select("id", "text", "t1", "t2"), "t1", key_filter(picked, "t1"))
     joined = texts.join(spots, ["id", "t1", "t2"]).select("text", "spots")
     return joined.mapInArrow(run, "h long, c long, n long, left short, context binary")
 
@@ -273,7 +245,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     _anchor_counts(rows).groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h").write.parquet(f"{path}/anchors")
     repeated = read(f"{path}/anchors")
-    found = _occurrences(rows, _bits(repeated, "h")).join(repeated, "h")
+    found = _occurrences(rows, key_filter(repeated, "h")).join(repeated, "h")
     # Copies of a text are one row from here on; how many there are is kept.
     found = found.groupBy("h", "c", "t1", "t2", "at", "left", "right").agg(
         F.count("*").alias("copies"), F.min("id").alias("id")
@@ -309,10 +281,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
     changed.write.parquet(f"{path}/changed")
     changed = read(f"{path}/changed")
-    known = _bits(changed, "t1")
+    known = key_filter(changed, "t1")
     texts = rows.select("doc_id", "text", "t1", "t2")
-    hit = _filtered(texts, known).join(changed, ["t1", "t2"], "left").select("doc_id", "text", "spans", "whole")
-    rest = _filtered(texts, known, hit=False).select(
+    hit = filtered(texts, "t1", known).join(changed, ["t1", "t2"], "left").select("doc_id", "text", "spans", "whole")
+    rest = filtered(texts, "t1", known, hit=False).select(
         "doc_id", "text", F.lit(None).cast(_SPANS).alias("spans"), F.lit(False).alias("whole")
     )
     return _without(hit).unionByName(_without(rest))
