@@ -27,7 +27,7 @@ def key_filter(keys: DataFrame, column: str) -> Broadcast:
 
 
 def may_hold(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    bit = np.mod(keys, BITS)
+    bit = np.mod(keys, 32 * len(table))
     return (table[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
 
 

@@ -159,11 +159,13 @@ def fit(x: Sparse, label: np.ndarray, calibration: np.ndarray, epochs: int = 12,
         np.maximum(dense.std(0), 0.02),
     )
     if not len(label):
+        machine.factor[:] = 0
         return machine
     value = machine.prepared(x)
     rate = np.clip(label.mean(), 0.01, 0.99)
     machine.bias = float(np.log(rate / (1 - rate)))
     if label.min() == label.max():
+        machine.factor[:] = 0
         return machine
     own = np.flatnonzero(~calibration)
     moments = [np.zeros_like(a) for a in (machine.weight, machine.weight, machine.factor, machine.factor)]
