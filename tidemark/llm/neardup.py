@@ -5,10 +5,10 @@ variates drawn for the set's members (see Ertl, "SetSketch: filling the gap betw
 union are the maxima of the parts' registers, and equal registers are likelier the more two sets have in common, so bands of
 registers serve as buckets. With 40 bands of 6 registers a pair at similarity 0.85 shares no bucket with probability 6e-9.
 
-Documents with equal sets are one class first, so that copies cost one row each. Then links are found in two rounds:
-every class against its buckets' pivots; and, where a bucket still holds several components, its other pairs of different
-components: in small buckets as pairs, in large ones inside tasks that hold two chunks of a bucket and report only links they
-have confirmed. Every link is confirmed on the full sets. Nothing is capped.
+Documents with equal sets are one class first, so that copies cost one row each. Then links are found in three rounds: every
+class against the pivot of its largest bucket; where a bucket then holds several components, its members against its pivot if
+their components differ; where it still does, its other pairs of different components: in small buckets as pairs, in large ones
+inside tasks that hold two chunks of a bucket and report only links they have confirmed. Every link is confirmed on the full sets. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -322,34 +322,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if again:
         sets = sets.groupBy("id", "f1", "f2", "n").agg(F.first("members").alias("members"), F.first("regs").alias("regs"))
 
-    # First round: every class and its buckets' pivots. Ids with several texts link their classes.
-    pairs = buckets.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    _confirmed(pairs, sets).write.parquet(f"{path}/links-1")
+    # First round: every class and the pivot of its largest bucket. Ids with several texts link their classes.
+    largest = F.max_by("pivot", F.struct("size", "key")).alias("b")
+    buckets.filter("id <> pivot").groupBy(F.col("id").alias("a")).agg(largest).write.parquet(f"{path}/pairs-1")
+    _confirmed(read(f"{path}/pairs-1"), sets).write.parquet(f"{path}/links-1")
     several = members.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("c")).filter("b < c")
     same_id = members.join(several, "doc_id").select(F.col("id").alias("a"), "b")
-    links = read(f"{path}/links-1").unionByName(same_id)
-    components(spark, links).write.parquet(f"{path}/components-1")
-
-    # Second round: buckets that still hold several components.
-    found = read(f"{path}/components-1").withColumnRenamed("node", "id")
-    with_comps = buckets.filter("size > 2").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    is_mixed = F.min("component") < F.max("component")
-    mixed = with_comps.groupBy("key").agg(is_mixed.alias("mixed"), F.count("*").alias("size")).filter("mixed").drop("mixed")
-    open_rows = with_comps.drop("size").join(mixed, "key").select("key", "id", "pivot", "component", "size")
-    open_rows.write.parquet(f"{path}/open")
+    components(spark, read(f"{path}/links-1").unionByName(same_id)).write.parquet(f"{path}/components-1")
+
+    # Second round: in buckets that hold several components, members of another one than their pivot's.
+    placed = _mixed(buckets, read(f"{path}/components-1"))
+    pairs = placed.filter("component <> pivot_component").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+    pairs = pairs.join(read(f"{path}/pairs-1"), ["a", "b"], "left_anti")
+    _confirmed(pairs, sets).write.parquet(f"{path}/links-2")
+    components(spark, _and_links(read(f"{path}/components-1"), read(f"{path}/links-2"))).write.parquet(f"{path}/components-2")
+
+    # Third round: all other pairs of different components.
+    _mixed(buckets.filter("size > 2"), read(f"{path}/components-2")).write.parquet(f"{path}/open")
     open_rows = read(f"{path}/open")
-    few = open_rows.filter(F.col("size") <= SMALL).filter("id <> pivot")
+    few = open_rows.filter(F.col("members") <= SMALL).filter("id <> pivot")
     left = few.select("key", F.col("id").alias("a"), F.col("component").alias("comp_a"))
     right = few.select("key", F.col("id").alias("b"), F.col("component").alias("comp_b"))
     pairs = left.join(right, "key").filter("a < b AND comp_a <> comp_b").select("a", "b").distinct()
-    many = open_rows.filter(F.col("size") > SMALL)
-    sizes = many.select("key", "size").distinct()
+    many = open_rows.filter(F.col("members") > SMALL)
+    sizes = many.select("key", F.col("members").alias("size")).distinct()
     more = _large_buckets(many.select("key", "id"), sizes, many.select("id", "component").distinct(), sets)
-    _confirmed(pairs, sets).unionByName(more).write.parquet(f"{path}/links-2")
-    first = read(f"{path}/components-1").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    components(spark, first.unionByName(read(f"{path}/links-2"))).write.parquet(f"{path}/components-2")
+    _confirmed(pairs, sets).unionByName(more).write.parquet(f"{path}/links-3")
+    components(spark, _and_links(read(f"{path}/components-2"), read(f"{path}/links-3"))).write.parquet(f"{path}/components-3")
 
-    last = read(f"{path}/components-2").select(F.col("node").alias("id"), "component")
+    last = read(f"{path}/components-3").select(F.col("node").alias("id"), "component")
     own = members.select("doc_id", "id").groupBy("doc_id").agg(F.min("id").alias("id"))
     placed = own.join(last, "id", "left").select(
         F.col("doc_id").alias("of"), F.coalesce("component", "id").alias("component")
@@ -364,6 +365,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _mixed(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of buckets that hold several components, with ``component``, ``pivot_component`` and the bucket's ``members``."""
+    rows = buckets.join(found.withColumnRenamed("node", "id"), "id", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "id"))
+    stats = rows.groupBy("key").agg(
+        F.max(F.when(F.col("id") == F.col("pivot"), F.col("component"))).alias("pivot_component"),
+        F.count("*").alias("members"),
+        (F.min("component") < F.max("component")).alias("mixed"),
+    )
+    return rows.join(stats.filter("mixed").drop("mixed"), "key")
+
+
+def _and_links(found: DataFrame, links: DataFrame) -> DataFrame:
+    return found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
+
+
 def _repeats(sketches: DataFrame) -> bool:
     """Whether a document is there several times with the same id and text."""
     return bool(sketches.groupBy("doc_id", "f1", "f2").agg(F.count("*").alias("n")).filter("n > 1").take(1))
