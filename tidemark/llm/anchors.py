@@ -9,19 +9,29 @@ import numpy as np
 from tidemark.llm.words import mix, powers
 
 _BASE = 0x2545F4914F6CDD1D
-_PLACE_BITS = np.uint64(24)
-_LOW = np.uint64((1 << 24) - 1)
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_LOW = np.uint64((1 << 32) - 1)  # bits of a key that hold the place; the rest are the gram's
+
+
+_powers: dict[int, np.ndarray] = {}
+
+
+def _first_powers(base: int, n: int) -> np.ndarray:
+    """Powers kept from buffer to buffer."""
+    if len(_powers.get(base, ())) < n:
+        _powers[base] = powers(base, n + n // 4)
+    return _powers[base][:n]
 
 
 class Hasher:
     """Hashes of byte ranges of one buffer; equal bytes give equal hashes in every buffer."""
 
-    def __init__(self, data: np.ndarray, base: int = _BASE):
+    def __init__(self, data: np.ndarray):
         n = len(data)
         with np.errstate(over="ignore"):
             self.prefix = np.zeros(n + 1, np.uint64)
-            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(base, n), out=self.prefix[1:])
-            self.back = powers(pow(base, -1, 1 << 64), n + 1)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _first_powers(_BASE, n), out=self.prefix[1:])
+            self.back = _first_powers(_INVERSE, n + 1)
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -46,7 +56,7 @@ def anchors(hasher: Hasher, offsets: np.ndarray, gram: int, window: int) -> Anch
     """The least gram of each ``window`` bytes of each text (of the first of equal ones), once each.
 
     Every string of ``window`` bytes thus holds an anchor, and equal strings hold the same ones at the same places.
-    The buffer must be below 16 MB.
+    The buffer must be below 4 GB.
     """
     spans = window - gram + 1
     n_grams = len(hasher.prefix) - gram

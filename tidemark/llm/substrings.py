@@ -39,6 +39,8 @@ GRAM = 100
 REACH = LENGTH - GRAM
 #: Bytes of contexts to a shard, and different contexts of one anchor up to which its contexts go to a shard.
 SHARD_BYTES, MANY = 1 << 20, 1500
+#: Bytes of text that anchors are sought in at a time: some 100 bytes of memory to each.
+PIECE = 1 << 20
 _SPANS = "array<struct<from:int,to:int>>"
 
 
@@ -60,7 +62,7 @@ def _anchor_counts(rows: DataFrame) -> DataFrame:
     """``h`` and ``n``: anchors of each Arrow batch, and how often they occur in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=PIECE):
             _, _, _, found = _anchored(batch)
             h, n = np.unique(found.gram.view(np.int64), return_counts=True)
             yield pa.record_batch({"h": pa.array(h), "n": pa.array(n.astype(np.int64))})
@@ -72,7 +74,7 @@ def _occurrences(rows: DataFrame, known: Broadcast) -> DataFrame:
     """Every anchor that may be repeated: its place, the bytes before and after it in its context, and the context's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=PIECE):
             _, offsets, hasher, found = _anchored(batch)
             keep = may_hold(known.value, found.gram.view(np.int64))
             at, doc, h = found.at[keep], found.doc[keep], found.gram[keep].view(np.int64)
@@ -102,9 +104,37 @@ def _runs(flags: np.ndarray) -> np.ndarray:
     return edges.reshape(-1, 2)
 
 
+def _hopeful(group: np.ndarray, left: np.ndarray, twice: np.ndarray, contexts: list[np.ndarray]) -> np.ndarray:
+    """Contexts that may hold a repeated string: with one of the same anchor they share half of what a string adds to it.
+
+    A string adds ``REACH`` bytes to its anchor, so at least half of that on one side.
+    """
+    size = np.array([len(x) for x in contexts])
+    hasher = Hasher(np.concatenate(contexts))
+    anchor = np.cumsum(size) - size + left
+    keep = twice.copy()
+    half = REACH // 2
+    for before, after in ((half, 0), (0, half)):
+        have = np.flatnonzero((left >= before) & (size - left >= GRAM + after))
+        value = hasher(anchor[have] - before, anchor[have] + GRAM + after)
+        _, code, count = np.unique(np.stack([group[have].astype(np.uint64), value]), axis=1, return_inverse=True, return_counts=True)
+        keep[have] |= count[code.reshape(-1)] > 1
+    return keep
+
+
 def repeats_in_shard(anchor: np.ndarray, left: np.ndarray, twice: np.ndarray, contexts: list[np.ndarray]) -> list[list[tuple[int, int]]]:
     """For each context the byte ranges, counted from its anchor, that repeated strings over the anchor cover."""
     group = np.unique(anchor, return_inverse=True)[1]
+    out: list[list[tuple[int, int]]] = [[] for _ in contexts]
+    use = np.flatnonzero(_hopeful(group, left, twice, contexts))
+    if len(use):
+        found = _repeats(group[use], left[use], twice[use], [contexts[i] for i in use])
+        for i, spans in zip(use.tolist(), found):
+            out[i] = spans
+    return out
+
+
+def _repeats(group: np.ndarray, left: np.ndarray, twice: np.ndarray, contexts: list[np.ndarray]) -> list[list[tuple[int, int]]]:
     size = np.array([len(x) for x in contexts])
     total = int(size.sum()) + 2 * len(size) + 1
     t = np.ones(total, np.int32)  # 1 parts contexts, 0 ends the string, bytes follow from 2, marks from 258
