@@ -140,7 +140,7 @@ def test_refresh_is_repeatable(spark, folder):
 
 
 def test_history(spark):
-    versions = change_history(bronze(spark, LOG), PRODUCTS, hot={}).collect()
+    versions = change_history(bronze(spark, LOG), PRODUCTS).collect()
     minute = lambda offset: START + timedelta(minutes=offset)
     got = sorted((r["id"], r["valid_from"], r["valid_to"], r["is_current"]) for r in versions if r["id"] != 9)
     assert got == sorted(
@@ -157,8 +157,8 @@ def test_history(spark):
 
 def test_history_of_hot_keys_is_the_same(spark):
     log = [message("c", None, image(n % 3), n * 7, partition=0) for n in range(60)]
-    whole = change_history(bronze(spark, log), PRODUCTS, hot={})
-    sliced = change_history(bronze(spark, log), PRODUCTS, hot={0: 2, 2: 5}, slice_offsets=16)
+    whole = change_history(bronze(spark, log), PRODUCTS)
+    sliced = change_history(bronze(spark, log), PRODUCTS, slice_offsets=16)
     assert sorted(map(tuple, whole.collect()), key=str) == sorted(map(tuple, sliced.collect()), key=str)
 
 

@@ -1,7 +1,6 @@
 import json
 from datetime import datetime
 
-import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import high_water, new_rows, parse_clicks, refine_clickstream
@@ -64,13 +63,12 @@ def test_next_run_adds_only_what_is_new(spark):
     assert ids(refine_clickstream(bronze(spark, FIRST + SECOND), whole)) == []
 
 
-@pytest.mark.parametrize("pushdown", [256, 0])
-def test_progress_is_kept_per_partition(spark, pushdown):
+def test_progress_is_kept_per_partition(spark):
     progress = spark.createDataFrame([(0, 0), (1, 1)], "partition int, last_offset bigint")
-    left = new_rows(bronze(spark, FIRST + SECOND), progress, pushdown)
+    left = new_rows(bronze(spark, FIRST + SECOND), progress)
     assert sorted((r["partition"], r["offset"]) for r in left.collect()) == [(0, 1), (0, 2), (1, 2), (2, 0)]
     nothing = progress.filter(F.lit(False))
-    assert new_rows(bronze(spark, FIRST), nothing, pushdown).count() == 3
+    assert new_rows(bronze(spark, FIRST), nothing).count() == 3
 
 
 def test_progress_reaches_the_scan(spark, folder):
@@ -93,3 +91,14 @@ def test_streaming_form_equals_batch_form(spark, folder):
         refine_clickstream_stream(spark, stream, f"{folder}/silver", f"{folder}/checkpoint").awaitTermination()
     stored = spark.read.parquet(f"{folder}/silver")
     assert ids(stored) == [("a", 0, 0), ("b", 1, 0), ("c", 0, 2), ("d", 2, 0)]
+
+
+def test_events_without_an_id_stay_and_stay_once(spark):
+    raw = bronze(spark, [*FIRST, event(None, 0, 5), event(None, 0, 6), event(None, 1, 5)])
+    silver = refine_clickstream(raw)
+    unnamed = [(None, 0, 5), (None, 0, 6), (None, 1, 5)]
+    assert sorted((r["_bronze_partition"], r["_bronze_offset"]) for r in silver.filter("event_id IS NULL").collect()) == [
+        x[1:] for x in unnamed
+    ]
+    for _ in range(2):
+        assert refine_clickstream(raw, silver).count() == 0

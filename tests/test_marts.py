@@ -24,10 +24,6 @@ def tables(spark):
     )
 
 
-def rows(df):
-    return sorted(map(tuple, df.collect()), key=str)
-
-
 def test_fact_orders(tables):
     fact = fact_orders(*tables)
     got = {r["order_item_id"]: r for r in fact.filter("order_id <> 3").collect()}
@@ -39,10 +35,6 @@ def test_fact_orders(tables):
     assert fact.filter("order_item_id = 31").count() == 9
 
 
-def test_fact_orders_with_hot_orders_is_the_same(tables):
-    assert rows(fact_orders(*tables, rows_per_slice=3)) == rows(fact_orders(*tables))
-
-
 def test_dim_date(spark):
     days = dim_date(spark).orderBy("date_key").collect()
     assert len(days) == 1096

@@ -53,9 +53,8 @@ def funnel_by_hand(click_rows, fact_rows):
     return [len(reached[s]) for s in q.STAGES]
 
 
-@pytest.mark.parametrize("rows_per_slice", [2_000_000, 5])
-def test_ordered_funnel(clicks, facts, rows_per_slice):
-    result = q.funnel_ordered(clicks[0], facts[0], rows_per_slice).orderBy("stage_no").collect()
+def test_ordered_funnel(clicks, facts):
+    result = q.funnel_ordered(clicks[0], facts[0]).orderBy("stage_no").collect()
     assert [r["users"] for r in result] == funnel_by_hand(clicks[1], facts[1])
     assert result[0]["of_first"] == 1.0
 
@@ -116,3 +115,49 @@ def test_time_to_convert(clicks):
     result = q.time_to_convert(clicks[0]).first()
     assert result["users"] == len(spans)
     assert result["avg_seconds"] == pytest.approx(sum(spans) / len(spans), abs=0.001)
+
+
+FACT = "order_item_id bigint, order_id bigint, user_id bigint, product_id bigint, quantity int, line_total decimal(18,2), payment_status string, order_date timestamp"
+
+
+@pytest.fixture(scope="module")
+def retried(spark):
+    """Line 1 was paid at the second try, line 2 twice, line 3's product is gone, line 4 failed."""
+    rows = [
+        (1, 1, 1, 10, 2, 9, "failed"),
+        (1, 1, 1, 10, 2, 9, "success"),
+        (2, 2, 1, 11, 1, 4, "success"),
+        (2, 2, 1, 11, 1, 4, "success"),
+        (3, 3, 1, 99, 5, 13, "success"),
+        (4, 4, 1, 10, 1, 5, "failed"),
+    ]
+    from decimal import Decimal
+
+    facts = spark.createDataFrame([(*r[:5], Decimal(r[5]), r[6], START) for r in rows], FACT)
+    named = [(10, "ten", "a"), (11, "eleven", "a")]
+    return facts, spark.createDataFrame(named, "product_id bigint, name string, category string")
+
+
+def test_revenue_counts_a_line_once_and_keeps_lost_products(retried):
+    found = {r.category: float(r.revenue) for r in q.revenue(*retried, "month").collect()}
+    assert found == {"a": 13.0, None: 13.0}
+
+
+def test_best_sellers_count_a_line_once_and_keep_lost_products(retried):
+    best = q.top_products(*retried, k=2).collect()
+    assert sorted((r.product_id, r.quantity, r.name) for r in best) == [(10, 3, "ten"), (99, 5, None)]
+    trend = q.product_trend(retried[0], k=2).collect()
+    assert sorted((r.product_id, r.quantity, r.change) for r in trend) == [(10, 3, None), (99, 5, None)]
+
+
+def test_reconciliations_report_nulls(spark):
+    from decimal import Decimal
+
+    orders = spark.createDataFrame(
+        [(1, "paid", Decimal(5)), (2, None, Decimal(0)), (3, "pending", None)],
+        "id bigint, status string, total_amount decimal(14,2)",
+    )
+    items = spark.createDataFrame([(1, 5, Decimal(1))], "order_id bigint, quantity int, price decimal(12,2)")
+    assert [r.order_id for r in q.order_total_gaps(orders, items).collect()] == [3]
+    payments = spark.createDataFrame([(3,)], "order_id bigint")
+    assert sorted(r.order_id for r in q.payment_presence_gaps(orders, payments).collect()) == [1, 2, 3]

@@ -69,12 +69,16 @@ def test_cdc_stream_replay(spark, folder):
     run(f"{folder}/cp")
     state = sorted(map(tuple, target.read().collect()))
     version = target.version()
-    assert target.pointer().token == f"{folder}/cp#0"
+    first = target.pointer().token
+    assert first.endswith("#0")
     run(f"{folder}/cp")
     assert target.version() == version
     # A new checkpoint reads everything again; older and equal changes are recognised.
     run(f"{folder}/cp2")
     assert sorted(map(tuple, target.read().collect())) == state
+    # It begins with batch 0 as well, which must not be taken for the first one's.
+    assert target.version() == version + 1
+    assert target.pointer().token.endswith("#0") and target.pointer().token != first
 
 
 def test_stage_counts_wait_for_the_watermark(spark, folder):
@@ -118,3 +122,15 @@ def test_whole_run_twice(spark, folder):
     for name, count in counts.items():
         assert spark.read.parquet(f"{folder}/gold/{name}").count() == count
     assert ORDERS.topic in TOPICS
+
+
+def test_another_bucket_count_is_refused(spark, folder):
+    from pyspark.sql import types as T
+
+    from tidemark.sources.snapshots import SnapshotTable
+
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    SnapshotTable(spark, folder, schema, buckets=4).commit(spark.range(20))
+    assert SnapshotTable(spark, folder, schema, buckets=4).read().count() == 20
+    with pytest.raises(ValueError, match="4 buckets"):
+        SnapshotTable(spark, folder, schema, buckets=8).read()

@@ -10,7 +10,6 @@ from tidemark.operators.changes import (
 )
 from tidemark.operators.checks import Check, accepted_values, not_null, relationships, run_suite, unique
 from tidemark.operators.clicks import high_water, new_rows, parse_clicks, refine_clickstream
-from tidemark.operators.skew import hot_keys, salted_join
 
 __all__ = [
     "Check",
@@ -18,7 +17,6 @@ __all__ = [
     "change_history",
     "decode_columns",
     "high_water",
-    "hot_keys",
     "latest_changes",
     "latest_per_key",
     "merge_changes",
@@ -30,7 +28,6 @@ __all__ = [
     "refine_clickstream",
     "relationships",
     "run_suite",
-    "salted_join",
     "split_changes",
     "unique",
 ]

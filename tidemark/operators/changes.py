@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.decode import decode_field
-from tidemark.operators.skew import hot_keys
 from tidemark.schemas import LINEAGE, Field, TableSpec
 
 KEY = "row_key"
 ORDER = ("offset", "partition")
-# Offsets covered by one slice of a hot key's history, hence the most rows of one key that meet in one task.
+# Offsets covered by one slice of a key's history, hence the most rows of one key and topic partition that meet in one task.
 HISTORY_SLICE = 2_000_000
 
 
@@ -148,47 +147,24 @@ def merge_metrics(
     )
 
 
-def _row_keys(bronze: DataFrame, spec: TableSpec) -> DataFrame:
-    """The row key of each message, from the short message key if the topic has one, else from the message itself."""
-    if bronze.filter(F.col("key").isNotNull()).isEmpty():
-        return parse_envelope(bronze, spec, before=()).select(KEY)
-    key = F.coalesce(
-        F.get_json_object("key", f"$.payload.{spec.key}"), F.get_json_object("key", f"$.{spec.key}"), F.col("key")
-    )
-    return bronze.select(key.try_cast("bigint").alias(KEY))
-
-
-def change_history(
-    bronze: DataFrame, spec: TableSpec, hot: Mapping[object, int] | None = None, slice_offsets: int = HISTORY_SLICE
-) -> DataFrame:
+def change_history(bronze: DataFrame, spec: TableSpec, slice_offsets: int = HISTORY_SLICE) -> DataFrame:
     """Every version of every row: typed columns, lineage, ``valid_from``, ``valid_to``, ``is_current``.
 
-    A version ends when the next change of its key arrives, be it an update or a delete.  Keys with more changes than
-    fit one task (``hot``; found by a sketch when not given) are cut into slices of ``slice_offsets`` offsets: versions
+    A version ends when the next change of its key arrives, be it an update or a delete.  Every key's changes are cut into
+    slices of ``slice_offsets`` offsets, so that no task gets more rows of a key than that for each topic partition: versions
     are chained within a slice, and the last one of a slice takes its end from the first change of the key's next slice.
     """
     changes = parse_envelope(bronze, spec, before=()).drop("before")
-    if hot is None:
-        hot = hot_keys(_row_keys(bronze, spec), KEY)
-    in_order = [F.col(c) for c in ORDER]
-    if not hot:
-        chained = changes.withColumn("valid_to", F.lead("timestamp").over(Window.partitionBy(KEY).orderBy(*in_order)))
-    else:
-        is_hot = F.col(KEY).isin(list(hot))
-        piece = F.when(is_hot, F.floor(F.col("offset") / slice_offsets)).otherwise(F.lit(0))
-        sliced = changes.withColumn("_slice", piece)
-        heads = sliced.filter(is_hot).groupBy(KEY, "_slice").agg(
-            F.min_by("timestamp", F.struct(*in_order)).alias("_head")
-        )
-        following = heads.select(
-            KEY, "_slice", F.lead("_head").over(Window.partitionBy(KEY).orderBy("_slice")).alias("_next")
-        )
-        within = Window.partitionBy(KEY, "_slice").orderBy(*in_order)
-        chained = (
-            sliced.withColumn("_lead", F.lead("timestamp").over(within))
-            .join(following, [KEY, "_slice"], "left")
-            .withColumn("valid_to", F.coalesce("_lead", "_next"))
-        )
+    within = Window.partitionBy(KEY, "_slice").orderBy(*[F.col(c) for c in ORDER])
+    sliced = (
+        changes.withColumn("_slice", F.floor(F.col("offset") / slice_offsets))
+        .withColumn("_lead", F.lead("timestamp").over(within))
+        .withColumn("_nth", F.row_number().over(within))
+    )
+    # The first changes of slices come from the same shuffle; a key has as many of them as slices.
+    heads = sliced.filter("_nth = 1").select(KEY, "_slice", F.col("timestamp").alias("_head"))
+    following = heads.select(KEY, "_slice", F.lead("_head").over(Window.partitionBy(KEY).orderBy("_slice")).alias("_next"))
+    chained = sliced.join(following, [KEY, "_slice"], "left").withColumn("valid_to", F.coalesce("_lead", "_next"))
     versions = chained.filter(F.col("after").isNotNull() & (F.col("op") != "d"))
     return decode_columns(
         versions,

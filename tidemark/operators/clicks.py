@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.changes import decode_columns
 from tidemark.schemas import CLICK_FIELDS, LINEAGE
 
-# Up to this many topic partitions progress becomes a filter the Parquet scan can use; beyond, a join.
-PUSHDOWN_PARTITIONS = 256
-
 
 def high_water(silver: DataFrame) -> DataFrame:
     """Last processed offset of each topic partition; a partition never seen has no row (read it as -1)."""
@@ -21,26 +16,23 @@ def high_water(silver: DataFrame) -> DataFrame:
     return silver.groupBy(F.col(partition).alias("partition")).agg(F.max(offset).alias("last_offset"))
 
 
-def new_rows(bronze: DataFrame, progress: DataFrame, pushdown_partitions: int = PUSHDOWN_PARTITIONS) -> DataFrame:
-    """Bronze rows beyond the high-water mark of their partition.
+def _any(tests: list[Column]) -> Column:
+    """Either of the tests, as a tree that is no deeper than it must be."""
+    half = len(tests) // 2
+    return _any(tests[:half]) | _any(tests[half:]) if half else tests[0]
+
+
+def new_rows(bronze: DataFrame, progress: DataFrame) -> DataFrame:
+    """Bronze rows beyond the high-water mark of their partition; a partition without a mark is new altogether.
 
-    ``progress`` has one row per topic partition.  For the usual few it is read here and becomes a predicate that
-    skips row groups; for more it is joined.
+    ``progress`` has one row per topic partition.  It is read here and becomes a predicate that skips row groups.
     """
-    marks = progress.limit(pushdown_partitions + 1).collect()
+    marks = [m for m in progress.collect() if m["partition"] is not None]
     if not marks:
         return bronze
-    if len(marks) <= pushdown_partitions:
-        known = F.col("partition").isin([m["partition"] for m in marks])
-        beyond = reduce(
-            lambda a, b: a | b,
-            [(F.col("partition") == m["partition"]) & (F.col("offset") > m["last_offset"]) for m in marks],
-        )
-        return bronze.filter(beyond | ~known)
-    joined = bronze.join(progress, "partition", "left").filter(
-        F.col("offset") > F.coalesce(F.col("last_offset"), F.lit(-1))
-    )
-    return joined.select(*bronze.columns)
+    unseen = F.col("partition").isNull() | ~F.col("partition").isin([m["partition"] for m in marks])
+    beyond = _any([(F.col("partition") == m["partition"]) & (F.col("offset") > m["last_offset"]) for m in marks])
+    return bronze.filter(beyond | unseen)
 
 
 def parse_clicks(bronze: DataFrame) -> DataFrame:
@@ -55,9 +47,13 @@ def parse_clicks(bronze: DataFrame) -> DataFrame:
 
 
 def first_per_event(clicks: DataFrame) -> DataFrame:
-    """One row per ``event_id``: the first delivered.  Applied before the shuffle too, so many copies cost little."""
+    """One row per ``event_id``: the first delivered.  Applied before the shuffle too, so many copies cost little.
+
+    Events without an id are told apart by their position, so each of them stays.
+    """
     partition, offset = LINEAGE
-    earliest = Window.partitionBy("event_id").orderBy(offset, partition)
+    unnamed = F.when(F.col("event_id").isNull(), F.struct(partition, offset))
+    earliest = Window.partitionBy("event_id", unnamed).orderBy(offset, partition)
     return clicks.withColumn("_rank", F.row_number().over(earliest)).filter(F.col("_rank") == 1).drop("_rank")
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import date_key, day_of_week
-from tidemark.operators.skew import ROWS_PER_SLICE, hot_keys, salted_join
 from tidemark.plans.staging import STAGING
 from tidemark.session import side_by_side
 
@@ -47,40 +46,18 @@ def dim_date(spark: SparkSession, first: date = FIRST_DAY, last: date = LAST_DAY
     )
 
 
-def fact_orders(
-    order_items: DataFrame,
-    orders: DataFrame,
-    payments: DataFrame,
-    *,
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
+def fact_orders(order_items: DataFrame, orders: DataFrame, payments: DataFrame) -> DataFrame:
     """One row per product of an order, with the order's payment if there is one.
 
     An order with several payments yields its lines once per payment.  Orders meet payments first: both are about one
-    row per order, and the lines, the largest input, are shuffled once.  Orders that hold more than ``rows_per_slice``
-    lines or payments are spread over several tasks.
+    row per order, and the lines, the largest input, are shuffled once.  The left join is written as an inner join and the
+    orders without a payment: Spark can then split an order with very many lines or payments on either side of each join.
     """
-    hot_orders = hot_keys(order_items, "order_id", rows_per_slice)
-    hot_payments = hot_keys(payments, "order_id", rows_per_slice)
-    paid = payments.select("order_id", "payment_id", "payment_method", F.col("status").alias("payment_status"), "paid_at")
-    headers = salted_join(
-        orders.select("order_id", "user_id", "order_date", F.col("status").alias("order_status")),
-        paid,
-        "order_id",
-        "left",
-        right_hot=hot_payments,
-        right_spread=["payment_id"],
-    )
-    lines = salted_join(
-        order_items,
-        headers,
-        "order_id",
-        "inner",
-        left_hot=hot_orders,
-        right_hot=hot_payments,
-        left_spread=["order_item_id"],
-        right_spread=["payment_id"],
-    )
+    paid = payments.select("order_id", "payment_method", F.col("status").alias("payment_status"), "paid_at")
+    heads = orders.select("order_id", "user_id", "order_date", F.col("status").alias("order_status"))
+    unpaid = heads.join(paid.select("order_id"), "order_id", "left_anti")
+    headers = heads.join(paid, "order_id").unionByName(unpaid, allowMissingColumns=True)
+    lines = order_items.join(headers, "order_id")
     return lines.select(
         "order_item_id",
         "order_id",

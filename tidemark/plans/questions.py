@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.decode import decode_field
 from tidemark.operators.changes import parse_envelope
-from tidemark.operators.skew import ROWS_PER_SLICE, hot_keys, salted_join
 from tidemark.schemas import ORDERS
 
 # The stages of the conversion funnel in order; the last comes from payments.
@@ -31,38 +30,62 @@ def _paid(fact_orders: DataFrame) -> DataFrame:
     return fact_orders.filter(F.col("payment_status") == "success")
 
 
+def _lines(fact_orders: DataFrame, *columns: str | Column) -> DataFrame:
+    """Each order line once, however many payments its order has."""
+    return fact_orders.select("order_item_id", *columns).distinct()
+
+
 def revenue(fact_orders: DataFrame, dim_products: DataFrame, grain: str) -> DataFrame:
-    """Paid revenue per ``grain`` (day, week, month) and product category."""
+    """Paid revenue per ``grain`` (day, week, month) and product category.
+
+    A line counts once, even if its order was paid several times. Products that are no longer in the dimension come under a
+    NULL category.
+    """
+    period = F.to_date(F.date_trunc(grain, "order_date")).alias("period")
     by_product = (
-        _paid(fact_orders)
-        .groupBy(F.to_date(F.date_trunc(grain, "order_date")).alias("period"), "product_id")
+        _lines(_paid(fact_orders), period, "product_id", "line_total")
+        .groupBy("period", "product_id")
         .agg(F.sum("line_total").alias("amount"))
     )
     return (
-        by_product.join(dim_products.select("product_id", "category"), "product_id")
+        by_product.join(dim_products.select("product_id", "category"), "product_id", "left")
         .groupBy("period", "category")
         .agg(F.sum("amount").cast("decimal(24,2)").alias("revenue"))
     )
 
 
-def top_products(fact_orders: DataFrame, dim_products: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` best sellers by quantity; ties go to the lower product id."""
-    sold = fact_orders.groupBy("product_id").agg(F.sum("quantity").cast("bigint").alias("quantity"))
-    best = sold.orderBy(F.desc("quantity"), "product_id").limit(k)
-    # At most k rows, so broadcasting them is safe at any scale.
-    return dim_products.select("product_id", "name", "category").join(F.broadcast(best), "product_id")
-
-
-def product_trend(fact_orders: DataFrame, dim_products: DataFrame, k: int = 10) -> DataFrame:
-    """Monthly quantity of the ``k`` best sellers, and its change from their previous month with sales."""
-    best = top_products(fact_orders, dim_products, k).select("product_id")
-    monthly = (
-        fact_orders.join(F.broadcast(best), "product_id", "left_semi")
-        .groupBy("product_id", F.to_date(F.date_trunc("month", "order_date")).alias("month"))
+def _monthly(fact_orders: DataFrame) -> DataFrame:
+    month = F.to_date(F.date_trunc("month", "order_date")).alias("month")
+    return (
+        _lines(fact_orders, "product_id", month, "quantity")
+        .groupBy("product_id", "month")
         .agg(F.sum("quantity").cast("bigint").alias("quantity"))
     )
+
+
+def _best(monthly: DataFrame, k: int) -> DataFrame:
+    sold = monthly.groupBy("product_id").agg(F.sum("quantity").alias("quantity"))
+    return sold.orderBy(F.desc("quantity"), "product_id").limit(k)
+
+
+def top_products(fact_orders: DataFrame, dim_products: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` best sellers by quantity, each line counted once; ties go to the lower product id.
+
+    Products that are no longer in the dimension keep their place, without name and category.
+    """
+    named = dim_products.select("product_id", "name", "category")
+    return _best(_monthly(fact_orders), k).join(named, "product_id", "left").select("product_id", "name", "category", "quantity")
+
+
+def product_trend(fact_orders: DataFrame, k: int = 10) -> DataFrame:
+    """Monthly quantity of the ``k`` best sellers, and its change from their previous month with sales.
+
+    Totals, best sellers and trend all come from one aggregate by product and month.
+    """
+    monthly = _monthly(fact_orders)
+    of_best = monthly.join(_best(monthly, k).select("product_id"), "product_id", "left_semi")
     before = F.lag("quantity").over(Window.partitionBy("product_id").orderBy("month"))
-    return monthly.withColumn("change", F.col("quantity") - before)
+    return of_best.withColumn("change", F.col("quantity") - before)
 
 
 def _stage_rows(counts: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -96,36 +119,28 @@ def funnel_users(fact_clickstream: DataFrame, fact_orders: DataFrame) -> DataFra
     return _stage_rows(flags.agg(*[F.coalesce(F.sum(s), F.lit(0)).cast("bigint").alias(s) for s in STAGES]), STAGES)
 
 
-def funnel_times(
-    fact_clickstream: DataFrame, fact_orders: DataFrame, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
+def funnel_times(fact_clickstream: DataFrame, fact_orders: DataFrame) -> DataFrame:
     """Per user, when each stage was first reached after the stage before it (NULL: never).
 
-    Each step joins the users, one row each, to the events of the next stage only.  Users with more than
-    ``rows_per_slice`` such events are spread over several tasks.
+    Each step meets the users, one row each, with the events of the next stage only, in an inner join: Spark splits a busy
+    user's partition on either side. What it finds is one row per user again.
     """
-    clicks = fact_clickstream.select("user_id", "event_type", F.col("event_timestamp").alias("at"), "event_id")
+    clicks = fact_clickstream.select("user_id", "event_type", F.col("event_timestamp").alias("at"))
     reached = (
         clicks.filter(F.col("event_type") == CLICK_STAGES[0]).groupBy("user_id").agg(F.min("at").alias(CLICK_STAGES[0]))
     )
-    paid = _paid(fact_orders).select("user_id", F.col("paid_at").alias("at"), F.col("order_item_id").alias("event_id"))
+    paid = _paid(fact_orders).select("user_id", F.col("paid_at").alias("at"))
     for number, stage in enumerate(STAGES[1:], start=1):
         events = paid if stage == "payment" else clicks.filter(F.col("event_type") == stage).drop("event_type")
-        done = STAGES[:number]
-        hot = hot_keys(events, "user_id", rows_per_slice)
-        met = salted_join(reached, events, "user_id", "left", right_hot=hot, right_spread=["event_id"])
-        reached = met.groupBy("user_id").agg(
-            *[F.min(s).alias(s) for s in done],
-            F.min(F.when(F.col("at") >= F.col(done[-1]), F.col("at"))).alias(stage),
-        )
+        since = reached.select("user_id", F.col(STAGES[number - 1]).alias("since"))
+        first = since.join(events, "user_id").filter("at >= since").groupBy("user_id").agg(F.min("at").alias(stage))
+        reached = reached.join(first, "user_id", "left")
     return reached
 
 
-def funnel_ordered(
-    fact_clickstream: DataFrame, fact_orders: DataFrame, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
+def funnel_ordered(fact_clickstream: DataFrame, fact_orders: DataFrame) -> DataFrame:
     """Users that reached each stage after having reached the one before it."""
-    times = funnel_times(fact_clickstream, fact_orders, rows_per_slice)
+    times = funnel_times(fact_clickstream, fact_orders)
     return _stage_rows(times.agg(*[F.count(s).alias(s) for s in STAGES]), STAGES)
 
 
@@ -176,7 +191,10 @@ def sessions(fact_clickstream: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS
 
 
 def delivery_time(orders_bronze: DataFrame, users: DataFrame) -> DataFrame:
-    """Average hours from order to first 'delivered' change, by the user's city; needs the change log."""
+    """Average hours from order to first 'delivered' change, by the user's city; needs the change log.
+
+    Orders of users that are no longer there come under a NULL city.
+    """
     fields = {f.name: f for f in ORDERS.fields}
     image = parse_envelope(orders_bronze, ORDERS, before=()).filter(F.col("after.status") == "delivered")
     delivered = image.select(
@@ -194,7 +212,7 @@ def delivery_time(orders_bronze: DataFrame, users: DataFrame) -> DataFrame:
         F.count("micros").alias("orders"), F.sum(F.col("micros").cast("decimal(38,0)")).alias("micros")
     )
     by_city = (
-        per_user.join(users.select(F.col("id").alias("user_id"), "city"), "user_id")
+        per_user.join(users.select(F.col("id").alias("user_id"), "city"), "user_id", "left")
         .groupBy("city")
         .agg(F.sum("orders").alias("orders"), F.sum("micros").alias("micros"))
     )
@@ -232,22 +250,22 @@ def payment_methods(stg_payments: DataFrame) -> DataFrame:
 
 
 def order_total_gaps(orders: DataFrame, order_items: DataFrame) -> DataFrame:
-    """Orders whose total differs from the sum of their lines: ``order_id, total_amount, lines_total``."""
+    """Orders whose total differs from the sum of their lines, or is NULL: ``order_id, total_amount, lines_total``."""
     lines = order_items.groupBy("order_id").agg(
         F.sum((F.col("quantity") * F.col("price")).cast("decimal(18,2)")).alias("lines_total")
     )
     both = orders.select(F.col("id").alias("order_id"), "total_amount").join(lines, "order_id", "left")
     total = F.coalesce("lines_total", F.lit(0).cast("decimal(18,2)"))
     return both.select("order_id", "total_amount", total.alias("lines_total")).filter(
-        F.col("total_amount") != F.col("lines_total")
+        ~F.col("total_amount").eqNullSafe(F.col("lines_total"))
     )
 
 
 def payment_presence_gaps(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Orders that break "a payment if and only if not pending": ``order_id, status, payments``."""
+    """Orders that break "a payment if and only if not pending": ``order_id, status, payments``. NULL is not pending."""
     paid = payments.groupBy("order_id").agg(F.count(F.lit(1)).alias("payments"))
     both = orders.select(F.col("id").alias("order_id"), "status").join(paid, "order_id", "left")
     count = F.coalesce("payments", F.lit(0))
     return both.select("order_id", "status", count.alias("payments")).filter(
-        (F.col("payments") > 0) == (F.col("status") == "pending")
+        (F.col("payments") > 0) == F.col("status").eqNullSafe(F.lit("pending"))
     )

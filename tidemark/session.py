@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -54,16 +53,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return configure(spark)
 
 
-def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the folder the cluster shares (``spark.checkpoint.dir``).
+_folders: dict[str, str] = {}
+
+
+def use_work_folder(spark: SparkSession, folder: str) -> None:
+    """Name the folder for intermediate tables of a session whose cluster names none (``spark.checkpoint.dir``)."""
+    _folders[spark.sparkContext.applicationId] = folder
+
 
-    A temporary folder of this machine is used only in local mode, and only when that setting is missing.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+def work_folder(spark: SparkSession) -> str | None:
+    """The folder the cluster shares, else the one given to :func:`use_work_folder`."""
+    return spark.conf.get("spark.checkpoint.dir", None) or _folders.get(spark.sparkContext.applicationId)
+
+
+def work_path(spark: SparkSession, label: str) -> str:
+    """A fresh path below :func:`work_folder`."""
+    base = work_folder(spark)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder shared by the whole cluster")
-        base = tempfile.mkdtemp(prefix="tidemark-")
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the whole cluster, or call use_work_folder")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 from tidemark.sources.tables import table_exists
 
 _BUCKET = "_bucket"
-_POINTER_SCHEMA = "bucket int, version long, token string"
-_POINTER_FIELDS = "bucket:int,version:bigint,token:string"
+_POINTER_SCHEMA = "bucket int, version long, token string, buckets int"
+_POINTER_FIELDS = "bucket:int,version:bigint,token:string,buckets:int"
 
 
 @dataclass(frozen=True)
@@ -35,7 +35,7 @@ class Pointer:
 class SnapshotTable:
     """A keyed table whose current version is named by a pointer file.
 
-    ``buckets`` is fixed when the table is created; choose it so that one bucket is a few files, and make
+    ``buckets`` is fixed when the table is created and kept with each commit; another number is refused. Choose it so that one bucket is a few files, and make
     ``spark.sql.shuffle.partitions`` a multiple of it, so that a shuffle by key already lines up with the buckets.
     """
 
@@ -61,6 +61,8 @@ class SnapshotTable:
         version = max(int(re.search(r"/v=(\d+)/", name)[1]) for name in files)
         # One row per bucket at most.
         rows = self.spark.read.schema(_POINTER_SCHEMA).parquet(f"{self._pointers()}/v={version}").collect()
+        if rows[0]["buckets"] != self.buckets:
+            raise ValueError(f"{self.root} has {rows[0]['buckets']} buckets, not {self.buckets}")
         return Pointer(version, rows[0]["token"], {r["bucket"]: r["version"] for r in rows if r["bucket"] >= 0})
 
     def version(self) -> int:
@@ -116,7 +118,7 @@ class SnapshotTable:
         replaced = set(range(self.buckets)) if touched is None else set(touched)
         held = {b: v for b, v in latest.buckets.items() if b not in replaced}
         held.update({b: version for b in written})
-        lines = [{"bucket": b, "version": v, "token": token} for b, v in [(-1, version), *sorted(held.items())]]
+        lines = [{"bucket": b, "version": v, "token": token, "buckets": self.buckets} for b, v in [(-1, version), *sorted(held.items())]]
         rows_of = F.inline(F.from_json(F.lit(json.dumps(lines)), f"array<struct<{_POINTER_FIELDS}>>"))
         self.spark.range(0, 1, 1, 1).select(rows_of).write.mode("overwrite").parquet(f"{self._pointers()}/v={version}")
         return version

@@ -66,11 +66,13 @@ def refresh_table(bronze: DataFrame, spec: TableSpec, target: SnapshotTable) ->
 def apply_cdc_stream(bronze: DataFrame, spec: TableSpec, target: SnapshotTable, checkpoint: str) -> StreamingQuery:
     """Streaming form: apply what is new since the checkpoint, one commit per micro-batch.
 
-    A micro-batch that is run again after its commit is recognised by its token and skipped.
+    A micro-batch that is run again after its commit is recognised by its token and skipped.  The token holds the query's id,
+    which lives in the checkpoint: after a reset numbers begin anew, but under another id.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, spec, target, token=f"{checkpoint}#{batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        apply_batch(batch, spec, target, token=f"{query}#{batch_id}")
 
     return (
         bronze.writeStream.foreachBatch(apply)

@@ -472,7 +472,7 @@ def bq2_top_products(spark, sf_dir):
 
 @query
 def bq2_trend(spark, sf_dir):
-    trend = q.product_trend(_silver_facts(spark, sf_dir), _dim_products(spark, sf_dir))
+    trend = q.product_trend(_silver_facts(spark, sf_dir))
     # A double, since engines differ in how they hand over integers with gaps.
     return trend.withColumn("change", F.col("change").cast("double"))
 

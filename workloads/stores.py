@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.schemas import BRONZE_SCHEMA, CDC_TABLES, CLICK_TOPIC
-from tidemark.session import work_path
+from tidemark.session import use_work_folder, work_folder, work_path
 from tidemark.sources.topics import read_topic
 from tidemark.streaming.landing import to_bronze
 from workloads import domain, logs
 
+def ensure_work_folder(spark: SparkSession) -> None:
+    """In local mode without a shared folder: one temporary folder per application."""
+    if work_folder(spark) is None and spark.sparkContext.master.startswith("local"):
+        use_work_folder(spark, tempfile.mkdtemp(prefix="tidemark-"))
+
+
 _written: dict[tuple[str, ...], str] = {}
 
 
