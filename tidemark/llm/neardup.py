@@ -374,7 +374,7 @@ def _mixed(buckets: DataFrame, found: DataFrame) -> DataFrame:
         F.count("*").alias("members"),
         (F.min("component") < F.max("component")).alias("mixed"),
     )
-    return rows.join(stats.filter("mixed").drop("mixed"), "key")
+    return rows.join(stats.filter("mixed").drop("mixed").hint("merge"), "key")
 
 
 def _and_links(found: DataFrame, links: DataFrame) -> DataFrame:

@@ -142,10 +142,12 @@ def _logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(x: Sparse, label: np.ndarray, calibration: np.ndarray, epochs: int = 12, seed: int = 5) -> Machine:
+def fit(
+    x: Sparse, label: np.ndarray, calibration: np.ndarray, order: np.ndarray, epochs: int = 12, seed: int = 5
+) -> Machine:
     """Adam on the logistic loss over the rows not marked for ``calibration``, then two calibration parameters on those.
 
-    Without rows every score is 1/2; with labels of one kind only the bias is learned.
+    ``order`` is one of the rows that does not hang on how Spark delivered them. Without rows every score is 1/2; with labels of one kind only the bias is learned.
     """
     width = BUCKETS + STATISTICS
     rng = np.random.default_rng(seed)
@@ -167,7 +169,7 @@ def fit(x: Sparse, label: np.ndarray, calibration: np.ndarray, epochs: int = 12,
     if label.min() == label.max():
         machine.factor[:] = 0
         return machine
-    own = np.flatnonzero(~calibration)
+    own = order[~calibration[order]]
     moments = [np.zeros_like(a) for a in (machine.weight, machine.weight, machine.factor, machine.factor)]
     step = 0
     for epoch in range(epochs):
@@ -196,7 +198,7 @@ def fit(x: Sparse, label: np.ndarray, calibration: np.ndarray, epochs: int = 12,
                 moments[i + 1] += 0.01 * (grad * grad - moments[i + 1])
                 mean, square = moments[i] / (1 - 0.9**step), moments[i + 1] / (1 - 0.99**step)
                 target -= (pace * mean / (np.sqrt(square) + 1e-6)).astype(np.float32)
-    held = np.flatnonzero(calibration)
+    held = order[calibration[order]]
     if len(held) >= 50 and label[held].min() < label[held].max():
         z, y = machine.margin(x)[held].astype(np.float64), label[held]
         a, b = 1.0, 0.0
@@ -238,11 +240,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
 
     schema = "doc_id long, label int, part int, columns array<int>, values array<float>"
     found = sample.select("doc_id", "text", "n_chars", "label", "part").mapInArrow(run, schema).toArrow()
-    found = found.sort_by([("doc_id", "ascending")]).combine_chunks()
-    columns = found["columns"].combine_chunks()
-    first = np.append(0, np.cumsum(found["columns"].combine_chunks().value_lengths().to_numpy())).astype(np.int64)
-    x = Sparse(first, columns.flatten().to_numpy(), found["values"].combine_chunks().flatten().to_numpy())
-    return fit(x, found["label"].to_numpy().astype(np.float64), found["part"].to_numpy() < 2)
+    sizes = np.concatenate([np.zeros(1, np.int64), *(c.value_lengths().to_numpy() for c in found["columns"].chunks)])
+    column, value = (
+        np.concatenate([np.zeros(0, kind), *(c.flatten().to_numpy() for c in found[name].chunks)])
+        for name, kind in (("columns", np.int32), ("values", np.float32))
+    )
+    ids, label_of, part = (found[c].to_numpy() for c in ("doc_id", "label", "part"))
+    del found
+    pa.default_memory_pool().release_unused()
+    x = Sparse(np.cumsum(sizes), column, value)
+    return fit(x, label_of.astype(np.float64), part < 2, np.argsort(ids, kind="stable"))
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
