@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.labelled import held_out, training_sample
-from tidemark.llm.words import NON_SPACE, cut, lower_ascii, pieces, text_bytes
+from tidemark.llm.words import NON_SPACE, cut, give_back, lower_ascii, pieces, text_bytes
 
 #: Labelled rows a machine is fitted on at most, a fifth of them for calibration.
 ROWS = 12_000
@@ -247,9 +247,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
     )
     ids, label_of, part = (found[c].to_numpy() for c in ("doc_id", "label", "part"))
     del found
-    pa.default_memory_pool().release_unused()
     x = Sparse(np.cumsum(sizes), column, value)
-    return fit(x, label_of.astype(np.float64), part < 2, np.argsort(ids, kind="stable"))
+    machine = fit(x, label_of.astype(np.float64), part < 2, np.argsort(ids, kind="stable"))
+    del x, column, value
+    give_back()
+    return machine
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:

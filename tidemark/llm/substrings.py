@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.anchors import Hasher, anchors
 from tidemark.llm.filters import filtered, key_filter, may_hold
 from tidemark.llm.suffixes import permuted_common_prefixes, suffix_array
-from tidemark.llm.words import pieces, text_bytes
+from tidemark.llm.words import give_back, pieces, text_bytes
 from tidemark.session import work_path
 
 LENGTH = 200
@@ -66,6 +66,7 @@ def _anchor_counts(rows: DataFrame) -> DataFrame:
             _, _, _, found = _anchored(batch)
             h, n = np.unique(found.gram.view(np.int64), return_counts=True)
             yield pa.record_batch({"h": pa.array(h), "n": pa.array(n.astype(np.int64))})
+        give_back()
 
     return rows.select("text").mapInArrow(run, "h long, n long")
 
@@ -93,6 +94,7 @@ def _occurrences(rows: DataFrame, known: Broadcast) -> DataFrame:
                     "c": pa.array(c.view(np.int64)),
                 }
             )
+        give_back()
 
     schema = "id long, t1 long, t2 long, at int, left short, right short, h long, c long"
     return rows.select("id", "text", "t1", "t2").mapInArrow(run, schema)
@@ -170,6 +172,7 @@ def _in_shards(contexts: DataFrame, shards: int) -> DataFrame:
         spans = repeats_in_shard(
             table["h"].to_numpy(), table["left"].to_numpy().astype(np.int64), table["n"].to_numpy() > 1, raw
         )
+        give_back()
         return pa.table(
             {
                 "h": table["h"],
@@ -240,6 +243,7 @@ def _contexts(picked: DataFrame, rows: DataFrame) -> DataFrame:
             raw = data.tobytes()
             out = [raw[a:b] for a, b in zip((at - left).tolist(), (at + right).tolist())]
             yield pa.record_batch({c: flat.column(c) for c in ("h", "c", "n", "left")} | {"context": pa.array(out, pa.binary())})
+        give_back()
 
     texts = filtered(rows.select("id", "text", "t1", "t2"), "t1", key_filter(picked, "t1"))
     joined = texts.join(spots, ["id", "t1", "t2"]).select("text", "spots")
@@ -314,15 +318,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     known = key_filter(changed, "t1")
     texts = rows.select("doc_id", "text", "t1", "t2")
     hit = filtered(texts, "t1", known).join(changed, ["t1", "t2"], "left").select("doc_id", "text", "spans", "whole")
-    rest = filtered(texts, "t1", known, hit=False).select(
-        "doc_id", "text", F.lit(None).cast(_SPANS).alias("spans"), F.lit(False).alias("whole")
-    )
-    return _without(hit).unionByName(_without(rest))
+    rest = texts.withColumn("spans", F.lit(None).cast(_SPANS)).withColumn("whole", F.lit(False)).drop("t2")
+    return _without(hit).unionByName(_without(rest, known))
+
 
+def _without(rows: DataFrame, others: Broadcast | None = None) -> DataFrame:
+    """The result for each row; with ``others``, only for rows that this filter certainly does not hold."""
 
-def _without(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
+            if others is not None:
+                batch = batch.filter(pa.array(~may_hold(others.value, batch.column("t1").to_numpy())))
             data, offsets = text_bytes(batch.column("text"))
             raw = data.tobytes()
             out = []

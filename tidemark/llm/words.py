@@ -5,6 +5,7 @@ All word patterns used here are about ASCII only, so every byte above 0x7F belon
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -145,3 +146,12 @@ def spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     row = np.repeat(np.arange(len(counts)), counts)
     start = np.cumsum(counts) - counts
     return row, np.arange(len(row)) - np.repeat(start, counts)
+
+
+def give_back() -> None:
+    """Return memory that is free inside this process to the machine, so that idle Python workers hold little."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
