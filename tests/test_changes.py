@@ -238,3 +238,13 @@ def test_failed_commit_leaves_the_table_alone(spark, folder):
     assert prices(target.read()) == state
     apply_batch(bronze(spark, LOG[2:]), PRODUCTS, target)
     assert prices(target.read()) == {1: Decimal("-1.50"), 3: Decimal("3.33")}
+
+
+def test_rejects_are_kept_and_counted(spark):
+    from tidemark.operators import parse_envelope, reject_counts, rejects
+
+    odd = [raw("{bad", 20), raw("", 21), raw('{"schema": {}}', 22), raw('{"payload": {"op": "c", "after": {"id": "x"}}}', 23), raw(None, 24)]
+    rows = bronze(spark, LOG + odd)
+    found = {r.reason: r.messages for r in reject_counts(rows, PRODUCTS).collect()}
+    assert found == {"tombstone": 2, "malformed": 2, "no_payload": 1, "no_key": 1}
+    assert rejects(rows, PRODUCTS).count() + parse_envelope(rows, PRODUCTS).count() == rows.count()

@@ -6,6 +6,8 @@ from tidemark.operators.changes import (
     merge_changes,
     merge_metrics,
     parse_envelope,
+    reject_counts,
+    rejects,
     split_changes,
 )
 from tidemark.operators.checks import Check, accepted_values, not_null, relationships, run_suite, unique
@@ -26,6 +28,8 @@ __all__ = [
     "parse_clicks",
     "parse_envelope",
     "refine_clickstream",
+    "reject_counts",
+    "rejects",
     "relationships",
     "run_suite",
     "split_changes",

@@ -196,3 +196,34 @@ def decode_failures(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     return counts.select(F.explode(F.create_map(*pairs)).alias("column_name", "failures")).select(
         F.lit(spec.name).alias("table_name"), "column_name", "failures"
     )
+
+
+# Why a raw message is not applied, in the order the reasons are looked for.
+REJECTS = ("tombstone", "malformed", "no_payload", "no_key")
+
+
+def reject_reason(spec: TableSpec) -> Column:
+    """Why ``parse_envelope`` leaves a raw message out; NULL for one that it keeps."""
+    key = F.coalesce(
+        F.get_json_object("value", f"$.payload.after.{spec.key}"), F.get_json_object("value", f"$.payload.before.{spec.key}")
+    )
+    return (
+        F.when(F.col("value").isNull(), "tombstone")
+        .when(F.try_parse_json("value").isNull(), "malformed")
+        .when(F.get_json_object("value", "$.payload").isNull(), "no_payload")
+        .when(key.try_cast("bigint").isNull(), "no_key")
+    )
+
+
+def rejects(bronze: DataFrame, spec: TableSpec) -> DataFrame:
+    """The raw messages that are not applied, whole and with their ``reason``, to be kept or looked into."""
+    return bronze.withColumn("reason", reject_reason(spec)).filter("reason IS NOT NULL")
+
+
+def reject_counts(bronze: DataFrame, spec: TableSpec) -> DataFrame:
+    """How many raw messages are not applied, by reason: ``table_name, reason, messages``; reasons not met have 0."""
+    counts = bronze.select(reject_reason(spec).alias("why")).agg(
+        *[F.count_if(F.col("why") == reason).alias(reason) for reason in REJECTS]
+    )
+    lines = F.array(*[F.struct(F.lit(r).alias("reason"), F.col(r).alias("messages")) for r in REJECTS])
+    return counts.select(F.inline(lines)).select(F.lit(spec.name).alias("table_name"), "reason", "messages")

@@ -293,6 +293,18 @@ SELECT id, CAST(total_amount AS DOUBLE) AS amount, CAST(-total_amount AS DOUBLE)
 SELECT 'orders' AS table_name, unnest(['id', 'user_id', 'order_date', 'total_amount']) AS column_name,
        unnest([0, 0, bad, bad]) AS failures
 FROM (SELECT count(*) AS bad FROM positioned WHERE pos % 40 = 0 AND after_status IS NOT NULL)""",
+    "dq_rejects": LOG
+    + """,
+counted AS (
+  SELECT count(*) FILTER (op IS NULL) AS tombstone, count(*) FILTER (op IS NOT NULL AND pos % 40 = 8) AS malformed,
+         count(*) FILTER (op IS NOT NULL AND pos % 40 = 16) AS no_payload,
+         count(*) FILTER (op IS NOT NULL AND pos % 40 = 24) AS no_key
+  FROM positioned
+)
+SELECT t.table_name, r.reason, CASE WHEN t.table_name <> 'orders' THEN 0 ELSE r.messages END AS messages
+FROM (SELECT unnest(['users', 'products', 'orders', 'order_items', 'payments']) AS table_name) t,
+     (SELECT unnest(['tombstone', 'malformed', 'no_payload', 'no_key']) AS reason,
+             unnest([tombstone, malformed, no_payload, no_key]) AS messages FROM counted) r""",
     "cdc_envelope": LOG
     + """
 SELECT id AS row_key, op, before_status, after_status, part AS "partition", pos AS "offset", at_time AS "timestamp"

@@ -195,6 +195,22 @@ def dq_decode_failures(spark, sf_dir):
     return decode_failures(damaged, ORDERS)
 
 
+@query
+def dq_rejects(spark, sf_dir):
+    """Messages of all change topics that are not applied, by reason; some of the orders' are damaged by rule."""
+    found = None
+    for spec in CDC_TABLES.values():
+        bronze = stores.bronze_of(spark, sf_dir, spec.name)
+        if spec is ORDERS:
+            step = F.col("offset") % 40
+            value = F.when(F.col("value").isNull(), None).when(step == 8, "{broken").when(step == 16, '{"schema":{}}')
+            no_id = F.regexp_replace("value", '"id":[0-9]+', '"id":"?"')
+            bronze = bronze.withColumn("value", value.when(step == 24, no_id).otherwise(F.col("value")))
+        counts = op.reject_counts(bronze, spec)
+        found = counts if found is None else found.unionByName(counts)
+    return found
+
+
 # -- change capture ------------------------------------------------------------------------------------------------
 
 
