@@ -137,6 +137,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
+    stores.ensure_work_folder(spark)
     wanted = [a for a in sys.argv[1:] if not a.startswith("-")] or HEADLINE
 
     def prepare() -> None:
