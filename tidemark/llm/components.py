@@ -29,14 +29,11 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         before = state
         both = rows.unionByName(rows.select(F.col("y").alias("x"), F.col("x").alias("y")))
         least = both.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("u"), F.least("x", "m").alias("m"))
-        large = both.filter("y > x").join(least.hint("merge"), F.col("x") == F.col("u")).select(
-            F.col("y").alias("x"), F.col("m").alias("y")
-        )
-        large = large.distinct()
+        large = both.filter("y > x").join(least.hint("merge"), F.col("x") == F.col("u"))
+        large.select(F.col("y").alias("x"), F.col("m").alias("y")).write.parquet(f"{path}/{k}-large")
+        large = spark.read.parquet(f"{path}/{k}-large")
         least = large.groupBy("x").agg(F.min("y").alias("m")).withColumnRenamed("x", "u")
-        joined = large.join(least.hint("merge"), F.col("x") == F.col("u"))
-        stars = joined.select("x", F.col("m").alias("y")).unionByName(
-            joined.filter("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))
-        )
+        star = F.array(F.struct("x", F.col("m").alias("y")), F.struct(F.col("y").alias("x"), F.col("m").alias("y")))
+        stars = large.join(least.hint("merge"), F.col("x") == F.col("u")).select(F.inline(star)).filter("x <> y")
         k += 1
         stars.distinct().write.parquet(f"{path}/{k}")
