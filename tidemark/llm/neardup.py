@@ -3,11 +3,12 @@
 A document's set of word shingles is summarised in registers, each the truncated logarithm of the smallest of exponential
 variates drawn for the set's members (see Ertl, "SetSketch: filling the gap between MinHash and HyperLogLog"). Registers of a
 union are the maxima of the parts' registers, and equal registers are likelier the more two sets have in common, so bands of
-registers serve as buckets. With 40 bands of 6 registers a pair at similarity 0.85 shares no bucket with probability 6e-9.
+registers serve as buckets. With 40 bands of 6 registers a pair at similarity 0.85 shares 15 buckets on average, none with
+probability 6e-9 and fewer than two with 1.5e-7.
 
 Documents with equal sets are one class first, so that copies cost one row each. Then links are found in three rounds: every
 class against the pivot of its largest bucket; where a bucket then holds several components, its members against its pivot if
-their components differ; where it still does, its other pairs of different components: in small buckets as pairs, in large ones
+their components differ; where it still does, its other pairs of different components: in small buckets as pairs that share two of them, in large ones
 inside tasks that hold two chunks of a bucket and report only links they have confirmed. Every link is confirmed on the full sets. Nothing is capped.
 """
 
@@ -32,6 +33,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, LIMIT = 1.01, 20.0, 4096
 #: Estimates this far below the threshold are left out: six standard errors.
 MARGIN = 0.15
+#: Buckets that a pair must share to be looked at without a pivot. At the threshold a pair shares fewer with probability 1.5e-7.
+MEETINGS = 2
 #: Members of a bucket up to which its pairs are compared as rows, and members to a chunk of a larger one.
 SMALL, CHUNK = 64, 2048
 _SEEDS = [np.uint64(x) for x in (0x8CB92BA72F3D8DD7, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -343,7 +346,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     few = open_rows.filter(F.col("members") <= SMALL).filter("id <> pivot")
     left = few.select("key", F.col("id").alias("a"), F.col("component").alias("comp_a"))
     right = few.select("key", F.col("id").alias("b"), F.col("component").alias("comp_b"))
-    pairs = left.join(right, "key").filter("a < b AND comp_a <> comp_b").select("a", "b").distinct()
+    met = left.join(right, "key").filter("a < b AND comp_a <> comp_b").groupBy("a", "b").agg(F.count("*").alias("n"))
+    pairs = met.filter(F.col("n") >= MEETINGS).select("a", "b")
     many = open_rows.filter(F.col("members") > SMALL)
     sizes = many.select("key", F.col("members").alias("size")).distinct()
     more = _large_buckets(many.select("key", "id"), sizes, many.select("id", "component").distinct(), sets)
