@@ -15,11 +15,14 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, held: Column
     """At most ``rows`` rows of ``docs`` that have a label and are not held out, with ``label`` (0 or 1) and ``part`` (0 to 9).
 
     Ids are chosen by the least hashes, so that the sample is the same in every run. An id with several labels gets the one
-    that most have (1 in a tie); null ids and labels are left out. The chosen ids, ``rows`` at most, are what is broadcast.
+    that most have (1 in a tie), of rows with the same id the least one is taken; null ids and labels are left out. The chosen ids,
+    ``rows`` at most, are what is broadcast.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("label"))
     known = known.dropna().filter(~held).groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(rows)
     part = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(10)).cast("int")
     own = docs.withColumn("doc_id", F.col("doc_id").cast("long")).drop("label", "part")
-    return own.join(F.broadcast(chosen), "doc_id").withColumn("part", part).limit(rows)
+    rest = F.struct(*[c for c in own.columns if c != "doc_id"], "label")
+    met = own.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(rest).alias("row"))
+    return met.select("doc_id", "row.*").withColumn("part", part)
