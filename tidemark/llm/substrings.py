@@ -224,8 +224,9 @@ def _by_halving(spark: SparkSession, contexts: DataFrame, path: str) -> DataFram
         split.select(
             "h", "c", "n", "left", "context", F.col("half.low").alias("low"), F.col("half.high").alias("high"), "least", "most"
         ).write.parquet(f"{path}/{k + 1}")
-    spans = F.collect_list(F.struct(F.col("from").cast("int").alias("from"), F.col("to").cast("int").alias("to")))
-    return settled.groupBy("h", "c").agg(spans.alias("spans"))
+    # All strings over an anchor hold its bytes, so what they cover together is one range.
+    span = F.struct(F.min("from").cast("int").alias("from"), F.max("to").cast("int").alias("to"))
+    return settled.groupBy("h", "c").agg(F.array(span).alias("spans"))
 
 
 def _contexts(picked: DataFrame, rows: DataFrame) -> DataFrame:
