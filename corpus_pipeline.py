@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import quality
 from tidemark.llm.decontaminate import remove_contaminated
 from tidemark.llm.mixing import mixed_documents
-from tidemark.llm.neardup import one_of_each
+from tidemark.llm.neardup import one_of_each_text
 from tidemark.llm.queries import table, vocabulary
 from tidemark.llm.tokens import token_digest, write_tokens
 from tidemark.session import work_path
@@ -23,8 +23,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return one_of_each(docs)
+    """One document of each group of near-duplicate texts; ids may be null or repeated."""
+    return one_of_each_text(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -230,6 +230,25 @@ def test_one_of_each(edge_docs, edge_rows):
     assert ids.count(None) == 2
 
 
+def test_stage_keeps_one_row_of_each_text_whatever_the_ids(spark):
+    from corpus_pipeline import deduplicated
+
+    rnd = random.Random(9)
+    x, y, z, alone, other = (" ".join(f"{name}{rnd.randrange(400)}" for _ in range(80)) for name in "xyzao")
+    rows = [
+        *[(1, x), (1, y), (2, x + " end"), (3, y + " end"), (4, alone)],  # x and y share an id and nothing else
+        *[(None, z), (None, z), (None, z + " end"), (None, x), (None, other), (5, other)],
+        *[(6, "same id, other words"), (6, "nothing in common with it"), (7, "twice the same row"), (7, "twice the same row")],
+        *[(None, None), (None, ""), (8, ""), (8, "")],
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted(((r.doc_id, r.text) for r in deduplicated(spark, docs, "").collect()), key=str)
+    of_z = [r for r in found if r[1] in (z, z + " end")]
+    assert len(of_z) == 1
+    stay = [(1, x), (1, y), (4, alone), (5, other), *rows[11:14], *rows[15:], *of_z]
+    assert found == sorted(stay, key=str)
+
+
 @pytest.mark.parametrize("many", [1500, 1])
 def test_repeated_substrings_of_edge_cases(edge_docs, edge_rows, bag, monkeypatch, many):
     monkeypatch.setattr(substrings, "MANY", many)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.filters import unlisted
+from tidemark.llm.filters import filtered, key_filter, unlisted
 from tidemark.llm.words import NON_SPACE, cut, lower_ascii, mix, pieces, text_bytes
 from tidemark.session import work_path
 
@@ -147,7 +147,10 @@ def similar(common: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     return whole * common >= part * (n_a + n_b - common)
 
 
-def _sketches(docs: DataFrame) -> DataFrame:
+def _sketches(rows: DataFrame) -> DataFrame:
+    """``n``, fingerprints and bucket keys of every row's text, beside the row's other columns."""
+    ids = [c for c in rows.columns if c != "text"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             hashes, first = shingle_sets(batch.column("text"))
@@ -157,7 +160,7 @@ def _sketches(docs: DataFrame) -> DataFrame:
             bounds = np.append(0, np.cumsum(np.where(size > 0, BANDS, 0))).astype(np.int32)
             yield pa.record_batch(
                 {
-                    "doc_id": batch.column("doc_id"),
+                    **{c: batch.column(c) for c in ids},
                     "n": pa.array(size, pa.int64()),
                     "f1": pa.array(one),
                     "f2": pa.array(two),
@@ -165,13 +168,11 @@ def _sketches(docs: DataFrame) -> DataFrame:
                 }
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n long, f1 long, f2 long, keys array<long>"
-    )
+    return rows.mapInArrow(run, f"{', '.join(f'{c} long' for c in ids)}, n long, f1 long, f2 long, keys array<long>")
 
 
 def _full_sets(rows: DataFrame) -> DataFrame:
-    """``id``, fingerprints, ``n``, ``members`` and ``regs`` of rows (``doc_id``, ``text``) whose set has the fingerprints asked for."""
+    """``id``, fingerprints, ``n``, ``members`` and ``regs`` of rows (``id``, ``text``) whose set has the fingerprints asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -182,7 +183,7 @@ def _full_sets(rows: DataFrame) -> DataFrame:
             at = np.flatnonzero(keep)
             yield pa.record_batch(
                 {
-                    "id": batch.column("doc_id").take(pa.array(at)),
+                    "id": batch.column("id").take(pa.array(at)),
                     "f1": pa.array(one[at]),
                     "f2": pa.array(two[at]),
                     "n": pa.array(np.diff(first)[at], pa.int64()),
@@ -191,7 +192,7 @@ def _full_sets(rows: DataFrame) -> DataFrame:
                 }
             )
 
-    return rows.select("doc_id", "text", "f1", "f2").mapInArrow(run, "id long, f1 long, f2 long, n long, members binary, regs binary")
+    return rows.select("id", "text", "f1", "f2").mapInArrow(run, "id long, f1 long, f2 long, n long, members binary, regs binary")
 
 
 def _registers_of(column: pa.Array) -> np.ndarray:
@@ -286,52 +287,36 @@ def _large_buckets(buckets: DataFrame, sizes: DataFrame, comps: DataFrame, sets:
     return rows.withColumn("group", group).groupBy("group").applyInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` (the smallest doc_id reachable over links) and ``kept`` of every row.
+def _linked(
+    rows: DataFrame, key: list[str], leaders: DataFrame, keyed: DataFrame, again: bool, path: str, tied: DataFrame | None = None
+) -> DataFrame:
+    """``node`` and ``component`` of classes of equal sets that are linked with others.
 
-    ``docs``: ``doc_id``, ``text``; other columns are not read. Texts without words, null ones too, are linked with nothing. Rows
-    with the same doc_id are one node, with the links of all their texts. Rows without an id take no part: their component is
-    null and they are kept.
+    ``keyed`` has each class (``id``) with its bucket keys once, ``leaders`` where its text is: in the rows with this ``key`` and
+    these fingerprints, more than one of them if ``again``. ``tied`` are links known beforehand.
     """
-    spark = docs.sparkSession
-    path = work_path(spark, "near-duplicates")
+    spark = rows.sparkSession
     read = spark.read.parquet
 
-    _sketches(docs).write.parquet(f"{path}/sketches")
-    sketches = read(f"{path}/sketches")
-    sound = sketches.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = sound.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id"))
-    sound.select("doc_id", "f1", "f2", "n").join(classes, ["f1", "f2", "n"]).select("doc_id", "id", "f1", "f2").distinct().write.parquet(
-        f"{path}/classes"
-    )
-    members = read(f"{path}/classes")
-    leaders = members.filter("doc_id = id").select("id", "f1", "f2")
-
     # Buckets with at least two classes.
-    keyed = sound.select(F.col("doc_id").alias("id"), "f1", "f2", "keys").join(leaders, ["id", "f1", "f2"], "left_semi")
-    again = _repeats(sound)
-    if again:
-        keyed = keyed.groupBy("id", "f1", "f2").agg(F.first("keys").alias("keys"))
     slots = keyed.select("id", F.explode("keys").alias("key"))
     pivot = F.min(F.struct(F.xxhash64("id").alias("order"), "id"))["id"]
     shared = slots.groupBy("key").agg(F.count("*").alias("size"), pivot.alias("pivot")).filter("size > 1")
     slots.join(shared, "key").write.parquet(f"{path}/buckets")
     buckets = read(f"{path}/buckets")
 
-    wanted = buckets.select("id").distinct().join(leaders, "id").withColumnRenamed("id", "doc_id")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
-    _full_sets(texts).write.parquet(f"{path}/sets")
+    wanted = buckets.select("id").distinct().join(leaders, "id")
+    _full_sets(rows.join(wanted, key)).write.parquet(f"{path}/sets")
     sets = read(f"{path}/sets")
     if again:
         sets = sets.groupBy("id", "f1", "f2", "n").agg(F.first("members").alias("members"), F.first("regs").alias("regs"))
 
-    # First round: every class and the pivot of its largest bucket. Ids with several texts link their classes.
+    # First round: every class and the pivot of its largest bucket.
     largest = F.max_by("pivot", F.struct("size", "key")).alias("b")
     buckets.filter("id <> pivot").groupBy(F.col("id").alias("a")).agg(largest).write.parquet(f"{path}/pairs-1")
     _confirmed(read(f"{path}/pairs-1"), sets).write.parquet(f"{path}/links-1")
-    several = members.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("c")).filter("b < c")
-    same_id = members.join(several, "doc_id").select(F.col("id").alias("a"), "b")
-    components(spark, read(f"{path}/links-1").unionByName(same_id)).write.parquet(f"{path}/components-1")
+    links = read(f"{path}/links-1") if tied is None else read(f"{path}/links-1").unionByName(tied)
+    components(spark, links).write.parquet(f"{path}/components-1")
 
     # Second round: in buckets that hold several components, members of another one than their pivot's.
     placed = _mixed(buckets, read(f"{path}/components-1"))
@@ -353,8 +338,41 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = _large_buckets(many.select("key", "id"), sizes, many.select("id", "component").distinct(), sets)
     _confirmed(pairs, sets).unionByName(more).write.parquet(f"{path}/links-3")
     components(spark, _and_links(read(f"{path}/components-2"), read(f"{path}/links-3"))).write.parquet(f"{path}/components-3")
+    return read(f"{path}/components-3")
+
 
-    last = read(f"{path}/components-3").select(F.col("node").alias("id"), "component")
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` (the smallest doc_id reachable over links) and ``kept`` of every row.
+
+    ``docs``: ``doc_id``, ``text``; other columns are not read. Texts without words, null ones too, are linked with nothing. Rows
+    with the same doc_id are one node, with the links of all their texts. Rows without an id take no part: their component is
+    null and they are kept.
+    """
+    spark = docs.sparkSession
+    path = work_path(spark, "near-duplicates")
+    read = spark.read.parquet
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    _sketches(rows).write.parquet(f"{path}/sketches")
+    sketches = read(f"{path}/sketches")
+    sound = sketches.filter("n > 0 AND doc_id IS NOT NULL")
+    classes = sound.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id"))
+    sound.select("doc_id", "f1", "f2", "n").join(classes, ["f1", "f2", "n"]).select("doc_id", "id", "f1", "f2").distinct().write.parquet(
+        f"{path}/classes"
+    )
+    members = read(f"{path}/classes")
+    leaders = members.filter("doc_id = id").select("id", "f1", "f2")
+
+    keyed = sound.select(F.col("doc_id").alias("id"), "f1", "f2", "keys").join(leaders, ["id", "f1", "f2"], "left_semi")
+    again = _repeats(sound)
+    if again:
+        keyed = keyed.groupBy("id", "f1", "f2").agg(F.first("keys").alias("keys"))
+    # Ids with several texts link their classes.
+    several = members.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("c")).filter("b < c")
+    same_id = members.join(several, "doc_id").select(F.col("id").alias("a"), "b")
+
+    last = _linked(rows, ["doc_id"], leaders.withColumn("doc_id", F.col("id")), keyed, again, path, same_id)
+    last = last.select(F.col("node").alias("id"), "component")
     own = members.select("doc_id", "id").groupBy("doc_id").agg(F.min("id").alias("id"))
     placed = own.join(last, "id", "left").select(
         F.col("doc_id").alias("of"), F.coalesce("component", "id").alias("component")
@@ -391,9 +409,10 @@ def _repeats(sketches: DataFrame) -> bool:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that stay: one of each group of near-duplicates.
+    """The rows of ``docs``, with all their columns, that stay: one of each group of near-duplicates by op7's contract.
 
-    Of several rows with the same id the least one stays. Only rows that may have to go are shuffled.
+    That contract takes ids for documents: of several rows with the same id the least one stays, whatever its text, and rows
+    without an id all stay. Where ids may be null or repeated, see ``one_of_each_text``. Only rows that may have to go are shuffled.
     """
     path = work_path(docs.sparkSession, "near-duplicates-kept")
     near_duplicates(docs).filter("NOT kept").select(F.xxhash64("doc_id").alias("drop_key")).write.parquet(path)
@@ -408,3 +427,54 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     several = kept.join(again, id_ == F.col("again"), "left_semi")
     least = several.groupBy(id_.alias("k")).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return kept.join(again, id_ == F.col("again"), "left_anti").unionByName(least)
+
+
+def one_of_each_text(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay: one of each group of near-duplicate texts, whatever the ids are.
+
+    Texts alone are linked: rows with the same id and different texts have nothing to do with each other, and rows without an id
+    take part. Of a group the row with the smallest id stays, one without an id only where none has any. Texts without words all
+    stay. A row is known by two hashes of its id and text, 128 bits together. Only rows that may have to go are shuffled.
+    """
+    spark = docs.sparkSession
+    path = work_path(spark, "near-duplicate-texts")
+    read = spark.read.parquet
+    known_by, id_ = ["row_key", "row_check"], F.col("doc_id").cast("long")
+    keys = [F.xxhash64(id_, "text").alias("row_key"), F.xxhash64(F.lit("check"), id_, "text").alias("row_check")]
+    rows = docs.select(id_.alias("doc_id"), "text", *keys)
+    _sketches(rows).write.parquet(f"{path}/sketches")
+    sound = read(f"{path}/sketches").filter("n > 0")
+
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *known_by)).alias("first")
+    classes = sound.groupBy("f1", "f2", "n").agg(first, F.count("*").alias("size"))
+    # Numbered when stored, so that classes are told apart by all bits of their fingerprints.
+    classes.withColumn("id", F.monotonically_increasing_id()).write.parquet(f"{path}/classes")
+    classes = read(f"{path}/classes")
+    leaders = classes.select("id", *(F.col(f"first.{c}").alias(c) for c in known_by), "f1", "f2")
+    keyed = sound.select(*known_by, "f1", "f2", "n", "keys").join(leaders, [*known_by, "f1", "f2"]).select("id", "n", "keys")
+    repeated = sound.groupBy(*known_by).agg(F.count("*").alias("copies")).filter("copies > 1").select(*known_by)
+    repeated.write.parquet(f"{path}/repeated")
+    repeated = read(f"{path}/repeated")
+    again = bool(repeated.take(1))
+    if again:
+        keyed = keyed.groupBy("id").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
+    linked = _linked(rows.select("text", *known_by), known_by, leaders, keyed, again, path).withColumnRenamed("node", "id")
+
+    placed = classes.join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    stays = placed.groupBy("component").agg(F.min("first").alias("stays"), F.sum("size").alias("rows")).filter("rows > 1")
+    judged = placed.join(stays, "component").select("f1", "f2", "n", *(F.col(f"stays.{c}").alias(f"stays_{c}") for c in known_by))
+    other = (F.col("row_key") != F.col("stays_row_key")) | (F.col("row_check") != F.col("stays_row_check"))
+    gone = sound.select(*known_by, "f1", "f2", "n").join(judged, ["f1", "f2", "n"]).filter(other).select(*known_by).distinct()
+    gone.write.parquet(f"{path}/gone")
+    gone = read(f"{path}/gone")
+
+    known = key_filter(gone, "row_key")
+    marked = docs.withColumns(dict(zip(known_by, keys)))
+    maybe = filtered(marked, "row_key", known).join(gone, known_by, "left_anti").select(*marked.columns)
+    kept = filtered(marked, "row_key", known, hit=False).unionByName(maybe)
+    if not again:
+        return kept.drop(*known_by)
+    # The same id and text several times.
+    several = kept.join(repeated, known_by, "left_semi")
+    least = several.groupBy(*known_by).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return kept.join(repeated, known_by, "left_anti").select(*docs.columns).unionByName(least)
