@@ -248,3 +248,25 @@ def test_rejects_are_kept_and_counted(spark):
     found = {r.reason: r.messages for r in reject_counts(rows, PRODUCTS).collect()}
     assert found == {"tombstone": 2, "malformed": 2, "no_payload": 1, "no_key": 1}
     assert rejects(rows, PRODUCTS).count() + parse_envelope(rows, PRODUCTS).count() == rows.count()
+
+
+def test_a_key_that_moves_to_another_partition_does_not_revert(spark, folder):
+    target = silver_table(spark, folder, PRODUCTS, buckets=4)
+    old, new = message("c", None, image(1, 100), 5), (*message("u", image(1), image(1, 200), 0, partition=1)[:5], START + timedelta(hours=1), START)
+    assert prices(split_changes(latest_changes(bronze(spark, [old, new]), PRODUCTS), PRODUCTS)[0]) == {1: Decimal("2.00")}
+    apply_batch(bronze(spark, [old]), PRODUCTS, target)
+    assert apply_batch(bronze(spark, [new]), PRODUCTS, target, measure=True) == {"inserted": 0, "updated": 1, "deleted": 0}
+    for _ in range(2):
+        assert refresh_table(bronze(spark, [old, new]), PRODUCTS, target) == {"inserted": 0, "updated": 0, "deleted": 0}
+        assert apply_batch(bronze(spark, [old]), PRODUCTS, target, measure=True) == {"inserted": 0, "updated": 0, "deleted": 0}
+        assert prices(target.read()) == {1: Decimal("2.00")}
+
+
+def test_a_replay_does_not_bring_deleted_rows_back(spark, folder):
+    target = silver_table(spark, folder, PRODUCTS, buckets=4)
+    made, gone = message("c", None, image(1), 0), message("d", image(1), None, 1)
+    for part in ([made], [gone], [made]):
+        apply_batch(bronze(spark, part), PRODUCTS, target)
+    assert target.read().count() == 0
+    again = apply_batch(bronze(spark, [message("c", None, image(1, 5), 2)]), PRODUCTS, target, measure=True)
+    assert again == {"inserted": 1, "updated": 0, "deleted": 0} and prices(target.read()) == {1: Decimal("0.05")}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.decode import decode_field
-from tidemark.schemas import LINEAGE, Field, TableSpec
+from tidemark.schemas import CHANGED_AT, DELETED, LINEAGE, Field, TableSpec
 
 KEY = "row_key"
 ORDER = ("offset", "partition")
@@ -44,20 +44,23 @@ def parse_envelope(bronze: DataFrame, spec: TableSpec, before: Sequence[str] | N
     )
 
 
-def latest_per_key(changes: DataFrame, key: str = KEY, order: Sequence[str] = ORDER) -> DataFrame:
+def latest_per_key(changes: DataFrame, key: str | Sequence[str] = KEY, order: Sequence[str] = ORDER) -> DataFrame:
     """The last row of each key in the given order.
 
     Spark applies the limit of one row per key before the shuffle as well, so a key with very many versions sends one
     row per map task.
     """
-    newest = Window.partitionBy(key).orderBy(*[F.desc(c) for c in order])
+    newest = Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(*[F.desc(c) for c in order])
     return changes.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def latest_changes(bronze: DataFrame, spec: TableSpec) -> DataFrame:
-    """The last change of each key in a raw table, reduced to what applying it needs."""
-    changes = parse_envelope(bronze, spec, before=())
-    return latest_per_key(changes.select(KEY, "op", "after", "partition", "offset"))
+    """The last change of each key in a raw table, reduced to what applying it needs.
+
+    Inside a topic partition the offset decides, between a key's partitions the message time of the last change in each.
+    """
+    changes = parse_envelope(bronze, spec, before=()).select(KEY, "op", "after", "partition", "offset", "timestamp")
+    return latest_per_key(latest_per_key(changes, (KEY, "partition"), ("offset",)), KEY, ("timestamp", "partition"))
 
 
 def decode_columns(df: DataFrame, fields: Sequence[Field], image: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
@@ -68,7 +71,7 @@ def decode_columns(df: DataFrame, fields: Sequence[Field], image: str | None = N
 
 
 def typed_changes(latest: DataFrame, spec: TableSpec) -> DataFrame:
-    """Latest changes as typed rows with lineage and ``_deleted``; of a delete only the key is filled."""
+    """Latest changes as typed rows with lineage, message time and ``_deleted``; of a delete only the key is filled."""
     deleted = (F.col("op") == "d") | F.col("after").isNull()
     typed = [
         (F.col(KEY) if f.name == spec.key else decode_field(f, F.col(f"after.{f.name}"))).alias(f.name)
@@ -78,20 +81,21 @@ def typed_changes(latest: DataFrame, spec: TableSpec) -> DataFrame:
         *typed,
         F.col("partition").alias(LINEAGE[0]),
         F.col("offset").alias(LINEAGE[1]),
-        F.coalesce(deleted, F.lit(False)).alias("_deleted"),
+        F.col("timestamp").alias(CHANGED_AT),
+        F.coalesce(deleted, F.lit(False)).alias(DELETED),
     )
 
 
 def split_changes(latest: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
     """Latest changes -> (typed rows to upsert, keys to delete), both with lineage columns."""
     changes = typed_changes(latest, spec)
-    upserts = changes.filter(~F.col("_deleted")).drop("_deleted")
+    upserts = changes.filter(~F.col("_deleted")).drop("_deleted", CHANGED_AT)
     deletes = changes.filter("_deleted").select(spec.key, *LINEAGE)
     return upserts, deletes
 
 
 def _newer(change: str, stored: str) -> Column:
-    """Offsets compare only inside a partition; a row that moved to another partition counts as newer."""
+    """Without message times: offsets compare inside a partition; a row that moved to another one counts as newer."""
     partition, offset = LINEAGE
     return (F.col(f"{change}.{offset}") > F.col(f"{stored}.{offset}")) | (
         F.col(f"{change}.{partition}") != F.col(f"{stored}.{partition}")
@@ -118,8 +122,9 @@ def merge_changes(
 ) -> DataFrame:
     """The state after applying one set of changes, with at most one change per key.
 
-    A change older than the stored row is ignored, so that replaying messages is harmless.  Pass ``met_keys`` if they
-    are at hand.
+    A change older than the stored row is ignored.  Rows of this form have no message time and no delete markers, so a key
+    must not change its topic partition and a deleted one must not be replayed; ``merge_stored`` has neither limit.  Pass
+    ``met_keys`` if they are at hand.
     """
     met = met_keys(current, upserts, deletes, key) if met is None else met
     gone = met.filter("_applies").select(key)
@@ -147,6 +152,43 @@ def merge_metrics(
     )
 
 
+def met_stored(stored: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+    """Stored keys, deleted ones too, that a change meets: ``key, _was_live, _deleted, _applies``.
+
+    Inside a partition the offset decides, between partitions the message time (at equal times the partition number, as in
+    ``latest_changes``).  Rows stored without a time are older than a change from another partition.
+    """
+    partition, offset = LINEAGE
+    position = [key, partition, offset, CHANGED_AT, DELETED]
+    met = stored.select(position).alias("t").join(changes.select(position).alias("s"), F.col(f"t.{key}") == F.col(f"s.{key}"))
+    later = F.struct(f"s.{CHANGED_AT}", f"s.{partition}") > F.struct(f"t.{CHANGED_AT}", f"t.{partition}")
+    same = F.col(f"s.{partition}") == F.col(f"t.{partition}")
+    applies = F.when(same, F.col(f"s.{offset}") > F.col(f"t.{offset}")).otherwise(later)
+    live = ~F.coalesce(F.col(f"t.{DELETED}"), F.lit(False))
+    return met.select(F.col(f"t.{key}").alias(key), live.alias("_was_live"), F.col(f"s.{DELETED}").alias(DELETED), applies.alias("_applies"))
+
+
+def merge_stored(stored: DataFrame, changes: DataFrame, key: str, met: DataFrame) -> DataFrame:
+    """Stored rows after applying ``typed_changes``, at most one per key.  A deleted key stays as a marker with the position of
+    its delete, so that older messages, also of keys that moved to another partition, change nothing when applied again.
+    """
+    kept = stored.join(met.filter("_applies").select(key), key, "left_anti")
+    fresh = changes.join(met.filter("NOT _applies").select(key), key, "left_anti")
+    return kept.unionByName(fresh)
+
+
+def stored_metrics(changes: DataFrame, met: DataFrame) -> DataFrame:
+    """One row ``inserted, updated, deleted``: what ``merge_stored`` does to the rows that readers see."""
+    offered = changes.filter(~F.col(DELETED)).select(F.lit(1).alias("inserted"), F.lit(0).alias("updated"), F.lit(0).alias("deleted"))
+    applies, live, gone = F.col("_applies"), F.col("_was_live"), F.col(DELETED)
+    matched = met.select(
+        F.when(~gone & ~(applies & ~live), -1).otherwise(0).alias("inserted"),
+        (applies & live & ~gone).cast("int").alias("updated"),
+        (applies & live & gone).cast("int").alias("deleted"),
+    )
+    return offered.unionByName(matched).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("inserted", "updated", "deleted")])
+
+
 def change_history(bronze: DataFrame, spec: TableSpec, slice_offsets: int = HISTORY_SLICE) -> DataFrame:
     """Every version of every row: typed columns, lineage, ``valid_from``, ``valid_to``, ``is_current``.
 

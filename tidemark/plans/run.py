@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators.checks import CHECKS, run_suite
 from tidemark.operators.clicks import refine_clickstream
 from tidemark.plans.marts import FIRST_DAY, LAST_DAY, build_marts, build_staging, write_marts
-from tidemark.schemas import BRONZE_SCHEMA, CDC_TABLES, CLICK_SILVER_SCHEMA, CLICK_TOPIC, TableSpec
+from tidemark.schemas import BRONZE_SCHEMA, CDC_TABLES, CLICK_SILVER_SCHEMA, CLICK_TOPIC, MARKS, TableSpec
 from tidemark.session import side_by_side
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.sources.tables import read_table, table_exists
@@ -36,7 +36,7 @@ class RunResult:
 
 def silver_table(spark: SparkSession, folder: str, spec: TableSpec, buckets: int = 64) -> SnapshotTable:
     """The current-state table of ``spec`` below ``folder``."""
-    return SnapshotTable(spark, f"{folder.rstrip('/')}/{spec.name}", spec.silver_schema, spec.key, buckets)
+    return SnapshotTable(spark, f"{folder.rstrip('/')}/{spec.name}", spec.silver_schema, spec.key, buckets, MARKS)
 
 
 def refresh_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], folder: str, buckets: int = 64) -> dict[str, dict[str, int]]:

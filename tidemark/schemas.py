@@ -31,6 +31,9 @@ BRONZE_SCHEMA = T.StructType(
 
 # Lineage columns of the current-state tables: where the stored image came from.
 LINEAGE = ("_bronze_partition", "_bronze_offset")
+# Kept with the stored rows and not shown to readers: the message time of the stored image, and whether the key is deleted.
+CHANGED_AT, DELETED = "_bronze_timestamp", "_deleted"
+MARKS = T.StructType([T.StructField(CHANGED_AT, T.TimestampType()), T.StructField(DELETED, T.BooleanType())])
 
 
 @dataclass(frozen=True)

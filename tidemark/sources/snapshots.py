@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.schemas import DELETED
 from tidemark.sources.tables import table_exists
 
 _BUCKET = "_bucket"
@@ -37,14 +38,19 @@ class SnapshotTable:
 
     ``buckets`` is fixed when the table is created and kept with each commit; another number is refused. Choose it so that one bucket is a few files, and make
     ``spark.sql.shuffle.partitions`` a multiple of it, so that a shuffle by key already lines up with the buckets.
+
+    ``marks`` are further columns that are stored with each row; with them, rows marked ``_deleted`` are stored but not shown.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str = "id", buckets: int = 64):
+    def __init__(
+        self, spark: SparkSession, root: str, schema: T.StructType, key: str = "id", buckets: int = 64, marks: T.StructType | None = None
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
         self.key = key
         self.buckets = buckets
+        self.stored = T.StructType([*schema.fields, *(marks.fields if marks else [])])
 
     # -- pointer ---------------------------------------------------------------------------------------------------
     def _pointers(self) -> str:
@@ -75,12 +81,19 @@ class SnapshotTable:
 
     def read(self, only: list[int] | None = None, pointer: Pointer | None = None) -> DataFrame:
         """The rows of the current (or the given) version, of some buckets or of all."""
+        rows = self.read_stored(only, pointer)
+        if DELETED not in rows.columns:
+            return rows
+        return rows.filter(~F.coalesce(DELETED, F.lit(False))).select(*self.schema.names)
+
+    def read_stored(self, only: list[int] | None = None, pointer: Pointer | None = None) -> DataFrame:
+        """Like ``read``, with marks and with what is marked as deleted; rows stored without marks have NULL there."""
         held = (pointer or self.pointer()).buckets
         wanted = held if only is None else {b: held[b] for b in only if b in held}
         if not wanted:
-            return self.spark.createDataFrame([], self.schema)
+            return self.spark.createDataFrame([], self.stored)
         paths = [f"{self.root}/data/v={v}/{_BUCKET}={b}" for b, v in sorted(wanted.items())]
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        return self.spark.read.schema(self.stored).parquet(*paths)
 
     def superseded(self) -> list[str]:
         """Files that the current version no longer uses, for a clean-up job to remove once no reader needs them."""
@@ -109,7 +122,7 @@ class SnapshotTable:
         latest = pointer or self.pointer()
         version = latest.version + 1
         folder = f"{self.root}/data/v={version}"
-        bucketed = rows.select(*self.schema.names, self.bucket_of(F.col(self.key)).alias(_BUCKET))
+        bucketed = rows.select(*self.stored.names, self.bucket_of(F.col(self.key)).alias(_BUCKET))
         bucketed.write.partitionBy(_BUCKET).mode("overwrite").parquet(folder)
         files = self.spark.read.schema(self.schema).parquet(folder).inputFiles()
         written = {int(re.search(rf"/{_BUCKET}=(\d+)/", name)[1]) for name in files}

@@ -6,9 +6,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.changes import latest_changes, merge_changes, merge_metrics, met_keys, typed_changes
+from tidemark.operators.changes import latest_changes, merge_stored, met_stored, stored_metrics, typed_changes
 from tidemark.operators.clicks import high_water, new_rows
-from tidemark.schemas import LINEAGE, TableSpec
+from tidemark.schemas import TableSpec
 from tidemark.sources.snapshots import SnapshotTable
 
 NOTHING = {"inserted": 0, "updated": 0, "deleted": 0}
@@ -28,22 +28,20 @@ def apply_batch(
     changes = typed_changes(latest_changes(bronze, spec), spec)
     if pointer.version < 0:
         # Nothing to merge with: one pass from raw messages to stored rows.
-        target.commit(changes.filter("NOT _deleted"), None, token, pointer)
+        target.commit(changes, None, token, pointer)
         return {**NOTHING, "inserted": target.read().count()} if measure else None
     # The changes and the stored keys they meet, at most as many, are used several times; both are recomputed from the
     # raw rows should an executor be lost.
     changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
-    upserts = changes.filter("NOT _deleted").drop("_deleted")
-    deletes = changes.filter("_deleted").select(spec.key, *LINEAGE)
     met = None
     try:
         buckets = target.touched(changes)
         if not buckets:
             return dict(NOTHING) if measure else None
-        current = target.read(buckets, pointer)
-        met = met_keys(current, upserts, deletes, spec.key).persist(StorageLevel.MEMORY_AND_DISK)
-        metrics = merge_metrics(current, upserts, deletes, spec.key, met).first().asDict() if measure else None
-        target.commit(merge_changes(current, upserts, deletes, spec.key, met), buckets, token, pointer)
+        stored = target.read_stored(buckets, pointer)
+        met = met_stored(stored, changes, spec.key).persist(StorageLevel.MEMORY_AND_DISK)
+        metrics = stored_metrics(changes, met).first().asDict() if measure else None
+        target.commit(merge_stored(stored, changes, spec.key, met), buckets, token, pointer)
         return metrics
     finally:
         changes.unpersist()
@@ -55,11 +53,11 @@ def refresh_table(bronze: DataFrame, spec: TableSpec, target: SnapshotTable) ->
     """Batch form: apply what the raw table holds beyond the offsets already in ``target``.
 
     A raw table grows in offset order within a topic partition and a commit takes all of it, so whatever lies below the
-    highest stored offset of its partition has been applied.  (A delete leaves no offset behind; reading one again is
-    harmless.)
+    highest stored offset of its partition has been applied.  (Keys that moved to another partition leave no offset behind in
+    their old one; reading their old messages again changes nothing.)
     """
     if target.exists():
-        bronze = new_rows(bronze, high_water(target.read()))
+        bronze = new_rows(bronze, high_water(target.read_stored()))
     return apply_batch(bronze, spec, target, measure=True)
 
 

@@ -320,6 +320,13 @@ WHERE rn = 1""",
 SELECT id, part AS _bronze_partition, pos AS _bronze_offset FROM positioned WHERE op = 'd'""",
     "cdc_merge": LOG + _RESULT_ORDERS,
     "cdc_stream_apply": LOG + _RESULT_ORDERS,
+    "cdc_replay_after_delete": LOG + _RESULT_ORDERS,
+    "cdc_merge_repartitioned": LOG
+    + """
+SELECT id, user_id, order_date, status, CAST(total_amount AS DOUBLE) AS total_amount,
+       CAST(CASE WHEN len(path) > 2 THEN 3 ELSE id % 3 END AS INTEGER) AS _bronze_partition,
+       id * 8 + len(path) - 1 - CASE WHEN len(path) > 2 THEN 4 ELSE 0 END AS _bronze_offset
+FROM path_of WHERE id % 50 <> 7""",
     "silver_orders": LOG + _RESULT_ORDERS,
     "cdc_merge_metrics": LOG
     + """,

@@ -261,6 +261,35 @@ def cdc_merge(spark, sf_dir):
     return target.read()
 
 
+@query
+def cdc_merge_repartitioned(spark, sf_dir):
+    """From its third step on an order's messages are in another partition, at lower offsets; the first arrival comes again."""
+    target = silver_table(spark, work_path(spark, "silver"), ORDERS, BUCKETS)
+    moved = F.col("offset") % 8 >= 2
+    rounds = [
+        part.withColumns(
+            {
+                "partition": F.when(moved, F.lit(3)).otherwise(F.col("partition")),
+                "offset": F.when(moved, F.col("offset") - 4).otherwise(F.col("offset")),
+            }
+        )
+        for part in _rounds(spark, sf_dir)
+    ]
+    for part in [*rounds, rounds[0]]:
+        apply_batch(part, ORDERS, target)
+    return target.read()
+
+
+@query
+def cdc_replay_after_delete(spark, sf_dir):
+    """The first two arrivals come again after the third, which holds the deletes."""
+    target = silver_table(spark, work_path(spark, "silver"), ORDERS, BUCKETS)
+    rounds = _rounds(spark, sf_dir)
+    for part in [*rounds, *rounds[:2]]:
+        apply_batch(part, ORDERS, target)
+    return target.read()
+
+
 @query
 def cdc_merge_metrics(spark, sf_dir):
     target = silver_table(spark, work_path(spark, "silver"), ORDERS, BUCKETS)
