@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import decontaminate, licences, neardup, substrings, tokens
@@ -211,6 +212,18 @@ def test_near_duplicates_of_one_large_family(spark, bag, monkeypatch, few, chunk
     check_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), rows, bag)
 
 
+def test_a_pair_that_meets_in_one_bucket_is_looked_at(spark, folder):
+    base = [f"w{i}" for i in range(60)]
+    pivot, one, two = sorted((1, 2, 3), key=lambda i: spark.range(1).select(F.xxhash64(F.lit(i).cast("long"))).first()[0])
+    texts = [(pivot, "not like the others at all"), (one, " ".join(base)), (two, " ".join([*base, "more"]))]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    sketches = neardup._sketches(rows)
+    leaders = sketches.select(F.col("doc_id").alias("id"), "doc_id", "f1", "f2")
+    keyed = sketches.select(F.col("doc_id").alias("id"), "n", F.array(F.lit(7).cast("long")).alias("keys"))
+    found = {r.node: r.component for r in neardup._linked(rows, ["doc_id"], leaders, keyed, False, folder).collect()}
+    assert found == {one: min(one, two), two: min(one, two)}
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(2)
     a, b, c = (rng.integers(0, 1 << 63, 600).astype(np.uint64) for _ in range(3))

@@ -4,12 +4,12 @@ A document's set of word shingles is summarised in registers, each the truncated
 variates drawn for the set's members (see Ertl, "SetSketch: filling the gap between MinHash and HyperLogLog"). Registers of a
 union are the maxima of the parts' registers, and equal registers are likelier the more two sets have in common, so bands of
 registers serve as buckets. With 40 bands of 6 registers a pair at similarity 0.85 shares 15 buckets on average, none with
-probability 6e-9 and fewer than two with 1.5e-7.
+probability 6e-9.
 
 Documents with equal sets are one class first, so that copies cost one row each. Then links are found in three rounds: every
 class against the pivot of its largest bucket; where a bucket then holds several components, its members against its pivot if
-their components differ; where it still does, its other pairs of different components: in small buckets as pairs that share two of them, in large ones
-inside tasks that hold two chunks of a bucket and report only links they have confirmed. Every link is confirmed on the full sets. Nothing is capped.
+their components differ; where it still does, its other pairs of different components: in small buckets as pairs whose sizes allow
+the similarity asked for, in large ones inside tasks that hold two chunks of a bucket and report only links they have confirmed. Every link is confirmed on the full sets. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -33,8 +33,6 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, LIMIT = 1.01, 20.0, 4096
 #: Estimates this far below the threshold are left out: six standard errors.
 MARGIN = 0.15
-#: Buckets that a pair must share to be looked at without a pivot. At the threshold a pair shares fewer with probability 1.5e-7.
-MEETINGS = 2
 #: Members of a bucket up to which its pairs are compared as rows, and members to a chunk of a larger one.
 SMALL, CHUNK = 64, 2048
 _SEEDS = [np.uint64(x) for x in (0x8CB92BA72F3D8DD7, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -292,14 +290,14 @@ def _linked(
 ) -> DataFrame:
     """``node`` and ``component`` of classes of equal sets that are linked with others.
 
-    ``keyed`` has each class (``id``) with its bucket keys once, ``leaders`` where its text is: in the rows with this ``key`` and
+    ``keyed`` has each class (``id``) with the size ``n`` of its set and its bucket keys once, ``leaders`` where its text is: in the rows with this ``key`` and
     these fingerprints, more than one of them if ``again``. ``tied`` are links known beforehand.
     """
     spark = rows.sparkSession
     read = spark.read.parquet
 
     # Buckets with at least two classes.
-    slots = keyed.select("id", F.explode("keys").alias("key"))
+    slots = keyed.select("id", "n", F.explode("keys").alias("key"))
     pivot = F.min(F.struct(F.xxhash64("id").alias("order"), "id"))["id"]
     shared = slots.groupBy("key").agg(F.count("*").alias("size"), pivot.alias("pivot")).filter("size > 1")
     slots.join(shared, "key").write.parquet(f"{path}/buckets")
@@ -329,10 +327,11 @@ def _linked(
     _mixed(buckets.filter("size > 2"), read(f"{path}/components-2")).write.parquet(f"{path}/open")
     open_rows = read(f"{path}/open")
     few = open_rows.filter(F.col("members") <= SMALL).filter("id <> pivot")
-    left = few.select("key", F.col("id").alias("a"), F.col("component").alias("comp_a"))
-    right = few.select("key", F.col("id").alias("b"), F.col("component").alias("comp_b"))
-    met = left.join(right, "key").filter("a < b AND comp_a <> comp_b").groupBy("a", "b").agg(F.count("*").alias("n"))
-    pairs = met.filter(F.col("n") >= MEETINGS).select("a", "b")
+    left = few.select("key", F.col("id").alias("a"), F.col("component").alias("comp_a"), F.col("n").alias("n_a"))
+    right = few.select("key", F.col("id").alias("b"), F.col("component").alias("comp_b"), F.col("n").alias("n_b"))
+    part, whole = SIMILAR
+    sizes_allow = F.least("n_a", "n_b") * whole >= F.greatest("n_a", "n_b") * part
+    pairs = left.join(right, "key").filter(F.expr("a < b AND comp_a <> comp_b") & sizes_allow).select("a", "b").distinct()
     many = open_rows.filter(F.col("members") > SMALL)
     sizes = many.select("key", F.col("members").alias("size")).distinct()
     more = _large_buckets(many.select("key", "id"), sizes, many.select("id", "component").distinct(), sets)
@@ -363,10 +362,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = read(f"{path}/classes")
     leaders = members.filter("doc_id = id").select("id", "f1", "f2")
 
-    keyed = sound.select(F.col("doc_id").alias("id"), "f1", "f2", "keys").join(leaders, ["id", "f1", "f2"], "left_semi")
+    keyed = sound.select(F.col("doc_id").alias("id"), "f1", "f2", "n", "keys").join(leaders, ["id", "f1", "f2"], "left_semi")
     again = _repeats(sound)
     if again:
-        keyed = keyed.groupBy("id", "f1", "f2").agg(F.first("keys").alias("keys"))
+        keyed = keyed.groupBy("id", "f1", "f2", "n").agg(F.first("keys").alias("keys"))
     # Ids with several texts link their classes.
     several = members.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("c")).filter("b < c")
     same_id = members.join(several, "doc_id").select(F.col("id").alias("a"), "b")
