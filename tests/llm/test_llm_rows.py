@@ -152,7 +152,7 @@ def test_cells_decide_most_vectors(spark):
     rows = [(i, (centres[i % 8] + rng.normal(0, 0.1, 64)).tolist()) for i in range(800)]
     path = work_path(spark, "va")
     clustering.write_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), f"{path}/v", 64)
-    first = clustering.first_centroids(spark, f"{path}/v", 64, 8)
+    first = [[int(x) for x in np.floor(64 * c)] for c in centres]
     edges = clustering.cell_edges(spark, f"{path}/v")
     clustering.write_cells(spark, f"{path}/v", f"{path}/c", edges)
     after, fetched = clustering._round(spark, f"{path}/c", edges, first)

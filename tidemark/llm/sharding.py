@@ -72,13 +72,17 @@ def with_range(rows: DataFrame, splitters: list[Splitter]) -> DataFrame:
     return rows
 
 
-def _sample(rows: DataFrame, wanted: Column, size: int, seed: int) -> list[tuple[int, Splitter]]:
-    """At most ``size`` rows as (range, place in the order), drawn without replacement with probabilities by size, in order."""
+def _sample(rows: DataFrame, wanted: Column, weight: int, size: int, seed: int) -> list[tuple[int, Splitter]]:
+    """About ``size`` of the wanted rows, ``weight`` bytes in all, as (range, place in the order), sorted.
+
+    Each draws an exponential variate over its size; those below a bar that about twice ``size`` fall short of are sent, and the
+    least are taken, so that no task sends more than its share.
+    """
     uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "key", "id", "row"), 11) + 1) / F.lit(float(1 << 53))
-    # Not a filter: that would be pushed through the steps of the search, each of which names the one before it five times.
-    drawn = F.when(wanted, -F.log(uniform) / F.col("size"))
-    found = rows.select("range", *_ORDER, drawn.alias("drawn")).orderBy(F.col("drawn").asc_nulls_last()).limit(size).collect()
-    return sorted((r["range"], (r["key"], r["id"], r["row"])) for r in found if r["drawn"] is not None)
+    # Unpacked by a generator: a filter would be pushed through the steps of the search, each of which names the one before it five times.
+    drawn = rows.select(F.explode(F.array(F.struct("range", *_ORDER, (-F.log(uniform) / F.col("size")).alias("drawn")))).alias("r")).select("r.*")
+    chosen = drawn.filter(wanted & (F.col("drawn") <= 2 * size / max(1, weight))).orderBy("drawn").limit(size)
+    return sorted((r["range"], (r["key"], r["id"], r["row"])) for r in chosen.collect())
 
 
 def _quantiles(sample: list[Splitter], parts: int) -> list[Splitter]:
@@ -88,8 +92,8 @@ def _quantiles(sample: list[Splitter], parts: int) -> list[Splitter]:
 def splitters(rows: DataFrame, ranges: int = RANGES, seed: int = 5) -> tuple[list[Splitter], list[tuple[int, int]]]:
     """Splitters, sorted, and each range's bytes and records. What reaches the driver is bounded by ``ranges``, not by the rows."""
     size = ranges * PER_RANGE
-    first = with_range(rows, [])
-    found = _quantiles([place for _, place in _sample(first, F.lit(True), size, seed)], ranges)
+    weight = rows.agg(F.sum("size")).first()[0] or 0
+    found = _quantiles([place for _, place in _sample(with_range(rows, []), F.lit(True), weight, size, seed)], ranges)
     for again in range(ROUNDS + 1):
         split = with_range(rows, found)
         sums = {r["range"]: (r["bytes"], r["n"]) for r in split.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()}
@@ -99,7 +103,7 @@ def splitters(rows: DataFrame, ranges: int = RANGES, seed: int = 5) -> tuple[lis
         over = {i: max(b // share[0], n // share[1]) for i, (b, n) in enumerate(totals) if n > FEW and (b > 2 * share[0] or n > 2 * share[1])}
         if not over or again == ROUNDS:
             break
-        sample = _sample(split, F.col("range").isin(list(over)), size, seed + again + 1)
+        sample = _sample(split, F.col("range").isin(list(over)), sum(totals[i][0] for i in over), size, seed + again + 1)
         more = {s for i, parts in over.items() for s in _quantiles([place for r, place in sample if r == i], parts + 1)}
         if not more - set(found):
             break
