@@ -300,14 +300,68 @@ def test_pipeline_against_plain_python(spark, bag, pairs):
     assert bag(corpus_pipeline.run(spark, SMALL).collect()) == bag(after.collect())
 
 
-def test_stages_take_odd_rows(spark, edge_docs, no_docs, small):
+#: Names the stages use inside, beside those of EXTRA.
+INSIDE = "row_key row_check text_key drop_key key again own doc weight range border chosen before target source_size f1 f2 taken nth copy doc_key"
+
+
+def test_stages_leave_columns_alone(spark, bag, edge_docs, small):
+    import corpus_pipeline
+
+    more = {name: F.concat(F.lit(f"{name}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("?"))) for name in INSIDE.split()}
+    docs = edge_docs.withColumns(more).withColumn("m", F.create_map(F.lit("a"), F.col("doc_id")))
+    plain = lambda df: bag(tuple(str(x) for x in r) for r in df.collect())
+    whole = plain(docs)
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns, name
+        rows = plain(out)
+        assert set(rows) <= set(whole) and rows, name
+    assert plain(decontaminate.remove_contaminated(docs, small("benchmark"))) == whole
+    assert set(plain(neardup.one_of_each(docs))) <= set(whole)
+
+
+def test_stages_of_empty_tables(spark, no_docs):
     import corpus_pipeline
 
-    docs = edge_docs.select("doc_id", "text", "lang", "source", "n_chars")
-    assert decontaminate.remove_contaminated(edge_docs, small("benchmark")).columns == edge_docs.columns
     assert neardup.one_of_each(no_docs).count() == 0
     for _, stage in corpus_pipeline.STAGES[:4]:
-        out = stage(spark, docs, SMALL)
-        assert out.columns == docs.columns
-        out.collect()
-        assert stage(spark, docs.limit(0), SMALL).count() == 0
+        assert stage(spark, no_docs, SMALL).count() == 0
+
+
+def test_mixed_words_per_source_with_repeated_ids(spark):
+    """Ids and texts that stand in several sources count for each source by itself."""
+    rows = [(i % 40, f"word{i % 40} " * (5 + i % 40), "ab"[i % 3 == 0]) for i in range(900)]
+    rows += [(7, "the very same words", s) for s in "aabbbb"] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    path = work_path(spark, "sizes")
+    mixing.measure(docs).write.parquet(path)
+    goal = {r.source: r.target for r in mixing.targets(spark.read.parquet(path)).collect()}
+    taken = dict.fromkeys(goal, 0)
+    for r in mixing.mixed_documents(docs).collect():
+        taken[r.source] += len(r.text.split())
+    for source, target in goal.items():
+        assert abs(taken[source] - target) <= 45, source
+
+
+def test_no_range_of_keys_holds_much_of_a_source(spark):
+    """Whatever the weights are."""
+    for weight in (0.05, 0.3, 1.0):
+        key = mixing.sampling_key(F.lit(weight), F.col("id"))
+        ranges = spark.range(200_000).groupBy(F.floor(F.log2(key) * mixing.RANGES)).count()
+        assert ranges.agg(F.max("count")).first()[0] < 200_000 / 1500
+
+
+@pytest.mark.parametrize("size_and_alike", [(3, (85, 100)), (5, (80, 100)), (2, (90, 100))])
+def test_shingle_size_and_threshold_are_parameters(spark, bag, size_and_alike):
+    size, alike = size_and_alike
+    rnd = random.Random(8)
+    rows = []
+    for group in range(12):
+        words = [f"w{rnd.randrange(300)}" for _ in range(60)]
+        for copy in range(6):
+            own = list(words)
+            for _ in range(copy):
+                own[rnd.randrange(60)] = f"x{group}-{copy}"
+            rows.append((len(rows), " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert bag(neardup.near_duplicates(docs, size, alike).collect()) == bag(brute.near_duplicates(rows, *alike, size))

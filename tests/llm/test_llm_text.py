@@ -217,10 +217,10 @@ def test_a_pair_that_meets_in_one_bucket_is_looked_at(spark, folder):
     pivot, one, two = sorted((1, 2, 3), key=lambda i: spark.range(1).select(F.xxhash64(F.lit(i).cast("long"))).first()[0])
     texts = [(pivot, "not like the others at all"), (one, " ".join(base)), (two, " ".join([*base, "more"]))]
     rows = spark.createDataFrame(texts, "doc_id long, text string")
-    sketches = neardup._sketches(rows)
+    sketches = neardup._sketches(rows, 3)
     leaders = sketches.select(F.col("doc_id").alias("id"), "doc_id", "f1", "f2")
     keyed = sketches.select(F.col("doc_id").alias("id"), "n", F.array(F.lit(7).cast("long")).alias("keys"))
-    found = {r.node: r.component for r in neardup._linked(rows, ["doc_id"], leaders, keyed, False, folder).collect()}
+    found = {r.node: r.component for r in neardup._linked(rows, ["doc_id"], leaders, keyed, False, folder, 3, (85, 100)).collect()}
     assert found == {one: min(one, two), two: min(one, two)}
 
 

@@ -271,11 +271,13 @@ def contamination(spark: SparkSession, path: str, items: DataFrame, window: int
 def remove_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
     """The rows of ``docs``, with all their columns, that are not contaminated; ids may be null or repeated.
 
-    Documents are told apart by a hash of their text. Only rows that may have to go are shuffled.
+    Documents are told apart by a hash of their text. Only rows that may have to go are shuffled. Null and empty texts have no words and
+    stay, copies go together, an empty table or an empty benchmark changes nothing.
     """
     path = work_path(docs.sparkSession, "decontaminate")
     build_index(docs.select(F.xxhash64("text").alias("doc_id"), "text"), f"{path}/index")
     hit = contamination(docs.sparkSession, f"{path}/index", items, window, share).filter("contaminated")
-    hit.select(F.col("doc_id").alias("text_key")).distinct().write.parquet(f"{path}/hit")
-    rows = docs.withColumn("text_key", F.xxhash64("text"))
-    return unlisted(rows, "text_key", docs.sparkSession.read.parquet(f"{path}/hit")).drop("text_key")
+    hit.select(F.col("doc_id").alias("key")).distinct().write.parquet(f"{path}/hit")
+    # The row is kept in a struct, so that no name among its columns can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.xxhash64("text").alias("key"))
+    return unlisted(rows, "key", docs.sparkSession.read.parquet(f"{path}/hit")).select("doc.*")

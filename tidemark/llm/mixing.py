@@ -5,8 +5,13 @@ to the others by weight. Whole epochs of a source come first. For the rest of it
 key divided by its quality weight; the documents with the smallest keys are taken until their sizes reach the target.
 
 Sorting a source by key and adding up sizes is done in two steps, so that a source of any size is spread over many tasks:
-sizes are summed by ranges of keys, the ranges (a fixed number per source) are added up in order, and only the documents of
-the one range in which a source's target falls are sorted. Keys come from hashes, so that reruns and lost executors agree.
+sizes are summed by ranges of keys, the ranges (a bounded number per source) are added up in order, and only the documents of
+the one range in which a source's target falls are sorted. Ranges are even on the logarithm of the key, so that whatever its
+weights none holds more than a 2,700th of a source. Keys come from hashes, so that reruns and lost executors agree. Texts are never shuffled
+but those of that one range.
+
+Defined cases: a null text has no words, null sources are a source, null ids are ids like others; an empty table gives an empty
+result, and so does a table without a single word, but for its rows with nothing taken.
 """
 
 from __future__ import annotations
@@ -17,28 +22,30 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.words import NON_SPACE, cut, pieces, text_bytes
 from tidemark.session import work_path
 
 WEIGHTS = (3.0, 1.0, 2.0)
-#: Ranges of keys per source.
-RANGES = 1 << 14
+#: Ranges to each doubling of the key. Whatever the weight w, a key falls into a range around t with probability w t exp(-w t) ln 2 / RANGES.
+RANGES = 1 << 10
+_LEAST_KEY = 2.0**-60
 #: The least quality weight of a document.
 LEAST_WEIGHT = 0.05
 _LETTER = np.array([0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
 _CAPITAL = np.array([0x41 <= b <= 0x5A for b in range(256)])
 
 
-def measure(docs: DataFrame) -> DataFrame:
+def measure(docs: DataFrame, whole: bool = False) -> DataFrame:
     """``doc_id``, ``source``, ``size`` (words of the whole text, null: 0), ``weight`` and ``tie`` (a hash of the text).
 
     The quality weight is the share of letters among all but white space, lowered by the share of capitals among letters;
-    it is 1 for an empty text and at least ``LEAST_WEIGHT``.
+    it is 1 for an empty text and at least ``LEAST_WEIGHT``. ``whole`` adds the row itself as the struct ``doc``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(_with_text(b) for b in batches):
             data, offsets = text_bytes(batch.column("text"))
             words = cut(data, offsets, NON_SPACE)
 
@@ -48,20 +55,29 @@ def measure(docs: DataFrame) -> DataFrame:
             letters, solid = count(_LETTER), count(NON_SPACE)
             weight = letters / np.maximum(solid, 1) * (1 - count(_CAPITAL) / np.maximum(letters, 1))
             weight = np.where(solid > 0, np.maximum(weight, LEAST_WEIGHT), 1.0)
-            yield pa.record_batch(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "source": batch.column("source"),
-                    "size": pa.array(words.counts, pa.int64()),
-                    "weight": pa.array(weight),
-                    "tie": batch.column("tie"),
-                }
-            )
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
-    return rows.withColumn("tie", F.xxhash64("text")).mapInArrow(
-        run, "doc_id long, source string, size long, weight double, tie long"
+            measured = {"size": pa.array(words.counts, pa.int64()), "weight": pa.array(weight)}
+            kept = {name: batch.column(name) for name in ("doc_id", "source", "tie", "doc") if name in batch.schema.names}
+            columns = kept | measured
+            yield pa.record_batch({name: columns[name] for name in names})
+
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("source"),
+        F.xxhash64("text").alias("tie"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc") if whole else F.col("text"),
     )
+    names = ["doc_id", "source", "size", "weight", "tie", *(["doc"] if whole else [])]
+    schema = T._parse_datatype_string("doc_id long, source string, size long, weight double, tie long")
+    if whole:
+        schema = T.StructType([*schema.fields, rows.schema["doc"]])
+    return rows.mapInArrow(run, schema)
+
+
+def _with_text(batch: pa.RecordBatch) -> pa.RecordBatch:
+    if "doc" not in batch.schema.names:
+        return batch
+    doc = batch.column("doc")
+    return pa.record_batch({**{n: batch.column(n) for n in batch.schema.names}, "text": doc.field("text")})
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -98,15 +114,18 @@ def sampling_key(weight: Column, *seed: Column) -> Column:
     return -F.log(uniform) / weight
 
 
-def mix(sizes: DataFrame, seed: int = 7, weights: Sequence[float] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """Rows of ``sizes`` (as from :func:`measure`, stored) with ``source_size``, ``target``, ``copies`` and ``taken``.
+def mix(
+    sizes: DataFrame, seed: int = 7, weights: Sequence[float] = WEIGHTS, share: float = 1.5, most: float = 2.0, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of ``sizes`` (as from :func:`measure`, stored) with ``source_size``, ``target``, ``copies``, ``taken`` and what to ``keep``.
 
     Whole documents are taken; the one at which a source reaches its target is taken if that brings the sum nearer. Equal keys
-    are ordered by doc_id and text; of rows alike in all of these any may be the one. Null sources are a source.
+    are ordered by doc_id, text and size; rows alike in all of these are taken in any order.
     """
+    spark = sizes.sparkSession
     key = sampling_key(F.col("weight"), F.lit(seed), F.coalesce("doc_id", F.lit(-1)), F.col("tie"))
-    keyed = sizes.withColumn("key", key)
-    keyed = keyed.withColumn("range", F.least(F.lit(RANGES - 1), F.floor((1 - F.exp(-F.col("key"))) * RANGES)).cast("int"))
+    keyed = sizes.withColumn("key", F.greatest(key, F.lit(_LEAST_KEY)))
+    keyed = keyed.withColumn("range", F.floor(F.log2("key") * RANGES).cast("int"))
 
     goal = targets(sizes, weights, share, most)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-9)).otherwise(0)
@@ -124,31 +143,30 @@ def mix(sizes: DataFrame, seed: int = 7, weights: Sequence[float] = WEIGHTS, sha
         .withColumnRenamed("source", "s")
     )
     goal = goal.join(border, F.col("s").eqNullSafe(F.col("source")), "left").drop("s").withColumnRenamed("source", "of")
-    rows = keyed.join(goal, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    # One row per source, stored: Spark knows its size, and sends it to the rows rather than the rows of a source to one task.
+    path = work_path(spark, "mix-targets")
+    goal.write.parquet(path)
+    rows = keyed.join(spark.read.parquet(path), F.col("source").eqNullSafe(F.col("of"))).drop("of")
 
     inside = rows.filter(F.coalesce(F.col("range") != F.col("border"), F.lit(True)))
     inside = inside.withColumn("chosen", F.coalesce(F.col("range") < F.col("border"), F.lit(False)))
-    order = Window.partitionBy("source").orderBy("key", "doc_id", "tie")
+    order = Window.partitionBy("source").orderBy("key", "doc_id", "tie", "size")
     after = F.col("before") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     at_border = rows.filter(F.col("range") == F.col("border")).withColumn("after", after)
     nearer = F.col("after") + (F.col("after") - F.col("size")) <= 2 * F.col("rest")
     at_border = at_border.withColumn("chosen", nearer).drop("after")
 
     copies = F.col("epochs") + F.col("chosen").cast("int")
+    taken = (copies * F.col("size")).alias("taken")
     return inside.unionByName(at_border).select(
-        "doc_id", "source", "size", "tie", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "tie", "source_size", "target", copies.alias("copies"), taken, *keep
     )
 
 
 def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """The rows of ``docs``, with all their columns, each as often as the mix takes it."""
-    path = work_path(docs.sparkSession, "mix")
-    measure(docs).write.parquet(f"{path}/sizes")
-    taken = mix(docs.sparkSession.read.parquet(f"{path}/sizes"), seed)
-    # Rows alike in id and text are told apart by a number, so that each has its own count.
-    alike = Window.partitionBy("doc_key", "tie").orderBy(F.lit(1))
-    counts = taken.select(F.coalesce("doc_id", F.lit(-1)).alias("doc_key"), "tie", "copies")
-    counts = counts.withColumn("nth", F.row_number().over(Window.partitionBy("doc_key", "tie").orderBy("copies")))
-    rows = docs.withColumn("doc_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))).withColumn("tie", F.xxhash64("text"))
-    rows = rows.withColumn("nth", F.row_number().over(alike)).join(counts.filter("copies > 0"), ["doc_key", "tie", "nth"])
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    """The rows of ``docs``, with all their columns, each as often as the mix takes it; repeated rows and ids count one by one."""
+    spark = docs.sparkSession
+    path = f"{work_path(spark, 'mix')}/sizes"
+    measure(docs, whole=True).write.parquet(path)
+    taken = mix(spark.read.parquet(path), seed, keep=["doc"]).filter("copies > 0")
+    return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")

@@ -8,22 +8,27 @@ probability 6e-9.
 
 Documents with equal sets are one class first, so that copies cost one row each. Then links are found in three rounds: every
 class against the pivot of its largest bucket; where a bucket then holds several components, its members against its pivot if
-their components differ; where it still does, its other pairs of different components: in small buckets as pairs whose sizes allow
-the similarity asked for, in large ones inside tasks that hold two chunks of a bucket and report only links they have confirmed. Every link is confirmed on the full sets. Nothing is capped.
+their components differ; where it still does, its other pairs of different components. Those are never rows: a task holds a
+bucket's members. Of small buckets it holds their registers and reports the pairs whose sizes allow the similarity asked for and whose
+estimate comes near it. Of large ones it holds two chunks of full sets, cut by members and by bytes, and reports only links it has
+confirmed. Every link is confirmed on the full sets. Nothing is capped.
+
+Defined cases: null texts and texts without words are linked with nothing and stay; null and repeated ids, repeated rows and extra columns
+of any name and type are the functions' own to say; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.filters import filtered, key_filter, unlisted
-from tidemark.llm.words import NON_SPACE, cut, lower_ascii, mix, pieces, text_bytes
+from tidemark.llm.words import NON_SPACE, cut, give_back, lower_ascii, mix, pieces, text_bytes
 from tidemark.session import work_path
 
 SHINGLE = 3
@@ -33,8 +38,10 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, LIMIT = 1.01, 20.0, 4096
 #: Estimates this far below the threshold are left out: six standard errors.
 MARGIN = 0.15
-#: Members of a bucket up to which its pairs are compared as rows, and members to a chunk of a larger one.
-SMALL, CHUNK = 64, 2048
+#: Members of a bucket up to which registers come before full sets; members, and bytes of full sets, to a chunk of a larger one.
+SMALL, CHUNK, CHUNK_BYTES = 64, 2048, 16 << 20
+#: Pairs whose registers are compared at a time.
+PAIRS = 1 << 13
 _SEEDS = [np.uint64(x) for x in (0x8CB92BA72F3D8DD7, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
@@ -140,41 +147,53 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, ste
     return np.take_along_axis(j, likelihood.argmax(1)[:, None], 1)[:, 0]
 
 
-def similar(common: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    part, whole = SIMILAR
+def similar(common: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, alike: tuple[int, int]) -> np.ndarray:
+    part, whole = alike
     return whole * common >= part * (n_a + n_b - common)
 
 
-def _sketches(rows: DataFrame) -> DataFrame:
+def likely(regs_a: np.ndarray, regs_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, alike: tuple[int, int]) -> np.ndarray:
+    """Which pairs' sizes allow the similarity asked for and whose estimate comes near it."""
+    part, whole = alike
+    near = np.minimum(n_a, n_b) * whole >= np.maximum(n_a, n_b) * part
+    at = np.flatnonzero(near)
+    for a in range(0, len(at), PAIRS):
+        i = at[a : a + PAIRS]
+        near[i] = estimate(regs_a[i], regs_b[i], n_a[i], n_b[i]) >= part / whole - MARGIN
+    return near
+
+
+def _sketches(rows: DataFrame, size: int) -> DataFrame:
     """``n``, fingerprints and bucket keys of every row's text, beside the row's other columns."""
     ids = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            hashes, first = shingle_sets(batch.column("text"))
+            hashes, first = shingle_sets(batch.column("text"), size)
             one, two = prints(hashes, first)
             keys = band_keys(registers(hashes, first))
-            size = np.diff(first)
-            bounds = np.append(0, np.cumsum(np.where(size > 0, BANDS, 0))).astype(np.int32)
+            n = np.diff(first)
+            bounds = np.append(0, np.cumsum(np.where(n > 0, BANDS, 0))).astype(np.int32)
             yield pa.record_batch(
                 {
                     **{c: batch.column(c) for c in ids},
-                    "n": pa.array(size, pa.int64()),
+                    "n": pa.array(n, pa.int64()),
                     "f1": pa.array(one),
                     "f2": pa.array(two),
-                    "keys": pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys[size > 0].reshape(-1))),
+                    "keys": pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys[n > 0].reshape(-1))),
                 }
             )
+        give_back()
 
     return rows.mapInArrow(run, f"{', '.join(f'{c} long' for c in ids)}, n long, f1 long, f2 long, keys array<long>")
 
 
-def _full_sets(rows: DataFrame) -> DataFrame:
+def _full_sets(rows: DataFrame, size: int) -> DataFrame:
     """``id``, fingerprints, ``n``, ``members`` and ``regs`` of rows (``id``, ``text``) whose set has the fingerprints asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            hashes, first = shingle_sets(batch.column("text"))
+            hashes, first = shingle_sets(batch.column("text"), size)
             one, two = prints(hashes, first)
             regs = registers(hashes, first)
             keep = (one == batch.column("f1").to_numpy()) & (two == batch.column("f2").to_numpy())
@@ -189,6 +208,7 @@ def _full_sets(rows: DataFrame) -> DataFrame:
                     "regs": pa.array([regs[i].tobytes() for i in at], pa.binary()),
                 }
             )
+        give_back()
 
     return rows.select("id", "text", "f1", "f2").mapInArrow(run, "id long, f1 long, f2 long, n long, members binary, regs binary")
 
@@ -197,37 +217,85 @@ def _registers_of(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), REGISTERS)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _side(sets: DataFrame, side: str, *columns: str) -> DataFrame:
+    return sets.select(F.col("id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, alike: tuple[int, int]) -> DataFrame:
     """Of pairs (``a``, ``b``) those that are similar: first by the estimate of their registers, then on the full sets."""
 
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = SIMILAR[0] / SIMILAR[1]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-                regs = [_registers_of(batch.column(c)) for c in ("regs_a", "regs_b")]
-                near = estimate(*regs, n_a, n_b) >= low - MARGIN
-                near &= np.minimum(n_a, n_b) * SIMILAR[1] >= np.maximum(n_a, n_b) * SIMILAR[0]
+                sizes = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
+                near = likely(*[_registers_of(batch.column(c)) for c in ("regs_a", "regs_b")], *sizes, alike)
                 yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(near)) for c in ("a", "b")], ["a", "b"])
+        give_back()
+
+    both = pairs.join(_side(sets, "a", "n", "regs"), "a").join(_side(sets, "b", "n", "regs"), "b")
+    return _exact(both.mapInArrow(run, "a long, b long"), sets, alike)
+
 
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _exact(pairs: DataFrame, sets: DataFrame, alike: tuple[int, int]) -> DataFrame:
+    """Of pairs (``a``, ``b``) those whose full sets are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("members_a"), batch.column("members_b")):
                 x, y = (np.frombuffer(m.as_buffer(), np.uint64) for m in (x, y))
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                keep.append(bool(similar(np.count_nonzero(y[at] == x), len(x), len(y))))
+                keep.append(bool(similar(np.count_nonzero(y[at] == x), len(x), len(y), alike)))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], ["a", "b"])
+        give_back()
 
-    def of(side: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
+    return pairs.join(_side(sets, "a", "members"), "a").join(_side(sets, "b", "members"), "b").mapInArrow(run, "a long, b long")
 
-    near = pairs.join(of("a", "n", "regs"), "a").join(of("b", "n", "regs"), "b").mapInArrow(likely, "a long, b long")
-    return near.join(of("a", "members"), "a").join(of("b", "members"), "b").mapInArrow(exact, "a long, b long")
 
+def _likely_in_buckets(rows: DataFrame, sets: DataFrame, alike: tuple[int, int]) -> DataFrame:
+    """Pairs (``a`` < ``b``) of members of one bucket, of different components, that are likely similar.
 
-def _links_in_chunks(batch: pa.Table) -> Iterator[tuple[int, int]]:
+    ``rows``: ``key``, ``id``, ``component`` of buckets of at most ``SMALL`` members. A bucket's members come to one task one after
+    the other, each with its registers; pairs are made there, an offset at a time for all buckets of a batch.
+    """
+
+    def pairs_of(rows: pa.Table) -> pa.RecordBatch:
+        key, ids, comps, n = (rows[c].to_numpy() for c in ("key", "id", "component", "n"))
+        regs = _registers_of(rows["regs"])
+        found = [np.zeros((0, 2), np.int64)]
+        for step in range(1, len(key)):
+            same = np.flatnonzero(key[step:] == key[:-step])
+            if not len(same):
+                break
+            same = same[comps[same] != comps[same + step]]
+            if len(same):
+                same = same[likely(regs[same], regs[same + step], n[same], n[same + step], alike)]
+                found.append(np.sort(np.column_stack([ids[same], ids[same + step]]), axis=1))
+        both = np.unique(np.concatenate(found), axis=0)
+        return pa.record_batch({"a": pa.array(both[:, 0]), "b": pa.array(both[:, 1])})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            key = held["key"].to_numpy()
+            whole = int(np.searchsorted(key, key[-1]))  # the last bucket may go on in the next batch
+            if whole:
+                yield pairs_of(held.slice(0, whole))
+                held = held.slice(whole)
+        if held is not None:
+            yield pairs_of(held)
+        give_back()
+
+    members = rows.select("key", "id", "component").join(sets.select("id", "n", "regs"), "id").repartition("key")
+    ordered = members.sortWithinPartitions("key", "id").select("key", "id", "component", "n", "regs")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
+
+
+def _links_in_chunks(batch: pa.Table, alike: tuple[int, int]) -> Iterator[tuple[int, int]]:
     """Links between members of different components in one task's share of a bucket; one per pair of components at most."""
     ids, comps = batch["id"].to_numpy(), batch["component"].to_numpy()
     sides = batch["side"].to_numpy()
@@ -253,7 +321,7 @@ def _links_in_chunks(batch: pa.Table) -> Iterator[tuple[int, int]]:
         own = code[first[i] : first[i] + sizes[i]]
         spans = [by_value[ends[c] : ends[c + 1]] for c in own.tolist()]
         common = np.bincount(owner[np.concatenate(spans)], minlength=len(sets))
-        near = similar(common, sizes[i], sizes) & (comps != comps[i])
+        near = similar(common, sizes[i], sizes, alike) & (comps != comps[i])
         if sides[i] in (0, 1):  # the two chunks of a task are compared with each other only
             near &= sides != sides[i]
         for k in np.flatnonzero(near):
@@ -263,13 +331,14 @@ def _links_in_chunks(batch: pa.Table) -> Iterator[tuple[int, int]]:
                 yield int(ids[i]), int(ids[k])
 
 
-def _large_buckets(buckets: DataFrame, sizes: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+def _large_buckets(rows: DataFrame, sets: DataFrame, alike: tuple[int, int]) -> DataFrame:
     """Links between different components of buckets with more than ``SMALL`` members.
 
-    A bucket is dealt into chunks of about ``CHUNK`` members, and every two chunks (or one by itself) meet in a task.
+    ``rows``: ``key``, ``id``, ``component``, ``n``. A bucket is dealt into chunks of about ``CHUNK`` members or ``CHUNK_BYTES`` of full
+    sets, whichever are more, and every two chunks (or one by itself) meet in a task.
     """
-    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-    rows = buckets.join(sizes.withColumn("chunks", chunks), "key").join(comps, "id")
+    chunks = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") * 8 / CHUNK_BYTES)).cast("int")
+    rows = rows.join(rows.groupBy("key").agg(chunks.alias("chunks")).hint("merge"), "key")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
@@ -279,14 +348,23 @@ def _large_buckets(buckets: DataFrame, sizes: DataFrame, comps: DataFrame, sets:
     group = F.when(F.col("low") == F.col("high"), F.concat_ws(":", "key", "low")).otherwise(F.concat_ws(":", "key", "low", "high"))
 
     def run(table: pa.Table) -> pa.Table:
-        found = list(_links_in_chunks(table))
+        found = list(_links_in_chunks(table, alike))
+        give_back()
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
     return rows.withColumn("group", group).groupBy("group").applyInArrow(run, "a long, b long")
 
 
 def _linked(
-    rows: DataFrame, key: list[str], leaders: DataFrame, keyed: DataFrame, again: bool, path: str, tied: DataFrame | None = None
+    rows: DataFrame,
+    key: list[str],
+    leaders: DataFrame,
+    keyed: DataFrame,
+    again: bool,
+    path: str,
+    size: int,
+    alike: tuple[int, int],
+    tied: DataFrame | None = None,
 ) -> DataFrame:
     """``node`` and ``component`` of classes of equal sets that are linked with others.
 
@@ -304,7 +382,7 @@ def _linked(
     buckets = read(f"{path}/buckets")
 
     wanted = buckets.select("id").distinct().join(leaders, "id")
-    _full_sets(rows.join(wanted, key)).write.parquet(f"{path}/sets")
+    _full_sets(rows.join(wanted, key), size).write.parquet(f"{path}/sets")
     sets = read(f"{path}/sets")
     if again:
         sets = sets.groupBy("id", "f1", "f2", "n").agg(F.first("members").alias("members"), F.first("regs").alias("regs"))
@@ -312,7 +390,7 @@ def _linked(
     # First round: every class and the pivot of its largest bucket.
     largest = F.max_by("pivot", F.struct("size", "key")).alias("b")
     buckets.filter("id <> pivot").groupBy(F.col("id").alias("a")).agg(largest).write.parquet(f"{path}/pairs-1")
-    _confirmed(read(f"{path}/pairs-1"), sets).write.parquet(f"{path}/links-1")
+    _confirmed(read(f"{path}/pairs-1"), sets, alike).write.parquet(f"{path}/links-1")
     links = read(f"{path}/links-1") if tied is None else read(f"{path}/links-1").unionByName(tied)
     components(spark, links).write.parquet(f"{path}/components-1")
 
@@ -320,27 +398,22 @@ def _linked(
     placed = _mixed(buckets, read(f"{path}/components-1"))
     pairs = placed.filter("component <> pivot_component").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     pairs = pairs.join(read(f"{path}/pairs-1"), ["a", "b"], "left_anti")
-    _confirmed(pairs, sets).write.parquet(f"{path}/links-2")
+    _confirmed(pairs, sets, alike).write.parquet(f"{path}/links-2")
     components(spark, _and_links(read(f"{path}/components-1"), read(f"{path}/links-2"))).write.parquet(f"{path}/components-2")
 
     # Third round: all other pairs of different components.
     _mixed(buckets.filter("size > 2"), read(f"{path}/components-2")).write.parquet(f"{path}/open")
     open_rows = read(f"{path}/open")
     few = open_rows.filter(F.col("members") <= SMALL).filter("id <> pivot")
-    left = few.select("key", F.col("id").alias("a"), F.col("component").alias("comp_a"), F.col("n").alias("n_a"))
-    right = few.select("key", F.col("id").alias("b"), F.col("component").alias("comp_b"), F.col("n").alias("n_b"))
-    part, whole = SIMILAR
-    sizes_allow = F.least("n_a", "n_b") * whole >= F.greatest("n_a", "n_b") * part
-    pairs = left.join(right, "key").filter(F.expr("a < b AND comp_a <> comp_b") & sizes_allow).select("a", "b").distinct()
-    many = open_rows.filter(F.col("members") > SMALL)
-    sizes = many.select("key", F.col("members").alias("size")).distinct()
-    more = _large_buckets(many.select("key", "id"), sizes, many.select("id", "component").distinct(), sets)
-    _confirmed(pairs, sets).unionByName(more).write.parquet(f"{path}/links-3")
+    _likely_in_buckets(few, sets, alike).write.parquet(f"{path}/pairs-3")
+    many = open_rows.filter(F.col("members") > SMALL).select("key", "id", "component", "n")
+    links = _exact(read(f"{path}/pairs-3"), sets, alike).unionByName(_large_buckets(many, sets, alike))
+    links.write.parquet(f"{path}/links-3")
     components(spark, _and_links(read(f"{path}/components-2"), read(f"{path}/links-3"))).write.parquet(f"{path}/components-3")
     return read(f"{path}/components-3")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, alike: tuple[int, int] = SIMILAR) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (the smallest doc_id reachable over links) and ``kept`` of every row.
 
     ``docs``: ``doc_id``, ``text``; other columns are not read. Texts without words, null ones too, are linked with nothing. Rows
@@ -352,7 +425,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     read = spark.read.parquet
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    _sketches(rows).write.parquet(f"{path}/sketches")
+    _sketches(rows, size).write.parquet(f"{path}/sketches")
     sketches = read(f"{path}/sketches")
     sound = sketches.filter("n > 0 AND doc_id IS NOT NULL")
     classes = sound.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id"))
@@ -370,7 +443,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     several = members.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("c")).filter("b < c")
     same_id = members.join(several, "doc_id").select(F.col("id").alias("a"), "b")
 
-    last = _linked(rows, ["doc_id"], leaders.withColumn("doc_id", F.col("id")), keyed, again, path, same_id)
+    last = _linked(rows, ["doc_id"], leaders.withColumn("doc_id", F.col("id")), keyed, again, path, size, alike, same_id)
     last = last.select(F.col("node").alias("id"), "component")
     own = members.select("doc_id", "id").groupBy("doc_id").agg(F.min("id").alias("id"))
     placed = own.join(last, "id", "left").select(
@@ -407,28 +480,35 @@ def _repeats(sketches: DataFrame) -> bool:
     return bool(sketches.groupBy("doc_id", "f1", "f2").agg(F.count("*").alias("n")).filter("n > 1").take(1))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, size: int = SHINGLE, alike: tuple[int, int] = SIMILAR) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay: one of each group of near-duplicates by op7's contract.
 
     That contract takes ids for documents: of several rows with the same id the least one stays, whatever its text, and rows
     without an id all stay. Where ids may be null or repeated, see ``one_of_each_text``. Only rows that may have to go are shuffled.
     """
     path = work_path(docs.sparkSession, "near-duplicates-kept")
-    near_duplicates(docs).filter("NOT kept").select(F.xxhash64("doc_id").alias("drop_key")).write.parquet(path)
+    near_duplicates(docs, size, alike).filter("NOT kept").select(F.xxhash64("doc_id").alias("key")).write.parquet(path)
     gone = docs.sparkSession.read.parquet(path)
-    rows = docs.withColumn("drop_key", F.xxhash64(F.col("doc_id").cast("long")))
-    kept = unlisted(rows, "drop_key", gone).drop("drop_key")
-    ids = docs.select(F.col("doc_id").cast("long").alias("again")).filter("again IS NOT NULL")
-    again = ids.groupBy("again").agg(F.count("*").alias("n")).filter("n > 1").select("again")
+    rows = _wrapped(docs, F.col("doc_id").cast("long").alias("own"), F.xxhash64(F.col("doc_id").cast("long")).alias("key"))
+    kept = unlisted(rows, "key", gone)
+    again = rows.filter("own IS NOT NULL").groupBy("own").agg(F.count("*").alias("n")).filter("n > 1").select("own")
     if not again.take(1):
-        return kept
-    id_ = F.col("doc_id").cast("long")
-    several = kept.join(again, id_ == F.col("again"), "left_semi")
-    least = several.groupBy(id_.alias("k")).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return kept.join(again, id_ == F.col("again"), "left_anti").unionByName(least)
+        return kept.select("doc.*")
+    least = _least(kept.join(again, "own", "left_semi"), ["own"])
+    return kept.join(again, "own", "left_anti").select("doc").unionByName(least).select("doc.*")
+
+
+def _wrapped(docs: DataFrame, *keys: Column) -> DataFrame:
+    """The rows as a struct ``doc`` beside ``keys``, so that no name among their columns can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *keys)
+
+
+def _least(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``doc`` of one row for each key: the least as JSON, which columns of any type can be written as."""
+    return rows.groupBy(*by).agg(F.min_by("doc", F.to_json("doc")).alias("doc")).select("doc")
 
 
-def one_of_each_text(docs: DataFrame) -> DataFrame:
+def one_of_each_text(docs: DataFrame, size: int = SHINGLE, alike: tuple[int, int] = SIMILAR) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay: one of each group of near-duplicate texts, whatever the ids are.
 
     Texts alone are linked: rows with the same id and different texts have nothing to do with each other, and rows without an id
@@ -441,11 +521,11 @@ def one_of_each_text(docs: DataFrame) -> DataFrame:
     known_by, id_ = ["row_key", "row_check"], F.col("doc_id").cast("long")
     keys = [F.xxhash64(id_, "text").alias("row_key"), F.xxhash64(F.lit("check"), id_, "text").alias("row_check")]
     rows = docs.select(id_.alias("doc_id"), "text", *keys)
-    _sketches(rows).write.parquet(f"{path}/sketches")
+    _sketches(rows, size).write.parquet(f"{path}/sketches")
     sound = read(f"{path}/sketches").filter("n > 0")
 
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *known_by)).alias("first")
-    classes = sound.groupBy("f1", "f2", "n").agg(first, F.count("*").alias("size"))
+    classes = sound.groupBy("f1", "f2", "n").agg(first, F.count("*").alias("rows"))
     # Numbered when stored, so that classes are told apart by all bits of their fingerprints.
     classes.withColumn("id", F.monotonically_increasing_id()).write.parquet(f"{path}/classes")
     classes = read(f"{path}/classes")
@@ -457,10 +537,10 @@ def one_of_each_text(docs: DataFrame) -> DataFrame:
     again = bool(repeated.take(1))
     if again:
         keyed = keyed.groupBy("id").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
-    linked = _linked(rows.select("text", *known_by), known_by, leaders, keyed, again, path).withColumnRenamed("node", "id")
+    linked = _linked(rows.select("text", *known_by), known_by, leaders, keyed, again, path, size, alike).withColumnRenamed("node", "id")
 
     placed = classes.join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    stays = placed.groupBy("component").agg(F.min("first").alias("stays"), F.sum("size").alias("rows")).filter("rows > 1")
+    stays = placed.groupBy("component").agg(F.min("first").alias("stays"), F.sum("rows").alias("rows")).filter("rows > 1")
     judged = placed.join(stays, "component").select("f1", "f2", "n", *(F.col(f"stays.{c}").alias(f"stays_{c}") for c in known_by))
     other = (F.col("row_key") != F.col("stays_row_key")) | (F.col("row_check") != F.col("stays_row_check"))
     gone = sound.select(*known_by, "f1", "f2", "n").join(judged, ["f1", "f2", "n"]).filter(other).select(*known_by).distinct()
@@ -468,12 +548,11 @@ def one_of_each_text(docs: DataFrame) -> DataFrame:
     gone = read(f"{path}/gone")
 
     known = key_filter(gone, "row_key")
-    marked = docs.withColumns(dict(zip(known_by, keys)))
+    marked = _wrapped(docs, *keys)
     maybe = filtered(marked, "row_key", known).join(gone, known_by, "left_anti").select(*marked.columns)
     kept = filtered(marked, "row_key", known, hit=False).unionByName(maybe)
     if not again:
-        return kept.drop(*known_by)
+        return kept.select("doc.*")
     # The same id and text several times.
-    several = kept.join(repeated, known_by, "left_semi")
-    least = several.groupBy(*known_by).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return kept.join(repeated, known_by, "left_anti").select(*docs.columns).unionByName(least)
+    least = _least(kept.join(repeated, known_by, "left_semi"), known_by)
+    return kept.join(repeated, known_by, "left_anti").select("doc").unionByName(least).select("doc.*")

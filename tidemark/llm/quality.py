@@ -273,7 +273,10 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
 
 
 def keep(docs: DataFrame, machine: Machine) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose score reaches ``THRESHOLD``. One scan, no shuffle."""
+    """The rows of ``docs``, with all their columns, whose score reaches ``THRESHOLD``. One scan, no shuffle.
+
+    Null and empty texts are scored like any other (alike), ids do not matter, repeated rows stay or go together, an empty table stays empty.
+    """
     chars = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(0).cast("long")
     width, at = len(docs.columns), docs.columns.index("text")
     numbered = docs.toDF(*(f"c{i}" for i in range(width)))
@@ -283,5 +286,6 @@ def keep(docs: DataFrame, machine: Machine) -> DataFrame:
         for batch in pieces(batches, f"c{at}"):
             seen = pa.record_batch({"text": batch.column(at), "n_chars": batch.column(width)})
             yield batch.filter(pa.array(machine.score(features(seen)) >= THRESHOLD)).select(range(width))
+        give_back()
 
     return rows.mapInArrow(run, numbered.schema).toDF(*docs.columns)
