@@ -102,3 +102,12 @@ def test_events_without_an_id_stay_and_stay_once(spark):
     ]
     for _ in range(2):
         assert refine_clickstream(raw, silver).count() == 0
+
+
+def test_events_without_an_id_are_stored_once_by_every_checkpoint(spark, folder):
+    raw = bronze(spark, [*FIRST, event(None, 0, 5), event(None, 0, 6), event(None, 1, 5)])
+    raw.write.parquet(f"{folder}/bronze")
+    for run in range(3):
+        stream = spark.readStream.schema(BRONZE_SCHEMA).parquet(f"{folder}/bronze")
+        refine_clickstream_stream(spark, stream, f"{folder}/silver", f"{folder}/checkpoint-{run}").awaitTermination()
+        assert spark.read.parquet(f"{folder}/silver").count() == 5

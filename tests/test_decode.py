@@ -21,7 +21,7 @@ BULK = settings(
 
 
 def wire(unscaled: int) -> str:
-    size = max(1, (unscaled.bit_length() + 8) // 8)
+    size = ((unscaled if unscaled >= 0 else ~unscaled).bit_length() + 8) // 8
     return base64.b64encode(unscaled.to_bytes(size, "big", signed=True)).decode()
 
 

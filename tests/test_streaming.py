@@ -9,15 +9,24 @@ from tidemark.operators.checks import CHECKS
 from tidemark.plans.marts import build_marts, build_staging
 from tidemark.plans.run import ChecksFailed, run_lakehouse, silver_table
 from tidemark.schemas import BRONZE_SCHEMA, CLICK_SILVER_SCHEMA, CLICK_TOPIC, ORDERS, TOPICS, USERS
-from tidemark.sources import read_topic
-from tidemark.streaming import apply_cdc_stream, land_topic, land_topics, stage_counts, write_stream
+from tidemark.sources import bronze_table, read_bronze, read_topic, stream_bronze
+from tidemark.sources.progress import Marks, Progress
+from tidemark.streaming import (
+    apply_cdc_stream,
+    compact_state,
+    deliveries,
+    first_deliveries,
+    keep_state,
+    land_topic,
+    land_topics,
+    read_state,
+    stage_counts,
+    write_stream,
+)
+from tidemark.streaming.apply import refresh_table
 from workloads import stores
 
 
-def read_bronze(spark, path):
-    return spark.read.schema(BRONZE_SCHEMA).parquet(path)
-
-
 def test_topic_options(spark):
     with pytest.raises(ValueError, match="servers"):
         read_topic(spark, "t")
@@ -116,6 +125,7 @@ def test_whole_run_twice(spark, folder):
         "relationships_stg_order_items_order_id",
         "relationships_stg_payments_order_id",
     ]
+    assert result.changes["clickstream"]["inserted"] == stores.silver(spark, SMALL, "clickstream").count()
     counts = {name: df.count() for name, df in result.marts.items()}
     with pytest.raises(ChecksFailed, match="2 checks failed"):
         run_lakehouse(spark, topics(), folder, **span)
@@ -134,3 +144,96 @@ def test_another_bucket_count_is_refused(spark, folder):
     assert SnapshotTable(spark, folder, schema, buckets=4).read().count() == 20
     with pytest.raises(ValueError, match="4 buckets"):
         SnapshotTable(spark, folder, schema, buckets=8).read()
+
+
+def test_raw_tables_are_laid_out_by_day(spark, folder):
+    """The days before the last refresh are neither listed nor read by the next one."""
+    inbox, raw = f"{folder}/inbox", f"{folder}/raw"
+    users = spark.read.parquet(stores.topic_path(spark, SMALL, USERS.topic))
+    progress, target = Progress(spark, f"{folder}/progress"), silver_table(spark, folder, USERS, buckets=4)
+    assert progress.read() is None
+    for day in (1, 2):
+        users.filter(F.col("offset") % 2 == day % 2).write.mode("append").parquet(inbox)
+        stream = read_topic(spark, USERS.topic, fmt="parquet", path=inbox)
+        land_topic(stream, raw, f"{folder}/cp", ingested_at=F.lit(f"2025-01-0{day} 10:00:00").cast("timestamp")).awaitTermination()
+        fresh = (progress.read() or Marks()).rows_after(bronze_table(spark, raw))
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        days = {str(r[0]) for r in fresh.select("ingest_date").distinct().collect()}
+        if day == 2:
+            assert "PartitionFilters: [((ingest_date" in plan or "PartitionFilters: [(ingest_date" in plan
+            assert days == {"2025-01-02"}
+        result = refresh_table(bronze_table(spark, raw), USERS, target, progress)
+        assert result["inserted"] + result["updated"] > 0
+        assert progress.read().day == date(2025, 1, day)
+        assert refresh_table(bronze_table(spark, raw), USERS, target, progress) == {"inserted": 0, "updated": 0, "deleted": 0}
+    assert target.read().count() == stores.silver(spark, SMALL, "users").count()
+    assert read_bronze(spark, raw, since=date(2025, 1, 2)).count() < read_bronze(spark, raw).count() == users.count()
+    assert read_bronze(spark, raw).schema.names == BRONZE_SCHEMA.names
+
+
+def test_marks_are_those_of_the_stored_rows_where_none_are_kept(spark, folder):
+    from tidemark.streaming.apply import known_marks
+
+    target = silver_table(spark, folder, USERS, buckets=4)
+    raw = stores.bronze_of(spark, SMALL, "users")
+    assert known_marks(Progress(spark, f"{folder}/p"), target) == Marks()
+    refresh_table(raw, USERS, target)
+    assert known_marks(Progress(spark, f"{folder}/p"), target) == known_marks(None, target) != Marks()
+    assert refresh_table(raw, USERS, target, Progress(spark, f"{folder}/p")) == {"inserted": 0, "updated": 0, "deleted": 0}
+
+
+def test_a_backlog_comes_in_pieces(spark, folder):
+    users = spark.read.parquet(stores.topic_path(spark, SMALL, USERS.topic))
+    users.repartition(5).write.parquet(f"{folder}/inbox")
+    stream = read_topic(spark, USERS.topic, fmt="parquet", path=f"{folder}/inbox", limit=2)
+    query = land_topic(stream, f"{folder}/raw", f"{folder}/cp")
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
+    assert read_bronze(spark, f"{folder}/raw").count() == users.count()
+
+
+def test_state_survives_a_restart(spark, folder):
+    """State from a checkpoint goes on; another checkpoint reads everything again and changes nothing."""
+    orders = stores.bronze_of(spark, SMALL, "orders")
+    raw, out = f"{folder}/raw", f"{folder}/state"
+    target = silver_table(spark, folder, ORDERS, buckets=4)
+    for low, high in ((0, 1), (1, 3), (3, 8)):
+        part = orders.filter((F.col("offset") % 8 >= low) & (F.col("offset") % 8 < high))
+        part.write.mode("append").parquet(raw)
+        refresh_table(part, ORDERS, target)
+        query = keep_state(spark.readStream.schema(BRONZE_SCHEMA).parquet(raw), ORDERS, out, f"{folder}/cp")
+        query.awaitTermination()
+        assert sorted(map(tuple, read_state(spark, out, ORDERS).collect())) == sorted(map(tuple, target.read().collect()))
+        keys = part.filter("value IS NOT NULL").select("key").distinct().count()
+        assert spark.read.parquet(f"{out}/query={query.id}/batch={query.lastProgress['batchId']}").count() <= keys
+    state = sorted(map(tuple, target.read().collect()))
+    keep_state(spark.readStream.schema(BRONZE_SCHEMA).parquet(raw), ORDERS, out, f"{folder}/cp2").awaitTermination()
+    assert sorted(map(tuple, read_state(spark, out, ORDERS).collect())) == state
+    assert compact_state(spark, out, f"{folder}/compact", ORDERS) > 0
+    assert sorted(map(tuple, read_state(spark, f"{folder}/compact", ORDERS).collect())) == state
+    assert read_state(spark, f"{folder}/nothing", ORDERS).count() == 0
+
+
+def test_first_deliveries_keep_bounded_state(spark, folder, at):
+    import json
+
+    def event(id_, hour, offset):
+        body = {"event_id": id_, "user_id": 1, "event_type": "search", "timestamp": "2024-01-01T10:00:00Z"}
+        return (None, json.dumps(body), CLICK_TOPIC, 0, offset, at(hour), at(hour))
+
+    arrivals = [
+        [event("a", 1, 0), event("b", 5, 1), event(None, 5, 2), event(None, 5, 3), event("b", 5, 4)],
+        [event("b", 6, 5), event("c", 6, 6), event(None, 6, 7)],
+        [event("a", 1, 8), event("d", 2, 9), event("e", 20, 10)],  # two too late, one of them never seen before
+        [event("b", 20, 11), event("e", 21, 12)],  # "b" is forgotten by now
+    ]
+    seen = []
+    for rows in arrivals:
+        spark.createDataFrame(rows, BRONZE_SCHEMA).write.mode("append").parquet(f"{folder}/raw")
+        stream = spark.readStream.schema(BRONZE_SCHEMA).parquet(f"{folder}/raw")
+        query = write_stream(first_deliveries(stream, "3 hours"), f"{folder}/out", f"{folder}/cp")
+        query.awaitTermination()
+        seen.append(tuple(deliveries(query).values()))
+    assert seen == [(5, 1, 0), (3, 1, 0), (3, 0, 2), (2, 1, 0)]
+    stored = spark.read.schema(CLICK_SILVER_SCHEMA).parquet(f"{folder}/out").collect()
+    assert sorted(r.event_id or "-" for r in stored) == ["-", "-", "-", "a", "b", "b", "c", "e"]

@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators.checks import CHECKS, run_suite
 from tidemark.plans.marts import FIRST_DAY, LAST_DAY, MARTS, build_marts, build_staging, write_marts
 from tidemark.plans.run import ChecksFailed, read_silver, refresh_silver, run_lakehouse
-from tidemark.schemas import BRONZE_SCHEMA, TOPICS
+from tidemark.schemas import TOPICS
 from tidemark.session import configure
+from tidemark.sources.bronze import bronze_table
 from tidemark.sources.export import export_tables
 from tidemark.sources.tables import read_table
 from tidemark.sources.topics import read_topic
@@ -63,7 +64,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         case "land":
             land_topics(topics(spark, args), bronze)
         case "silver":
-            raw = {t: read_table(spark, f"{bronze}/{t}", schema=BRONZE_SCHEMA) for t in TOPICS}
+            raw = {t: bronze_table(spark, f"{bronze}/{t}") for t in TOPICS}
             for name, changes in refresh_silver(spark, raw, silver, args.buckets).items():
                 print(name, changes)
         case "gold":

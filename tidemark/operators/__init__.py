@@ -3,9 +3,8 @@ from tidemark.operators.changes import (
     decode_columns,
     latest_changes,
     latest_per_key,
-    merge_changes,
-    merge_metrics,
     parse_envelope,
+    parse_messages,
     reject_counts,
     rejects,
     split_changes,
@@ -21,12 +20,11 @@ __all__ = [
     "high_water",
     "latest_changes",
     "latest_per_key",
-    "merge_changes",
-    "merge_metrics",
     "new_rows",
     "not_null",
     "parse_clicks",
     "parse_envelope",
+    "parse_messages",
     "refine_clickstream",
     "reject_counts",
     "rejects",

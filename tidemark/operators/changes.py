@@ -1,11 +1,11 @@
-"""Change-data-capture: envelopes, latest state per key, merges and version history."""
+"""Change-data-capture: envelopes, what cannot be applied, latest state per key, merges and version history."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,17 +13,22 @@ from tidemark.functions.decode import decode_field
 from tidemark.schemas import CHANGED_AT, DELETED, LINEAGE, Field, TableSpec
 
 KEY = "row_key"
-ORDER = ("offset", "partition")
-# Offsets covered by one slice of a key's history, hence the most rows of one key and topic partition that meet in one task.
-HISTORY_SLICE = 2_000_000
+# The order of a key's changes: time between partitions; inside one it does not go backwards, so the offset decides there.
+POSITION = ("timestamp", "partition", "offset")
+# Seconds covered by one slice of a key's history: the rows of a key that meet in one task.
+HISTORY_SLICE = 86_400
 
 
-def parse_envelope(bronze: DataFrame, spec: TableSpec, before: Sequence[str] | None = None) -> DataFrame:
-    """Raw change messages -> ``row_key, op, before, after, partition, offset, timestamp``.
+# Why a raw message is not applied, in the order the reasons are looked for.
+REJECTS = ("tombstone", "malformed", "no_payload", "no_key")
+
+
+def parse_messages(bronze: DataFrame, spec: TableSpec, before: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw change messages -> ``row_key, op, before, after, partition, offset, timestamp, reason`` and what to ``keep``.
 
     ``before`` and ``after`` hold wire text; name the columns of ``before`` that are needed to leave the rest unread.
-    The key comes from ``after`` and, for a delete, which has none, from ``before``.  Messages without a usable key
-    (tombstones, malformed text) are left out.
+    The key comes from ``after`` and, for a delete, which has none, from ``before``.  ``reason`` says why a message cannot be applied
+    and is NULL for one that can.  Keys, reasons and images come from one parse.
     """
     after = spec.wire_schema
     wanted = after.names if before is None else {spec.key, *before}
@@ -34,17 +39,30 @@ def parse_envelope(bronze: DataFrame, spec: TableSpec, before: Sequence[str] | N
             T.StructField("op", T.StringType()),
         ]
     )
-    message = F.from_json("value", T.StructType([T.StructField("payload", payload)]))
-    # Unpacked by a generator: the filter on the key would otherwise be pushed below the projection together with a
+    schema = T.StructType([T.StructField("payload", payload), T.StructField("_unread", T.StringType())])
+    message = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_unread"})
+    # Unpacked by a generator: a filter on the key or the reason would otherwise be pushed below the projection together with a
     # second copy of the parser.
-    parsed = bronze.select(F.inline(F.array(message["payload"])), "partition", "offset", "timestamp")
-    key = F.coalesce(F.col("after")[spec.key], F.col("before")[spec.key]).try_cast("bigint")
-    return parsed.select(key.alias(KEY), "op", "before", "after", "partition", "offset", "timestamp").filter(
-        F.col(KEY).isNotNull()
+    whole = F.struct(message.alias("message"), F.col("value").isNull().alias("empty"))
+    parsed = bronze.select(F.inline(F.array(whole)), "partition", "offset", "timestamp", *keep)
+    image = F.col("message.payload")
+    key = F.coalesce(image["after"][spec.key], image["before"][spec.key]).try_cast("bigint")
+    reason = (
+        F.when(F.col("empty"), REJECTS[0])
+        .when(F.col("message").isNull() | F.col("message._unread").isNotNull(), REJECTS[1])
+        .when(image.isNull(), REJECTS[2])
+        .when(key.isNull(), REJECTS[3])
     )
+    fields = [image[c].alias(c) for c in ("op", "before", "after")]
+    return parsed.select(key.alias(KEY), *fields, "partition", "offset", "timestamp", reason.alias("reason"), *keep)
+
 
+def parse_envelope(bronze: DataFrame, spec: TableSpec, before: Sequence[str] | None = None) -> DataFrame:
+    """Raw change messages that can be applied: ``row_key, op, before, after, partition, offset, timestamp``."""
+    return parse_messages(bronze, spec, before).filter("reason IS NULL").drop("reason")
 
-def latest_per_key(changes: DataFrame, key: str | Sequence[str] = KEY, order: Sequence[str] = ORDER) -> DataFrame:
+
+def latest_per_key(changes: DataFrame, key: str | Sequence[str] = KEY, order: Sequence[str] = POSITION) -> DataFrame:
     """The last row of each key in the given order.
 
     Spark applies the limit of one row per key before the shuffle as well, so a key with very many versions sends one
@@ -94,64 +112,6 @@ def split_changes(latest: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFr
     return upserts, deletes
 
 
-def _newer(change: str, stored: str) -> Column:
-    """Without message times: offsets compare inside a partition; a row that moved to another one counts as newer."""
-    partition, offset = LINEAGE
-    return (F.col(f"{change}.{offset}") > F.col(f"{stored}.{offset}")) | (
-        F.col(f"{change}.{partition}") != F.col(f"{stored}.{partition}")
-    )
-
-
-def met_keys(current: DataFrame, upserts: DataFrame, deletes: DataFrame, key: str) -> DataFrame:
-    """Stored keys that a change meets: ``key, _deleted, _applies``; at most one row per change.
-
-    Reads three columns of the stored table and may broadcast the changes, if Spark finds them small enough.
-    """
-    partition, offset = LINEAGE
-    keys = upserts.select(key, partition, offset, F.lit(False).alias("_deleted")).unionByName(
-        deletes.select(key, partition, offset, F.lit(True).alias("_deleted"))
-    )
-    stored = current.select(key, partition, offset).alias("t")
-    return stored.join(keys.alias("s"), F.col(f"t.{key}") == F.col(f"s.{key}")).select(
-        F.col(f"t.{key}").alias(key), "_deleted", _newer("s", "t").alias("_applies")
-    )
-
-
-def merge_changes(
-    current: DataFrame, upserts: DataFrame, deletes: DataFrame, key: str, met: DataFrame | None = None
-) -> DataFrame:
-    """The state after applying one set of changes, with at most one change per key.
-
-    A change older than the stored row is ignored.  Rows of this form have no message time and no delete markers, so a key
-    must not change its topic partition and a deleted one must not be replayed; ``merge_stored`` has neither limit.  Pass
-    ``met_keys`` if they are at hand.
-    """
-    met = met_keys(current, upserts, deletes, key) if met is None else met
-    gone = met.filter("_applies").select(key)
-    stale = met.filter(~F.col("_applies")).select(key)
-    kept = current.join(gone, key, "left_anti")
-    fresh = upserts.join(stale, key, "left_anti")
-    return kept.unionByName(fresh)
-
-
-def merge_metrics(
-    current: DataFrame, upserts: DataFrame, deletes: DataFrame, key: str, met: DataFrame | None = None
-) -> DataFrame:
-    """One row ``inserted, updated, deleted``: what ``merge_changes`` does to the stored rows."""
-    met = met_keys(current, upserts, deletes, key) if met is None else met
-    matched = met.select(
-        F.lit(0).alias("offered"), (~F.col("_deleted")).cast("int").alias("matched"), "_deleted", "_applies"
-    )
-    offered = upserts.select(
-        F.lit(1).alias("offered"), F.lit(0).alias("matched"), F.lit(False).alias("_deleted"), F.lit(False).alias("_applies")
-    )
-    return matched.unionByName(offered).agg(
-        (F.coalesce(F.sum("offered"), F.lit(0)) - F.coalesce(F.sum("matched"), F.lit(0))).alias("inserted"),
-        F.count_if(~F.col("_deleted") & F.col("_applies")).alias("updated"),
-        F.count_if(F.col("_deleted") & F.col("_applies")).alias("deleted"),
-    )
-
-
 def met_stored(stored: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Stored keys, deleted ones too, that a change meets: ``key, _was_live, _deleted, _applies``.
 
@@ -168,46 +128,62 @@ def met_stored(stored: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return met.select(F.col(f"t.{key}").alias(key), live.alias("_was_live"), F.col(f"s.{DELETED}").alias(DELETED), applies.alias("_applies"))
 
 
+#: What applying a change does to the rows that readers see.
+OUTCOMES = ("inserted", "updated", "deleted")
+OUTCOME = "_outcome"
+
+
+def _outcome(deleted: Column, live: Column) -> Column:
+    return F.when(~deleted & ~live, OUTCOMES[0]).when(~deleted, OUTCOMES[1]).when(live, OUTCOMES[2]).alias(OUTCOME)
+
+
+def first_load(changes: DataFrame) -> DataFrame:
+    """``typed_changes`` as the first rows of a table, with their ``_outcome``."""
+    return changes.select("*", _outcome(F.col(DELETED), F.lit(False)))
+
+
 def merge_stored(stored: DataFrame, changes: DataFrame, key: str, met: DataFrame) -> DataFrame:
-    """Stored rows after applying ``typed_changes``, at most one per key.  A deleted key stays as a marker with the position of
-    its delete, so that older messages, also of keys that moved to another partition, change nothing when applied again.
+    """Stored rows after applying ``typed_changes``, at most one per key, with the ``_outcome`` of those that are new.
+
+    A deleted key stays as a marker with the position of its delete, so that older messages, also of keys that moved to another
+    partition, change nothing when applied again.  Write the rows through ``observed`` to learn what happened from the write itself.
     """
-    kept = stored.join(met.filter("_applies").select(key), key, "left_anti")
-    fresh = changes.join(met.filter("NOT _applies").select(key), key, "left_anti")
-    return kept.unionByName(fresh)
-
-
-def stored_metrics(changes: DataFrame, met: DataFrame) -> DataFrame:
-    """One row ``inserted, updated, deleted``: what ``merge_stored`` does to the rows that readers see."""
-    offered = changes.filter(~F.col(DELETED)).select(F.lit(1).alias("inserted"), F.lit(0).alias("updated"), F.lit(0).alias("deleted"))
-    applies, live, gone = F.col("_applies"), F.col("_was_live"), F.col(DELETED)
-    matched = met.select(
-        F.when(~gone & ~(applies & ~live), -1).otherwise(0).alias("inserted"),
-        (applies & live & ~gone).cast("int").alias("updated"),
-        (applies & live & gone).cast("int").alias("deleted"),
-    )
-    return offered.unionByName(matched).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("inserted", "updated", "deleted")])
+    kept = stored.join(met.filter("_applies").select(key), key, "left_anti").withColumn(OUTCOME, F.lit(None).cast("string"))
+    known = met.select(key, "_was_live", "_applies")
+    fresh = changes.join(known, key, "left").filter(F.coalesce("_applies", F.lit(True)))
+    return kept.unionByName(fresh.select(*changes.columns, _outcome(F.col(DELETED), F.coalesce("_was_live", F.lit(False)))))
+
+
+def observed(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows without their ``_outcome``, and its counts (``inserted, updated, deleted``) once they have been written."""
+    counts = Observation()
+    return rows.observe(counts, *[F.count_if(F.col(OUTCOME) == o).alias(o) for o in OUTCOMES]).drop(OUTCOME), counts
+
+
+def chained(rows: DataFrame, key: str, time: str, order: Sequence[str], slice_seconds: int) -> DataFrame:
+    """``rows`` with ``_next``: the time of the key's next row in the given order, NULL for its last.
+
+    Every key is cut into slices of time, so that no task gets more rows of a key than came in one: rows are chained within a
+    slice, and the last one of a slice takes its end from the first row of the key's next slice.
+    """
+    sliced = rows.withColumn("_slice", F.coalesce(F.floor(F.unix_seconds(time) / slice_seconds), F.lit(-(1 << 62))))
+    within = Window.partitionBy(key, "_slice").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    sliced = sliced.withColumn("_lead", F.lead(time).over(within)).withColumn("_nth", F.row_number().over(within))
+    # The first rows of slices come from the same shuffle; a key has as many of them as slices.
+    heads = sliced.filter("_nth = 1").select(key, "_slice", F.col(time).alias("_head"))
+    following = heads.select(key, "_slice", F.lead("_head").over(Window.partitionBy(key).orderBy("_slice")).alias("_after"))
+    joined = sliced.join(following, [key, "_slice"], "left").withColumn("_next", F.coalesce("_lead", "_after"))
+    return joined.drop("_slice", "_lead", "_nth", "_after")
 
 
-def change_history(bronze: DataFrame, spec: TableSpec, slice_offsets: int = HISTORY_SLICE) -> DataFrame:
+def change_history(bronze: DataFrame, spec: TableSpec, slice_seconds: int = HISTORY_SLICE) -> DataFrame:
     """Every version of every row: typed columns, lineage, ``valid_from``, ``valid_to``, ``is_current``.
 
-    A version ends when the next change of its key arrives, be it an update or a delete.  Every key's changes are cut into
-    slices of ``slice_offsets`` offsets, so that no task gets more rows of a key than that for each topic partition: versions
-    are chained within a slice, and the last one of a slice takes its end from the first change of the key's next slice.
+    A version ends when the next change of its key comes, be it an update or a delete.  As in ``latest_changes`` the offset decides
+    inside a topic partition and the message time between partitions, time not going backwards for a key inside a partition.
     """
     changes = parse_envelope(bronze, spec, before=()).drop("before")
-    within = Window.partitionBy(KEY, "_slice").orderBy(*[F.col(c) for c in ORDER])
-    sliced = (
-        changes.withColumn("_slice", F.floor(F.col("offset") / slice_offsets))
-        .withColumn("_lead", F.lead("timestamp").over(within))
-        .withColumn("_nth", F.row_number().over(within))
-    )
-    # The first changes of slices come from the same shuffle; a key has as many of them as slices.
-    heads = sliced.filter("_nth = 1").select(KEY, "_slice", F.col("timestamp").alias("_head"))
-    following = heads.select(KEY, "_slice", F.lead("_head").over(Window.partitionBy(KEY).orderBy("_slice")).alias("_next"))
-    chained = sliced.join(following, [KEY, "_slice"], "left").withColumn("valid_to", F.coalesce("_lead", "_next"))
-    versions = chained.filter(F.col("after").isNotNull() & (F.col("op") != "d"))
+    versions = chained(changes, KEY, "timestamp", POSITION, slice_seconds).filter(F.col("after").isNotNull() & (F.col("op") != "d"))
     return decode_columns(
         versions,
         spec.fields,
@@ -216,8 +192,8 @@ def change_history(bronze: DataFrame, spec: TableSpec, slice_offsets: int = HIST
             F.col("partition").alias(LINEAGE[0]),
             F.col("offset").alias(LINEAGE[1]),
             F.col("timestamp").alias("valid_from"),
-            F.col("valid_to"),
-            F.col("valid_to").isNull().alias("is_current"),
+            F.col("_next").alias("valid_to"),
+            F.col("_next").isNull().alias("is_current"),
         ),
     )
 
@@ -240,32 +216,20 @@ def decode_failures(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-# Why a raw message is not applied, in the order the reasons are looked for.
-REJECTS = ("tombstone", "malformed", "no_payload", "no_key")
-
-
-def reject_reason(spec: TableSpec) -> Column:
-    """Why ``parse_envelope`` leaves a raw message out; NULL for one that it keeps."""
-    key = F.coalesce(
-        F.get_json_object("value", f"$.payload.after.{spec.key}"), F.get_json_object("value", f"$.payload.before.{spec.key}")
-    )
-    return (
-        F.when(F.col("value").isNull(), "tombstone")
-        .when(F.try_parse_json("value").isNull(), "malformed")
-        .when(F.get_json_object("value", "$.payload").isNull(), "no_payload")
-        .when(key.try_cast("bigint").isNull(), "no_key")
-    )
-
-
 def rejects(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     """The raw messages that are not applied, whole and with their ``reason``, to be kept or looked into."""
-    return bronze.withColumn("reason", reject_reason(spec)).filter("reason IS NOT NULL")
+    rest = [c for c in bronze.columns if c not in ("partition", "offset", "timestamp")]
+    found = parse_messages(bronze, spec, before=(), keep=rest).filter("reason IS NOT NULL")
+    return found.select(*bronze.columns, "reason")
+
+
+def reason_counts() -> list[Column]:
+    """One count for each reason, over rows that have a ``reason``."""
+    return [F.count_if(F.col("reason") == reason).alias(reason) for reason in REJECTS]
 
 
 def reject_counts(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     """How many raw messages are not applied, by reason: ``table_name, reason, messages``; reasons not met have 0."""
-    counts = bronze.select(reject_reason(spec).alias("why")).agg(
-        *[F.count_if(F.col("why") == reason).alias(reason) for reason in REJECTS]
-    )
+    counts = parse_messages(bronze, spec, before=()).agg(*reason_counts())
     lines = F.array(*[F.struct(F.lit(r).alias("reason"), F.col(r).alias("messages")) for r in REJECTS])
     return counts.select(F.inline(lines)).select(F.lit(spec.name).alias("table_name"), "reason", "messages")

@@ -6,16 +6,20 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.checks import CHECKS, run_suite
-from tidemark.operators.clicks import refine_clickstream
+from tidemark.operators.changes import reason_counts, rejects
+from tidemark.operators.clicks import high_water, refine_clickstream
 from tidemark.plans.marts import FIRST_DAY, LAST_DAY, build_marts, build_staging, write_marts
-from tidemark.schemas import BRONZE_SCHEMA, CDC_TABLES, CLICK_SILVER_SCHEMA, CLICK_TOPIC, MARKS, TableSpec
+from tidemark.schemas import CDC_TABLES, CLICK_SILVER_SCHEMA, CLICK_TOPIC, MARKS, TableSpec
 from tidemark.session import side_by_side
+from tidemark.sources.bronze import bronze_table
+from tidemark.sources.progress import Marks, Progress
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.sources.tables import read_table, table_exists
-from tidemark.streaming.apply import refresh_table
+from tidemark.streaming.apply import apply_batch, known_marks, nothing
 from tidemark.streaming.landing import land_topics
 
 
@@ -39,22 +43,62 @@ def silver_table(spark: SparkSession, folder: str, spec: TableSpec, buckets: int
     return SnapshotTable(spark, f"{folder.rstrip('/')}/{spec.name}", spec.silver_schema, spec.key, buckets, MARKS)
 
 
+def _refresh_table(spark: SparkSession, bronze: DataFrame, folder: str, spec: TableSpec, buckets: int) -> dict[str, int]:
+    """Apply what is new to one table, and keep the new messages that cannot be applied; counts of both come from the writes."""
+    target = silver_table(spark, folder, spec, buckets)
+    progress = Progress(spark, f"{folder}/_progress/{spec.name}")
+    marks = known_marks(progress, target)
+    fresh = marks.rows_after(bronze)
+    after = marks.advanced(fresh)
+    if after.offsets == marks.offsets:
+        return nothing()
+    refused = Observation()
+    reasons = reason_counts()
+    kept = f"{folder}/_rejects/{spec.name}/run={progress.next_run()}"
+    rejects(fresh, spec).observe(refused, *reasons).write.mode("overwrite").parquet(kept)
+    result = apply_batch(fresh, spec, target)
+    progress.write(after)
+    return {**result, **{reason: n for reason, n in refused.get.items() if n}}
+
+
+def _refresh_clicks(spark: SparkSession, bronze: DataFrame, folder: str) -> dict[str, int]:
+    """Append the events that are new; their counts come from the write."""
+    path = f"{folder}/clickstream"
+    progress = Progress(spark, f"{folder}/_progress/clickstream")
+    silver = None
+    if table_exists(spark, path, schema=CLICK_SILVER_SCHEMA):
+        silver = read_table(spark, path, schema=CLICK_SILVER_SCHEMA)
+    marks = progress.read()
+    if marks is None and silver is not None:
+        found = high_water(silver).collect()
+        marks = Marks({r["partition"]: r["last_offset"] for r in found if r["partition"] is not None})
+    marks = marks or Marks()
+    fresh = marks.rows_after(bronze)
+    after = marks.advanced(fresh)
+    counts = Observation()
+    unnamed = F.count_if(F.col("event_id").isNull()).alias("without_id")
+    rows = refine_clickstream(fresh, silver, {}).observe(counts, F.count(F.lit(1)).alias("inserted"), unnamed)
+    rows.write.mode("append").parquet(path)
+    progress.write(after)
+    found = counts.get
+    return {**nothing(), "inserted": found["inserted"], **({"without_id": found["without_id"]} if found["without_id"] else {})}
+
+
 def refresh_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], folder: str, buckets: int = 64) -> dict[str, dict[str, int]]:
-    """Bring every current-state table and the event table up to date; returns what changed."""
-    clicks_path = f"{folder.rstrip('/')}/clickstream"
+    """Bring every current-state table and the event table up to date; returns per table what changed and what was refused, by reason.
 
-    def clicks() -> dict[str, int]:
-        silver = None
-        if table_exists(spark, clicks_path, schema=CLICK_SILVER_SCHEMA):
-            silver = read_table(spark, clicks_path, schema=CLICK_SILVER_SCHEMA)
-        refine_clickstream(bronze[CLICK_TOPIC], silver).write.mode("append").parquet(clicks_path)
-        return {}
+    ``bronze`` holds the raw tables as ``bronze_table`` reads them: how far each has been read is kept below ``folder``, and only what
+    came in since the day of the last refresh is listed and read.  Messages that cannot be applied are kept below ``_rejects``.
+    """
+    root = folder.rstrip("/")
 
     def table(spec: TableSpec) -> Callable[[], dict[str, int]]:
-        return lambda: refresh_table(bronze[spec.topic], spec, silver_table(spark, folder, spec, buckets))
+        return lambda: _refresh_table(spark, bronze[spec.topic], root, spec, buckets)
 
-    changes = side_by_side({"clickstream": clicks, **{name: table(spec) for name, spec in CDC_TABLES.items()}})
-    return {name: changes[name] for name in CDC_TABLES}
+    changes = side_by_side(
+        {"clickstream": lambda: _refresh_clicks(spark, bronze[CLICK_TOPIC], root), **{n: table(s) for n, s in CDC_TABLES.items()}}
+    )
+    return {name: changes[name] for name in ("clickstream", *CDC_TABLES)}
 
 
 def read_silver(spark: SparkSession, folder: str, buckets: int = 64) -> dict[str, DataFrame]:
@@ -77,7 +121,7 @@ def run_lakehouse(
     """Land the topic streams, refresh the tables, rebuild the star schema and test it; stops at the first failure."""
     root = folder.rstrip("/")
     paths = land_topics(topics, f"{root}/bronze")
-    bronze = {topic: read_table(spark, path, schema=BRONZE_SCHEMA) for topic, path in paths.items()}
+    bronze = {topic: bronze_table(spark, path) for topic, path in paths.items()}
     changes = refresh_silver(spark, bronze, f"{root}/silver", buckets)
     staging = build_staging(read_silver(spark, f"{root}/silver", buckets))
     marts = write_marts(spark, build_marts(spark, staging, first, last), f"{root}/gold")

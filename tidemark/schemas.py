@@ -29,6 +29,10 @@ BRONZE_SCHEMA = T.StructType(
     ]
 )
 
+# The raw tables are laid out by the day a message came in.
+INGEST_DATE = "ingest_date"
+BRONZE_TABLE_SCHEMA = T.StructType([*BRONZE_SCHEMA.fields, T.StructField(INGEST_DATE, T.DateType())])
+
 # Lineage columns of the current-state tables: where the stored image came from.
 LINEAGE = ("_bronze_partition", "_bronze_offset")
 # Kept with the stored rows and not shown to readers: the message time of the stored image, and whether the key is deleted.

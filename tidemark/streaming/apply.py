@@ -6,30 +6,32 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.changes import latest_changes, merge_stored, met_stored, stored_metrics, typed_changes
-from tidemark.operators.clicks import high_water, new_rows
+from tidemark.operators.changes import OUTCOMES, first_load, latest_changes, merge_stored, met_stored, observed, typed_changes
+from tidemark.operators.clicks import high_water
 from tidemark.schemas import TableSpec
+from tidemark.sources.progress import Marks, Progress
 from tidemark.sources.snapshots import SnapshotTable
 
-NOTHING = {"inserted": 0, "updated": 0, "deleted": 0}
 
+def nothing() -> dict[str, int]:
+    return dict.fromkeys(OUTCOMES, 0)
 
-def apply_batch(
-    bronze: DataFrame, spec: TableSpec, target: SnapshotTable, token: str | None = None, measure: bool = False
-) -> dict[str, int] | None:
-    """Apply a set of raw changes to ``target`` as one commit.
 
-    Only the latest change per key is kept, and only the buckets those keys fall into are read and rewritten.  Returns
-    ``inserted, updated, deleted`` if asked to measure.
+def apply_batch(bronze: DataFrame, spec: TableSpec, target: SnapshotTable, token: str | None = None) -> dict[str, int]:
+    """Apply a set of raw changes to ``target`` as one commit; returns ``inserted, updated, deleted``.
+
+    Only the latest change per key is kept, and only the buckets those keys fall into are read and rewritten.  What happened is
+    observed on the rows as they are written, so it costs no job of its own.
     """
     pointer = target.pointer()
     if token is not None and pointer.token == token:
-        return None
+        return nothing()
     changes = typed_changes(latest_changes(bronze, spec), spec)
     if pointer.version < 0:
         # Nothing to merge with: one pass from raw messages to stored rows.
-        target.commit(changes, None, token, pointer)
-        return {**NOTHING, "inserted": target.read().count()} if measure else None
+        rows, counts = observed(first_load(changes))
+        target.commit(rows, None, token, pointer)
+        return counts.get
     # The changes and the stored keys they meet, at most as many, are used several times; both are recomputed from the
     # raw rows should an executor be lost.
     changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
@@ -37,28 +39,44 @@ def apply_batch(
     try:
         buckets = target.touched(changes)
         if not buckets:
-            return dict(NOTHING) if measure else None
+            return nothing()
         stored = target.read_stored(buckets, pointer)
         met = met_stored(stored, changes, spec.key).persist(StorageLevel.MEMORY_AND_DISK)
-        metrics = stored_metrics(changes, met).first().asDict() if measure else None
-        target.commit(merge_stored(stored, changes, spec.key, met), buckets, token, pointer)
-        return metrics
+        rows, counts = observed(merge_stored(stored, changes, spec.key, met))
+        target.commit(rows, buckets, token, pointer)
+        return counts.get
     finally:
         changes.unpersist()
         if met is not None:
             met.unpersist()
 
 
-def refresh_table(bronze: DataFrame, spec: TableSpec, target: SnapshotTable) -> dict[str, int]:
-    """Batch form: apply what the raw table holds beyond the offsets already in ``target``.
+def refresh_table(bronze: DataFrame, spec: TableSpec, target: SnapshotTable, progress: Progress | None = None) -> dict[str, int]:
+    """Batch form: apply what the raw table holds beyond what has been applied; returns ``inserted, updated, deleted``.
 
-    A raw table grows in offset order within a topic partition and a commit takes all of it, so whatever lies below the
-    highest stored offset of its partition has been applied.  (Keys that moved to another partition leave no offset behind in
-    their old one; reading their old messages again changes nothing.)
+    A raw table grows in offset order within a topic partition and a refresh takes all of it, so whatever lies below the last
+    offset of its partition has been applied.  With ``progress`` the offsets are kept there, and a refresh reads neither earlier
+    days of the raw table nor a row of the stored one to learn them.  Without it, or before its first marks, the stored rows tell.
+    (Keys that moved to another partition leave no offset behind in their old one; reading their old messages again changes nothing.)
     """
-    if target.exists():
-        bronze = new_rows(bronze, high_water(target.read_stored()))
-    return apply_batch(bronze, spec, target, measure=True)
+    marks = known_marks(progress, target)
+    fresh = marks.rows_after(bronze)
+    after = marks.advanced(fresh) if progress else marks
+    if progress and after.offsets == marks.offsets:
+        return nothing()
+    result = apply_batch(fresh, spec, target)
+    if progress:
+        progress.write(after)
+    return result
+
+
+def known_marks(progress: Progress | None, target: SnapshotTable) -> Marks:
+    """The marks that are kept, else those that the stored rows give, else none."""
+    marks = progress.read() if progress else None
+    if marks is None and target.exists():
+        found = high_water(target.read_stored()).collect()
+        marks = Marks({r["partition"]: r["last_offset"] for r in found if r["partition"] is not None})
+    return marks or Marks()
 
 
 def apply_cdc_stream(bronze: DataFrame, spec: TableSpec, target: SnapshotTable, checkpoint: str) -> StreamingQuery:
