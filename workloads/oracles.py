@@ -194,6 +194,25 @@ state AS (
 )
 SELECT * FROM state"""
 
+# Messages that moved: the order of times is that of steps.
+_MOVED_HISTORY = """
+SELECT id, user_id, order_date, after_status AS status, CAST(total_amount AS DOUBLE) AS total_amount,
+       CAST(CASE WHEN step >= 2 THEN 3 ELSE part END AS INTEGER) AS _bronze_partition,
+       pos - CASE WHEN step >= 2 THEN 4 ELSE 0 END AS _bronze_offset, at_time AS valid_from, valid_to, valid_to IS NULL AS is_current
+FROM (SELECT *, lead(at_time) OVER (PARTITION BY id ORDER BY step) AS valid_to FROM positioned WHERE op IS NOT NULL)
+WHERE op <> 'd'"""
+
+# Two arrivals, cut at half of the greatest offset, and what applying each does.
+_HALVES = """,
+halves AS (SELECT *, CASE WHEN pos <= (SELECT max(pos) // 2 FROM positioned) THEN 1 ELSE 2 END AS half FROM positioned),
+lasts AS (SELECT id, half, arg_max(op, pos) AS op FROM halves WHERE op IS NOT NULL GROUP BY id, half),
+steps AS (SELECT *, coalesce(lag(op) OVER (PARTITION BY id ORDER BY half), 'd') AS before FROM lasts),
+done AS (
+  SELECT half, count(*) FILTER (op <> 'd' AND before = 'd') AS inserted, count(*) FILTER (op <> 'd' AND before <> 'd') AS updated,
+         count(*) FILTER (op = 'd' AND before <> 'd') AS deleted
+  FROM steps GROUP BY half
+)"""
+
 _FUNNEL_ROWS = """
 SELECT stage_no, stage, users,
        CASE WHEN first_users > 0 THEN round(CAST(users AS DOUBLE) / first_users, 6) END AS of_first,
@@ -346,6 +365,43 @@ SELECT id, user_id, order_date, after_status AS status, CAST(total_amount AS DOU
        part AS _bronze_partition, pos AS _bronze_offset, at_time AS valid_from, valid_to, valid_to IS NULL AS is_current
 FROM (SELECT *, lead(at_time) OVER (PARTITION BY id ORDER BY pos) AS valid_to FROM positioned WHERE op IS NOT NULL)
 WHERE op <> 'd'""",
+    "cdc_checkpoint_reset": LOG + _RESULT_ORDERS,
+    "cdc_stream_state": LOG + _RESULT_ORDERS,
+    "cdc_history_repartitioned": LOG + _MOVED_HISTORY,
+    "cdc_history_incremental": LOG + _MOVED_HISTORY,
+    "bronze_rate_limited": LOG
+    + """
+SELECT part AS "partition", count(*) AS messages, max(pos) AS last_offset, true AS several_batches
+FROM positioned GROUP BY part""",
+    "bronze_pruned_refresh": LOG
+    + _HALVES
+    + """
+SELECT CASE half WHEN 1 THEN '2025-01-01' ELSE '2025-01-02' END AS days_read, (SELECT count(*) FROM halves h WHERE h.half = d.half) AS messages,
+       inserted, updated, deleted
+FROM done d""",
+    "clickstream_counts": LOG
+    + _HALVES
+    + """
+SELECT CAST(half AS INTEGER) AS run, 'orders' AS table_name, inserted, updated, deleted,
+       (SELECT count(*) FROM halves h WHERE h.half = d.half AND op IS NULL) AS tombstones
+FROM done d
+UNION ALL
+SELECT CASE WHEN "timestamp" < TIMESTAMP '2024-01-16' THEN 1 ELSE 2 END, 'clickstream', count(*), 0, 0, 0 FROM d_clicks GROUP BY 1
+UNION ALL SELECT 3, unnest(['orders', 'clickstream']), 0, 0, 0, 0""",
+    "clickstream_without_id": DOMAIN
+    + """
+SELECT CASE WHEN _bronze_offset % 10 <> 3 THEN event_id END AS event_id, * EXCLUDE (event_id) FROM d_clicks""",
+    "clickstream_watermark_dedup": DOMAIN + "\nSELECT * EXCLUDE (_bronze_offset) FROM d_clicks",
+    "clickstream_watermark_counts": DOMAIN
+    + """,
+sent AS (
+  SELECT "timestamp" AS at_time, 0 AS copy, CASE WHEN "timestamp" < TIMESTAMP '2024-01-16' THEN 1 ELSE 2 END AS run FROM d_clicks
+  UNION ALL SELECT "timestamp", 1, 2 FROM d_clicks WHERE _bronze_offset % 20 = 0
+),
+mark AS (SELECT date_trunc('milliseconds', max(at_time)) - INTERVAL 5 DAY AS w FROM sent WHERE run = 1)
+SELECT CAST(run AS INTEGER) AS run, count(*) AS messages, count(*) FILTER (copy = 1 AND at_time > w) AS copies,
+       count(*) FILTER (run = 2 AND at_time <= w) AS late
+FROM sent, mark GROUP BY run""",
     "silver_users": DOMAIN
     + """
 SELECT id, name, CASE WHEN id % 10 = 3 THEN 'c' || id || '@new.example.com' ELSE email END AS email, city,

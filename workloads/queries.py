@@ -17,14 +17,20 @@ from tidemark.operators.changes import decode_failures
 from tidemark.operators.checks import CHECKS
 from tidemark.plans import questions as q
 from tidemark.plans.marts import build_marts, build_staging, write_marts
-from tidemark.plans.run import run_lakehouse, silver_table
+from tidemark.plans.run import refresh_silver, run_lakehouse, silver_table
 from tidemark.schemas import BRONZE_SCHEMA, CDC_TABLES, CLICK_SILVER_SCHEMA, CLICK_TOPIC, ORDERS, TOPICS
 from tidemark.session import configure, work_path
-from tidemark.sources import export_tables, read_table, read_topic
+from tidemark.sources import bronze_table, export_tables, read_bronze, read_table, read_topic, stream_bronze
+from tidemark.sources.progress import Marks, Progress
 from tidemark.streaming import (
+    History,
     apply_cdc_stream,
+    deliveries,
+    first_deliveries,
+    keep_state,
     land_topic,
     land_topics,
+    read_state,
     refine_clickstream_stream,
     refresh_table,
     stage_counts,
@@ -146,6 +152,40 @@ def bronze_resume(spark, sf_dir):
     )
 
 
+@query
+def bronze_rate_limited(spark, sf_dir):
+    """A backlog of six files, at most two to a micro-batch: the same rows, in more than one batch."""
+    root = work_path(spark, "backlog")
+    stores.topic_frame(spark, sf_dir, ORDERS.topic).repartition(6).write.parquet(f"{root}/inbox")
+    stream = read_topic(spark, ORDERS.topic, fmt="parquet", path=f"{root}/inbox", limit=2)
+    run = land_topic(stream, f"{root}/raw", f"{root}/checkpoint")
+    run.awaitTermination()
+    batches = len([p for p in run.recentProgress if p["numInputRows"]])
+    landed = read_bronze(spark, f"{root}/raw")
+    counts = landed.groupBy("partition").agg(F.count(F.lit(1)).alias("messages"), F.max("offset").alias("last_offset"))
+    return counts.withColumn("several_batches", F.lit(batches > 1))
+
+
+@query
+def bronze_pruned_refresh(spark, sf_dir):
+    """Two days of landing, a refresh after each: what it did, and the days whose messages it read."""
+    root = work_path(spark, "days")
+    messages = stores.topic_frame(spark, sf_dir, ORDERS.topic)
+    middle = messages.agg(F.max("offset")).first()[0] // 2
+    target, progress = silver_table(spark, f"{root}/silver", ORDERS, BUCKETS), Progress(spark, f"{root}/progress")
+    lines = []
+    for day, part in (("2025-01-01", messages.filter(F.col("offset") <= middle)), ("2025-01-02", messages.filter(F.col("offset") > middle))):
+        part.write.mode("append").parquet(f"{root}/inbox")
+        stream = read_topic(spark, ORDERS.topic, fmt="parquet", path=f"{root}/inbox")
+        land_topic(stream, f"{root}/raw", f"{root}/checkpoint", ingested_at=F.lit(day).cast("timestamp")).awaitTermination()
+        raw = bronze_table(spark, f"{root}/raw")
+        fresh = (progress.read() or Marks()).rows_after(raw)
+        days = fresh.agg(F.concat_ws(",", F.sort_array(F.collect_set(F.col("ingest_date").cast("string"))))).first()[0]
+        result = refresh_table(raw, ORDERS, target, progress)
+        lines.append((days, fresh.count(), *result.values()))
+    return spark.createDataFrame(lines, "days_read string, messages long, inserted long, updated long, deleted long")
+
+
 # -- decoding ------------------------------------------------------------------------------------------------------
 
 
@@ -263,18 +303,9 @@ def cdc_merge(spark, sf_dir):
 
 @query
 def cdc_merge_repartitioned(spark, sf_dir):
-    """From its third step on an order's messages are in another partition, at lower offsets; the first arrival comes again."""
+    """Orders whose messages move to another partition; the first arrival comes again."""
     target = silver_table(spark, work_path(spark, "silver"), ORDERS, BUCKETS)
-    moved = F.col("offset") % 8 >= 2
-    rounds = [
-        part.withColumns(
-            {
-                "partition": F.when(moved, F.lit(3)).otherwise(F.col("partition")),
-                "offset": F.when(moved, F.col("offset") - 4).otherwise(F.col("offset")),
-            }
-        )
-        for part in _rounds(spark, sf_dir)
-    ]
+    rounds = [_moved(part) for part in _rounds(spark, sf_dir)]
     for part in [*rounds, rounds[0]]:
         apply_batch(part, ORDERS, target)
     return target.read()
@@ -292,14 +323,44 @@ def cdc_replay_after_delete(spark, sf_dir):
 
 @query
 def cdc_merge_metrics(spark, sf_dir):
+    """What each of three arrivals did, as observed on the rows that were written."""
     target = silver_table(spark, work_path(spark, "silver"), ORDERS, BUCKETS)
-    lines = []
-    for number, part in enumerate(_rounds(spark, sf_dir), start=1):
-        upserts, deletes = op.split_changes(op.latest_changes(part, ORDERS), ORDERS)
-        metrics = op.merge_metrics(target.read(), upserts, deletes, ORDERS.key)
-        lines.append(metrics.select(F.lit(number).alias("arrival"), "*"))
-        apply_batch(part, ORDERS, target)
-    return reduce(DataFrame.unionByName, lines)
+    lines = [(n, *apply_batch(part, ORDERS, target).values()) for n, part in enumerate(_rounds(spark, sf_dir), start=1)]
+    return spark.createDataFrame(lines, "arrival int, inserted long, updated long, deleted long")
+
+
+@query
+def cdc_checkpoint_reset(spark, sf_dir):
+    """The streaming form with a new checkpoint for every arrival, each of which reads everything again."""
+    root = work_path(spark, "reset")
+    target = silver_table(spark, f"{root}/silver", ORDERS, BUCKETS)
+    for number, part in enumerate(_rounds(spark, sf_dir)):
+        part.write.mode("append").parquet(f"{root}/bronze")
+        changes = spark.readStream.schema(BRONZE_SCHEMA).parquet(f"{root}/bronze")
+        apply_cdc_stream(changes, ORDERS, target, f"{root}/checkpoint-{number}").awaitTermination()
+    return target.read()
+
+
+@query
+def cdc_stream_state(spark, sf_dir):
+    """The three arrivals through state that is kept per key; a batch writes the keys it changes."""
+    root = work_path(spark, "state")
+    for part in _rounds(spark, sf_dir):
+        part.write.mode("append").parquet(f"{root}/bronze")
+        changes = spark.readStream.schema(BRONZE_SCHEMA).parquet(f"{root}/bronze")
+        keep_state(changes, ORDERS, f"{root}/log", f"{root}/checkpoint").awaitTermination()
+    return read_state(spark, f"{root}/log", ORDERS)
+
+
+def _moved(part: DataFrame) -> DataFrame:
+    """From its third step on an order's messages are in another partition, at lower offsets."""
+    moved = F.col("offset") % 8 >= 2
+    return part.withColumns(
+        {
+            "partition": F.when(moved, F.lit(3)).otherwise(F.col("partition")),
+            "offset": F.when(moved, F.col("offset") - 4).otherwise(F.col("offset")),
+        }
+    )
 
 
 @query
@@ -313,8 +374,7 @@ def cdc_stream_apply(spark, sf_dir):
         messages.filter((F.col("offset") % 8 >= low) & (F.col("offset") % 8 < high)).write.mode("append").parquet(inbox)
         stream = read_topic(spark, ORDERS.topic, fmt="parquet", path=inbox)
         land_topic(stream, raw, f"{root}/landing").awaitTermination()
-        changes = spark.readStream.schema(BRONZE_SCHEMA).parquet(raw)
-        apply_cdc_stream(changes, ORDERS, target, f"{root}/applying").awaitTermination()
+        apply_cdc_stream(stream_bronze(spark, raw), ORDERS, target, f"{root}/applying").awaitTermination()
     return target.read()
 
 
@@ -323,6 +383,22 @@ def cdc_history(spark, sf_dir):
     return op.change_history(stores.bronze_of(spark, sf_dir, "orders"), ORDERS)
 
 
+@query
+def cdc_history_repartitioned(spark, sf_dir):
+    """The history of orders whose messages move to another partition."""
+    return op.change_history(_moved(stores.bronze_of(spark, sf_dir, "orders")), ORDERS)
+
+
+@query
+def cdc_history_incremental(spark, sf_dir):
+    """The same in runs: the third arrival comes before the second, whose changes fall among versions already closed, and the first again."""
+    history = History(spark, work_path(spark, "history"), ORDERS, BUCKETS)
+    first, second, third = (_moved(part) for part in _rounds(spark, sf_dir))
+    for part in (first, third, second, first):
+        history.extend(part)
+    return history.read()
+
+
 def _silver_query(name: str) -> None:
     def build(spark, sf_dir):
         spec = CDC_TABLES[name]
@@ -382,6 +458,65 @@ def clickstream_stream_dedup(spark, sf_dir):
     return read_table(spark, f"{root}/silver", schema=CLICK_SILVER_SCHEMA)
 
 
+@query
+def clickstream_without_id(spark, sf_dir):
+    """Every tenth event lost its id; three checkpoints over one raw table store the same rows."""
+    root = work_path(spark, "unnamed")
+    no_id = F.regexp_replace("value", '"event_id":"[^"]*"', '"event_id":null')
+    raw = stores.clicks(spark, sf_dir).filter(F.col("offset") < logs.REDELIVERY)
+    raw.withColumn("value", F.when(F.col("offset") % 10 == 3, no_id).otherwise(F.col("value"))).write.parquet(f"{root}/bronze")
+    for run in range(3):
+        stream = spark.readStream.schema(BRONZE_SCHEMA).parquet(f"{root}/bronze")
+        refine_clickstream_stream(spark, stream, f"{root}/silver", f"{root}/checkpoint-{run}").awaitTermination()
+    return read_table(spark, f"{root}/silver", schema=CLICK_SILVER_SCHEMA)
+
+
+def _two_runs(spark, sf_dir, delay):
+    """The two arrivals through state of ``delay``: where the events are, and what each run said of its messages."""
+    root = work_path(spark, "state")
+    raw, said = stores.clicks(spark, sf_dir), []
+    for part in (raw.filter(_first_arrival()), raw.filter(~_first_arrival())):
+        part.write.mode("append").parquet(f"{root}/bronze")
+        stream = spark.readStream.schema(BRONZE_SCHEMA).parquet(f"{root}/bronze")
+        run = write_stream(first_deliveries(stream, delay), f"{root}/silver", f"{root}/checkpoint")
+        run.awaitTermination()
+        said.append(deliveries(run))
+    return f"{root}/silver", said
+
+
+@query
+def clickstream_watermark_dedup(spark, sf_dir):
+    """First deliveries of the two arrivals, by state of five days and without a look at what is stored."""
+    path, _ = _two_runs(spark, sf_dir, "5 days")
+    # Of two deliveries in one micro-batch either may be the one that is kept.
+    return read_table(spark, path, schema=CLICK_SILVER_SCHEMA).drop("_bronze_offset")
+
+
+@query
+def clickstream_watermark_counts(spark, sf_dir):
+    """Messages read, copies recognised and messages left out for being late, by run."""
+    _, said = _two_runs(spark, sf_dir, "5 days")
+    return spark.createDataFrame([(n, *s.values()) for n, s in enumerate(said, 1)], "run int, messages long, copies long, late long")
+
+
+@query
+def clickstream_counts(spark, sf_dir):
+    """What three refreshes of all tables say of events and orders: half of the raw rows, all of them, nothing new."""
+    root = work_path(spark, "counts")
+    clicks, orders = stores.clicks(spark, sf_dir), stores.bronze_of(spark, sf_dir, "orders")
+    middle = orders.agg(F.max("offset")).first()[0] // 2
+    empty = orders.filter(F.lit(False))
+    lines = []
+    for number, (seen, upto) in enumerate([(_first_arrival(), F.col("offset") <= middle), (~_first_arrival(), F.col("offset") > middle), (None, None)], 1):
+        if seen is not None:
+            for topic, part in ((CLICK_TOPIC, clicks.filter(seen)), (ORDERS.topic, orders.filter(upto))):
+                part.write.mode("append").parquet(f"{root}/bronze/{topic}")
+        raw = {t: spark.read.schema(BRONZE_SCHEMA).parquet(f"{root}/bronze/{t}") if t in (CLICK_TOPIC, ORDERS.topic) else empty for t in TOPICS}
+        result = refresh_silver(spark, raw, f"{root}/silver", BUCKETS)
+        lines += [(number, name, *(result[name].get(c, 0) for c in ("inserted", "updated", "deleted", "tombstone"))) for name in ("clickstream", "orders")]
+    return spark.createDataFrame(lines, "run int, table_name string, inserted long, updated long, deleted long, tombstones long")
+
+
 # -- staging and star schema ---------------------------------------------------------------------------------------
 
 

@@ -45,6 +45,11 @@ def topic_path(spark: SparkSession, sf_dir: str, topic: str) -> str:
     return _once(spark, sf_dir, "topic", topic, lambda: logs.messages(spark, sf_dir, topic))
 
 
+def topic_frame(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """The messages of one topic as a table."""
+    return spark.read.parquet(topic_path(spark, sf_dir, topic))
+
+
 def topic_stream(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     return read_topic(spark, topic, fmt="parquet", path=topic_path(spark, sf_dir, topic))
 
