@@ -36,7 +36,7 @@ def top_k(spark, rows, k, every):
     topk.write_vectors(table, f"{path}/vectors")
     vectors = spark.read.parquet(f"{path}/vectors")
     topk.write_index(vectors, f"{path}/blocks")
-    found = topk.search(spark, f"{path}/blocks", vectors.filter(F.col("vec_id") % every == 0), k)
+    found = topk.search(spark, f"{path}/blocks", vectors.filter(F.col("vec_id") % every == 0), k, vectors)
     return [(r.query_id, r.rank, r.vec_id, r.score) for r in found.collect()]
 
 
@@ -46,7 +46,7 @@ def plain_top_k(rows, k, every):
     for n, (i, q) in enumerate(sound):
         if i % every == 0:
             scores = sorted((-sum(a * b for a, b in zip(q, w)), j) for m, (j, w) in enumerate(sound) if m != n)
-            out += [(i, rank, j, -s) for rank, (s, j) in enumerate(scores[:k], 1)]
+            out += [(i, rank, j, max(-(1 << 63), min((1 << 63) - 1, -s))) for rank, (s, j) in enumerate(scores[:k], 1)]
     return out
 
 
@@ -63,6 +63,18 @@ def test_top_k_with_ties_and_odd_vectors(spark, bag, monkeypatch, block):
     assert bag(top_k(spark, rows, 20, 20)) == bag(plain_top_k(rows, 20, 20))
 
 
+@pytest.mark.parametrize("large", [1e6, 6e7, 1e8, 1.5e38])
+def test_top_k_of_far_vectors(spark, bag, monkeypatch, large):
+    monkeypatch.setattr(topk, "FAR_PASS", 3)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(0, 1, 4).round(2).tolist()) for i in range(60)]
+    rows += [(100 + i, [large, -large * (i % 3), float(i), 0.5]) for i in range(8)] + [(200, [-large] * 4), (201, [large] * 4), (0, [large, 1.0])]
+    assert bag(top_k(spark, rows, 5, 4)) == bag(plain_top_k(rows, 5, 4))
+    assert bag(top_k(spark, [(0, [large, 1.0]), (1, [1e8, 1.0])], 20, 1)) == bag(plain_top_k([(0, [large, 1.0]), (1, [1e8, 1.0])], 20, 1))
+    long = [(i, [0.5] * 1500) for i in range(3)]
+    assert bag(top_k(spark, long, 2, 1)) == bag(plain_top_k(long, 2, 1))
+
+
 def test_top_k_of_few_or_no_vectors(spark):
     assert top_k(spark, [(0, [1.0]), (1, [2.0])], 20, 20) == [(0, 1, 1, 64 * 128)]
     assert top_k(spark, [(0, [1.0])], 20, 20) == []

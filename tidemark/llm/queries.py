@@ -124,7 +124,7 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     topk.write_vectors(table(spark, sf_dir, "embeddings"), f"{path}/vectors")
     vectors = spark.read.parquet(f"{path}/vectors")
     topk.write_index(vectors, f"{path}/blocks")
-    found = topk.search(spark, f"{path}/blocks", vectors.filter("vec_id % 20 = 0"), 20)
+    found = topk.search(spark, f"{path}/blocks", vectors.filter("vec_id % 20 = 0"), 20, vectors)
     return found.select("query_id", "rank", "vec_id", "score")
 
 

@@ -6,19 +6,31 @@ the greatest impact down, for many queries at once. What is left unread of a vec
 components times the query's norm, and by the next impact times the sum of the query's components. It stops as soon as these
 bounds prove that few vectors can still be among the k best; all of those are then scored exactly.
 
-Queries come in blocks of bounded size, one pass over the stored index each; a task keeps the best so far of each query, so
-later blocks start with a higher bar. Only k rows per query and task are shuffled.
+Queries come in blocks of bounded size, one pass over the stored index each, written before the next begins, so that driver and
+tasks hold one block; a task keeps the best so far of each query, so later blocks start with a higher bar. Only k rows per query
+and task are shuffled.
+
+Vectors with a component of 2^26 or more after scaling, or with more than 1,024 components, are far: products with them may not fit
+64 bits. They are kept beside the index, and every pair that has one is scored in whole numbers of any size. Scores beyond 64 bits are
+given as the nearest long, and are still ranked by their exact values.
+
+Defined cases: null ids, null and empty vectors, and vectors with null or non-finite components take no part (in columns of doubles
+also those of 2^150 and more after scaling); rows with equal ids are vectors of their own; missing components of the shorter vector
+are 0; columns but ``vec_id`` and ``embedding`` are never read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import work_path
+
 SCALE = 64
 #: Vectors to an index block.
 BLOCK = 4096
@@ -28,6 +40,10 @@ PASS, BATCH = 16_384, 256
 STEPS = 8
 #: Share of a block's vectors that may be left when adding segments ends and exact scoring begins.
 ENOUGH = 0.02
+#: Scaled components and numbers of components from which on a vector is far, and components that count as not finite.
+FAR, LONG, BEYOND = 1 << 26, 1 << 10, float(1 << 150)
+#: Digits of a score between far vectors, far queries to a pass, and the greatest long.
+DIGITS, FAR_PASS, MOST = 100, 1024, (1 << 63) - 1
 
 INDEX = (
     "rows binary, vec_ids binary, width int, matrix binary, "
@@ -36,16 +52,23 @@ INDEX = (
 
 
 def write_vectors(table: DataFrame, path: str, scale: int = SCALE) -> None:
-    """Store ``row``, ``vec_id`` and ``values``: floor(scale * x) of each component, in double precision.
+    """Store ``row``, ``vec_id`` and floor(scale * x) of each component, in double precision: as ``values``, or of far vectors as ``far``.
 
-    ``table``: ``vec_id``, ``embedding``; other columns are not read. Left out: vectors that are null or empty, hold a null or a
-    component that is not finite, or have no id. Components must stay below 2^26 after scaling, so that scores fit 64 bits.
+    ``table``: ``vec_id``, ``embedding``.
     """
     x = F.col("embedding")
-    whole = F.transform(x, lambda v: F.floor(v.cast("double") * scale).cast("long"))
-    finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < (1 << 26)))
+    whole = F.transform(x, lambda v: F.lit(float(scale)) * v.cast("double"))
+    finite = F.forall(whole, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(BEYOND)))
     rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter("vec_id IS NOT NULL")
-    rows = rows.filter((F.size(x) > 0) & finite).select("vec_id", whole.alias("values"))
+    rows = rows.filter((F.size(x) > 0) & finite).select("vec_id", whole.alias("whole"))
+    near = (F.size("whole") <= LONG) & F.forall("whole", lambda v: F.abs(v) < FAR)
+    # A double from 2^52 on is whole already, and floor would make it a long.
+    down = F.transform("whole", lambda v: F.when(F.abs(v) < F.lit(float(1 << 52)), F.floor(v).cast("double")).otherwise(v))
+    rows = rows.select(
+        "vec_id",
+        F.when(near, F.transform("whole", lambda v: F.floor(v).cast("long"))).alias("values"),
+        F.when(~near, down).alias("far"),
+    )
     rows.withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
 
 
@@ -60,7 +83,7 @@ def _matrix(values: pa.Array) -> np.ndarray:
 
 
 def write_index(vectors: DataFrame, path: str) -> None:
-    """Store the blocks of the index over vectors as written by :func:`write_vectors`; one scan, no shuffle."""
+    """Store the blocks of the index over vectors (but far ones) as written by :func:`write_vectors`; one scan, no shuffle."""
 
     def block(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(rows).combine_chunks()
@@ -101,7 +124,7 @@ def write_index(vectors: DataFrame, path: str) -> None:
         if size:
             yield block(held)
 
-    vectors.select("row", "vec_id", "values").mapInArrow(run, INDEX).write.parquet(path)
+    vectors.filter("values IS NOT NULL").select("row", "vec_id", "values").mapInArrow(run, INDEX).write.parquet(path)
 
 
 class Block:
@@ -191,36 +214,87 @@ class Best:
         self.bar[full] = self.score[last[full]]
 
 
-def search(spark: SparkSession, index_path: str, queries: DataFrame, k: int) -> DataFrame:
+def search(spark: SparkSession, index_path: str, queries: DataFrame, k: int, vectors: DataFrame | None = None) -> DataFrame:
     """``query_row``, ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: each query's k best rows but its own.
 
-    ``queries``: rows of the stored vectors. Ties go to the smaller vec_id, then to the earlier row.
+    ``queries``: rows of the stored ``vectors``, which are needed as well where some of them are far. Ties go to the smaller vec_id,
+    then to the earlier row.
     """
+    path = work_path(spark, "top-k")
     index = spark.read.parquet(index_path)
-    found = None
-    for rows, ids, values in _blocks(queries):
-        part = _pass(index, rows, ids, values, k)
-        found = part if found is None else found.unionByName(part)
-    by_query = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
+    near = queries.filter("values IS NOT NULL")
+    n = 0
+    for rows, ids, values in _blocks(near, "values", PASS):
+        _pass(index, rows, ids, _matrix(pa.array(values, pa.list_(pa.int64()))), k).write.parquet(f"{path}/near/pass={n}")
+        n += 1
+    found = spark.read.schema(FOUND).parquet(f"{path}/near")
+    order: list[Column] = [F.desc("score")]
+    if vectors is not None and vectors.filter("far IS NOT NULL").take(1):
+        far = vectors.filter("far IS NOT NULL")
+        whole = F.coalesce("far", F.col("values").cast("array<double>")).alias("whole")
+        n = 0
+        for some, among in ((near, far), (queries.filter("far IS NOT NULL"), vectors)):
+            for rows, ids, values in _blocks(some.select("row", "vec_id", whole), "whole", FAR_PASS):
+                if rows.size:
+                    _far_pass(among.select("row", "vec_id", whole), rows, ids, values, k).write.parquet(f"{path}/far/pass={n}")
+                    n += 1
+        if n:
+            digits = F.lpad(F.abs("score").cast("string"), DIGITS, "0")
+            least = F.translate(digits, "0123456789", "9876543210")
+            same = F.when(F.col("score") < 0, F.concat(F.lit("0"), least)).otherwise(F.concat(F.lit("1"), digits))
+            found = found.withColumn("exact", same).unionByName(spark.read.schema(f"{FOUND}, exact string").parquet(f"{path}/far"))
+            order = [F.desc("exact")]
+    by_query = Window.partitionBy("query_row").orderBy(*order, "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)
     return ranked.select("query_row", "query_id", "rank", "vec_id", "score")
 
 
-def _blocks(queries: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+FOUND = "query_row long, query_id long, row long, vec_id long, score long"
+
+
+def _sortable(score: int) -> str:
+    """Text in whose order whole numbers of up to ``DIGITS`` digits are."""
+    digits = str(abs(score)).zfill(DIGITS)
+    return "1" + digits if score >= 0 else "0" + digits.translate(str.maketrans("0123456789", "9876543210"))
+
+
+def _far_pass(among: DataFrame, rows: np.ndarray, ids: np.ndarray, values: list, k: int) -> DataFrame:
+    """The k best among some vectors for each of a block of queries, by whole numbers of any size."""
+    own = [[int(x) for x in v] for v in values]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[list] = [[] for _ in own]
+        for batch in batches:
+            for row, vec_id, whole in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                vector = [int(x) for x in whole]
+                for q, query in enumerate(own):
+                    if row != rows[q]:
+                        entry = (sum(a * b for a, b in zip(query, vector)), -vec_id, -row)
+                        (heapq.heappush if len(best[q]) < k else heapq.heappushpop)(best[q], entry)
+        out = [(int(rows[q]), int(ids[q]), -r, -v, max(-MOST - 1, min(MOST, s)), _sortable(s)) for q, b in enumerate(best) for s, v, r in b]
+        kinds = [pa.int64()] * 5 + [pa.string()]
+        columns = list(zip(*out)) if out else [[]] * 6
+        names = ["query_row", "query_id", "row", "vec_id", "score", "exact"]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=names)
+
+    return among.mapInArrow(run, f"{FOUND}, exact string")
+
+
+def _blocks(queries: DataFrame, column: str, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
+    """Row numbers, ids and components of the queries, ``size`` at a time; one block, perhaps empty, at least."""
     rows: list = []
     first = True
-    for r in queries.select("row", "vec_id", "values").toLocalIterator(prefetchPartitions=True):
+    for r in queries.select("row", "vec_id", column).toLocalIterator(prefetchPartitions=True):
         rows.append(r)
-        if len(rows) == PASS:
+        if len(rows) == size:
             yield _packed(rows)
             rows, first = [], False
     if rows or first:
         yield _packed(rows)
 
 
-def _packed(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    values = _matrix(pa.array([r[2] for r in rows], pa.list_(pa.int64())))
-    return np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64), values
+def _packed(rows: list) -> tuple[np.ndarray, np.ndarray, list]:
+    return np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64), [r[2] for r in rows]
 
 
 def _pass(index: DataFrame, rows: np.ndarray, ids: np.ndarray, values: np.ndarray, k: int) -> DataFrame:
