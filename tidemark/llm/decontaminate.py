@@ -1,11 +1,12 @@
 """Benchmark passages in training text, found with a positional inverted index that is spread over documents.
 
-The index is a table of segments: one row holds the terms of a few MB of documents, for each term the ascending places where
+The index is a table of segments: one row holds the terms of some MB of documents, for each term the ascending places where
 it stands, and the documents' ids and sizes. Places number the words of all documents of a segment, with a gap between
 documents, so that no match crosses from one document to the next. Building it is one scan without a shuffle; so is searching it.
 
-A search takes the benchmark's windows (n consecutive words of an item) in blocks. In each segment the window's rarest term
-there gives the candidates; the lists of its other terms, from rare to common and shifted by their offsets, are intersected
+A search takes the benchmark's windows (n consecutive words of an item) in blocks. The block's terms are looked up in a segment
+once, and only windows whose rarest term of the benchmark stands there are visited. Of those the rarest term in the segment
+gives the candidates; the lists of its other terms, from rare to common and shifted by their offsets, are intersected
 with them. Most windows end at once, as one of their terms is missing. With ``slack`` each word may stand that many places
 away from its place: proximity matches, of which the exact phrases are those with 0.
 """
@@ -21,12 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.filters import unlisted
-from tidemark.llm.words import ALNUM, Words, cut, lower_ascii, pieces, text_bytes
+from tidemark.llm.words import ALNUM, Words, cut, give_back, lower_ascii, pieces, spread, text_bytes
 from tidemark.session import work_path
 
 WINDOW = 13
 #: Words of benchmark items that one pass over the index searches for; more items take more passes.
 BLOCK_WORDS = 500_000
+#: Bytes of text to a segment; a longer document is one of its own.
+SEGMENT = 2 << 20
 #: Places left free between two documents; no slack of less than half of it can bridge them.
 GAP = 64
 
@@ -44,7 +47,7 @@ def build_index(docs: DataFrame, path: str) -> None:
     """Write the positional index of every word of ``docs`` (``doc_id``, ``text``; null has no words; no other column is read)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=SEGMENT):
             words = words_of(batch.column("text"))
             coded = words.values().dictionary_encode()
             term = coded.indices.to_numpy()
@@ -64,6 +67,7 @@ def build_index(docs: DataFrame, path: str) -> None:
                     "places": pa.array([gaps.tobytes()], pa.binary()),
                 }
             )
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, INDEX)
     rows.write.option("compression", "zstd").parquet(path)
@@ -121,15 +125,25 @@ class Windows:
         for i, w in enumerate(holders):
             self.terms[i, : len(w)] = w
         self.lengths = lengths
+        # Windows by their term that fewest windows hold: where it is missing, they are not looked at.
+        used = np.bincount(self.terms[self.terms >= 0], minlength=len(self.vocabulary) + 1)
+        rarest = self.terms[np.arange(len(self.terms)), np.where(self.terms >= 0, used[self.terms], len(self.terms) * size + 1).argmin(1)]
+        self.by_rarest = np.argsort(rarest, kind="stable")
+        self.ends = np.append(0, np.cumsum(np.bincount(rarest, minlength=len(self.vocabulary))))
 
     def in_segment(self, segment: Segment) -> Iterator[tuple[int, np.ndarray]]:
         """The windows all of whose terms stand in the segment, as the segment's terms."""
         if not len(self.terms):
             return
         local = pa.compute.index_in(self.vocabulary, segment.terms).fill_null(-1).to_numpy()
-        mapped = np.where(self.terms >= 0, local[self.terms], -2)
-        for i in np.flatnonzero((mapped != -1).all(axis=1)):
-            yield int(i), mapped[i, : self.lengths[i]]
+        there = np.flatnonzero(local >= 0)
+        row, place = spread(self.ends[there + 1] - self.ends[there])
+        alive = self.by_rarest[self.ends[there][row] + place]
+        for offset in range(self.terms.shape[1]):
+            term = self.terms[alive, offset]
+            alive = alive[(term < 0) | (local[term] >= 0)]
+        for i in np.sort(alive).tolist():
+            yield i, local[self.terms[i, : self.lengths[i]]]
 
 
 HITS = "doc_id long, n_words long, spans array<struct<from:long,to:long>>, items array<string>"
@@ -176,6 +190,7 @@ def _search(index: DataFrame, windows: Windows, slack: int) -> DataFrame:
                         sizes.append(np.full(len(found), len(terms)))
                         which.append(np.full(len(found), w))
                 yield _hits(segment, np.concatenate(starts), np.concatenate(sizes), np.concatenate(which), windows, slack)
+        give_back()
 
     return index.mapInArrow(run, HITS)
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.words import NON_SPACE, cut, pieces, text_bytes
+from tidemark.llm.words import NON_SPACE, cut, give_back, pieces, text_bytes
 from tidemark.session import work_path
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -59,6 +59,7 @@ def measure(docs: DataFrame, whole: bool = False) -> DataFrame:
             kept = {name: batch.column(name) for name in ("doc_id", "source", "tie", "doc") if name in batch.schema.names}
             columns = kept | measured
             yield pa.record_batch({name: columns[name] for name in names})
+        give_back()
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

@@ -40,8 +40,8 @@ BASE, RATE, LIMIT = 1.01, 20.0, 4096
 MARGIN = 0.15
 #: Members of a bucket up to which registers come before full sets; members, and bytes of full sets, to a chunk of a larger one.
 SMALL, CHUNK, CHUNK_BYTES = 64, 2048, 16 << 20
-#: Pairs whose registers are compared at a time.
-PAIRS = 1 << 13
+#: Pairs whose registers are compared at a time, and bytes of text that sets are made of at a time.
+PAIRS, PIECE = 1 << 13, 1 << 20
 _SEEDS = [np.uint64(x) for x in (0x8CB92BA72F3D8DD7, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
@@ -168,7 +168,7 @@ def _sketches(rows: DataFrame, size: int) -> DataFrame:
     ids = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=PIECE):
             hashes, first = shingle_sets(batch.column("text"), size)
             one, two = prints(hashes, first)
             keys = band_keys(registers(hashes, first))
@@ -192,7 +192,7 @@ def _full_sets(rows: DataFrame, size: int) -> DataFrame:
     """``id``, fingerprints, ``n``, ``members`` and ``regs`` of rows (``id``, ``text``) whose set has the fingerprints asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=PIECE):
             hashes, first = shingle_sets(batch.column("text"), size)
             one, two = prints(hashes, first)
             regs = registers(hashes, first)

@@ -272,6 +272,10 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     )
 
 
+#: Bytes of text that a task of the stage works on at a time.
+PIECE = 1 << 20
+
+
 def keep(docs: DataFrame, machine: Machine) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose score reaches ``THRESHOLD``. One scan, no shuffle.
 
@@ -283,7 +287,7 @@ def keep(docs: DataFrame, machine: Machine) -> DataFrame:
     rows = docs.select(*docs.columns, chars.alias("chars")).toDF(*numbered.columns, "chars")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, f"c{at}"):
+        for batch in pieces(batches, f"c{at}", PIECE):
             seen = pa.record_batch({"text": batch.column(at), "n_chars": batch.column(width)})
             yield batch.filter(pa.array(machine.score(features(seen)) >= THRESHOLD)).select(range(width))
         give_back()
