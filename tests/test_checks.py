@@ -71,3 +71,22 @@ def test_declared_checks():
         "accepted_values": 2,
     }
     assert sum(c.table.startswith("stg_") for c in CHECKS) == 22
+
+
+def test_suite_takes_few_exchanges(spark):
+    from tests.conftest import SMALL
+    from tidemark.operators.checks import CHECKS
+    from tidemark.plans.marts import build_marts, build_staging
+    from workloads import stores
+
+    staging = build_staging(stores.all_silver(spark, SMALL))
+    marts = build_marts(spark, staging)
+    stored = {name: spark.read.schema(df.schema).parquet(stores.silver_path(spark, SMALL, "users")) for name, df in {**staging, **marts}.items()}
+    plan = op_suite(stored, CHECKS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") <= 7
+
+
+def op_suite(tables, checks):
+    from tidemark.operators import run_suite
+
+    return run_suite(tables, checks)
