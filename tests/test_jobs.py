@@ -25,3 +25,18 @@ def test_jobs_one_after_another(spark, folder, capsys):
     assert spark.read.parquet(f"{folder}/out/orders").count() == 1470
     with pytest.raises(SystemExit, match="out"):
         main(["export", *common], spark)
+
+
+def test_silver_by_micro_batches(spark, folder):
+    from tidemark.plans.run import read_silver
+
+    inbox, lake = f"{folder}/inbox", f"{folder}/lake"
+    for topic in TOPICS:
+        spark.read.parquet(stores.topic_path(spark, SMALL, topic)).write.parquet(f"{inbox}/{topic}")
+    common = ["--lake", lake, "--buckets", "4", "--limit", "2"]
+    assert main(["land", *common, "--inbox", inbox], spark) == 0
+    for _ in range(2):  # nothing is left for the second
+        assert main(["stream", *common], spark) == 0
+        tables = read_silver(spark, f"{lake}/silver", 4)
+        assert tables["orders"].count() == 1470
+        assert tables["clickstream"].count() == stores.silver(spark, SMALL, "clickstream").count()
