@@ -3,10 +3,11 @@ import pytest
 from tests.conftest import SMALL
 from tidemark.jobs import main
 from tidemark.schemas import TOPICS
+from tidemark.sources import exported
 from workloads import stores
 
 
-def test_jobs_one_after_another(spark, folder, capsys):
+def test_jobs_one_after_another(spark, folder, tmp_path, capsys):
     inbox, lake = f"{folder}/inbox", f"{folder}/lake"
     for topic in TOPICS:
         spark.read.parquet(stores.topic_path(spark, SMALL, topic)).write.parquet(f"{inbox}/{topic}")
@@ -14,15 +15,23 @@ def test_jobs_one_after_another(spark, folder, capsys):
     assert main(["land", *common, "--inbox", inbox], spark) == 0
     assert main(["silver", *common], spark) == 0
     assert "'inserted': 1470" in capsys.readouterr().out
-    assert main(["gold", *common, "--first", "2019-01-01"], spark) == 0
+    models = tmp_path / "busiest_day.sql"
+    models.write_text("SELECT date_key, count(DISTINCT order_id) AS orders FROM {fact_orders} GROUP BY ALL ORDER BY 2 DESC, 1 LIMIT 1")
+    shown = f"gold_{folder[-12:]}"
+    gold = ["--database", shown, "--first", "2019-01-01"]
+    assert main(["gold", *common, *gold, "--models", str(tmp_path)], spark) == 0
+    assert spark.table(f"{shown}.busiest_day").count() == 1
+    assert spark.table(f"{shown}.dim_date").count() == 2922
     # Lines and payments of deleted orders have lost their order.
-    assert main(["check", *common], spark) == 1
+    assert main(["check", *common, *gold], spark) == 1
     lines = capsys.readouterr().out.splitlines()
     assert len(lines) == 38
     assert sum(line.startswith("FAIL") for line in lines) == 2
     assert main(["export", *common, "--out", f"{folder}/out", "--files", "1"], spark) == 0
-    assert len(spark.read.parquet(f"{folder}/out/orders").inputFiles()) == 1
-    assert spark.read.parquet(f"{folder}/out/orders").count() == 1470
+    out = exported(spark, f"{folder}/out").path("orders")
+    assert out in capsys.readouterr().out
+    assert len(spark.read.parquet(out).inputFiles()) == 1
+    assert spark.read.parquet(out).count() == 1470
     with pytest.raises(SystemExit, match="out"):
         main(["export", *common], spark)
 

@@ -5,7 +5,7 @@ import pytest
 
 from tidemark.plans import dim_date, fact_orders
 from tidemark.schemas import CDC_TABLES
-from tidemark.sources import SourceBinding, export_table, table_exists
+from tidemark.sources import SourceBinding, table_exists
 
 NOON = datetime(2024, 5, 6, 12)
 
@@ -44,16 +44,18 @@ def test_dim_date(spark):
     assert dim_date(spark, date(2019, 1, 1), date(2019, 1, 3)).count() == 3
 
 
-def test_sources_and_export(spark, folder, tables):
+def test_sources(spark, folder, tables):
     binding = SourceBinding(folder + "/{name}", tuple(CDC_TABLES))
     assert not table_exists(spark, binding.path("orders"))
-    assert export_table(tables[1], binding.path("orders"), files=1) == 3
-    assert len(spark.read.parquet(binding.path("orders")).inputFiles()) == 1
+    tables[1].write.parquet(binding.path("orders"))
     assert table_exists(spark, binding.path("orders"))
     binding.register(spark, only=["orders"])
     assert spark.sql("SELECT count(*) AS n FROM orders").first()["n"] == 3
+    assert binding.openers(spark)["orders"]().count() == 3
     with pytest.raises(KeyError):
         binding.path("invoices")
+    doubled = SourceBinding(folder + "/{name}", ("orders",), opener=lambda s, name, path: s.read.parquet(path).union(s.read.parquet(path)))
+    assert doubled.read(spark, "orders").count() == 6
 
 
 def test_existence_probe_does_not_hide_other_errors(spark):

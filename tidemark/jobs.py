@@ -25,13 +25,14 @@ if __package__ in (None, ""):
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.checks import CHECKS, run_suite
-from tidemark.plans.marts import FIRST_DAY, LAST_DAY, MARTS, build_marts, build_staging, write_marts
-from tidemark.plans.run import ChecksFailed, read_silver, refresh_silver, run_lakehouse, silver_table
+from tidemark.plans.marts import FIRST_DAY, LAST_DAY, MARTS, published_marts, star_models
+from tidemark.plans.models import resolve, sql_models
+from tidemark.plans.run import ChecksFailed, read_silver, refresh_silver, run_lakehouse, silver_sources, silver_table
+from tidemark.plans.staging import STAGING
 from tidemark.schemas import CDC_TABLES, CLICK_TOPIC, TOPICS, TableSpec
 from tidemark.session import configure, side_by_side
 from tidemark.sources.bronze import bronze_table, stream_bronze
-from tidemark.sources.export import export_tables
-from tidemark.sources.tables import read_table
+from tidemark.sources.export import export_tables, exported
 from tidemark.sources.topics import read_topic
 from tidemark.streaming.apply import apply_cdc_stream
 from tidemark.streaming.clicks import refine_clickstream_stream
@@ -48,6 +49,8 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--first", type=date.fromisoformat, default=FIRST_DAY, help="first day of the date dimension")
     parser.add_argument("--last", type=date.fromisoformat, default=LAST_DAY, help="last day of the date dimension")
     parser.add_argument("--limit", type=int, help="messages (Kafka) or files to a micro-batch, for land, stream and run")
+    parser.add_argument("--models", help="folder of further .sql models to build beside the star schema, for gold")
+    parser.add_argument("--database", help="database that shows the star schema, for gold and check")
     parser.add_argument("--out", help="export folder")
     parser.add_argument("--files", type=int, help="files per exported table")
     return parser.parse_args(argv)
@@ -89,11 +92,14 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         case "stream":
             stream_silver(spark, bronze, silver, args.buckets, args.limit)
         case "gold":
-            staging = build_staging(read_silver(spark, silver, args.buckets))
-            write_marts(spark, build_marts(spark, staging, args.first, args.last), gold)
+            models = star_models(args.first, args.last)
+            further = sql_models(args.models) if args.models else []
+            tables = resolve(silver_sources(silver, args.buckets).openers(spark), models + further)
+            wanted = (*MARTS, *(model.name for model in further))
+            published_marts(spark, gold, args.database, args.buckets).publish({name: tables[name] for name in wanted})
         case "check":
-            staging = build_staging(read_silver(spark, silver, args.buckets))
-            marts = {name: read_table(spark, f"{gold}/{name}") for name in MARTS}
+            staging = resolve(silver_sources(silver, args.buckets).openers(spark), star_models(), STAGING)
+            marts = published_marts(spark, gold, args.database, args.buckets).read()
             report = run_suite({**staging, **marts}, CHECKS).orderBy("check_name").collect()
             for line in report:
                 print("pass" if line["passed"] else "FAIL", line["check_name"], line["violations"])
@@ -102,7 +108,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             if not args.out:
                 raise SystemExit("export needs --out")
             for name, rows in export_tables(read_silver(spark, silver, args.buckets), args.out, args.files).items():
-                print(name, rows)
+                print(name, rows, exported(spark, args.out).path(name))
         case "run":
             try:
                 run_lakehouse(

@@ -31,8 +31,11 @@ def _paid(fact_orders: DataFrame) -> DataFrame:
 
 
 def _lines(fact_orders: DataFrame, *columns: str | Column) -> DataFrame:
-    """Each order line once, however many payments its order has."""
-    return fact_orders.select("order_item_id", *columns).distinct()
+    """Each order line once, however many payments its order has.
+
+    The order is part of what must be equal: the fact comes out of a join by order, so its copies meet without a shuffle.
+    """
+    return fact_orders.select("order_id", "order_item_id", *columns).distinct()
 
 
 def revenue(fact_orders: DataFrame, dim_products: DataFrame, grain: str) -> DataFrame:

@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 from tidemark.operators.checks import CHECKS, run_suite
 from tidemark.operators.changes import reason_counts, rejects
 from tidemark.operators.clicks import high_water, refine_clickstream
-from tidemark.plans.marts import FIRST_DAY, LAST_DAY, build_marts, build_staging, write_marts
+from tidemark.plans.marts import FIRST_DAY, LAST_DAY, MARTS, star_models, write_marts
+from tidemark.plans.models import resolve
+from tidemark.plans.staging import STAGING
 from tidemark.schemas import CDC_TABLES, CLICK_SILVER_SCHEMA, CLICK_TOPIC, MARKS, TableSpec
 from tidemark.session import side_by_side
 from tidemark.sources.bronze import bronze_table
 from tidemark.sources.progress import Marks, Progress
+from tidemark.sources.published import Published
 from tidemark.sources.snapshots import SnapshotTable
-from tidemark.sources.tables import read_table, table_exists
+from tidemark.sources.tables import SourceBinding, read_table, table_exists
 from tidemark.streaming.apply import apply_batch, known_marks, nothing
 from tidemark.streaming.landing import land_topics
 
@@ -101,11 +104,22 @@ def refresh_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], folder:
     return {name: changes[name] for name in ("clickstream", *CDC_TABLES)}
 
 
+def silver_sources(folder: str, buckets: int = 64) -> SourceBinding:
+    """The current-state tables and the event table below ``folder``, by name."""
+    root = folder.rstrip("/")
+
+    def opened(spark: SparkSession, name: str, path: str) -> DataFrame:
+        if name in CDC_TABLES:
+            return silver_table(spark, root, CDC_TABLES[name], buckets).read()
+        return read_table(spark, path, schema=CLICK_SILVER_SCHEMA)
+
+    return SourceBinding(root.replace("{", "{{").replace("}", "}}") + "/{name}", (*CDC_TABLES, "clickstream"), opener=opened)
+
+
 def read_silver(spark: SparkSession, folder: str, buckets: int = 64) -> dict[str, DataFrame]:
     """All current-state tables and the event table as stored below ``folder``."""
-    tables = {name: silver_table(spark, folder, spec, buckets).read() for name, spec in CDC_TABLES.items()}
-    tables["clickstream"] = read_table(spark, f"{folder.rstrip('/')}/clickstream", schema=CLICK_SILVER_SCHEMA)
-    return tables
+    sources = silver_sources(folder, buckets)
+    return {name: sources.read(spark, name) for name in sources.names}
 
 
 def run_lakehouse(
@@ -123,11 +137,10 @@ def run_lakehouse(
     paths = land_topics(topics, f"{root}/bronze")
     bronze = {topic: bronze_table(spark, path) for topic, path in paths.items()}
     changes = refresh_silver(spark, bronze, f"{root}/silver", buckets)
-    staging = build_staging(read_silver(spark, f"{root}/silver", buckets))
-    marts = write_marts(spark, build_marts(spark, staging, first, last), f"{root}/gold")
-    report_path = f"{root}/report"
-    run_suite({**staging, **marts}, CHECKS).write.mode("overwrite").parquet(report_path)
-    report = spark.read.parquet(report_path)
+    tables = resolve(silver_sources(f"{root}/silver", buckets).openers(spark), star_models(first, last))
+    marts = write_marts(spark, {name: tables[name] for name in MARTS}, f"{root}/gold", buckets=buckets)
+    staging = {name: tables[name] for name in STAGING}
+    report = Published(spark, f"{root}/report").publish({"report": run_suite({**staging, **marts}, CHECKS)})["report"]
     if strict:
         failed = [row["check_name"] for row in report.filter(~report.passed).select("check_name").collect()]
         if failed:

@@ -2,29 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import side_by_side
+from tidemark.sources.published import Published
 
 
-def export_table(df: DataFrame, path: str, files: int | None = None) -> int:
-    """Write ``df`` to ``path`` as Parquet, replacing what is there; returns the rows written.
+def export_tables(tables: Mapping[str, DataFrame], folder: str, files: int | None = None) -> dict[str, int]:
+    """Export the tables below ``folder`` as one publication; returns the rows written of each.
 
-    ``files`` fixes the number of files: ``files=1`` is for small tables whose reader wants a single file.  By default
-    the table keeps the parallelism it has.  ``path`` must not be the place ``df`` is read from.
+    ``files`` fixes the number of files of a table: ``files=1`` is for small tables whose reader wants a single file.  By default
+    a table keeps the parallelism it has.  An export that fails leaves the one before it as it is, also for those who read it.
     """
-    out = df if files is None else df.repartition(files)
-    out.write.mode("overwrite").parquet(path)
+    written = Published(SparkSession.active(), folder).publish(tables, files)
     # Counted from the footers of what was written.
-    return df.sparkSession.read.schema(df.schema).parquet(path).count()
-
-
-def export_tables(tables: Mapping[str, DataFrame], folder: str, files: int | None = None) -> dict[str, int]:
-    """Export each table to its own folder below ``folder``."""
+    return side_by_side({name: written[name].count for name in tables})
 
-    def export(name: str) -> Callable[[], int]:
-        return lambda: export_table(tables[name], f"{folder.rstrip('/')}/{name}", files)
 
-    return side_by_side({name: export(name) for name in tables})
+def exported(spark: SparkSession, folder: str) -> Published:
+    """The exports below ``folder``: ``path`` says where the current one of a table is."""
+    return Published(spark, folder)

@@ -1,8 +1,7 @@
 """Current-state tables on plain Parquet, changed one version at a time.
 
-Where Delta is on the class path ``tidemark.sources.delta`` does the same with MERGE.  Without it a version is a set of
-hash buckets: a commit writes only the buckets the changes touch and then one small Parquet file that says which version
-holds each bucket.  Readers follow that file, so they see either all of a commit or nothing of it, and a table is never
+A version is a set of hash buckets: a commit writes only the buckets the changes touch and then one small Parquet file that says
+which version holds each bucket.  Readers follow that file, so they see either all of a commit or nothing of it, and a table is never
 overwritten while it is being read.
 """
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -41,11 +42,15 @@ def table_exists(
 
 @dataclass(frozen=True)
 class SourceBinding:
-    """Logical table names and the path template they resolve to, e.g. ``s3a://silver/{name}``."""
+    """Logical table names and the path template they resolve to, e.g. ``s3a://silver/{name}``.
+
+    ``opener`` reads a table that is not plain files, given its name and path.
+    """
 
     location: str
     names: tuple[str, ...]
     fmt: str = "parquet"
+    opener: Callable[[SparkSession, str, str], DataFrame] | None = None
 
     def path(self, name: str) -> str:
         if name not in self.names:
@@ -53,8 +58,14 @@ class SourceBinding:
         return self.location.format(name=name)
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
+        if self.opener:
+            return self.opener(spark, name, self.path(name))
         return read_table(spark, self.path(name), fmt=self.fmt)
 
+    def openers(self, spark: SparkSession) -> dict[str, Callable[[], DataFrame]]:
+        """For each name how it is opened, as models resolve it."""
+        return {name: partial(self.read, spark, name) for name in self.names}
+
     def register(self, spark: SparkSession, only: Iterable[str] | None = None) -> None:
         """Expose the sources to SQL as temporary views."""
         for name in only or self.names:

@@ -84,21 +84,25 @@ positioned AS (
 
 # The star schema over d_* tables; the tables it reads may be replaced (damaged, or without deleted orders).
 MARTS = """,
+headers AS (
+  SELECT head.*, payment_method, p.status AS payment_status, paid_at
+  FROM {orders} head LEFT JOIN {payments} p ON head.id = p.order_id
+),
 f_orders AS (
-  SELECT oi.id AS order_item_id, oi.order_id, o.user_id, oi.product_id,
-         CAST(strftime(CAST(o.order_date AS DATE), '%Y%m%d') AS INTEGER) AS date_key, o.status AS order_status,
-         oi.quantity, oi.price AS unit_price, CAST(oi.quantity * oi.price AS DECIMAL(18,2)) AS line_total,
-         p.payment_method, p.status AS payment_status, p.paid_at, o.order_date
-  FROM {items} oi JOIN {orders} o ON oi.order_id = o.id LEFT JOIN {payments} p ON p.order_id = o.id
+  SELECT h.id AS order_id, l.id AS order_item_id, l.product_id, h.user_id, h.order_date,
+         CAST(year(h.order_date) * 10000 + month(h.order_date) * 100 + day(h.order_date) AS INTEGER) AS date_key,
+         l.price AS unit_price, l.quantity, CAST(l.price * l.quantity AS DECIMAL(18,2)) AS line_total,
+         h.status AS order_status, h.payment_status, h.payment_method, h.paid_at
+  FROM headers h, {items} l WHERE l.order_id = h.id
 ),
 f_clicks AS (
   SELECT event_id, user_id, product_id, CAST(strftime("timestamp", '%Y%m%d') AS INTEGER) AS date_key, event_type,
          device, session_id, "timestamp" AS event_timestamp
   FROM {clicks}
 ),
+c_days AS (SELECT DATE '{first}' + CAST(n AS INTEGER) AS full_date FROM range(0, DATE '{last}' - DATE '{first}' + 1) AS days(n)),
 c_dates AS (
-  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS full_date
-  FROM (SELECT unnest(generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY)) AS d)
+  SELECT full_date, CAST(year(full_date) * 10000 + month(full_date) * 100 + day(full_date) AS INTEGER) AS date_key FROM c_days
 )"""
 CLEAN = {
     "users": "d_users",
@@ -229,7 +233,7 @@ def _suite(tables: dict[str, str]) -> str:
 
 _RESULT_ORDERS = """,
 state AS (
-  SELECT id, user_id, order_date, status, CAST(total_amount AS DOUBLE) AS total_amount,
+  SELECT id, user_id, order_date, status, CAST(total_amount AS VARCHAR) AS total_amount,
          CAST(id % 3 AS INTEGER) AS _bronze_partition, id * 8 + len(path) - 1 AS _bronze_offset
   FROM path_of WHERE id % 50 <> 7
 )
@@ -237,7 +241,7 @@ SELECT * FROM state"""
 
 # Messages that moved: the order of times is that of steps.
 _MOVED_HISTORY = """
-SELECT id, user_id, order_date, after_status AS status, CAST(total_amount AS DOUBLE) AS total_amount,
+SELECT id, user_id, order_date, after_status AS status, CAST(total_amount AS VARCHAR) AS total_amount,
        CAST(CASE WHEN step >= 2 THEN 3 ELSE part END AS INTEGER) AS _bronze_partition,
        pos - CASE WHEN step >= 2 THEN 4 ELSE 0 END AS _bronze_offset, at_time AS valid_from, valid_to, valid_to IS NULL AS is_current
 FROM (SELECT *, lead(at_time) OVER (PARTITION BY id ORDER BY step) AS valid_to FROM positioned WHERE op IS NOT NULL)
@@ -298,7 +302,7 @@ def _revenue(grain: str) -> str:
         STAR
         + f"""
 SELECT CAST(CAST(date_trunc('{grain}', f.order_date) AS DATE) AS VARCHAR) AS period, p.category,
-       CAST(sum(f.line_total) AS DOUBLE) AS revenue
+       CAST(sum(f.line_total) AS VARCHAR) AS revenue
 FROM f_orders f JOIN d_products p ON p.id = f.product_id
 WHERE f.payment_status = 'success' GROUP BY 1, 2"""
     )
@@ -317,7 +321,7 @@ ORACLES: dict[str, str] = {
     "bronze_land_clickstream": DOMAIN
     + """
 SELECT 'clickstream-events' AS topic, _bronze_partition AS "partition", _bronze_offset + extra AS "offset",
-       "timestamp", event_id, user_id, event_type, device
+       "timestamp", "timestamp" AS event_timestamp, event_id, user_id, event_type, product_id, device, session_id
 FROM d_clicks JOIN (SELECT unnest([0, 1000000000]) AS extra) ON extra = 0 OR _bronze_offset % 20 = 0""",
     "bronze_land_orders": LOG
     + """
@@ -345,14 +349,23 @@ SELECT part AS "partition", count(*) FILTER (pos % 2 = 0) AS run_1, count(*) FIL
 FROM positioned GROUP BY part""",
     "decode_decimal": DOMAIN
     + """
-SELECT id, CAST(total_amount AS DOUBLE) AS amount, CAST(-total_amount AS DOUBLE) AS refund FROM d_orders""",
+SELECT id, CAST(total_amount AS VARCHAR) AS amount, CAST(-total_amount AS VARCHAR) AS refund FROM d_orders""",
     "decode_timestamp": DOMAIN + "\nSELECT id, paid_at FROM d_payments",
     "decode_iso": DOMAIN + '\nSELECT event_id, "timestamp" AS at FROM d_clicks',
     "dq_decode_failures": LOG
-    + """
-SELECT 'orders' AS table_name, unnest(['id', 'user_id', 'order_date', 'total_amount']) AS column_name,
-       unnest([0, 0, bad, bad]) AS failures
-FROM (SELECT count(*) AS bad FROM positioned WHERE pos % 40 = 0 AND after_status IS NOT NULL)""",
+    + """,
+bad AS (
+  SELECT (SELECT count(*) FROM positioned WHERE pos % 40 = 0 AND after_status IS NOT NULL) AS orders,
+         (SELECT count(*) FROM d_users WHERE id % 20 = 0) AS users, (SELECT count(*) FROM d_products WHERE id % 20 = 0) AS products,
+         (SELECT count(*) FROM d_items WHERE id % 20 = 0) AS items, (SELECT count(*) FROM d_payments WHERE id % 20 = 0) AS payments,
+         (SELECT count(paid_at) FROM d_payments WHERE id % 20 = 0) AS paid
+)
+SELECT 'orders' AS table_name, unnest(['id', 'user_id', 'order_date', 'total_amount']) AS column_name, unnest([0, 0, orders, orders]) AS failures
+FROM bad
+UNION ALL SELECT 'users', unnest(['id', 'registered_at']), unnest([0, users]) FROM bad
+UNION ALL SELECT 'products', unnest(['id', 'price', 'stock']), unnest([0, products, 0]) FROM bad
+UNION ALL SELECT 'order_items', unnest(['id', 'order_id', 'product_id', 'quantity', 'price']), unnest([0, 0, 0, 0, items]) FROM bad
+UNION ALL SELECT 'payments', unnest(['id', 'order_id', 'amount', 'paid_at']), unnest([0, 0, payments, paid]) FROM bad""",
     "dq_rejects": LOG
     + """,
 counted AS (
@@ -383,7 +396,7 @@ SELECT id, part AS _bronze_partition, pos AS _bronze_offset FROM positioned WHER
     "cdc_replay_after_delete": LOG + _RESULT_ORDERS,
     "cdc_merge_repartitioned": LOG
     + """
-SELECT id, user_id, order_date, status, CAST(total_amount AS DOUBLE) AS total_amount,
+SELECT id, user_id, order_date, status, CAST(total_amount AS VARCHAR) AS total_amount,
        CAST(CASE WHEN len(path) > 2 THEN 3 ELSE id % 3 END AS INTEGER) AS _bronze_partition,
        id * 8 + len(path) - 1 - CASE WHEN len(path) > 2 THEN 4 ELSE 0 END AS _bronze_offset
 FROM path_of WHERE id % 50 <> 7""",
@@ -402,7 +415,7 @@ SELECT arrival, count(*) FILTER (op <> 'd' AND arrival = 1) AS inserted,
 FROM last_of GROUP BY arrival""",
     "cdc_history": LOG
     + """
-SELECT id, user_id, order_date, after_status AS status, CAST(total_amount AS DOUBLE) AS total_amount,
+SELECT id, user_id, order_date, after_status AS status, CAST(total_amount AS VARCHAR) AS total_amount,
        part AS _bronze_partition, pos AS _bronze_offset, at_time AS valid_from, valid_to, valid_to IS NULL AS is_current
 FROM (SELECT *, lead(at_time) OVER (PARTITION BY id ORDER BY pos) AS valid_to FROM positioned WHERE op IS NOT NULL)
 WHERE op <> 'd'""",
@@ -449,10 +462,10 @@ SELECT id, name, CASE WHEN id % 10 = 3 THEN 'c' || id || '@new.example.com' ELSE
        registered_at, CAST(id % 3 AS INTEGER) AS _bronze_partition,
        id * 2 + CASE WHEN id % 10 = 3 THEN 1 ELSE 0 END AS _bronze_offset
 FROM d_users""",
-    "silver_products": _silver("d_products", "id, name, category, CAST(price AS DOUBLE) AS price, stock"),
-    "silver_order_items": _silver("d_items", "id, order_id, product_id, quantity, CAST(price AS DOUBLE) AS price"),
+    "silver_products": _silver("d_products", "id, name, category, CAST(price AS VARCHAR) AS price, stock"),
+    "silver_order_items": _silver("d_items", "id, order_id, product_id, quantity, CAST(price AS VARCHAR) AS price"),
     "silver_payments": _silver(
-        "d_payments", "id, order_id, payment_method, CAST(amount AS DOUBLE) AS amount, status, paid_at"
+        "d_payments", "id, order_id, payment_method, CAST(amount AS VARCHAR) AS amount, status, paid_at"
     ),
     "silver_clickstream": DOMAIN + _CLICKS_ALL,
     "clickstream_stream_dedup": DOMAIN + _CLICKS_ALL,
@@ -468,36 +481,36 @@ SELECT event_id, user_id, event_type, _bronze_offset,
 FROM d_clicks""",
     "stg_users": DOMAIN + "\nSELECT id AS user_id, name, email, city, registered_at FROM d_users",
     "stg_products": DOMAIN
-    + "\nSELECT id AS product_id, name, category, CAST(price AS DOUBLE) AS price, stock FROM d_products",
+    + "\nSELECT id AS product_id, name, category, CAST(price AS VARCHAR) AS price, stock FROM d_products",
     "stg_orders": DOMAIN
     + """
-SELECT id AS order_id, user_id, order_date, status, CAST(total_amount AS DOUBLE) AS total_amount FROM d_orders""",
+SELECT id AS order_id, user_id, order_date, status, CAST(total_amount AS VARCHAR) AS total_amount FROM d_orders""",
     "stg_order_items": DOMAIN
     + """
-SELECT id AS order_item_id, order_id, product_id, quantity, CAST(price AS DOUBLE) AS price FROM d_items""",
+SELECT id AS order_item_id, order_id, product_id, quantity, CAST(price AS VARCHAR) AS price FROM d_items""",
     "stg_payments": DOMAIN
     + """
-SELECT id AS payment_id, order_id, payment_method, CAST(amount AS DOUBLE) AS amount, status, paid_at
+SELECT id AS payment_id, order_id, payment_method, CAST(amount AS VARCHAR) AS amount, status, paid_at
 FROM d_payments""",
     "stg_clickstream": DOMAIN
     + """
 SELECT event_id, user_id, event_type, product_id, "timestamp" AS event_timestamp, device, session_id FROM d_clicks""",
     "dim_users": DOMAIN + "\nSELECT id AS user_id, name, email, city, registered_at FROM d_users",
     "dim_products": DOMAIN
-    + "\nSELECT id AS product_id, name, category, CAST(price AS DOUBLE) AS price, stock FROM d_products",
+    + "\nSELECT id AS product_id, name, category, CAST(price AS VARCHAR) AS price, stock FROM d_products",
     "dim_date": DOMAIN
     + """
 SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(CAST(d AS DATE) AS VARCHAR) AS full_date,
        CAST(year(d) AS INTEGER) AS "year", CAST(month(d) AS INTEGER) AS "month", CAST(day(d) AS INTEGER) AS "day",
        CAST(dayofweek(d) AS INTEGER) AS day_of_week, strftime(d, '%B') AS month_name, strftime(d, '%A') AS day_name,
        count(o.id) AS orders
-FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2026-12-31', INTERVAL 1 DAY)) AS d)
+FROM (SELECT unnest(generate_series(min(order_date)::DATE, max(order_date)::DATE, INTERVAL 1 DAY)) AS d FROM d_orders)
 LEFT JOIN d_orders o ON CAST(o.order_date AS DATE) = CAST(d AS DATE)
 GROUP BY d""",
     "fact_orders": STAR
     + """
 SELECT order_item_id, order_id, user_id, product_id, date_key, order_status, quantity,
-       CAST(unit_price AS DOUBLE) AS unit_price, CAST(line_total AS DOUBLE) AS line_total, payment_method,
+       CAST(unit_price AS VARCHAR) AS unit_price, CAST(line_total AS VARCHAR) AS line_total, payment_method,
        payment_status, paid_at, order_date
 FROM f_orders""",
     "fact_clickstream": STAR + "\nSELECT * FROM f_clicks",
@@ -516,14 +529,15 @@ WHERE status NOT IN ('pending', 'paid', 'shipped', 'delivered', 'cancelled') GRO
     "full_run": "",
     "reconcile_order_totals": DOMAIN
     + """
-SELECT o.id AS order_id, CAST(o.total_amount AS DOUBLE) AS total_amount,
-       CAST(coalesce(l.total, 0) AS DOUBLE) AS lines_total
+SELECT o.id AS order_id, CAST(o.total_amount AS VARCHAR) AS total_amount,
+       CAST(coalesce(l.total, 0) AS VARCHAR) AS lines_total
 FROM d_orders o LEFT JOIN (SELECT order_id, sum(quantity * price) AS total FROM d_items GROUP BY order_id) l
   ON l.order_id = o.id
 WHERE o.total_amount <> coalesce(l.total, 0)""",
     "reconcile_payment_presence": DOMAIN
     + """
-SELECT id AS order_id, status, CAST(0 AS BIGINT) AS payments FROM d_orders WHERE status <> 'pending' AND id % 70 = 0""",
+SELECT id AS order_id, status, CAST(0 AS BIGINT) AS payments FROM d_orders WHERE status <> 'pending' AND id % 70 = 0
+UNION ALL SELECT id, status, 1 FROM d_orders WHERE status = 'pending' AND id % 30 = 0""",
     "bq1_revenue_day": _revenue("day"),
     "bq1_revenue_week": _revenue("week"),
     "bq1_revenue_month": _revenue("month"),
@@ -634,3 +648,46 @@ ORACLES["full_run"] = (
     + "\n"
     + _suite(_RUN_TABLES)
 )
+
+# What is stored as lines, whichever way it came about.
+_LINES = ORACLES["fact_orders"].removeprefix(STAR)
+ORACLES["fact_orders_by_order"] = ORACLES["fact_orders"]
+ORACLES["gold_models_sql"] = ORACLES["bq1_revenue_month"]
+ORACLES["gold_published"] = (
+    STAR
+    + """
+SELECT CAST(step AS INTEGER) AS step, CAST(CASE WHEN step = 3 THEN 1 ELSE 0 END AS INTEGER) AS version, count(*) AS lines,
+       CAST(CAST(sum(line_total) AS DECIMAL(28,2)) AS VARCHAR) AS amount, count(DISTINCT order_id) AS orders
+FROM f_orders JOIN range(1, 4) AS steps(step) ON step = 3 OR order_id % 2 = 0
+GROUP BY step"""
+)
+ORACLES["full_run_fact_orders"] = (
+    DOMAIN + ",\nlive_orders AS (SELECT * FROM d_orders WHERE id % 50 <> 7)" + MARTS.format(**_RUN_TABLES) + _LINES
+)
+ORACLES["full_run_dim_users"] = (
+    DOMAIN
+    + """
+SELECT id AS user_id, name, CASE WHEN id % 10 = 3 THEN 'c' || id || '@new.example.com' ELSE email END AS email, city, registered_at
+FROM d_users"""
+)
+
+
+def _as_text(name: str, table: str, columns: str) -> str:
+    parts = ", ".join(
+        f"coalesce(CAST({f'epoch_us({c})' if c in ('registered_at', 'order_date', 'paid_at', TIME) else c} AS VARCHAR), '-')"
+        for c in columns.split()
+    )
+    return f"SELECT '{name}' AS table_name, concat_ws('|', {parts}) AS content FROM {table}"
+
+
+TIME = '"timestamp"'
+ORACLES["export_content"] = DOMAIN + "\n" + "\nUNION ALL\n".join(
+    [
+        _as_text("users", "d_users", "id name email city registered_at"),
+        _as_text("products", "d_products", "id name category price stock"),
+        _as_text("orders", "d_orders", "id user_id order_date status total_amount"),
+        _as_text("order_items", "d_items", "id order_id product_id quantity price"),
+        _as_text("payments", "d_payments", "id order_id payment_method amount status paid_at"),
+        _as_text("clickstream", "d_clicks", f"event_id user_id event_type product_id {TIME} device session_id"),
+    ]
+)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
+from pyspark.errors import SparkRuntimeException as SparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,11 +18,12 @@ from tidemark.functions import decimal_from_base64, iso_timestamp, micro_timesta
 from tidemark.operators.changes import decode_failures
 from tidemark.operators.checks import CHECKS
 from tidemark.plans import questions as q
-from tidemark.plans.marts import build_marts, build_staging, write_marts
+from tidemark.plans.marts import build_marts, build_staging, published_marts, star_models, stored_by_order, write_marts
+from tidemark.plans.models import Model, resolve
 from tidemark.plans.run import refresh_silver, run_lakehouse, silver_table
 from tidemark.schemas import BRONZE_SCHEMA, CDC_TABLES, CLICK_SILVER_SCHEMA, CLICK_TOPIC, ORDERS, TOPICS
 from tidemark.session import configure, work_path
-from tidemark.sources import bronze_table, export_tables, read_bronze, read_table, read_topic, stream_bronze
+from tidemark.sources import SourceBinding, bronze_table, export_tables, exported, read_bronze, read_table, read_topic, stream_bronze
 from tidemark.sources.progress import Marks, Progress
 from tidemark.streaming import (
     History,
@@ -54,7 +57,7 @@ def portable(df: DataFrame) -> DataFrame:
         column = F.col(field.name)
         match field.dataType:
             case T.DecimalType():
-                column = column.cast("double")
+                column = column.cast("string")  # every digit counts
             case T.DateType():
                 column = column.cast("string")
             case T.TimestampType():
@@ -98,11 +101,12 @@ def _landed(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
 
 @query
 def bronze_land_clickstream(spark, sf_dir):
-    event = F.from_json("value", "event_id string, user_id bigint, event_type string, device string")
+    texts = "event_id string, user_id bigint, event_type string, product_id bigint, timestamp string, device string, session_id string"
     landed = _landed(spark, sf_dir, CLICK_TOPIC)
-    return landed.select("topic", "partition", "offset", "timestamp", event.alias("event")).select(
-        "topic", "partition", "offset", "timestamp", "event.*"
-    )
+    event = landed.select("topic", "partition", "offset", "timestamp", F.from_json("value", texts).alias("event"))
+    return event.withColumns(
+        {"event_timestamp": iso_timestamp(F.col("event.timestamp")), "event": F.col("event").dropFields("timestamp")}
+    ).select("topic", "partition", "offset", "timestamp", "event_timestamp", "event.*")
 
 
 @query
@@ -224,15 +228,18 @@ def decode_iso(spark, sf_dir):
 
 @query
 def dq_decode_failures(spark, sf_dir):
-    """Every fortieth order message carries an amount and a date that do not decode."""
-    bronze = stores.bronze_of(spark, sf_dir, "orders")
-    broken = F.regexp_replace(
-        F.regexp_replace("value", '"total_amount":"[^"]*"', '"total_amount":"####"'),
-        '"order_date":[0-9]+',
-        '"order_date":"soon"',
-    )
-    damaged = bronze.withColumn("value", F.when(F.col("offset") % 40 == 0, broken).otherwise(F.col("value")))
-    return decode_failures(damaged, ORDERS)
+    """Every fortieth message of each change topic carries amounts and dates that do not decode."""
+    found = []
+    for spec in CDC_TABLES.values():
+        bronze, broken = stores.bronze_of(spark, sf_dir, spec.name), F.col("value")
+        for field in spec.fields:
+            if field.kind == "decimal":
+                broken = F.regexp_replace(broken, f'"{field.name}":"[^"]*"', f'"{field.name}":"####"')
+            elif field.kind == "micros":
+                broken = F.regexp_replace(broken, f'"{field.name}":[0-9]+', f'"{field.name}":"soon"')
+        damaged = bronze.withColumn("value", F.when(F.col("offset") % 40 == 0, broken).otherwise(F.col("value")))
+        found.append(decode_failures(damaged, spec))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
@@ -544,10 +551,12 @@ def dim_products(spark, sf_dir):
 
 @query
 def dim_date(spark, sf_dir):
-    """The days from the first to the last order, with the orders of each day beside the calendar columns."""
+    """The days from the first order to the last, with the orders of each day beside the calendar columns."""
     orders = stores.silver(spark, sf_dir, "orders").select(F.to_date("order_date").alias("full_date"))
+    first, last = orders.agg(F.min("full_date"), F.max("full_date")).first()
     per_day = orders.groupBy("full_date").agg(F.count(F.lit(1)).alias("orders"))
-    return plans.dim_date(spark).join(per_day, "full_date", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
+    days = plans.dim_date(spark, first, last)
+    return days.join(per_day, "full_date", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
 
 
 @query
@@ -560,6 +569,60 @@ def fact_clickstream(spark, sf_dir):
     return _fact_clicks(spark, sf_dir)
 
 
+@query
+def fact_orders_by_order(spark, sf_dir):
+    """Orders, lines and payments stored in buckets by order, and joined without a shuffle."""
+    root = work_path(spark, "by-order")
+    staging = build_staging({n: stores.silver(spark, sf_dir, n) for n in domain.SILVER})
+    stored = stored_by_order(spark, staging, root, f"d{root[-12:]}", BUCKETS)
+    return plans.fact_orders(stored["stg_order_items"], stored["stg_orders"], stored["stg_payments"], by_order=True)
+
+
+@query
+def gold_published(spark, sf_dir):
+    """Three publications of the star schema: of half the orders, one that fails on its way, and of all. What readers see after each."""
+    silver = stores.all_silver(spark, sf_dir)
+    gold = published_marts(spark, work_path(spark, "gold"), buckets=BUCKETS)
+    late = F.col("id") == F.lit(silver["orders"].agg(F.max("id")).first()[0])
+    broken = F.when(late, F.raise_error(F.lit("a write fails"))).otherwise(F.col("status"))
+    half, failing = silver["orders"].filter("id % 2 = 0"), silver["orders"].withColumn("status", broken)
+    lines = []
+    for step, orders in enumerate((half, failing, silver["orders"]), start=1):
+        marts = build_marts(spark, build_staging({**silver, "orders": orders}))
+        try:
+            gold.publish(marts)
+        except SparkException:
+            if step != 2:
+                raise
+        shown = spark.table(f"{gold.database}.fact_orders")
+        seen = shown.agg(F.count(F.lit(1)), F.sum("line_total"), F.countDistinct("order_id")).first()
+        lines.append((step, gold.version(), *seen))
+    return spark.createDataFrame(lines, "step int, version int, lines long, amount decimal(28,2), orders long")
+
+
+# A mart in SQL, and what it reads, declared after it: the order follows from the names.
+MONTHLY = [
+    Model.sql(
+        "revenue_by_month",
+        "SELECT period, category, sum(amount) AS revenue FROM {amounts} LEFT JOIN {dim_products} USING (product_id) GROUP BY ALL",
+    ),
+    Model.sql(
+        "amounts",
+        "SELECT to_date(date_trunc('month', order_date)) AS period, product_id, sum(line_total) AS amount "
+        "FROM {fact_orders} WHERE payment_status = 'success' GROUP BY ALL",
+    ),
+]
+
+
+@query
+def gold_models_sql(spark, sf_dir):
+    """Monthly revenue as models over named sources: stored tables bound to names, the star schema, and two SELECTs."""
+    folder = os.path.dirname(stores.silver_path(spark, sf_dir, "orders"))
+    places = {name: stores.silver_path(spark, sf_dir, name) for name in domain.SILVER}
+    bound = SourceBinding(f"{folder}/{{name}}", tuple(places), opener=lambda session, name, _: read_table(session, places[name]))
+    return resolve(bound.openers(spark), [*MONTHLY, *star_models()], ["revenue_by_month"])["revenue_by_month"]
+
+
 # -- data tests ----------------------------------------------------------------------------------------------------
 
 
@@ -625,9 +688,11 @@ def reconcile_order_totals(spark, sf_dir):
 
 @query
 def reconcile_payment_presence(spark, sf_dir):
-    """Every seventieth payment is missing."""
-    payments = stores.silver(spark, sf_dir, "payments").filter("id % 70 <> 0")
-    return q.payment_presence_gaps(stores.silver(spark, sf_dir, "orders"), payments)
+    """Every seventieth payment is missing, every thirtieth pending order has one."""
+    orders = stores.silver(spark, sf_dir, "orders")
+    paid = stores.silver(spark, sf_dir, "payments").filter("id % 70 <> 0").select("order_id")
+    early = orders.filter("status = 'pending' AND id % 30 = 0").select(F.col("id").alias("order_id"))
+    return q.payment_presence_gaps(orders, paid.unionByName(early))
 
 
 # -- business questions --------------------------------------------------------------------------------------------
@@ -722,25 +787,62 @@ def bq7_payment_methods(spark, sf_dir):
 # -- export and the whole run --------------------------------------------------------------------------------------
 
 
+def _exported(spark, sf_dir):
+    """Every current-state table exported twice, first without its even ids: the tables as read back, and the counts."""
+    folder = work_path(spark, "export")
+    tables = stores.all_silver(spark, sf_dir)
+    export_tables({n: t.filter("id % 2 = 1") for n, t in tables.items() if "id" in t.columns}, folder)
+    written = export_tables(tables, folder)
+    return {name: spark.read.parquet(exported(spark, folder).path(name)) for name in written}, written
+
+
 @query
 def export_roundtrip(spark, sf_dir):
     """Every current-state table exported to Parquet and counted on the way back in."""
-    folder = work_path(spark, "export")
-    written = export_tables(stores.all_silver(spark, sf_dir), folder)
+    back, written = _exported(spark, sf_dir)
     lines = [
-        spark.read.parquet(f"{folder}/{name}")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit(name).alias("table_name"), "rows", F.lit(count).cast("bigint").alias("rows_written"))
+        back[name].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows", F.lit(count).cast("bigint").alias("rows_written"))
         for name, count in written.items()
     ]
     return reduce(DataFrame.unionByName, lines)
 
 
 @query
-def full_run(spark, sf_dir):
+def export_content(spark, sf_dir):
+    """Every row of every exported table, as text."""
+
+    def text(field: T.StructField):
+        column = F.unix_micros(field.name) if isinstance(field.dataType, T.TimestampType) else F.col(field.name)
+        return F.coalesce(column.cast("string"), F.lit("-"))
+
+    def rows(name: str, df: DataFrame):
+        fields = [f for f in df.schema.fields if not f.name.startswith("_")]
+        return df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *map(text, fields)).alias("content"))
+
+    return reduce(DataFrame.unionByName, [rows(n, df) for n, df in _exported(spark, sf_dir)[0].items()])
+
+
+def _whole_run(spark, sf_dir):
     """Topics to tested star schema in one go, with a date dimension that covers all orders."""
     topics = {topic: stores.topic_stream(spark, sf_dir, topic) for topic in TOPICS}
-    result = run_lakehouse(
+    return run_lakehouse(
         spark, topics, work_path(spark, "run"), first=date(2019, 1, 1), last=date(2026, 12, 31), strict=False, buckets=BUCKETS
     )
-    return result.report
+
+
+@query
+def full_run(spark, sf_dir):
+    """The report of a whole run."""
+    return _whole_run(spark, sf_dir).report
+
+
+@query
+def full_run_fact_orders(spark, sf_dir):
+    """The lines a whole run publishes, from change messages on."""
+    return _whole_run(spark, sf_dir).marts["fact_orders"]
+
+
+@query
+def full_run_dim_users(spark, sf_dir):
+    """The users a whole run publishes, from change messages on."""
+    return _whole_run(spark, sf_dir).marts["dim_users"]
