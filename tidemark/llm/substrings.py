@@ -9,8 +9,10 @@ their anchors' hashes, and only around anchors that occur twice is there anythin
 * otherwise the different contexts go to shards. A shard is one string: its contexts with a mark for their anchor put in, so that
   strings are alike only if their anchors are. Its suffix array is built by induced sorting, its permuted common prefixes tell
   which strings have a neighbour that shares all of them;
-* an anchor with more different contexts than a shard should hold (``MANY``) is settled by halving instead: ranges of offsets whose
-  strings share a core are grouped by that core's hash; a range with one context only is settled, another one is halved.
+* an anchor with more different contexts than a shard should hold (``MANY``) is divided first: strings over it are taken by ranges
+  of offsets, halved step by step, and the contexts that share what all strings of a range hold (its core) form a group. Groups
+  small enough are sorted in shards like the rest; only those that are still too large are halved again. A string and its copies
+  have one offset, so they meet in a group at every step.
 
 Texts that are there several times are taken once up to the end: all of such a text goes. Filters of a fixed size keep most
 texts and anchors that are not repeated out of the shuffles; whatever they let pass is decided by joins.
@@ -165,12 +167,14 @@ def _repeats(group: np.ndarray, left: np.ndarray, twice: np.ndarray, contexts: l
 
 
 def _in_shards(contexts: DataFrame, shards: int) -> DataFrame:
+    """Spans of contexts by groups ``g``: one anchor's contexts, or some of them that share more than the anchor."""
+
     def run(table: pa.Table) -> pa.Table:
-        keys = np.stack([table["h"].to_numpy(), table["c"].to_numpy()])
+        keys = np.stack([table["g"].to_numpy(), table["c"].to_numpy()])
         table = table.take(pa.array(np.sort(np.unique(keys, axis=1, return_index=True)[1])))  # copies of rows bring copies
         raw = [np.frombuffer(x.as_buffer(), np.uint8) for x in table["context"]]
         spans = repeats_in_shard(
-            table["h"].to_numpy(), table["left"].to_numpy().astype(np.int64), table["n"].to_numpy() > 1, raw
+            table["g"].to_numpy(), table["left"].to_numpy().astype(np.int64), table["n"].to_numpy() > 1, raw
         )
         give_back()
         return pa.table(
@@ -184,49 +188,59 @@ def _in_shards(contexts: DataFrame, shards: int) -> DataFrame:
             }
         )
 
-    shard = F.pmod(F.xxhash64("h"), F.lit(shards))
-    rows = contexts.select("h", "c", "n", "left", "context", shard.alias("shard"))
+    shard = F.pmod(F.xxhash64("g"), F.lit(shards))
+    rows = contexts.select("g", "h", "c", "n", "left", "context", shard.alias("shard"))
     return rows.groupBy("shard").applyInArrow(run, f"h long, c long, spans {_SPANS}")
 
 
-def _by_halving(spark: SparkSession, contexts: DataFrame, path: str) -> DataFrame:
-    """The same for anchors with very many contexts. Offsets (bytes of a string before its anchor) are halved from 0..127 down.
+def _shards(contexts: DataFrame) -> int:
+    """Shards for contexts of these sizes (``left`` and ``right``)."""
+    size = contexts.agg(F.sum(F.col("left") + F.col("right")), F.count("*")).first()
+    return max(1, ((size[0] or 0) + 2 * size[1]) // SHARD_BYTES)
+
+
+def _divided(spark: SparkSession, contexts: DataFrame, path: str) -> DataFrame:
+    """Spans of contexts of anchors with very many. Offsets (bytes of a string before its anchor) are halved from 0..127 down.
 
-    Strings at offsets low..high share the core that all of them have, and stay inside the hull that they reach together.
+    Strings at offsets low..high share the core that all of them have, and stay inside the hull that they reach together. The first
+    range has the anchor itself for its core, so its halves are where division begins. A range of one offset has the whole string
+    for its core and its hull: its groups are settled, whatever their size.
     """
     right = F.octet_length("context") - F.col("left")
-    rows = contexts.select(
+    contexts.select(
         "h", "c", "n", "left", "context", F.lit(0).alias("low"), F.lit(127).alias("high"),
-        F.greatest(F.lit(0), LENGTH - right).alias("least"), F.col("left").cast("int").alias("most"),
-    )
-    rows.filter("least <= most").write.parquet(f"{path}/0")
-    settled = None
-    for k in range(8):
-        rows = spark.read.parquet(f"{path}/{k}").filter("low <= most AND high >= least")
+        F.greatest(F.lit(0), LENGTH - right).alias("least"), F.col("left").cast("int").alias("most"), F.lit("halve").alias("fate"),
+    ).filter("least <= most").write.parquet(f"{path}/0")
+    middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
+    halves = F.array(
+        F.struct(F.col("low").alias("low"), middle.alias("high")), F.struct((middle + 1).alias("low"), F.col("high").alias("high"))
+    )
+    kept = ("h", "c", "n", "left", "context", "least", "most")
+    spans, k = None, 0
+    while True:
+        ranges = spark.read.parquet(f"{path}/{k}").filter("fate = 'halve'").withColumn("half", F.explode(halves))
+        rows = ranges.select(*kept, "half.low", "half.high").filter("low <= most AND high >= least")
         core = F.xxhash64(F.expr(f"substring(context, left - low + 1, {LENGTH} - high + low)"))
         hull = F.xxhash64(F.expr(f"substring(context, left - high + 1, {LENGTH} + high - low)"))
         inside = (F.col("least") <= F.col("low")) & (F.col("high") <= F.col("most"))
         rows = rows.withColumn("core", core).withColumn("hull", F.when(inside, hull))
-        stats = rows.groupBy("h", "low", "core").agg(
-            F.sum("n").alias("all"), ((F.min("hull") == F.max("hull")) & (F.count("hull") == F.count("*"))).alias("one")
-        )
-        met = rows.join(stats.filter("all > 1"), ["h", "low", "core"])
-        met.drop("core", "hull", "all").write.parquet(f"{path}/met-{k}")
-        met = spark.read.parquet(f"{path}/met-{k}")
-        one = F.coalesce("one", F.lit(False))
-        done = met.filter(one).select("h", "c", (-F.col("high")).alias("from"), (LENGTH - F.col("low")).alias("to"))
-        settled = done if settled is None else settled.unionByName(done)
-        middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
-        halves = F.array(
-            F.struct(F.col("low").alias("low"), middle.alias("high")), F.struct((middle + 1).alias("low"), F.col("high").alias("high"))
-        )
-        split = met.filter(~one & (F.col("low") < F.col("high"))).withColumn("half", F.explode(halves))
-        split.select(
-            "h", "c", "n", "left", "context", F.col("half.low").alias("low"), F.col("half.high").alias("high"), "least", "most"
-        ).write.parquet(f"{path}/{k + 1}")
-    # All strings over an anchor hold its bytes, so what they cover together is one range.
-    span = F.struct(F.min("from").cast("int").alias("from"), F.max("to").cast("int").alias("to"))
-    return settled.groupBy("h", "c").agg(F.array(span).alias("spans"))
+        size = F.count("*")
+        one = F.coalesce((F.min("hull") == F.max("hull")) & (F.count("hull") == size), F.lit(False))
+        fate = F.when(one, "settled").when(size <= MANY, "sort").otherwise("halve").alias("fate")
+        groups = rows.groupBy("h", "low", "core").agg(F.sum("n").alias("all"), fate).filter("all > 1").drop("all")
+        k += 1
+        rows.drop("hull").join(groups, ["h", "low", "core"]).write.parquet(f"{path}/{k}")
+        met = spark.read.parquet(f"{path}/{k}")
+        # All strings of a settled range hold the anchor, so what they cover together is one range.
+        span = F.struct((-F.col("high")).alias("from"), (LENGTH - F.col("low")).alias("to"))
+        found = met.filter("fate = 'settled'").select("h", "c", F.array(span).alias("spans"))
+        small = met.filter("fate = 'sort'").withColumn("g", F.xxhash64("h", "low", "core"))
+        shards = _shards(small.withColumn("right", F.octet_length("context") - F.col("left")))
+        _in_shards(small, shards).filter(F.size("spans") > 0).write.parquet(f"{path}/sorted-{k}")
+        found = found.unionByName(spark.read.parquet(f"{path}/sorted-{k}"))
+        spans = found if spans is None else spans.unionByName(found)
+        if met.filter("fate = 'halve'").isEmpty():
+            return spans
 
 
 def _contexts(picked: DataFrame, rows: DataFrame) -> DataFrame:
@@ -294,15 +308,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     kinds = by_context.groupBy("h").agg((F.count("*") > MANY).alias("many"))
     by_context.join(kinds, "h").select("h", "c", "n", "many", "spot.*").write.parquet(f"{path}/picked")
     few, many = read(f"{path}/picked").filter("NOT many"), read(f"{path}/picked").filter("many")
-    size = few.agg(F.sum(F.col("left") + F.col("right")), F.count("*")).first()
-    shards = max(1, ((size[0] or 0) + 2 * size[1]) // SHARD_BYTES)
-    _in_shards(_contexts(few, rows), shards).filter(F.size("spans") > 0).write.parquet(f"{path}/spans")
+    in_groups = _contexts(few, rows).withColumn("g", F.col("h"))
+    _in_shards(in_groups, _shards(few)).filter(F.size("spans") > 0).write.parquet(f"{path}/spans")
     spans = read(f"{path}/spans")
     if many.take(1):
         different = _contexts(many, rows).groupBy("h", "c").agg(
             F.first("n").alias("n"), F.first("left").alias("left"), F.first("context").alias("context")
         )
-        spans = spans.unionByName(_by_halving(spark, different, f"{path}/halves"))
+        spans = spans.unionByName(_divided(spark, different, f"{path}/divided"))
 
     single = found.filter("copies = 1")
     in_mixed = single.join(spans, ["h", "c"]).select("t1", "t2", "at", F.explode("spans").alias("s"))
