@@ -318,8 +318,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         spans = spans.unionByName(_divided(spark, different, f"{path}/divided"))
 
     single = found.filter("copies = 1")
-    in_mixed = single.join(spans, ["h", "c"]).select("t1", "t2", "at", F.explode("spans").alias("s"))
-    in_mixed = in_mixed.select("t1", "t2", (F.col("at") + F.col("s.from")).alias("from"), (F.col("at") + F.col("s.to")).alias("to"))
+    # All strings hold the anchor, so what they cover around it is one range, in however many groups they were found.
+    spans = spans.select("h", "c", F.explode("spans").alias("s")).groupBy("h", "c").agg(
+        F.min("s.from").alias("from"), F.max("s.to").alias("to")
+    )
+    in_mixed = single.join(spans, ["h", "c"]).select(
+        "t1", "t2", (F.col("at") + F.col("from")).alias("from"), (F.col("at") + F.col("to")).alias("to")
+    )
     low, high = (F.col("at") - F.col("left")).alias("from"), (F.col("at") + F.col("right")).alias("to")
     alike = single.join(mixed, "h", "left_anti").select("t1", "t2", low, high)
     ranges = in_mixed.unionByName(alike).groupBy("t1", "t2").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
