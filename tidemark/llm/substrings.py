@@ -155,14 +155,21 @@ def _repeats(group: np.ndarray, left: np.ndarray, twice: np.ndarray, contexts: l
     alike = np.zeros(total, bool)
     alike[sa] = shared[sa] >= whole
     alike[sa[:-1]] |= shared[sa[1:]] >= whole
-    out = []
-    for i in range(len(size)):
-        # Strings begin at, or before, the mark and must end inside the context.
-        last = min(left[i], size[i] + 1 - whole)
-        flags = alike[start[i] : start[i] + last + 1] if last >= 0 else np.zeros(0, bool)
-        if twice[i]:
-            flags = np.ones_like(flags)
-        out.append([(int(a - left[i]), int(b - 1 - left[i] + LENGTH)) for a, b in _runs(flags)])
+    # Strings begin at, or before, the mark and must end inside the context. More places than those part two contexts.
+    last = np.minimum(left, size + 1 - whole)
+
+    def places(some: np.ndarray) -> np.ndarray:
+        edges = np.zeros(total + 1, np.int8)
+        edges[start[some]] = 1
+        edges[start[some] + last[some] + 1] = -1
+        return np.cumsum(edges[:-1]) > 0
+
+    flags = (alike & places(last >= 0)) | places((last >= 0) & twice)
+    out: list[list[tuple[int, int]]] = [[] for _ in size]
+    found = _runs(flags)
+    own = np.searchsorted(start, found[:, 0], side="right") - 1
+    for i, a, b in zip(own.tolist(), (found[:, 0] - mark[own]).tolist(), (found[:, 1] - 1 - mark[own] + LENGTH).tolist()):
+        out[i].append((a, b))
     return out
 
 

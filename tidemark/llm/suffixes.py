@@ -26,7 +26,7 @@ def _types(t: np.ndarray) -> np.ndarray:
 
 def _grouped(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A stable order by symbol; the rank of each in its group; the groups and their sizes."""
-    order = np.argsort(symbols, kind="stable")
+    order = np.argsort(symbols, kind="stable")  # by digits, if symbols have 16 bits
     own = symbols[order]
     new = np.ones(len(own), bool)
     new[1:] = own[1:] != own[:-1]
@@ -38,6 +38,8 @@ def _grouped(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 def _induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, k: int) -> np.ndarray:
     """All suffixes in order, from the leftmost-smaller ones in the order given."""
     n = len(t)
+    if k <= 1 << 16:
+        t = t.astype(np.uint16)
     counts = np.bincount(t, minlength=k)
     ends = np.cumsum(counts)
     starts = ends - counts
@@ -98,7 +100,7 @@ def _doubling(t: np.ndarray) -> np.ndarray:
         after = np.zeros(n, np.int64)
         after[: n - h] = rank[h:] + 1
         key = rank * (n + 2) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # equal keys get one name, in whatever order they come
         own = key[order]
         name = np.cumsum(np.append(0, own[1:] != own[:-1]))
         rank = np.empty(n, np.int64)
