@@ -29,3 +29,15 @@ def test_tasks_are_bounded(spark):
             spark.conf.unset(name)
         configure(spark)
     assert [_bytes(s) for s in ("67108864b", "16m", "1GB", "512")] == [64 << 20, 16 << 20, 1 << 30, 512]
+
+
+def test_topics_are_made_from_stored_tables(spark):
+    """Lines are grouped once, not again for every topic that needs orders."""
+    payments = stores.messages(spark, SMALL, PAYMENTS.topic)
+    assert not [f for f in payments.inputFiles() if "lineitem" in f]
+    assert "Join" not in plan(stores.messages(spark, SMALL, ORDERS.topic))
+
+
+def test_amounts_are_encoded_once_an_order(spark):
+    text = plan(stores.messages(spark, SMALL, ORDERS.topic))
+    assert len(re.findall("base64|Base64", text)) == 1
