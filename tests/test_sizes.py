@@ -41,3 +41,15 @@ def test_topics_are_made_from_stored_tables(spark):
 def test_amounts_are_encoded_once_an_order(spark):
     text = plan(stores.messages(spark, SMALL, ORDERS.topic))
     assert len(re.findall("base64|Base64", text)) == 1
+
+
+def test_history_is_chained_once_a_run(spark, folder, monkeypatch):
+    from tidemark.streaming import History, history as module
+
+    calls = []
+    plain = module.chained
+    monkeypatch.setattr(module, "chained", lambda *a: calls.append(1) or plain(*a))
+    history = History(spark, folder, PRODUCTS, buckets=2)
+    for part in (MOVING[4:], MOVING[:4], MOVING):
+        history.extend(bronze(spark, part))
+    assert len(calls) == 3

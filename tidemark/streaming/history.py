@@ -22,6 +22,7 @@ from tidemark.sources.tables import table_exists
 
 _POSITION = (CHANGED_AT, *LINEAGE)
 _TO = "valid_to"
+_WAS = "_was"
 
 
 class History:
@@ -75,6 +76,7 @@ class History:
         identity = [key, *LINEAGE]
         # Used several times; recomputed from the raw rows should an executor be lost.
         changes = self._changes(bronze).dropDuplicates(identity).persist(StorageLevel.MEMORY_AND_DISK)
+        late = chain = None
         try:
             buckets = self.open.touched(changes)
             if not buckets:
@@ -84,25 +86,26 @@ class History:
             behind = F.struct(*[F.col(f"s.{c}") for c in _POSITION]) <= F.struct(*[F.col(f"t.{c}") for c in _POSITION])
             pairs = changes.select(key, *_POSITION).alias("s").join(stored.select(key, *_POSITION).alias("t"), F.col(f"s.{key}") == F.col(f"t.{key}"))
             late = pairs.filter(behind).select(F.col(f"s.{key}").alias(key)).distinct().persist(StorageLevel.MEMORY_AND_DISK)
-            once = changes.unionByName(met)
-
-            def chain(rows: DataFrame) -> DataFrame:
-                return chained(rows, key, CHANGED_AT, _POSITION, slice_seconds).withColumnRenamed("_next", _TO)
-
-            on_time = chain(once.join(late, key, "left_anti"))
-            ended = on_time.filter(F.col(_TO).isNotNull())
-            ended.select(*self._version_columns, _TO).write.mode("overwrite").parquet(f"{self.root}/closed/run={run}")
-            newest = on_time.filter(F.col(_TO).isNull())
-            if late.take(1):
-                before = self._closed_versions(pointer.version).join(late, key, "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
-                known = before.drop(_TO).unionByName(once.join(late, key, "left_semi")).dropDuplicates(identity)
-                anew = chain(known)
-                same = before.select(*identity, F.col(_TO).alias("_to"))
-                changed = anew.filter(F.col(_TO).isNotNull()).join(same, identity, "left").filter(~F.col(_TO).eqNullSafe(F.col("_to")))
-                changed.select(*self._version_columns, _TO).write.mode("overwrite").parquet(f"{self.root}/corrections/run={run}")
-                newest = newest.unionByName(anew.filter(F.col(_TO).isNull()))
-                before.unpersist()
+            rows = changes.unionByName(met).withColumns({_WAS: F.lit(None).cast("timestamp"), "_closed": F.lit(False), "_late": F.lit(False)})
+            any_late = bool(late.take(1))
+            if any_late:
+                # A version that comes again is known by its position; the stored one says where it ended.
+                before = self._closed_versions(pointer.version).join(late, key, "left_semi").withColumnRenamed(_TO, _WAS)
+                every = rows.drop("_late").unionByName(before.withColumn("_closed", F.lit(True)))
+                stored_first = Window.partitionBy(*identity).orderBy(F.desc("_closed"))
+                once = every.withColumn("_nth", F.row_number().over(stored_first)).filter("_nth = 1").drop("_nth")
+                rows = once.join(late.withColumn("_late", F.lit(True)), key, "left").withColumn("_late", F.coalesce("_late", F.lit(False)))
+            # Chained once: what ended, what is corrected and what is open are read from it.
+            chain = chained(rows.drop("_closed"), key, CHANGED_AT, _POSITION, slice_seconds).withColumnRenamed("_next", _TO)
+            chain = chain.persist(StorageLevel.MEMORY_AND_DISK)
+            ended = chain.filter(F.col(_TO).isNotNull() & ~F.col(_TO).eqNullSafe(F.col(_WAS)))
+            for kind, found in (("closed", ended.filter(~F.col("_late"))), ("corrections", ended.filter("_late"))):
+                if kind == "closed" or any_late:
+                    found.select(*self._version_columns, _TO).write.mode("overwrite").parquet(f"{self.root}/{kind}/run={run}")
+            newest = chain.filter(F.col(_TO).isNull())
             kept = stored.join(changes.select(key), key, "left_anti")
             return self.open.commit(kept.unionByName(newest.select(*self._version_columns)), buckets, None, pointer)
         finally:
-            changes.unpersist()
+            for kept_rows in (changes, late, chain):
+                if kept_rows is not None:
+                    kept_rows.unpersist()
