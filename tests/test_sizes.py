@@ -53,3 +53,8 @@ def test_history_is_chained_once_a_run(spark, folder, monkeypatch):
     for part in (MOVING[4:], MOVING[:4], MOVING):
         history.extend(bronze(spark, part))
     assert len(calls) == 3
+
+
+def test_reasons_need_keys_only(spark):
+    counted = plan(op.reject_counts(stores.bronze_of(spark, SMALL, "orders"), CDC_TABLES["orders"]))
+    assert "total_amount" not in counted
