@@ -58,3 +58,16 @@ def test_history_is_chained_once_a_run(spark, folder, monkeypatch):
 def test_reasons_need_keys_only(spark):
     counted = plan(op.reject_counts(stores.bronze_of(spark, SMALL, "orders"), CDC_TABLES["orders"]))
     assert "total_amount" not in counted
+
+
+def test_a_backlog_has_files_by_its_size(spark, monkeypatch):
+    frame = stores.topic_frame(spark, SMALL, ORDERS.topic)
+    path = f"{stores.work_path(spark, 'larger')}"
+    frame.repartition(3).write.parquet(path)
+    monkeypatch.setattr(stores, "topic_frame", lambda *_: spark.read.parquet(path))
+    base = path.rsplit("/", 1)[0]
+    before = set(glob(f"{base}/backlog-*"))
+    rows = REGISTRY["bronze_rate_limited"](spark, SMALL).collect()
+    (root,) = set(glob(f"{base}/backlog-*")) - before
+    assert len(glob(f"{root}/inbox/*.parquet")) == 18
+    assert all(r["several_batches"] for r in rows) and sum(r["messages"] for r in rows) == frame.count()
