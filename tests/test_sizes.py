@@ -8,7 +8,7 @@ from tests.test_changes import MOVING, PRODUCTS, bronze
 from tidemark import operators as op
 from tidemark.schemas import CDC_TABLES, ORDERS, PAYMENTS
 from tidemark.session import TASK_BYTES, _bytes, configure
-from workloads import stores
+from workloads import domain, stores
 from workloads.queries import REGISTRY
 
 
@@ -31,6 +31,17 @@ def test_tasks_are_bounded(spark):
     assert [_bytes(s) for s in ("67108864b", "16m", "1GB", "512")] == [64 << 20, 16 << 20, 1 << 30, 512]
 
 
+def test_orders_are_made_from_stored_lines(spark, monkeypatch):
+    """Where lines and orders are both needed, the given lines are grouped once."""
+    grouped = []
+    plain = domain.SILVER["order_items"], domain.order_items
+    monkeypatch.setattr(stores, "_written", {})
+    monkeypatch.setitem(domain.SILVER, "order_items", lambda *a: grouped.append(1) or plain[0](*a))
+    monkeypatch.setattr(domain, "order_items", lambda *a: grouped.append(1) or plain[1](*a))
+    stores.all_silver(spark, SMALL)
+    assert len(grouped) == 1
+
+
 def test_topics_are_made_from_stored_tables(spark):
     """Lines are grouped once, not again for every topic that needs orders."""
     payments = stores.messages(spark, SMALL, PAYMENTS.topic)
