@@ -6,8 +6,11 @@ from glob import glob
 from tests.conftest import SMALL
 from tests.test_changes import MOVING, PRODUCTS, bronze
 from tidemark import operators as op
+from tidemark.plans.run import silver_table
 from tidemark.schemas import CDC_TABLES, ORDERS, PAYMENTS
 from tidemark.session import TASK_BYTES, _bytes, configure
+from tidemark.sources.snapshots import SnapshotTable
+from tidemark.streaming.apply import apply_batch
 from workloads import domain, stores
 from workloads.queries import REGISTRY
 
@@ -82,3 +85,14 @@ def test_a_backlog_has_files_by_its_size(spark, monkeypatch):
     (root,) = set(glob(f"{base}/backlog-*")) - before
     assert len(glob(f"{root}/inbox/*.parquet")) == 18
     assert all(r["several_batches"] for r in rows) and sum(r["messages"] for r in rows) == frame.count()
+
+
+def test_a_merge_meets_the_stored_rows_once(spark, folder, monkeypatch):
+    """Stored rows are read and shuffled by one join, whatever they and the changes hold."""
+    target = silver_table(spark, folder, PRODUCTS, buckets=2)
+    plans = []
+    commit = SnapshotTable.commit
+    monkeypatch.setattr(SnapshotTable, "commit", lambda self, rows, *a: plans.append(plan(rows)) or commit(self, rows, *a))
+    done = [apply_batch(bronze(spark, part), PRODUCTS, target) for part in (MOVING[:4], MOVING[4:], MOVING)]
+    assert [re.findall(r"Join (\w+),", p) for p in plans[1:]] == [["FullOuter"]] * 2
+    assert done[2] == dict.fromkeys(done[2], 0)
