@@ -50,6 +50,17 @@ def test_encoder_agrees_with_the_library():
         assert ids[a:b].tolist() == encoder.model.encode(text, add_special_tokens=False).ids, text
 
 
+def test_pieces_go_to_the_model_alone():
+    """No running text is given to the library, which would cut and align it again, where the pieces are known for sure."""
+    with open(VOCABULARY, encoding="utf-8") as f:
+        encoder = tokens.Encoder(f.read())
+    texts = ["It's  a\tplain\n\n text, isn't it? 12 \u00fcber\u00ad \u20ac\x00\x7f", "\r\n \u00a0x", ""]
+    library, encoder.model = encoder.model, None
+    ids, counts = encoder.encode(pa.array(texts))
+    assert ids.tolist() == [i for text in texts for i in library.encode(text, add_special_tokens=False).ids]
+    assert counts.tolist() == [len(library.encode(text, add_special_tokens=False).ids) for text in texts]
+
+
 def check_tokens(spark, docs, rows, bag):
     path = work_path(spark, "tokens")
     tokens.write_tokens(docs, path, VOCABULARY)

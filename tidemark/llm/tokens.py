@@ -2,7 +2,7 @@
 
 Ids come from a given vocabulary file through the ``tokenizers`` library. The library is slow on running text, and its
 byte-level model never looks across the pieces its pattern cuts; so a batch is cut into those pieces with numpy, and the
-library encodes every different piece once. Texts with characters whose class this module does not know for sure, or with
+library's model encodes every different piece once. Texts with characters whose class this module does not know for sure, or with
 the text of a special token, are given to the library whole.
 
 Storage is Parquet, one row per segment: the payload is a Simple-8b file (head, word offset of each block, escapes, words),
@@ -32,8 +32,6 @@ END_ID = 2
 SEGMENT_IDS = 1 << 19
 #: Pieces whose ids a Python worker remembers (some 200 bytes each) before it starts afresh.
 REMEMBERED = 600_000
-#: Pieces the library gets at a time, as lines of one text.
-LINES = 2_000
 
 _LETTER, _NUMBER, _OTHER, _SPACE, _UNSURE = range(5)
 _WHITE = {*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000}
@@ -52,6 +50,16 @@ def _classes() -> np.ndarray:
     return kinds
 
 
+def _byte_signs() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = itertools.count(0x100)
+    return {byte: chr(byte if byte in printable else next(others)) for byte in range(0x100)}
+
+
+_BYTE_SIGNS = _byte_signs()
+
+
 class Encoder:
     """Encodes batches of texts with one vocabulary file's content."""
 
@@ -74,25 +82,17 @@ class Encoder:
         )
         self.classes = _classes()
         self.known: dict[bytes, bytes] = {}
-        self.line_end = self.model.encode("\n", add_special_tokens=False).ids
+        self.words = self.model.model
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[bytes]) -> None:
-        """Encode pieces as lines of a text: a line end is a piece of its own, so its id parts theirs."""
-        plain = [w for w in new if b"\n" not in w and not w.isspace()] if len(self.line_end) == 1 else []
-        for i in range(0, len(plain), LINES):
-            lines = plain[i : i + LINES]
-            ids = np.array(self.model.encode_batch_fast([b"\n".join(lines).decode()], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.append(np.flatnonzero(ids == self.line_end[0]), len(ids))
-            if len(ends) == len(lines):
-                raw = ids.tobytes()
-                begins = np.append(0, ends[:-1] + 1)
-                self.known.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(lines, begins.tolist(), ends.tolist()))
-        rest = [w for w in new if w not in self.known]
-        if rest:
-            self.known.update(zip(rest, (np.array(x, np.uint32).tobytes() for x in self._whole([w.decode() for w in rest]))))
+        """Encode pieces by the library's model: each is one word to it, so nothing is cut or aligned again."""
+        words = [[token.id for token in self.words.tokenize(w.decode("latin-1").translate(_BYTE_SIGNS))] for w in new]
+        raw = np.fromiter(itertools.chain.from_iterable(words), np.uint32).tobytes()
+        ends = np.cumsum([0, *map(len, words)]) * 4
+        self.known.update((w, raw[i:j]) for w, i, j in zip(new, ends[:-1].tolist(), ends[1:].tolist()))
 
     def _cuts(self, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Where pieces begin: contractions, then an optional blank with letters, digits or signs, then white space."""
