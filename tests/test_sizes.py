@@ -6,13 +6,14 @@ from glob import glob
 from tests.conftest import SMALL
 from tests.test_changes import MOVING, PRODUCTS, bronze
 from tidemark import operators as op
+from tidemark.plans.questions import funnel_ordered
 from tidemark.plans.run import silver_table
 from tidemark.schemas import CDC_TABLES, ORDERS, PAYMENTS
 from tidemark.session import TASK_BYTES, _bytes, configure
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.streaming.apply import apply_batch
 from workloads import domain, stores
-from workloads.queries import REGISTRY
+from workloads.queries import REGISTRY, _fact_clicks, _silver_facts
 
 
 def plan(df):
@@ -96,3 +97,8 @@ def test_a_merge_meets_the_stored_rows_once(spark, folder, monkeypatch):
     done = [apply_batch(bronze(spark, part), PRODUCTS, target) for part in (MOVING[:4], MOVING[4:], MOVING)]
     assert [re.findall(r"Join (\w+),", p) for p in plans[1:]] == [["FullOuter"]] * 2
     assert done[2] == dict.fromkeys(done[2], 0)
+
+
+def test_a_payment_meets_its_user_once(spark):
+    """Not once a line of its order."""
+    assert "Aggregate [order_id" in plan(funnel_ordered(_fact_clicks(spark, SMALL), _silver_facts(spark, SMALL)))
