@@ -299,6 +299,21 @@ def test_repeated_substrings_of_cut_up_texts(spark, bag, monkeypatch, many):
         assert sum(s["to"] - s["from"] for s in r.removed) == r.n_removed
 
 
+def test_a_large_group_of_contexts_is_divided_inside_its_task(spark, monkeypatch):
+    rnd = random.Random(4)
+    core = "".join(rnd.choice("abcdefgh ") for _ in range(190))
+    rows = [(i, "".join(rnd.choice("abc") for _ in range(3)) + core + "".join(rnd.choice("xy") for _ in range(8))) for i in range(300)]
+    jobs, found = {}, {}
+    for many in (1500, 1):
+        monkeypatch.setattr(substrings, "MANY", many)
+        spark.sparkContext.setJobGroup(f"many {many}", "")
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        found[many] = sorted(substrings.remove_repeats(docs).drop("removed").collect())
+        jobs[many] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"many {many}"))
+    assert found[1] == found[1500] == sorted(brute.repeated_substrings(rows))
+    assert jobs[1] <= jobs[1500] + 2  # no rounds of joins, however often a range is halved
+
+
 def test_repeated_substrings_of_an_empty_table(no_docs):
     assert substrings.remove_repeats(no_docs).count() == 0
 

@@ -6,13 +6,13 @@ their anchors' hashes, and only around anchors that occur twice is there anythin
 
 * where all occurrences of an anchor have the same surroundings (its context: the bytes that strings over the anchor can reach),
   every string in it is repeated;
-* otherwise the different contexts go to shards. A shard is one string: its contexts with a mark for their anchor put in, so that
-  strings are alike only if their anchors are. Its suffix array is built by induced sorting, its permuted common prefixes tell
-  which strings have a neighbour that shares all of them;
-* an anchor with more different contexts than a shard should hold (``MANY``) is divided first: strings over it are taken by ranges
-  of offsets, halved step by step, and the contexts that share what all strings of a range hold (its core) form a group. Groups
-  small enough are sorted in shards like the rest; only those that are still too large are halved again. A string and its copies
-  have one offset, so they meet in a group at every step.
+* otherwise strings over the anchor are taken by ranges of offsets (bytes of a string before its anchor). All strings of a range
+  share a core; contexts with the same core form a group, in which only the bytes around the core are left to compare. A string
+  and its copies have one offset, so they meet in a group. Groups go to shards. A shard is one string: the bytes around the cores
+  with a mark in each core's place, so that strings are alike only if their cores are. Its suffix array is built by induced
+  sorting, its permuted common prefixes tell which strings have a neighbour that shares all of them;
+* a group of more than ``MANY`` different surroundings is divided inside its task before it is sorted: its range is halved, its
+  cores grow, and the halves are groups of their own.
 
 Texts that are there several times are taken once up to the end: all of such a text goes. Filters of a fixed size keep most
 texts and anchors that are not repeated out of the shuffles; whatever they let pass is decided by joins.
@@ -21,25 +21,30 @@ texts and anchors that are not repeated out of the shuffles; whatever they let p
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.anchors import Hasher, anchors
 from tidemark.llm.filters import filtered, key_filter, may_hold
 from tidemark.llm.suffixes import permuted_common_prefixes, suffix_array
-from tidemark.llm.words import give_back, pieces, text_bytes
+from tidemark.llm.words import give_back, mix, pieces, text_bytes
 from tidemark.session import work_path
 
 LENGTH = 200
 #: Bytes hashed for an anchor. A context reaches LENGTH - GRAM bytes before an anchor's first byte and LENGTH from it on.
 GRAM = 100
 REACH = LENGTH - GRAM
-#: Bytes of contexts to a shard, and different contexts of one anchor up to which its contexts go to a shard.
+#: Ranges of offsets, and their bounds.
+RANGES = 4
+_EDGES = [k * (REACH + 1) // RANGES for k in range(RANGES + 1)]
+#: Symbols to a suffix array, and different surroundings of one core up to which they are sorted without a division.
 SHARD_BYTES, MANY = 1 << 20, 1500
 #: Bytes of text that anchors are sought in at a time: some 100 bytes of memory to each.
 PIECE = 1 << 20
@@ -102,156 +107,147 @@ def _occurrences(rows: DataFrame, known: Broadcast) -> DataFrame:
     return rows.select("id", "text", "t1", "t2").mapInArrow(run, schema)
 
 
-def _runs(flags: np.ndarray) -> np.ndarray:
-    """First and last place of each run of true flags."""
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0]))))
-    return edges.reshape(-1, 2)
+@dataclass
+class Around:
+    """Rows of groups: what lies around their cores, as places in a buffer of bytes.
 
-
-def _hopeful(group: np.ndarray, left: np.ndarray, twice: np.ndarray, contexts: list[np.ndarray]) -> np.ndarray:
-    """Contexts that may hold a repeated string: with one of the same anchor they share half of what a string adds to it.
-
-    A string adds ``REACH`` bytes to its anchor, so at least half of that on one side.
+    Strings at offsets ``low`` to ``low + width`` reach up to ``width`` bytes to either side of the core; ``before`` and ``after``
+    are how many of these there are. ``n``: how often the row occurs.
     """
-    size = np.array([len(x) for x in contexts])
-    hasher = Hasher(np.concatenate(contexts))
-    anchor = np.cumsum(size) - size + left
-    keep = twice.copy()
-    half = REACH // 2
-    for before, after in ((half, 0), (0, half)):
-        have = np.flatnonzero((left >= before) & (size - left >= GRAM + after))
-        value = hasher(anchor[have] - before, anchor[have] + GRAM + after)
-        _, code, count = np.unique(np.stack([group[have].astype(np.uint64), value]), axis=1, return_inverse=True, return_counts=True)
-        keep[have] |= count[code.reshape(-1)] > 1
-    return keep
-
-
-def repeats_in_shard(anchor: np.ndarray, left: np.ndarray, twice: np.ndarray, contexts: list[np.ndarray]) -> list[list[tuple[int, int]]]:
-    """For each context the byte ranges, counted from its anchor, that repeated strings over the anchor cover."""
-    group = np.unique(anchor, return_inverse=True)[1]
-    out: list[list[tuple[int, int]]] = [[] for _ in contexts]
-    use = np.flatnonzero(_hopeful(group, left, twice, contexts))
-    if len(use):
-        found = _repeats(group[use], left[use], twice[use], [contexts[i] for i in use])
-        for i, spans in zip(use.tolist(), found):
-            out[i] = spans
-    return out
-
-
-def _repeats(group: np.ndarray, left: np.ndarray, twice: np.ndarray, contexts: list[np.ndarray]) -> list[list[tuple[int, int]]]:
-    size = np.array([len(x) for x in contexts])
-    total = int(size.sum()) + 2 * len(size) + 1
-    t = np.ones(total, np.int32)  # 1 parts contexts, 0 ends the string, bytes follow from 2, marks from 258
-    start = np.cumsum(size + 2) - (size + 2)
-    mark = start + left
-    place = np.ones(total, bool)
-    place[mark] = place[start + size + 1] = place[-1] = False
-    t[place] = np.concatenate(contexts).astype(np.int32) + 2
-    t[mark] = 258 + group
+
+    group: np.ndarray
+    low: np.ndarray
+    width: np.ndarray
+    left: np.ndarray  # where the bytes before the core end
+    right: np.ndarray  # where those after it begin
+    before: np.ndarray
+    after: np.ndarray
+    n: np.ndarray
+
+    def take(self, some: np.ndarray) -> Around:
+        return Around(**{f.name: getattr(self, f.name)[some] for f in fields(self)})
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of ranges, one after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def repeated_offsets(data: np.ndarray, hasher: Hasher, rows: Around) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the least and the greatest offset of its repeated strings; none: the greatest is below the least."""
+    with np.errstate(over="ignore"):
+        key = mix(mix(hasher(rows.left - rows.before, rows.left) ^ rows.group) + hasher(rows.right, rows.right + rows.after))
+    _, chosen, own = np.unique(key, return_index=True, return_inverse=True)
+    twice = np.bincount(own, np.minimum(rows.n, 2)) > 1
+    rows = rows.take(chosen)
+    _, code, count = np.unique(rows.group, return_inverse=True, return_counts=True)
+    size = count[code]
+    least, most = np.full(len(chosen), LENGTH), np.full(len(chosen), -1)
+    sort = np.flatnonzero((size > 1) & (size <= MANY))
+    sort = sort[np.argsort(code[sort], kind="stable")]
+    symbols = np.cumsum(rows.before[sort] + rows.after[sort] + 3)
+    ends = np.flatnonzero(np.diff(code[sort], append=-1)) + 1  # of groups
+    at = 0
+    while at < len(sort):
+        limit = np.searchsorted(symbols, (symbols[at - 1] if at else 0) + SHARD_BYTES, "right")
+        fits = ends[(ends > at) & (ends <= limit)]
+        upto = int(fits[-1]) if len(fits) else int(ends[np.searchsorted(ends, at, "right")])
+        some = sort[at:upto]
+        least[some], most[some] = _sorted_offsets(data, rows.take(some))
+        at = upto
+    large = np.flatnonzero(size > MANY)
+    for some, half in _halves(hasher, rows, large):
+        low, high = repeated_offsets(data, hasher, half)
+        least[some], most[some] = np.minimum(least[some], low), np.maximum(most[some], high)
+    least[twice] = (rows.low + rows.width - rows.after)[twice]
+    most[twice] = (rows.low + rows.before)[twice]
+    return least[own], most[own]
+
+
+def _halves(hasher: Hasher, rows: Around, large: np.ndarray) -> Iterator[tuple[np.ndarray, Around]]:
+    """The lower and the upper half of the ranges of groups, and which rows have strings in it. What a half's strings share joins the core."""
+    if not len(large):
+        return
+    middle = rows.width[large] // 2
+    for first, last in ((np.zeros_like(middle), middle), (middle + 1, rows.width[large])):
+        r, grown = rows.take(large), rows.width[large] - last
+        use = np.flatnonzero((first <= last) & (np.maximum(first, r.width - r.after) <= np.minimum(last, r.before)))
+        r, first, last, grown = r.take(use), first[use], last[use], grown[use]
+        with np.errstate(over="ignore"):
+            group = mix(mix(hasher(r.left - first, r.left) ^ r.group) + hasher(r.right, r.right + grown) + first.astype(np.uint64))
+        before, after = np.minimum(r.before, last) - first, np.minimum(r.after, r.width - first) - grown
+        yield large[use], Around(group, r.low + first, last - first, r.left - first, r.right + grown, before, after, r.n)
+
+
+def _sorted_offsets(data: np.ndarray, rows: Around) -> tuple[np.ndarray, np.ndarray]:
+    """``repeated_offsets`` by one suffix array. A core's mark is two symbols, so that marks do not make as many buckets as cores."""
+    size = rows.before + rows.after + 3
+    total = int(size.sum()) + 1
+    start = np.cumsum(size) - size
+    mark = start + rows.before
+    code = np.unique(rows.group, return_inverse=True)[1]
+    base = math.isqrt(int(code.max())) + 1
+    t = np.ones(total, np.int32)  # 1 parts rows, 0 ends the string, bytes follow from 2, marks from 258
+    t[_spread(start, rows.before)] = data[_spread(rows.left - rows.before, rows.before)].astype(np.int32) + 2
+    t[mark], t[mark + 1] = 258 + code // base, 258 + base + code % base
+    t[_spread(mark + 2, rows.after)] = data[_spread(rows.right, rows.after)].astype(np.int32) + 2
     t[-1] = 0
-    sa = suffix_array(t, 258 + int(group.max()) + 1)
-    whole = LENGTH + 1  # a string with its anchor's mark
-    shared = permuted_common_prefixes(t, sa, 2 * LENGTH + REACH + 2, start)
+    sa = suffix_array(t, 258 + 2 * base)
+    shared = permuted_common_prefixes(t, sa, 3 * int(rows.width.max()) + 6, start)
+    whole = np.append(np.repeat(rows.width + 2, size), total)  # a string with its core's mark
     alike = np.zeros(total, bool)
-    alike[sa] = shared[sa] >= whole
-    alike[sa[:-1]] |= shared[sa[1:]] >= whole
-    # Strings begin at, or before, the mark and must end inside the context. More places than those part two contexts.
-    last = np.minimum(left, size + 1 - whole)
-
-    def places(some: np.ndarray) -> np.ndarray:
-        edges = np.zeros(total + 1, np.int8)
-        edges[start[some]] = 1
-        edges[start[some] + last[some] + 1] = -1
-        return np.cumsum(edges[:-1]) > 0
-
-    flags = (alike & places(last >= 0)) | places((last >= 0) & twice)
-    out: list[list[tuple[int, int]]] = [[] for _ in size]
-    found = _runs(flags)
-    own = np.searchsorted(start, found[:, 0], side="right") - 1
-    for i, a, b in zip(own.tolist(), (found[:, 0] - mark[own]).tolist(), (found[:, 1] - 1 - mark[own] + LENGTH).tolist()):
-        out[i].append((a, b))
-    return out
-
-
-def _in_shards(contexts: DataFrame, shards: int) -> DataFrame:
-    """Spans of contexts by groups ``g``: one anchor's contexts, or some of them that share more than the anchor."""
+    alike[sa] = shared[sa] >= whole[sa]
+    alike[sa[:-1]] |= shared[sa[1:]] >= whole[sa[:-1]]
+    # Strings begin at, or before, the mark and must end inside their row. More places than those part two rows.
+    count = rows.before + rows.after - rows.width + 1
+    place, own = _spread(start, count), np.repeat(np.arange(len(size)), count)
+    found = alike[place]
+    place, own = place[found], own[found]
+    least, most = np.full(len(size), LENGTH), np.full(len(size), -1)
+    offset = (rows.low + mark)[own] - place
+    most[own[::-1]], least[own] = offset[::-1], offset  # the last one that is set stays
+    return least, most
+
+
+def _in_shards(around: DataFrame, shards: int) -> DataFrame:
+    """For contexts with repeated strings, from which byte to which these reach in a range of offsets, counted from the anchor."""
 
     def run(table: pa.Table) -> pa.Table:
-        keys = np.stack([table["g"].to_numpy(), table["c"].to_numpy()])
-        table = table.take(pa.array(np.sort(np.unique(keys, axis=1, return_index=True)[1])))  # copies of rows bring copies
-        raw = [np.frombuffer(x.as_buffer(), np.uint8) for x in table["context"]]
-        spans = repeats_in_shard(
-            table["g"].to_numpy(), table["left"].to_numpy().astype(np.int64), table["n"].to_numpy() > 1, raw
-        )
+        with np.errstate(over="ignore"):
+            key = mix(table["g"].to_numpy().view(np.uint64)) + table["c"].to_numpy().view(np.uint64)
+        table = table.take(pa.array(np.unique(key, return_index=True)[1]))  # copies of rows bring copies
+        data, offsets = text_bytes(table["outer"])
+        low = table["low"].to_numpy().astype(np.int64)
+        before = table["before"].to_numpy().astype(np.int64)
+        core = offsets[:-1] + before
+        rows = Around(
+            table["g"].to_numpy().view(np.uint64), low, table["high"].to_numpy() - low, core, core, before, offsets[1:] - core,
+            table["n"].to_numpy(),
+        )
+        least, most = repeated_offsets(data, Hasher(data), rows)
+        keep = least <= most
+        found = table.select(["h", "c"]).filter(pa.array(keep))
         give_back()
-        return pa.table(
-            {
-                "h": table["h"],
-                "c": table["c"],
-                "spans": pa.array(
-                    [[{"from": a, "to": b} for a, b in x] for x in spans],
-                    pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())])),
-                ),
-            }
-        )
-
-    shard = F.pmod(F.xxhash64("g"), F.lit(shards))
-    rows = contexts.select("g", "h", "c", "n", "left", "context", shard.alias("shard"))
-    return rows.groupBy("shard").applyInArrow(run, f"h long, c long, spans {_SPANS}")
+        ends = (("from", -most[keep]), ("to", LENGTH - least[keep]))
+        for name, values in ends:
+            found = found.append_column(name, pa.array(values.astype(np.int32)))
+        return found
+
+    rows = around.withColumn("shard", F.pmod("g", F.lit(shards)))
+    return rows.groupBy("shard").applyInArrow(run, "h long, c long, from int, to int")
 
 
 def _shards(contexts: DataFrame) -> int:
-    """Shards for contexts of these sizes (``left`` and ``right``)."""
+    """Shards for contexts of these sizes (``left`` and ``right``): their bytes but for the anchors, and marks."""
     size = contexts.agg(F.sum(F.col("left") + F.col("right")), F.count("*")).first()
-    return max(1, ((size[0] or 0) + 2 * size[1]) // SHARD_BYTES)
+    return max(1, ((size[0] or 0) + (3 * RANGES - GRAM) * size[1]) // SHARD_BYTES)
 
 
-def _divided(spark: SparkSession, contexts: DataFrame, path: str) -> DataFrame:
-    """Spans of contexts of anchors with very many. Offsets (bytes of a string before its anchor) are halved from 0..127 down.
+def _around(picked: DataFrame, rows: DataFrame) -> DataFrame:
+    """Contexts by group ``g`` (a range of offsets and a core), with the bytes around the core, of which ``before`` come before it.
 
-    Strings at offsets low..high share the core that all of them have, and stay inside the hull that they reach together. The first
-    range has the anchor itself for its core, so its halves are where division begins. A range of one offset has the whole string
-    for its core and its hull: its groups are settled, whatever their size.
+    ``picked`` has one occurrence of each context (``id``, ``t1``, ``t2``, ``at``, ``left``, ``right``).
     """
-    right = F.octet_length("context") - F.col("left")
-    contexts.select(
-        "h", "c", "n", "left", "context", F.lit(0).alias("low"), F.lit(127).alias("high"),
-        F.greatest(F.lit(0), LENGTH - right).alias("least"), F.col("left").cast("int").alias("most"), F.lit("halve").alias("fate"),
-    ).filter("least <= most").write.parquet(f"{path}/0")
-    middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
-    halves = F.array(
-        F.struct(F.col("low").alias("low"), middle.alias("high")), F.struct((middle + 1).alias("low"), F.col("high").alias("high"))
-    )
-    kept = ("h", "c", "n", "left", "context", "least", "most")
-    spans, k = None, 0
-    while True:
-        ranges = spark.read.parquet(f"{path}/{k}").filter("fate = 'halve'").withColumn("half", F.explode(halves))
-        rows = ranges.select(*kept, "half.low", "half.high").filter("low <= most AND high >= least")
-        core = F.xxhash64(F.expr(f"substring(context, left - low + 1, {LENGTH} - high + low)"))
-        hull = F.xxhash64(F.expr(f"substring(context, left - high + 1, {LENGTH} + high - low)"))
-        inside = (F.col("least") <= F.col("low")) & (F.col("high") <= F.col("most"))
-        rows = rows.withColumn("core", core).withColumn("hull", F.when(inside, hull))
-        size = F.count("*")
-        one = F.coalesce((F.min("hull") == F.max("hull")) & (F.count("hull") == size), F.lit(False))
-        fate = F.when(one, "settled").when(size <= MANY, "sort").otherwise("halve").alias("fate")
-        groups = rows.groupBy("h", "low", "core").agg(F.sum("n").alias("all"), fate).filter("all > 1").drop("all")
-        k += 1
-        rows.drop("hull").join(groups, ["h", "low", "core"]).write.parquet(f"{path}/{k}")
-        met = spark.read.parquet(f"{path}/{k}")
-        # All strings of a settled range hold the anchor, so what they cover together is one range.
-        span = F.struct((-F.col("high")).alias("from"), (LENGTH - F.col("low")).alias("to"))
-        found = met.filter("fate = 'settled'").select("h", "c", F.array(span).alias("spans"))
-        small = met.filter("fate = 'sort'").withColumn("g", F.xxhash64("h", "low", "core"))
-        shards = _shards(small.withColumn("right", F.octet_length("context") - F.col("left")))
-        _in_shards(small, shards).filter(F.size("spans") > 0).write.parquet(f"{path}/sorted-{k}")
-        found = found.unionByName(spark.read.parquet(f"{path}/sorted-{k}"))
-        spans = found if spans is None else spans.unionByName(found)
-        if met.filter("fate = 'halve'").isEmpty():
-            return spans
-
-
-def _contexts(picked: DataFrame, rows: DataFrame) -> DataFrame:
-    """The bytes of contexts: ``picked`` has one occurrence of each (``id``, ``t1``, ``t2``, ``at``, ``left``, ``right``)."""
     spots = picked.groupBy("id", "t1", "t2").agg(F.collect_list(F.struct("h", "c", "n", "at", "left", "right")).alias("spots"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,16 +256,31 @@ def _contexts(picked: DataFrame, rows: DataFrame) -> DataFrame:
             own = np.repeat(np.arange(batch.num_rows), spots.value_lengths().to_numpy())
             flat = pa.RecordBatch.from_struct_array(spots.flatten())
             data, offsets = text_bytes(batch.column("text"))
+            hasher, raw = Hasher(data), data.tobytes()
             at = flat.column("at").to_numpy() + offsets[own]
-            left, right = flat.column("left").to_numpy(), flat.column("right").to_numpy()
-            raw = data.tobytes()
-            out = [raw[a:b] for a, b in zip((at - left).tolist(), (at + right).tolist())]
-            yield pa.record_batch({c: flat.column(c) for c in ("h", "c", "n", "left")} | {"context": pa.array(out, pa.binary())})
+            left, right = (flat.column(c).to_numpy().astype(np.int64) for c in ("left", "right"))
+            for low, end in zip(_EDGES, _EDGES[1:]):
+                high = end - 1
+                use = np.flatnonzero(np.maximum(low, LENGTH - right) <= np.minimum(high, left))
+                core, after = at[use] - low, at[use] + LENGTH - high
+                start, stop = at[use] - np.minimum(high, left[use]), at[use] + np.minimum(LENGTH - low, right[use])
+                outer = [raw[a:b] + raw[c:d] for a, b, c, d in zip(*(x.tolist() for x in (start, core, after, stop)))]
+                group = mix(hasher(core, after) ^ np.uint64(low))
+                yield pa.record_batch(
+                    {c: flat.column(c).take(pa.array(use)) for c in ("h", "c", "n")}
+                    | {
+                        "g": pa.array(group.view(np.int64)),
+                        "low": pa.array(np.full(len(use), low, np.int16)),
+                        "high": pa.array(np.full(len(use), high, np.int16)),
+                        "before": pa.array((core - start).astype(np.int16)),
+                        "outer": pa.array(outer, pa.binary()),
+                    }
+                )
         give_back()
 
     texts = filtered(rows.select("id", "text", "t1", "t2"), "t1", key_filter(picked, "t1"))
     joined = texts.join(spots, ["id", "t1", "t2"]).select("text", "spots")
-    return joined.mapInArrow(run, "h long, c long, n long, left short, context binary")
+    return joined.mapInArrow(run, "h long, c long, n long, g long, low short, high short, before short, outer binary")
 
 
 def _cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, list[tuple[int, int]], str]:
@@ -312,23 +323,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     mixed = found.groupBy("h").agg((F.min("c") < F.max("c")).alias("mixed")).filter("mixed").select("h")
     spot = F.struct("id", "t1", "t2", "at", "left", "right")
     by_context = found.join(mixed, "h").groupBy("h", "c").agg(F.sum("copies").alias("n"), F.min(spot).alias("spot"))
-    kinds = by_context.groupBy("h").agg((F.count("*") > MANY).alias("many"))
-    by_context.join(kinds, "h").select("h", "c", "n", "many", "spot.*").write.parquet(f"{path}/picked")
-    few, many = read(f"{path}/picked").filter("NOT many"), read(f"{path}/picked").filter("many")
-    in_groups = _contexts(few, rows).withColumn("g", F.col("h"))
-    _in_shards(in_groups, _shards(few)).filter(F.size("spans") > 0).write.parquet(f"{path}/spans")
-    spans = read(f"{path}/spans")
-    if many.take(1):
-        different = _contexts(many, rows).groupBy("h", "c").agg(
-            F.first("n").alias("n"), F.first("left").alias("left"), F.first("context").alias("context")
-        )
-        spans = spans.unionByName(_divided(spark, different, f"{path}/divided"))
+    by_context.select("h", "c", "n", "spot.*").write.parquet(f"{path}/picked")
+    picked = read(f"{path}/picked")
+    _in_shards(_around(picked, rows), _shards(picked)).write.parquet(f"{path}/spans")
 
     single = found.filter("copies = 1")
     # All strings hold the anchor, so what they cover around it is one range, in however many groups they were found.
-    spans = spans.select("h", "c", F.explode("spans").alias("s")).groupBy("h", "c").agg(
-        F.min("s.from").alias("from"), F.max("s.to").alias("to")
-    )
+    spans = read(f"{path}/spans").groupBy("h", "c").agg(F.min("from").alias("from"), F.max("to").alias("to"))
     in_mixed = single.join(spans, ["h", "c"]).select(
         "t1", "t2", (F.col("at") + F.col("from")).alias("from"), (F.col("at") + F.col("to")).alias("to")
     )
