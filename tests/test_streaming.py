@@ -1,4 +1,5 @@
-from datetime import date
+import os
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -238,3 +239,30 @@ def test_first_deliveries_keep_bounded_state(spark, folder, at):
     assert seen == [(5, 1, 0), (3, 1, 0), (3, 0, 2), (2, 1, 0)]
     stored = spark.read.schema(CLICK_SILVER_SCHEMA).parquet(f"{folder}/out").collect()
     assert sorted(r.event_id or "-" for r in stored) == ["-", "-", "-", "a", "b", "b", "c", "e"]
+
+
+def test_a_start_opens_the_state_as_files(spark, folder):
+    """Nothing of earlier runs is applied again when a run starts, and the last position of a key wins over runs."""
+    raw, out, checkpoint = f"{folder}/raw", f"{folder}/state", f"{folder}/cp"
+
+    def message(key, status, partition, offset, hour, op="u"):
+        image = f'{{"id":{key},"status":"{status}"}}'
+        before, after = (image, "null") if op == "d" else ("null", image)
+        value = f'{{"payload":{{"before":{before},"after":{after},"op":"{op}"}}}}'
+        return {"value": value, "partition": partition, "offset": offset, "timestamp": datetime(2024, 1, 1, hour)}
+
+    arrivals = [
+        [message(1, "pending", 0, 0, 1), message(1, "paid", 0, 1, 1), message(2, "paid", 1, 7, 5), message(3, "paid", 0, 2, 1)],
+        [message(1, "paid", 0, 3, 2, "d"), message(2, "pending", 2, 9, 4), message(3, "shipped", 2, 0, 3)],
+        [message(3, "paid", 0, 2, 1), message(4, "paid", 0, 4, 6)],
+    ]
+    for rows in arrivals:
+        full = [tuple(row.get(name) for name in BRONZE_SCHEMA.names) for row in rows]
+        part = spark.createDataFrame(full, BRONZE_SCHEMA)
+        part.write.mode("append").parquet(raw)
+        keep_state(spark.readStream.schema(BRONZE_SCHEMA).parquet(raw), ORDERS, out, checkpoint).awaitTermination()
+    found = sorted((r.id, r.status) for r in read_state(spark, out, ORDERS).collect())
+    assert found == [(2, "paid"), (3, "shipped"), (4, "paid")]
+    stored = [name for _, _, names in os.walk(f"{checkpoint}/state") for name in names]
+    assert any(name.endswith(".zip") for name in stored)
+    assert not any(name.endswith(".changelog") for name in stored)

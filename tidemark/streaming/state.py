@@ -26,8 +26,8 @@ def latest_in_state(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     inside a partition.
     """
     changes = parse_envelope(bronze, spec, before=())
-    change = F.struct("op", "after", *POSITION)
-    last = changes.groupBy(KEY).agg(F.max_by(change, F.struct(*POSITION)).alias("last")).select(KEY, "last.*")
+    # The change begins with its position, so that the state holds that once.
+    last = changes.groupBy(KEY).agg(F.max(F.struct(*POSITION, "op", "after")).alias("last")).select(KEY, "last.*")
     return typed_changes(last, spec)
 
 
