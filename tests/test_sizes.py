@@ -1,11 +1,15 @@
 """What one task or one file is given does not follow the size of the tables."""
 
 import re
+import time
 from glob import glob
 
+from pyspark.sql import functions as F
+
 from tests.conftest import SMALL
 from tests.test_changes import MOVING, PRODUCTS, bronze
 from tidemark import operators as op
+from tidemark.operators.changes import latest_typed_changes
 from tidemark.plans.questions import funnel_ordered
 from tidemark.plans.run import silver_table
 from tidemark.schemas import CDC_TABLES, ORDERS, PAYMENTS
@@ -102,3 +106,24 @@ def test_a_merge_meets_the_stored_rows_once(spark, folder, monkeypatch):
 def test_a_payment_meets_its_user_once(spark):
     """Not once a line of its order."""
     assert "Aggregate [order_id" in plan(funnel_ordered(_fact_clicks(spark, SMALL), _silver_facts(spark, SMALL)))
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_what_was_shuffled_goes_with_the_action(spark, folder):
+    before = shuffle_files(spark)
+    spark.range(1000).groupBy((F.col("id") % 100).alias("k")).count().write.parquet(folder)
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    assert not left
+    assert glob(f"{folder}/*.zstd.parquet") and spark.read.parquet(folder).count() == 100
+
+
+def test_changes_are_decoded_before_they_are_shuffled(spark):
+    text = latest_typed_changes(bronze(spark, MOVING), PRODUCTS)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("from_json(") == 1 and "row_number(), 1, Partial" in text
+    assert text.index("conv(") > text.rindex("Exchange hashpartitioning")
