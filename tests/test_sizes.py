@@ -127,3 +127,18 @@ def test_changes_are_decoded_before_they_are_shuffled(spark):
     text = latest_typed_changes(bronze(spark, MOVING), PRODUCTS)._jdf.queryExecution().executedPlan().toString()
     assert text.count("from_json(") == 1 and "row_number(), 1, Partial" in text
     assert text.index("conv(") > text.rindex("Exchange hashpartitioning")
+
+
+def test_a_run_of_the_history_leaves_no_shuffle_behind(spark, folder):
+    """Nor a folder of its own: what is worked on lies where the next run writes."""
+    from tidemark.streaming import History
+
+    before, held = shuffle_files(spark), spark.sparkContext._jsc.getPersistentRDDs().size()
+    history = History(spark, folder, PRODUCTS, buckets=2)
+    for part in (MOVING[4:], MOVING[:4], MOVING):
+        history.extend(bronze(spark, part))
+    assert len(glob(f"{folder}/_work/*")) == 5
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    assert not left and spark.sparkContext._jsc.getPersistentRDDs().size() <= held

@@ -5,11 +5,12 @@ last become closed versions in a folder of the run's own, the last one is the ne
 key's open version (its topic partition was read later), falls among versions that are closed already; those keys are chained anew from
 all their versions, and those that come out different are written as corrections, which readers put in their place.  So the
 result is that of ``change_history`` over all messages, however they arrive, and messages that come again change nothing.
+
+What a run uses several times it writes below ``_work``, where the next run overwrites it; so each step's shuffles go when the step ends.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,43 +70,48 @@ class History:
         gone = F.coalesce((F.col("op") == "d") | F.col("after").isNull(), F.lit(False))
         return parse_envelope(bronze, spec, before=()).select(*typed, *position, gone.alias(DELETED))
 
+    def _worked(self, name: str, rows: DataFrame) -> DataFrame:
+        """``rows`` as written for the steps that follow in this run."""
+        path = f"{self.root}/_work/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def extend(self, bronze: DataFrame, slice_seconds: int = HISTORY_SLICE) -> int:
         """Take in raw changes as one run; returns its number.  A run that fails leaves the history as it was."""
         key, pointer = self.spec.key, self.open.pointer()
         run = pointer.version + 1
         identity = [key, *LINEAGE]
-        # Used several times; recomputed from the raw rows should an executor be lost.
-        changes = self._changes(bronze).dropDuplicates(identity).persist(StorageLevel.MEMORY_AND_DISK)
-        late = chain = None
-        try:
-            buckets = self.open.touched(changes)
-            if not buckets:
-                return pointer.version
-            stored = self.open.read_stored(buckets, pointer).select(*self._version_columns)
-            met = stored.join(changes.select(key), key, "left_semi")
-            behind = F.struct(*[F.col(f"s.{c}") for c in _POSITION]) <= F.struct(*[F.col(f"t.{c}") for c in _POSITION])
-            pairs = changes.select(key, *_POSITION).alias("s").join(stored.select(key, *_POSITION).alias("t"), F.col(f"s.{key}") == F.col(f"t.{key}"))
-            late = pairs.filter(behind).select(F.col(f"s.{key}").alias(key)).distinct().persist(StorageLevel.MEMORY_AND_DISK)
-            rows = changes.unionByName(met).withColumns({_WAS: F.lit(None).cast("timestamp"), "_closed": F.lit(False), "_late": F.lit(False)})
-            any_late = bool(late.take(1))
-            if any_late:
-                # A version that comes again is known by its position; the stored one says where it ended.
-                before = self._closed_versions(pointer.version).join(late, key, "left_semi").withColumnRenamed(_TO, _WAS)
-                every = rows.drop("_late").unionByName(before.withColumn("_closed", F.lit(True)))
-                stored_first = Window.partitionBy(*identity).orderBy(F.desc("_closed"))
-                once = every.withColumn("_nth", F.row_number().over(stored_first)).filter("_nth = 1").drop("_nth")
-                rows = once.join(late.withColumn("_late", F.lit(True)), key, "left").withColumn("_late", F.coalesce("_late", F.lit(False)))
-            # Chained once: what ended, what is corrected and what is open are read from it.
-            chain = chained(rows.drop("_closed"), key, CHANGED_AT, _POSITION, slice_seconds).withColumnRenamed("_next", _TO)
-            chain = chain.persist(StorageLevel.MEMORY_AND_DISK)
-            ended = chain.filter(F.col(_TO).isNotNull() & ~F.col(_TO).eqNullSafe(F.col(_WAS)))
-            for kind, found in (("closed", ended.filter(~F.col("_late"))), ("corrections", ended.filter("_late"))):
-                if kind == "closed" or any_late:
-                    found.select(*self._version_columns, _TO).write.mode("overwrite").parquet(f"{self.root}/{kind}/run={run}")
-            newest = chain.filter(F.col(_TO).isNull())
-            kept = stored.join(changes.select(key), key, "left_anti")
-            return self.open.commit(kept.unionByName(newest.select(*self._version_columns)), buckets, None, pointer)
-        finally:
-            for kept_rows in (changes, late, chain):
-                if kept_rows is not None:
-                    kept_rows.unpersist()
+        changes = self._worked("changes", self._changes(bronze).dropDuplicates(identity))
+        buckets = self.open.touched(changes)
+        if not buckets:
+            return pointer.version
+        # The open versions meet the first change of their key, once.
+        position = F.struct(*[F.col(c) for c in _POSITION])
+        first = changes.groupBy(key).agg(F.min(position).alias("_first"))
+        stored = self.open.read_stored(buckets, pointer).select(*self._version_columns).join(first, key, "left")
+        behind = F.coalesce(F.col("_first") <= position, F.lit(False))
+        met = F.col("_first").isNotNull().alias("_met")
+        stored = self._worked("stored", stored.select(*self._version_columns, met, behind.alias("_late")))
+        late = stored.filter("_late").select(key).distinct()
+        any_late = bool(late.take(1))
+        as_change = {_WAS: F.lit(None).cast("timestamp"), "_late": F.lit(False)}
+        again = stored.filter("_met").drop("_met").withColumn(_WAS, as_change[_WAS])
+        if any_late:
+            # A version that comes again is known by its position; the stored one says where it ended.
+            before = self._closed_versions(pointer.version).join(late, key, "left_semi").withColumnRenamed(_TO, _WAS)
+            before = self._worked("before", before.withColumn("_late", F.lit(True)))
+            again = again.unionByName(before)
+            same = [F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in identity]
+            unseen = changes.alias("s").join(again.select(*identity).alias("t"), same, "left_anti")
+            changes = self._worked("unseen", unseen)
+        rows = changes.withColumns(as_change).unionByName(again)
+        # Chained once: what ended, what is corrected and what is open are read from it.
+        chain = chained(rows, key, CHANGED_AT, _POSITION, slice_seconds, "_late").withColumnRenamed("_next", _TO)
+        chain = self._worked("chain", chain.filter(F.col(_TO).isNull() | ~F.col(_TO).eqNullSafe(F.col(_WAS))))
+        ended = chain.filter(F.col(_TO).isNotNull())
+        for kind, found in (("closed", ended.filter(~F.col("_late"))), ("corrections", ended.filter("_late"))):
+            if kind == "closed" or any_late:
+                found.select(*self._version_columns, _TO).write.mode("overwrite").parquet(f"{self.root}/{kind}/run={run}")
+        newest = chain.filter(F.col(_TO).isNull())
+        rows = [part.select(*self._version_columns) for part in (stored.filter(~F.col("_met")), newest)]
+        return self.open.commit(rows[0].unionByName(rows[1]), buckets, None, pointer)
